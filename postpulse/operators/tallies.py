@@ -27,6 +27,11 @@ def _entry(kind: str, key: Column, item_type: Column | None = None) -> Column:
     )
 
 
+def _reference_entries(kind: str, names: Column) -> Column:
+    names = F.coalesce(names, F.array().cast("array<string>"))
+    return F.transform(names, lambda name: _entry(kind, name))
+
+
 def tally(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Everything a batch's statistics need, from one pass over the items.
 
@@ -42,8 +47,7 @@ def tally(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     ]
     for kind, column in REFERENCE_KINDS.items():
         if column in df.columns:
-            names = F.coalesce(F.col(column), F.array().cast("array<string>"))
-            entries.append(F.transform(names, lambda name, k=kind: _entry(k, name)))
+            entries.append(_reference_entries(kind, F.col(column)))
     rows = df.select(
         *by,
         "score",
