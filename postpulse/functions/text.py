@@ -50,6 +50,27 @@ def tokens(cleaned: Column) -> Column:
     return F.when(cleaned != "", F.split(cleaned, " ")).otherwise(F.array().cast("array<string>"))
 
 
+# The functions below take column names: the word lists then reach Spark as one SQL
+# expression each instead of one call per word.
+
+
+def _quoted(words: Iterable[str]) -> str:
+    return ", ".join("'" + w.replace("'", "\\'") + "'" for w in words)
+
+
+def words_in(words: str, group: Iterable[str]) -> Column:
+    """Words of the list that belong to the group, in order, repeats kept."""
+    return F.expr(f"filter({words}, w -> w in ({_quoted(group)}))")
+
+
+def words_not_in(words: str, group: Iterable[str]) -> Column:
+    return F.expr(f"filter({words}, w -> w not in ({_quoted(group)}))")
+
+
+def _count_in(words: str, group: Iterable[str]) -> str:
+    return f"size(filter({words}, w -> w in ({_quoted(group)})))"
+
+
 def marked_words() -> list[str]:
     """Every word that sentiment or topic looks at."""
     words = set(lexicons.NEGATIONS)
@@ -60,40 +81,31 @@ def marked_words() -> list[str]:
     return sorted(words)
 
 
-def lexicon_hits(words: Column) -> Column:
-    """The few words sentiment and topic care about, in order, repeats kept.
+def lexicon_hits(words: str) -> Column:
+    """The few words sentiment and topic care about.
 
     The one pass over all words of the text; the counts below run over this short list.
     """
-    known = marked_words()
-    return F.filter(words, lambda w: w.isin(known))
-
-
-def _count_in(words: Column, group: list[str]) -> Column:
-    return F.size(F.filter(words, lambda w: w.isin(group)))
+    return words_in(words, marked_words())
 
 
-def sentiment(words: Column, hits: Column) -> Column:
+def sentiment(words: str, hits: str) -> Column:
     """Weighted lexicon score divided by the number of words (at least 5)."""
-    glad = lexicons.POSITIVE + lexicons.STRONG_POSITIVE
-    score = None
+    score = "0.0D"
     for group, weight in lexicons.SENTIMENT_WEIGHTS:
-        part = _count_in(hits, group) * F.lit(abs(weight))
-        score = part if score is None else (score + part if weight > 0 else score - part)
-    may_negate = F.exists(hits, lambda w: w.isin(lexicons.NEGATIONS)) & F.exists(
-        hits, lambda w: w.isin(glad)
-    )
-    negated = F.when(
-        may_negate,
-        F.size(
-            F.filter(
-                words,
-                lambda w, i: w.isin(lexicons.NEGATIONS) & F.get(words, i + 1).isin(glad),
-            )
-        ),
-    ).otherwise(F.lit(0))
-    score = score - negated * F.lit(lexicons.NEGATED_PENALTY)
-    return score / F.greatest(F.size(words), F.lit(5))
+        score += f" {'+' if weight > 0 else '-'} {_count_in(hits, group)} * {abs(weight)}D"
+    negations = _quoted(lexicons.NEGATIONS)
+    glad = _quoted(lexicons.POSITIVE + lexicons.STRONG_POSITIVE)
+    # Most texts lack a negation or a glad word; only the others look at neighbours.
+    negated = f"""
+        case when exists({hits}, w -> w in ({negations})) and exists({hits}, w -> w in ({glad}))
+        then size(filter(
+            zip_with({words}, slice({words}, 2, size({words})),
+                     (a, b) -> a in ({negations}) and b in ({glad})),
+            found -> found))
+        else 0 end"""
+    penalty = f"{lexicons.NEGATED_PENALTY}D"
+    return F.expr(f"({score} - {negated} * {penalty}) / greatest(size({words}), 5)")
 
 
 def sentiment_category(score: Column) -> Column:
@@ -106,20 +118,23 @@ def sentiment_category(score: Column) -> Column:
     )
 
 
-def topic_hits(hits: Column) -> Column:
-    """Distinct topic keywords among the lexicon hits."""
-    keywords = sorted({w for group in lexicons.TOPICS.values() for w in group})
-    return F.array_distinct(F.filter(hits, lambda w: w.isin(keywords)))
+def topic_counts(hits: str) -> Column:
+    """Distinct keywords per topic, in the declared order of topics."""
+    counts = [
+        f"size(array_distinct(filter({hits}, w -> w in ({_quoted(group)}))))"
+        for group in lexicons.TOPICS.values()
+    ]
+    return F.expr(f"array({', '.join(counts)})")
 
 
-def topic(keywords: Column) -> Column:
+def topic(counts: str) -> Column:
     """Topic with most distinct keywords; the first declared wins a tie."""
-    counts = {name: _count_in(keywords, group) for name, group in lexicons.TOPICS.items()}
-    best = F.greatest(*counts.values())
-    label = F.when(F.size(keywords) == 0, F.lit(lexicons.NO_TOPIC))
-    for name, count in counts.items():
-        label = label.when(count == best, F.lit(name))
-    return label
+    names = _quoted(lexicons.TOPICS)
+    return F.expr(
+        f"""case when array_max({counts}) = 0 then '{lexicons.NO_TOPIC}'
+        else element_at(array({names}),
+                        cast(array_position({counts}, array_max({counts})) as int)) end"""
+    )
 
 
 def is_question(cleaned: Column, words: Column | None = None) -> Column:
@@ -132,50 +147,37 @@ def is_question(cleaned: Column, words: Column | None = None) -> Column:
     return found
 
 
-def meaningful_words(cleaned: Column) -> Column:
+def meaningful_words(cleaned: str) -> Column:
     """Words of three and more plain letters that are not stop words."""
-    found = F.regexp_extract_all(
-        cleaned, F.lit(rf"(?<![{WORD}])[a-zA-Z]{{3,}}+(?![{WORD}])"), F.lit(0)
-    )
-    return F.filter(found, lambda w: ~w.isin(lexicons.TERM_STOP_WORDS))
+    found = rf"regexp_extract_all({cleaned}, r'(?<![{WORD}])[a-zA-Z]{{3,}}+(?![{WORD}])', 0)"
+    return words_not_in(found, lexicons.TERM_STOP_WORDS)
 
 
-def bigrams(words: Column) -> Column:
+def bigrams(words: str) -> Column:
     """Neighbouring words joined by a blank."""
-    left = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.transform(left, lambda w, i: F.concat_ws(" ", w, F.get(words, i + 1)))
+    return F.expr(
+        f"""case when size({words}) > 1 then
+            zip_with(slice({words}, 1, size({words}) - 1), slice({words}, 2, size({words}) - 1),
+                     (a, b) -> concat(a, ' ', b))
+        else array() end"""
+    )
 
 
-def plain_tokens(text: Column, stop_words: Iterable[str] = ()) -> Column:
+def plain_tokens(text: str, stop_words: Iterable[str] = ()) -> Column:
     """Lower-case words between single white-space characters, without stop words."""
-    words = F.split(F.lower(text), r"\s")
-    unwanted = ["", *stop_words]
-    return F.filter(words, lambda w: ~w.isin(unwanted))
+    return words_not_in(rf"split(lower({text}), r'\s')", ["", *stop_words])
 
 
-def polarity(words: Column, lexicon: Mapping[str, float]) -> Column:
+def polarity(words: str, lexicon: Mapping[str, float]) -> Column:
     """Mean polarity of the words found in a small in-plan lexicon, 0.0 if there are none."""
     by_weight: dict[float, list[str]] = {}
     for word, weight in lexicon.items():
         by_weight.setdefault(float(weight), []).append(word)
-    known = sorted(lexicon)
-    hits = F.filter(words, lambda w: w.isin(known))
-
-    def weight_of(word: Column) -> Column:
-        value = F.lit(0.0)
-        for weight, group in sorted(by_weight.items()):
-            value = F.when(word.isin(group), F.lit(weight)).otherwise(value)
-        return value
-
-    summed = F.aggregate(
-        hits,
-        F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n")),
-        lambda acc, w: F.struct(
-            (acc["total"] + weight_of(w)).alias("total"), (acc["n"] + 1).alias("n")
-        ),
-        lambda acc: F.when(acc["n"] > 0, acc["total"] / acc["n"]).otherwise(F.lit(0.0)),
+    summed = " + ".join(
+        f"{weight!r}D * {_count_in(words, group)}" for weight, group in sorted(by_weight.items())
     )
-    return summed
+    found = _count_in(words, lexicon)
+    return F.expr(f"case when {found} = 0 then 0.0D else ({summed}) / {found} end")
 
 
 def term_frequencies(sorted_words: Column, starts: Column) -> Column:

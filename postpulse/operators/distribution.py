@@ -20,11 +20,14 @@ def category_shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """How often each non-NULL value occurs: the small input of the figures below."""
-    rows = df.filter(F.col(column).isNotNull())
-    return rows.groupBy(*by, F.col(column).cast("double").alias("value")).agg(
-        F.count("*").alias("n")
-    )
+    """How often each non-NULL value occurs: the small input of the figures below.
+
+    NULLs are dropped by their count afterwards; a filter on the value itself would
+    move below a computed column and repeat its expression for every row.
+    """
+    value = F.col(column).cast("double")
+    counts = df.groupBy(*by, value.alias("value")).agg(F.count(column).alias("n"))
+    return counts.filter(F.col("n") > 0)
 
 
 def histogram(df: DataFrame, column: str, bin_count: int) -> DataFrame:

@@ -106,13 +106,14 @@ def windowed_reference_lists(
     length: int = 60,
     slide: int = 5,
     part_size: int = 100_000,
+    salts: int = 64,
 ) -> DataFrame:
     """Reference lists and counts per sliding window, one list per item.
 
     A window is one row (``part`` 0) until its lists hold about ``part_size`` entries;
-    a fuller one is spread over as many parts as it needs, so no row grows without
-    bound. Equal list triples are counted first, and a triple with very many copies is
-    cut into pieces, so copies do not pile up in one part either.
+    a fuller one is spread over as many parts as it needs, so neither a row nor a task
+    grows with the busiest window. Equal list triples are counted first, and a triple
+    with very many copies is cut into pieces, so copies do not pile up either.
     """
     lists = ("users", "subreddits", "urls")
     rows = df.select(
@@ -121,40 +122,36 @@ def windowed_reference_lists(
     )
     pane = F.window("ts", f"{gcd(length, slide)} seconds")
     triples = rows.groupBy(pane["start"].alias("ts"), *lists).agg(F.count("*").alias("copies"))
-    entries = 1 + sum((F.size(n) for n in lists), F.lit(0))
+    triples = triples.withColumn("entries", F.expr("1 + size(users) + size(subreddits) + size(urls)"))
+
     window = F.window("ts", f"{length} seconds", f"{slide} seconds")
-    in_windows = triples.select(
-        window.alias("window"), *lists, "copies", entries.alias("entries")
+    sizes = triples.select(
+        window["start"].alias("window_start"), (F.col("copies") * F.col("entries")).alias("size")
     )
-    sizes = (
-        in_windows.groupBy("window")
-        .agg(F.sum(F.col("copies") * F.col("entries")).alias("total"))
-        .select("window", F.ceil(F.col("total") / part_size).alias("parts"))
+    parts = sizes.groupBy("window_start").agg(F.ceil(F.sum("size") / part_size).alias("parts"))
+    # Only busy windows are looked up, under every salt; the rows of one carry all
+    # salts, so it is spread over the tasks of the join.
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    busy = parts.filter("parts > 1").select("window_start", "parts", every_salt.alias("salt"))
+
+    per_piece = F.expr(f"greatest({part_size} div entries, 1)")
+    pieces = triples.withColumn("per_piece", per_piece).withColumn(
+        "piece", F.explode(F.expr("sequence(0, (copies - 1) div per_piece)"))
     )
-    per_piece = F.greatest(F.floor(F.lit(part_size) / F.col("entries")), F.lit(1))
-    pieces = in_windows.withColumns(
-        {
-            "piece": F.explode(
-                F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / per_piece))
-            ),
-            "piece_size": per_piece,
-        }
-    ).withColumn(
-        "copies",
-        F.least(F.col("piece_size"), F.col("copies") - F.col("piece") * F.col("piece_size")),
+    spread = pieces.select(
+        window["start"].alias("window_start"),
+        *lists,
+        F.expr("cast(least(per_piece, copies - piece * per_piece) as int)").alias("copies"),
+        F.pmod(F.xxhash64(*lists, "piece"), F.lit(salts)).cast("int").alias("salt"),
+        F.hash(*lists, "piece").alias("hash"),
     )
-    parted = pieces.join(sizes, "window").withColumn(
-        "part", F.pmod(F.xxhash64(*lists, "piece"), F.col("parts"))
-    )
-    collected = parted.groupBy("window", "part").agg(
-        *[
-            F.flatten(
-                F.collect_list(F.array_repeat(F.col(n), F.col("copies").cast("int")))
-            ).alias(n)
-            for n in lists
-        ],
+    part = F.coalesce(F.pmod(F.col("hash").cast("bigint"), F.col("parts")), F.lit(0))
+    parted = spread.join(busy, ["window_start", "salt"], "left").withColumn("part", part)
+    collected = parted.groupBy("window_start", "part").agg(
+        *[F.flatten(F.collect_list(F.array_repeat(n, F.col("copies")))).alias(n) for n in lists],
         *[F.sum(F.size(n) * F.col("copies")).alias(f"{n}_count") for n in lists],
     )
+    end = F.col("window_start") + F.make_interval(secs=F.lit(length))
     return collected.select(
-        *_window_columns(F.col("window")), "part", *lists, *[f"{n}_count" for n in lists]
+        "window_start", end.alias("window_end"), "part", *lists, *[f"{n}_count" for n in lists]
     )

@@ -17,26 +17,36 @@ def with_clean_text(df: DataFrame, text_col: str = "text", name: str = "clean")
     return df.withColumn(name, t.clean(F.col(text_col)))
 
 
+def _once(df: DataFrame, *columns: str) -> DataFrame:
+    """Keep costly columns from being computed again.
+
+    A filter on a computed column is normally moved below it and repeats the whole
+    expression. Values that pass through a one-element list stay where they are.
+    """
+    rest = [c for c in df.columns if c not in columns]
+    values = F.array(F.struct(*columns))
+    return df.select(*rest, F.inline_outer(values)).select(*df.columns)
+
+
 def with_sentiment(df: DataFrame, cleaned_col: str = "clean") -> DataFrame:
-    """Add sentiment, its category, topic and question flag of a cleaned text.
+    """Add word count, sentiment and its category, topic and question flag.
 
-    Each step is a column of its own, so the token list and the short hit list are
-    built once per row.
+    The token list and the short list of lexicon words are built once per row.
     """
-    staged = (
-        df.withColumn("_words", t.tokens(F.col(cleaned_col)))
-        .withColumn("_hits", t.lexicon_hits(F.col("_words")))
-        .withColumn("_topic_words", t.topic_hits(F.col("_hits")))
-        .withColumn("sentiment", t.sentiment(F.col("_words"), F.col("_hits")))
+    staged = df.withColumn("_words", t.tokens(F.col(cleaned_col)))
+    staged = staged.withColumn("_hits", t.lexicon_hits("_words"))
+    staged = _once(staged, cleaned_col, "_words", "_hits")
+    staged = staged.withColumns(
+        {"sentiment": t.sentiment("_words", "_hits"), "_topics": t.topic_counts("_hits")}
     )
     return staged.withColumns(
         {
             "word_count": F.size("_words"),
             "sentiment_category": t.sentiment_category(F.col("sentiment")),
-            "topic": t.topic(F.col("_topic_words")),
+            "topic": t.topic("_topics"),
             "has_question": t.is_question(F.col(cleaned_col)),
         }
-    ).drop("_words", "_hits", "_topic_words")
+    ).drop("_words", "_hits", "_topics")
 
 
 def enrich(
@@ -156,8 +166,8 @@ def term_counts(cleaned: DataFrame, text_col: str = "text") -> DataFrame:
     ``kind`` is ``term`` or ``phrase``. Counting starts before the shuffle, so frequent
     words travel once per task.
     """
-    words = cleaned.select(t.meaningful_words(F.col(text_col)).alias("words"))
-    pairs = words.withColumn("pairs", t.bigrams(F.col("words")))
+    words = cleaned.select(t.meaningful_words(text_col).alias("words"))
+    pairs = words.withColumn("pairs", t.bigrams("words"))
     entries = pairs.select(
         F.explode(
             F.array(
@@ -175,9 +185,9 @@ def term_counts(cleaned: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def _one_kind(cleaned: DataFrame, text_col: str, phrases: bool) -> DataFrame:
-    words = cleaned.select(t.meaningful_words(F.col(text_col)).alias("items"))
+    words = cleaned.select(t.meaningful_words(text_col).alias("items"))
     if phrases:
-        words = words.select(t.bigrams(F.col("items")).alias("items"))
+        words = words.select(t.bigrams("items").alias("items"))
     rows = words.select(F.explode_outer("items").alias("term"))
     rows = rows.filter(F.col("term").isNotNull())
     return rows.groupBy("term").agg(F.count("*").alias("count"))

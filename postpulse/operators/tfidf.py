@@ -26,7 +26,7 @@ def term_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
     stop_words = StopWordsRemover.loadDefaultStopWords("english")
     texts = df.filter(F.col(text_col).isNotNull())
     words = texts.select(
-        F.sort_array(t.plain_tokens(F.col(text_col), stop_words)).alias("sorted")
+        F.sort_array(t.plain_tokens(text_col, stop_words)).alias("sorted")
     )
     runs = words.withColumn("starts", t.run_starts(F.col("sorted")))
     pairs = runs.select(t.term_frequencies(F.col("sorted"), F.col("starts")).alias("terms"))

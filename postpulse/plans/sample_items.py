@@ -2,43 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Words that the short item texts are made of.
-ITEM_WORDS = "good great love bad terrible not okay meh how code game news think my".split()
+ITEM_WORDS = "good great love bad terrible not okay meh how code game news think my"
 
 
 def items_from_events(events: DataFrame) -> DataFrame:
     """One item per event: a third are posts, the event type is the community."""
-    number, user = F.col("event_id"), F.col("user_id")
-    words = F.array(*[F.lit(w) for w in ITEM_WORDS])
-    n = len(ITEM_WORDS)
-
-    def every(k: int, text) -> Column:
-        return F.when(number % k == 0, text).otherwise(F.lit(""))
-
-    is_post = number % 3 == 0
-    return events.select(
-        F.concat(F.lit("e"), number.cast("string")).alias("id"),
-        F.when(is_post, "post").otherwise("comment").alias("type"),
-        F.col("event_type").alias("subreddit"),
-        F.when(user % 29 == 0, "[deleted]")
-        .otherwise(F.concat(F.lit("user_"), user.cast("string")))
-        .alias("author"),
-        F.floor("value").cast("int").alias("score"),
-        F.when(is_post, (number % 17).cast("int")).alias("num_comments"),
-        (F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / 1e6).alias("created_utc"),
-        F.concat(
-            F.get(words, (number % n).cast("int")),
-            F.lit(" "),
-            F.get(words, (number * 5 % n).cast("int")),
-            F.lit(" "),
-            every(2, F.concat(F.lit("/u/user_"), (user % 11).cast("string"), F.lit(" "))),
-            every(5, F.concat(F.lit("/r/"), F.col("event_type"), F.lit(" "))),
-            every(7, F.concat(F.lit("https://ex.org/"), (number % 50).cast("string"), F.lit(" "))),
-            F.lit("end"),
-        ).alias("text"),
-        (number % 8).alias("batch_number"),
+    words = f"split('{ITEM_WORDS}', ' ')"
+    return events.selectExpr(
+        "concat('e', cast(event_id as string)) as id",
+        "case when event_id % 3 = 0 then 'post' else 'comment' end as type",
+        "event_type as subreddit",
+        "case when user_id % 29 = 0 then '[deleted]'"
+        " else concat('user_', cast(user_id as string)) end as author",
+        "cast(floor(value) as int) as score",
+        "case when event_id % 3 = 0 then cast(event_id % 17 as int) end as num_comments",
+        "cast(unix_micros(cast(ts as timestamp)) as double) / 1e6 as created_utc",
+        f"""concat(
+            element_at({words}, cast(event_id % 14 + 1 as int)), ' ',
+            element_at({words}, cast(event_id * 5 % 14 + 1 as int)), ' ',
+            case when event_id % 2 = 0
+                 then concat('/u/user_', cast(user_id % 11 as string), ' ') else '' end,
+            case when event_id % 5 = 0 then concat('/r/', event_type, ' ') else '' end,
+            case when event_id % 7 = 0
+                 then concat('https://ex.org/', cast(event_id % 50 as string), ' ') else '' end,
+            'end') as text""",
+        "event_id % 8 as batch_number",
     )
 
 
