@@ -3,32 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
-# Field names, order and types of the three row kinds.
-RICH_ITEM = StructType.fromDDL(
-    """
-    id string, type string, subreddit string, title string, text string, full_text string,
-    author string, score int, upvote_ratio float, num_comments int, created_utc double,
-    created_datetime string, url string, permalink string, post_id string,
-    is_self boolean, is_submitter boolean, over_18 boolean, spoiler boolean, locked boolean,
-    user_references array<string>, subreddit_references array<string>,
-    url_references array<string>, timestamp_received string
-    """
+TEXT, WHOLE, LONG, REAL, FLAG = (
+    StringType(),
+    IntegerType(),
+    LongType(),
+    DoubleType(),
+    BooleanType(),
 )
 
-LEAN_ITEM = StructType.fromDDL(
-    "type string, subreddit string, id string, text string, created_utc double, author string"
+
+def _schema(*groups: tuple[str, DataType]) -> StructType:
+    """Nullable fields, given as groups of names of one type."""
+    return StructType([StructField(n, kind) for names, kind in groups for n in names.split()])
+
+
+# Field names, order and types of the three row kinds.
+RICH_ITEM = _schema(
+    ("id type subreddit title text full_text author", TEXT),
+    ("score", WHOLE),
+    ("upvote_ratio", FloatType()),
+    ("num_comments", WHOLE),
+    ("created_utc", REAL),
+    ("created_datetime url permalink post_id", TEXT),
+    ("is_self is_submitter over_18 spoiler locked", FLAG),
+    ("user_references subreddit_references url_references", ArrayType(TEXT)),
+    ("timestamp_received", TEXT),
 )
 
-METRICS = StructType.fromDDL(
-    """
-    batch_id bigint, processing_time string, total_records bigint, time_range_seconds bigint,
-    earliest_post string, latest_post string, posts_count bigint, comments_count bigint,
-    unique_subreddits bigint, unique_authors bigint, avg_score double, max_score bigint,
-    min_score bigint, total_user_references bigint, total_subreddit_references bigint,
-    total_url_references bigint, top_subreddit string, most_active_author string
-    """
+LEAN_ITEM = _schema(("type subreddit id text", TEXT), ("created_utc", REAL), ("author", TEXT))
+
+METRICS = _schema(
+    ("batch_id", LONG),
+    ("processing_time", TEXT),
+    ("total_records time_range_seconds", LONG),
+    ("earliest_post latest_post", TEXT),
+    ("posts_count comments_count unique_subreddits unique_authors", LONG),
+    ("avg_score", REAL),
+    ("max_score min_score", LONG),
+    ("total_user_references total_subreddit_references total_url_references", LONG),
+    ("top_subreddit most_active_author", TEXT),
 )
 
 REFERENCE_COLUMNS = ("user_references", "subreddit_references", "url_references")
