@@ -582,12 +582,12 @@ select type, id, round(polarity, 6) as polarity from polarities""",
         "mean_polarity": f"""with {polarity_sql('documents', 'doc_id')}
 select round(avg(polarity), 6) as avg_sentiment from polarities""",
         "batch_files": f"""with {ITEMS}
-select batch_number::int as batch_number, count(*)::bigint as records from items group by 1""",
+select (batch_number % 2)::int as batch_number, count(*)::bigint as records from items
+group by 1""",
         "stored_batches_roundtrip": f"""with {ITEMS}
-select {ITEM_COLUMNS}, batch_number::int as batch_number from items""",
+select {ITEM_COLUMNS}, (batch_number % 2)::int as batch_number from items""",
         "current_batch": f"""with {ITEMS}
-select {ITEM_COLUMNS}, batch_number::int as batch_number from items
-where batch_number = (select max(batch_number) from items)""",
+select {ITEM_COLUMNS}, 1::int as batch_number from items where batch_number % 2 = 1""",
         "job_metrics": METRICS.replace(
             "event_id % 8 as batch_number", "0 as batch_number"
         ).replace("b.batch_number as batch_id, '2024-01-01 00:00:00' as processing_time, ", "")

@@ -469,16 +469,14 @@ def mean_polarity(spark, sf):
 
 
 def _stored(spark: SparkSession, sf: str) -> str:
-    """The items, stored in batches by the stream job's own writer."""
+    """The items of one event table, stored as two batches of the stream job's layout."""
     root = shared_folder(spark, "stored")
-    (
-        rich_items(spark, sf)
-        .withColumn("folder", F.concat(F.lit("batch_"), F.col("batch_number")))
-        .drop("batch_number")
-        .write.partitionBy("folder", "subreddit")
-        .parquet(f"{root}/raw")
-    )
-    return f"{root}/raw"
+    rich = rich_items(spark, sf)
+    for number in (0, 1):
+        sinks.write_raw_batch(
+            rich.filter(F.col("batch_number") % 2 == number).drop("batch_number"), root, number
+        )
+    return root
 
 
 def file_inventory(spark, sf):
@@ -491,17 +489,17 @@ def file_inventory(spark, sf):
 
 
 def batch_files(spark, sf):
-    stored = batches.read_batches(spark, _stored(spark, sf), pattern="*")
+    stored = batches.read_batches(spark, _stored(spark, sf))
     return batches.batch_files(stored).select("batch_number", "records")
 
 
 def stored_batches_roundtrip(spark, sf):
-    stored = batches.read_batches(spark, _stored(spark, sf), pattern="*")
+    stored = batches.read_batches(spark, _stored(spark, sf))
     return stored.select(*ITEM_COLUMNS, "batch_number")
 
 
 def current_batch(spark, sf):
-    stored = batches.read_batches(spark, _stored(spark, sf), pattern="*")
+    stored = batches.read_batches(spark, _stored(spark, sf))
     return batches.latest_batch(stored).select(*ITEM_COLUMNS, "batch_number")
 
 

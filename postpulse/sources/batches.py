@@ -10,6 +10,7 @@ from .items import parse_times
 
 # Where the batch number stands in a path, and the file kinds that hold data.
 BATCH_IN_PATH = r"batch_(\d+)"
+COMMUNITY_IN_PATH = r"/subreddit=([^/]*)/"
 DATA_EXTENSIONS = ("csv", "json", "parquet", "txt")
 
 
@@ -19,24 +20,42 @@ def batch_number(path: Column) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")).try_cast("int"), F.lit(0))
 
 
+def _community(path: Column) -> Column:
+    """Community in the path; folder names are escaped, and so is the path as a whole."""
+
+    def unescaped(text: Column) -> Column:
+        return F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+
+    folder = F.regexp_extract(path, COMMUNITY_IN_PATH, 1)
+    name = unescaped(unescaped(folder))
+    return F.when(folder != "", F.nullif(name, F.lit("__HIVE_DEFAULT_PARTITION__")))
+
+
 def read_batches(
-    spark: SparkSession, root: str, schema: StructType = RICH_ITEM, pattern: str = "batch_*"
+    spark: SparkSession,
+    root: str,
+    schema: StructType = RICH_ITEM,
+    batch: int | str = "*",
+    community: str = "*",
 ) -> DataFrame:
-    """All stored batches, each row with batch number, file path and file time.
+    """Stored batches, each row with batch number, file path and file time.
 
     Unreadable files are skipped. With the declared schema no file is opened just to
-    learn its columns, and ``subreddit`` comes from the folder names.
+    learn its columns. Batches are no partitions of one table to Spark, so the community
+    comes from the folder name; ``batch`` and ``community`` (glob patterns) list the
+    wanted folders only.
     """
+    stored = StructType([f for f in schema.fields if f.name != "subreddit"])
     rows = (
-        spark.read.schema(schema)
-        .option("basePath", root)
+        spark.read.schema(stored)
+        .option("recursiveFileLookup", "true")
         .option("ignoreCorruptFiles", "true")
-        .option("mergeSchema", "false")
-        .parquet(f"{root}/{pattern}")
+        .parquet(f"{root}/batch_{batch}/subreddit={community}")
     )
     path = F.col("_metadata.file_path")
+    columns = [_community(path).alias(n) if n == "subreddit" else F.col(n) for n in schema.names]
     tagged = rows.select(
-        "*",
+        *columns,
         batch_number(path).alias("batch_number"),
         path.alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_timestamp"),
@@ -81,7 +100,7 @@ def current_batch(
     latest = file_inventory(spark, root).agg(F.max(batch_number(F.col("path")))).first()[0]
     if latest is None:
         return None
-    return read_batches(spark, root, schema, pattern=f"batch_{latest}")
+    return read_batches(spark, root, schema, batch=latest)
 
 
 def read_newest(spark: SparkSession, *roots: str) -> DataFrame | None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import RICH_ITEM
 
@@ -21,7 +21,7 @@ def parse_lines(
     options = {"mode": "PERMISSIVE"}
     target = schema
     if corrupt_column:
-        target = StructType(schema.fields).add(corrupt_column, "string")
+        target = StructType([*schema.fields, StructField(corrupt_column, StringType())])
         options["columnNameOfCorruptRecord"] = corrupt_column
     parsed = F.from_json(F.col("value").cast("string"), target, options)
     arrival = [F.col("timestamp").alias("spark_timestamp")] if "timestamp" in lines.columns else []
@@ -71,7 +71,9 @@ def item_lines(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
 
-def parse_times(df: DataFrame, columns: tuple[str, ...] = ("created_datetime", "timestamp_received")) -> DataFrame:
+def parse_times(
+    df: DataFrame, columns: tuple[str, ...] = ("created_datetime", "timestamp_received")
+) -> DataFrame:
     """ISO text columns, where present, as timestamps; text that is no time becomes NULL."""
 
     def parsed(name: str) -> Column:

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators import tallies, tfidf
 from ..plans.reports import batch_report
@@ -63,7 +64,7 @@ def process_batch(
         return
     spark = batch.sparkSession
     sinks.write_raw_batch(canonicalise(batch), folders.raw, batch_id)
-    raw = read_batches(spark, folders.raw, _stored_schema(batch), f"batch_{batch_id}")
+    raw = read_batches(spark, folders.raw, _stored_schema(batch), batch_id)
     sinks.publish(raw, "raw")
 
     tally_path = sinks.write_parquet_batch(tallies.tally(raw), folders.tallies, batch_id)
@@ -90,12 +91,9 @@ def process_batch(
             frame.show(truncate=False)
 
 
-def _stored_schema(batch: DataFrame):
+def _stored_schema(batch: DataFrame) -> StructType:
     extra = [f for f in batch.schema.fields if f.name not in RICH_ITEM.names]
-    schema = RICH_ITEM.fromJson(RICH_ITEM.jsonValue())
-    for field in extra:
-        schema = schema.add(field)
-    return schema
+    return StructType([*RICH_ITEM.fields, *extra])
 
 
 def start_job(
