@@ -577,6 +577,10 @@ select count(*) as entries, round(avg(length), 6) as mean_length,
         "tfidf_top_words": f"""with {tfidf_sql('documents')}
 select word, score from scores order by score desc, word limit 10""",
         "tfidf_words": f"with {tfidf_sql('documents')} select word, score from scores",
+        "plain_tokens": rf"""select doc_id, array_to_string(list_filter(
+  regexp_split_to_array(lower(text), '[{ASCII_SPACE}]'),
+  lambda w: w <> '' and w not in ({quoted(english_stop_words())})), ' ') as words
+from documents""",
         "polarity": f"""with {ITEMS}, {polarity_sql('items', 'type, id')}
 select type, id, round(polarity, 6) as polarity from polarities""",
         "mean_polarity": f"""with {polarity_sql('documents', 'doc_id')}

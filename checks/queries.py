@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from postpulse.functions import lexicons
+from postpulse.functions.text import plain_tokens as plain_words
 from postpulse.operators import (
     authors,
     distribution,
@@ -28,6 +30,7 @@ from postpulse.schemas import LEAN_ITEM, REFERENCE_COLUMNS, RICH_ITEM, canonical
 from postpulse.scratch import shared_folder
 from postpulse.sources import batches, sinks
 from postpulse.sources.items import item_lines, parse_lines
+from postpulse.sources.tables import spread
 from postpulse.streaming import job, windows
 
 RECEIVED = "2024-01-01T00:00:00"
@@ -44,8 +47,12 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     return items_from_events(table(spark, sf, "events"))
 
 
+def spread_items(spark: SparkSession, sf: str) -> DataFrame:
+    return items_from_events(spread(table(spark, sf, "events")))
+
+
 def items_with_references(spark: SparkSession, sf: str) -> DataFrame:
-    return mentions.extract_references(items(spark, sf))
+    return mentions.extract_references(spread_items(spark, sf))
 
 
 def rich_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,11 +60,23 @@ def rich_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
+    columns = table(spark, sf, "documents").select("doc_id", "text", "source")
+    return posts_from_documents(spread(columns))
+
+
+def pages(spark: SparkSession, sf: str) -> DataFrame:
+    columns = table(spark, sf, "pages").select(
+        "page_id", F.concat_ws(" ", "url", "html").alias("text")
+    )
+    return spread(columns)
 
 
 def enriched_items(spark: SparkSession, sf: str) -> DataFrame:
-    return texts.enrich(items(spark, sf), keep=["id"])
+    return texts.enrich(spread_items(spark, sf), keep=["id"])
 
 
 def enriched_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,7 +113,7 @@ def json_roundtrip(spark, sf):
 
 
 def posts_to_items(spark, sf):
-    posts = posts_from_documents(table(spark, sf, "documents"))
+    posts = raw_posts(spark, sf)
     shaped = joined(ingest.posts_to_items(posts, F.lit(RECEIVED)), *REFERENCE_COLUMNS)
     return shaped.withColumn("upvote_ratio", F.round(F.col("upvote_ratio").cast("double"), 2))
 
@@ -107,7 +126,7 @@ def comments_to_items(spark, sf):
 
 
 def lean_items(spark, sf):
-    posts = posts_from_documents(table(spark, sf, "documents"))
+    posts = raw_posts(spark, sf)
     comments = comments_from_conversations(table(spark, sf, "conversations"))
     return ingest.merge_items(
         ingest.submissions_to_lean(posts), ingest.comments_to_lean(comments)
@@ -148,18 +167,12 @@ def community_mentions(spark, sf):
 
 
 def url_mentions(spark, sf):
-    pages = table(spark, sf, "pages").select(
-        F.col("page_id").alias("id"), F.concat_ws(" ", "url", "html").alias("text")
-    )
-    found = mentions.extract_references(pages, dialect="token")
+    found = mentions.extract_references(pages(spark, sf), dialect="token")
     return mentions.mention_counts(found, "url_references", "url_ref")
 
 
 def reference_dialects(spark, sf):
-    pages = table(spark, sf, "pages").select(
-        "page_id", F.concat_ws(" ", "url", "html").alias("text")
-    )
-    out = pages.select("page_id", "text")
+    out = pages(spark, sf)
     names = []
     for dialect in ("producer", "token", "word", "name"):
         out = mentions.extract_references(out, dialect=dialect)
@@ -171,11 +184,11 @@ def reference_dialects(spark, sf):
 
 
 def reference_totals(spark, sf):
-    return mentions.reference_totals(items(spark, sf))
+    return mentions.reference_totals(spread_items(spark, sf))
 
 
 def windowed_references(spark, sf):
-    return epoch_windows(mentions.windowed_references(items(spark, sf)))
+    return epoch_windows(mentions.windowed_references(spread_items(spark, sf)))
 
 
 def epoch_windows(df: DataFrame) -> DataFrame:
@@ -185,7 +198,7 @@ def epoch_windows(df: DataFrame) -> DataFrame:
 
 
 def windowed_reference_lists(spark, sf):
-    lists = mentions.windowed_reference_lists(items(spark, sf))
+    lists = mentions.windowed_reference_lists(spread_items(spark, sf))
     flat = lists.withColumn("items", F.size("users")).withColumns(
         {
             c: F.array_join(F.sort_array(F.flatten(c)), " ")
@@ -316,10 +329,7 @@ def clean_text(spark, sf):
 
 
 def clean_pages(spark, sf):
-    pages = table(spark, sf, "pages").select(
-        "page_id", F.concat_ws(" ", "url", "html").alias("text")
-    )
-    return texts.with_clean_text(pages).select("page_id", "clean")
+    return texts.with_clean_text(pages(spark, sf)).select("page_id", "clean")
 
 
 def sentiment(spark, sf):
@@ -370,7 +380,7 @@ def enriched_text(spark, sf):
 
 
 def enriched_posts(spark, sf):
-    posts = posts_from_documents(table(spark, sf, "documents"))
+    posts = raw_posts(spark, sf)
     rich = ingest.posts_to_items(posts, F.lit(RECEIVED))
     return texts.enrich(rich, keep=["id"]).drop("original_text")
 
@@ -431,10 +441,14 @@ def tfidf_words(spark, sf):
     return rounded(tfidf.word_scores(stats), 6, "score")
 
 
+def plain_tokens(spark, sf):
+    stop_words = StopWordsRemover.loadDefaultStopWords("english")
+    words = documents(spark, sf).withColumn("words", plain_words("text", stop_words))
+    return joined(words, "words").drop("text")
+
+
 def tfidf_vectors(spark, sf):
-    posts = ingest.posts_to_items(
-        posts_from_documents(table(spark, sf, "documents")), F.lit(RECEIVED)
-    )
+    posts = ingest.posts_to_items(raw_posts(spark, sf), F.lit(RECEIVED))
     vectors = tfidf.tfidf_vectors(posts)
     weights = vector_to_array("features")
     return vectors.select(
@@ -447,7 +461,7 @@ def tfidf_vectors(spark, sf):
 
 def polarity(spark, sf):
     scored = texts.polarity(
-        items(spark, sf), polarity_words(spark), key=["type", "id"], text_col="text"
+        spread_items(spark, sf), polarity_words(spark), key=["type", "id"], text_col="text"
     )
     return rounded(scored, 6, "polarity")
 
@@ -533,7 +547,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         sentiment_histogram, topics, question_ratio, enriched_text, enriched_posts,
         text_complexity, engagement_points, top_terms, top_phrases, top_terms_items,
         top_phrases_items, unique_terms, engagement_correlation, text_summary,
-        tfidf_top_words, tfidf_words, tfidf_vectors, polarity, mean_polarity,
+        tfidf_top_words, tfidf_words, plain_tokens, tfidf_vectors, polarity, mean_polarity,
         file_inventory, batch_files, stored_batches_roundtrip, current_batch,
         job_metrics, job_history_top_words,
     ]

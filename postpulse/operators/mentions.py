@@ -116,42 +116,66 @@ def windowed_reference_lists(
     with very many copies is cut into pieces, so copies do not pile up either.
     """
     lists = ("users", "subreddits", "urls")
+    pane = gcd(length, slide)
     rows = df.select(
         _event_time(time_col).alias("ts"),
         *[references(F.col(text_col), kind, dialect).alias(n) for n, kind in zip(lists, KINDS)],
     )
-    pane = F.window("ts", f"{gcd(length, slide)} seconds")
-    triples = rows.groupBy(pane["start"].alias("ts"), *lists).agg(F.count("*").alias("copies"))
+    pane_start = F.window("ts", f"{pane} seconds")["start"].alias("ts")
+    triples = rows.groupBy(pane_start, *lists).agg(F.count("*").alias("copies"))
     triples = triples.withColumn("entries", F.expr("1 + size(users) + size(subreddits) + size(urls)"))
 
-    window = F.window("ts", f"{length} seconds", f"{slide} seconds")
-    sizes = triples.select(
-        window["start"].alias("window_start"), (F.col("copies") * F.col("entries")).alias("size")
+    # Sizes go from panes to windows; the parts of busy windows go back to their panes.
+    window_start = F.window("ts", f"{length} seconds", f"{slide} seconds")["start"]
+    panes = triples.groupBy("ts").agg(F.expr("sum(copies * entries)").alias("size"))
+    windows = panes.select(window_start.alias("window_start"), "size")
+    busy = (
+        windows.groupBy("window_start")
+        .agg(F.expr(f"ceil(sum(size) / {part_size})").alias("parts"))
+        .filter("parts > 1")
+        .selectExpr(
+            f"""explode(sequence(window_start, window_start + interval {length - pane} seconds,
+                                 interval {pane} seconds)) as ts""",
+            "struct(window_start, parts) as parts",
+        )
+        .groupBy("ts")
+        .agg(F.map_from_entries(F.collect_list("parts")).alias("parts"))
     )
-    parts = sizes.groupBy("window_start").agg(F.ceil(F.sum("size") / part_size).alias("parts"))
-    # Only busy windows are looked up, under every salt; the rows of one carry all
-    # salts, so it is spread over the tasks of the join.
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    busy = parts.filter("parts > 1").select("window_start", "parts", every_salt.alias("salt"))
+    # A busy pane is looked up under every salt, so its rows spread over the join tasks.
+    busy = busy.select("ts", "parts", F.explode(F.expr(f"sequence(0, {salts - 1})")).alias("salt"))
 
     per_piece = F.expr(f"greatest({part_size} div entries, 1)")
     pieces = triples.withColumn("per_piece", per_piece).withColumn(
         "piece", F.explode(F.expr("sequence(0, (copies - 1) div per_piece)"))
     )
-    spread = pieces.select(
-        window["start"].alias("window_start"),
+    salted = pieces.select(
+        "ts",
         *lists,
         F.expr("cast(least(per_piece, copies - piece * per_piece) as int)").alias("copies"),
-        F.pmod(F.xxhash64(*lists, "piece"), F.lit(salts)).cast("int").alias("salt"),
-        F.hash(*lists, "piece").alias("hash"),
+        F.expr(f"cast(pmod(xxhash64(users, subreddits, urls, piece), {salts}) as int)").alias(
+            "salt"
+        ),
+        F.expr("cast(hash(users, subreddits, urls, piece) as bigint)").alias("hash"),
     )
-    part = F.coalesce(F.pmod(F.col("hash").cast("bigint"), F.col("parts")), F.lit(0))
-    parted = spread.join(busy, ["window_start", "salt"], "left").withColumn("part", part)
-    collected = parted.groupBy("window_start", "part").agg(
-        *[F.flatten(F.collect_list(F.array_repeat(n, F.col("copies")))).alias(n) for n in lists],
-        *[F.sum(F.size(n) * F.col("copies")).alias(f"{n}_count") for n in lists],
+    spread = salted.join(busy, ["ts", "salt"], "left").select(
+        window_start.alias("window_start"), *lists, "copies", "hash", "parts"
+    )
+    parted = spread.withColumn("part", F.expr("coalesce(pmod(hash, parts[window_start]), 0)"))
+    item = F.struct(*lists, "copies")
+    collected = parted.groupBy("window_start", "part").agg(F.collect_list(item).alias("items"))
+    collected = collected.withColumns(
+        {
+            n: F.expr(f"flatten(transform(items, i -> array_repeat(i.{n}, i.copies)))")
+            for n in lists
+        }
     )
-    end = F.col("window_start") + F.make_interval(secs=F.lit(length))
     return collected.select(
-        "window_start", end.alias("window_end"), "part", *lists, *[f"{n}_count" for n in lists]
+        "window_start",
+        F.expr(f"window_start + interval {length} seconds").alias("window_end"),
+        "part",
+        *lists,
+        *[
+            F.expr(f"aggregate({n}, 0L, (total, l) -> total + size(l))").alias(f"{n}_count")
+            for n in lists
+        ],
     )

@@ -18,18 +18,8 @@ REFERENCE_KINDS = {
 }
 
 
-def _entry(kind: str, key: Column, item_type: Column | None = None) -> Column:
-    nothing = F.lit(None).cast("string")
-    return F.struct(
-        F.lit(kind).alias("kind"),
-        key.alias("key"),
-        (nothing if item_type is None else item_type).alias("type"),
-    )
-
-
-def _reference_entries(kind: str, names: Column) -> Column:
-    names = F.coalesce(names, F.array().cast("array<string>"))
-    return F.transform(names, lambda name: _entry(kind, name))
+def _entry(kind: str, key: str, item_type: str = "cast(null as string)") -> str:
+    return f"named_struct('kind', '{kind}', 'key', {key}, 'type', {item_type})"
 
 
 def tally(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -39,28 +29,19 @@ def tally(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     item type, ``author`` by author, the reference kinds by the referenced name.
     Hot communities and authors are summed before the shuffle.
     """
-    entries = [
-        F.array(
-            _entry(COMMUNITY, F.col("subreddit"), F.col("type")),
-            _entry(AUTHOR, F.col("author")),
-        )
-    ]
+    entries = [f"array({_entry(COMMUNITY, 'subreddit', 'type')}, {_entry(AUTHOR, 'author')})"]
     for kind, column in REFERENCE_KINDS.items():
         if column in df.columns:
-            entries.append(_reference_entries(kind, F.col(column)))
+            names = f"coalesce({column}, cast(array() as array<string>))"
+            entries.append(f"transform({names}, name -> {_entry(kind, 'name')})")
     rows = df.select(
         *by,
         "score",
         "num_comments",
         "created_utc",
-        F.explode_outer(F.concat(*entries)).alias("entry"),
+        F.expr(f"inline_outer(concat({', '.join(entries)}))"),
     )
-    counted = rows.groupBy(
-        *by,
-        F.col("entry.kind").alias("kind"),
-        F.col("entry.key").alias("key"),
-        F.col("entry.type").alias("type"),
-    ).agg(
+    counted = rows.groupBy(*by, "kind", "key", "type").agg(
         F.count("*").alias("n"),
         F.count("score").alias("score_n"),
         F.sum("score").alias("score_sum"),
@@ -70,7 +51,7 @@ def tally(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.min("created_utc").alias("created_min"),
         F.max("created_utc").alias("created_max"),
     )
-    return counted.filter(~F.col("kind").isin(*REFERENCE_KINDS) | F.col("key").isNotNull())
+    return counted.filter(f"kind in ('{COMMUNITY}', '{AUTHOR}') or key is not null")
 
 
 def metrics_from_tally(
@@ -82,54 +63,39 @@ def metrics_from_tally(
     columns count every mention.
     """
     keys = [batch_id] if isinstance(batch_id, str) else []
-    kind, key = F.col("kind"), F.col("key")
-    community = kind == COMMUNITY
-    named_author = (kind == AUTHOR) & key.isNotNull() & (key != DELETED_AUTHOR)
-
-    def over(condition: Column, value: Column) -> Column:
-        return F.when(condition, value)
-
-    def biggest(condition: Column, *ties: Column) -> Column:
-        rank = F.struct((-F.col("n")).alias("n"), *ties)
-        best = F.min_by(over(condition, key), over(condition, rank))
-        return F.coalesce(best, F.lit("unknown"))
-
-    references = []
-    for ref_kind, column in REFERENCE_KINDS.items():
-        total = f"total_{column}"
-        references.append(F.count_if(kind == ref_kind).alias(total))
-        references.append(
-            F.coalesce(F.sum(over(kind == ref_kind, F.col("n"))), F.lit(0)).alias(
-                ref_kind + "_mentions"
-            )
-        )
-    n = F.col("n")
-    summed = tallied.groupBy(*keys).agg(
-        F.coalesce(F.sum(over(community, n)), F.lit(0)).alias("total_records"),
-        F.min("created_min").alias("first"),
-        F.max("created_max").alias("last"),
-        F.coalesce(F.sum(over(community & (F.col("type") == "post"), n)), F.lit(0)).alias(
-            "posts_count"
-        ),
-        F.coalesce(F.sum(over(community & (F.col("type") == "comment"), n)), F.lit(0)).alias(
-            "comments_count"
-        ),
+    community = f"kind = '{COMMUNITY}'"
+    author = f"kind = '{AUTHOR}' and key <> '{DELETED_AUTHOR}'"
+
+    def total(value: str, condition: str) -> str:
+        return f"coalesce(sum(case when {condition} then {value} end), 0)"
+
+    def biggest(condition: str) -> str:
+        # Smallest of (-n, key, type): the largest group, ties by name.
+        rank = f"case when {condition} then struct(-n, key, type) end"
+        return f"coalesce(min_by(case when {condition} then key end, {rank}), 'unknown')"
+
+    figures = {
+        "total_records": total("n", community),
+        "first": "min(created_min)",
+        "last": "max(created_max)",
+        "posts_count": total("n", f"{community} and type = 'post'"),
+        "comments_count": total("n", f"{community} and type = 'comment'"),
         # A missing community counts as one more value.
-        (
-            F.count_distinct(over(community, key))
-            + F.max(over(community & key.isNull(), F.lit(1)).otherwise(F.lit(0)))
-        ).alias("unique_subreddits"),
-        F.count_if(named_author).alias("unique_authors"),
-        F.coalesce(
-            F.sum(over(community, F.col("score_sum"))) / F.sum(over(community, F.col("score_n"))),
-            F.lit(0.0),
-        ).alias("avg_score"),
-        F.coalesce(F.max("score_max"), F.lit(0)).alias("max_score"),
-        F.coalesce(F.min("score_min"), F.lit(0)).alias("min_score"),
-        *references,
-        biggest(community, key.alias("key"), F.col("type").alias("type")).alias("top_subreddit"),
-        biggest(named_author, key.alias("key")).alias("most_active_author"),
-    )
+        "unique_subreddits": f"""count(distinct case when {community} then key end)
+            + coalesce(max(case when {community} and key is null then 1 end), 0)""",
+        "unique_authors": f"count_if({author})",
+        "avg_score": f"""coalesce(
+            sum(case when {community} then score_sum end)
+            / nullif(sum(case when {community} then score_n end), 0), 0)""",
+        "max_score": "coalesce(max(score_max), 0)",
+        "min_score": "coalesce(min(score_min), 0)",
+        "top_subreddit": biggest(community),
+        "most_active_author": biggest(author),
+    }
+    for kind, column in REFERENCE_KINDS.items():
+        figures[f"total_{column}"] = f"count_if(kind = '{kind}')"
+        figures[f"{kind}_mentions"] = total("n", f"kind = '{kind}'")
+    summed = tallied.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in figures.items()])
     start, end = epoch_to_timestamp(F.col("first")), epoch_to_timestamp(F.col("last"))
     span = F.floor((F.unix_micros(end) - F.unix_micros(start)) / F.lit(1_000_000))
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
@@ -140,15 +106,13 @@ def metrics_from_tally(
         "earliest_post": clock_text(start, " "),
         "latest_post": clock_text(end, " "),
     }
-    return summed.select(
-        *[
-            values.get(f.name, F.col(f.name) if f.name in summed.columns else F.lit(None))
-            .cast(f.dataType)
-            .alias(f.name)
-            for f in METRICS.fields
-        ],
-        *[f"{k}_mentions" for k in REFERENCE_KINDS],
-    )
+    declared = [
+        values.get(f.name, F.col(f.name) if f.name in figures else F.lit(None))
+        .cast(f.dataType)
+        .alias(f.name)
+        for f in METRICS.fields
+    ]
+    return summed.select(*declared, *[f"{kind}_mentions" for kind in REFERENCE_KINDS])
 
 
 def batch_metrics(

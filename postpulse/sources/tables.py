@@ -1,0 +1,15 @@
+"""Tables as the start of a job."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small table before heavy work per row.
+
+    A table with fewer splits than cores would leave cores idle. A large one has more
+    splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
