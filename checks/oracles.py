@@ -601,6 +601,10 @@ select {ITEM_COLUMNS}, 1::int as batch_number from items where batch_number % 2
   coalesce(subs.m, 0) as subreddit_ref_mentions, coalesce(urls.m, 0) as url_ref_mentions""",
             ", top_author.author as most_active_author",
         ),
+        "lean_job_references": f"""with {ITEMS}
+select sum(len({word_refs['user']}))::bigint as user_refs,
+  sum(len({word_refs['subreddit']}))::bigint as sub_refs,
+  sum(len({word_refs['url']}))::bigint as url_refs from items""",
         "job_history_top_words": f"""with {ITEMS},
 {tfidf_sql('items')}
 select word, score from scores order by score desc, word limit 10""",

@@ -8,7 +8,6 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from postpulse.functions import lexicons
 from postpulse.functions.text import plain_tokens as plain_words
 from postpulse.operators import (
     authors,
@@ -84,8 +83,9 @@ def enriched_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def polarity_words(spark: SparkSession) -> DataFrame:
-    rows = [(w, weight / 2) for group, weight in lexicons.SENTIMENT_WEIGHTS for w in group]
-    return spark.createDataFrame(rows, "word string, polarity double")
+    return spark.createDataFrame(
+        list(texts.default_lexicon().items()), "word string, polarity double"
+    )
 
 
 def joined(df: DataFrame, *columns: str, separator: str = " ") -> DataFrame:
@@ -468,14 +468,7 @@ def polarity(spark, sf):
 
 def mean_polarity(spark, sf):
     return rounded(
-        texts.mean_sentiment(
-            texts.polarity(
-                documents(spark, sf), polarity_words(spark), key=["doc_id"], text_col="text"
-            ),
-            "polarity",
-        ),
-        6,
-        "avg_sentiment",
+        texts.mean_sentiment(texts.with_polarity(documents(spark, sf))), 6, "avg_sentiment"
     )
 
 
@@ -533,6 +526,14 @@ def job_history_top_words(spark, sf):
     return rounded(job.history_top_words(spark, _run_job(spark, sf)), 6, "score")
 
 
+def lean_job_references(spark, sf):
+    root = shared_folder(spark, "lean-job")
+    lean = event_stream(spark, sf).select(*LEAN_ITEM.names)
+    job.start_lean_job(lean, root, interval=None, name=f"lean{id(lean)}").awaitTermination()
+    schema = "user_refs bigint, sub_refs bigint, url_refs bigint"
+    return spark.read.schema(schema).json(f"{root}/metrics/batch_*_batch_references")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = [
         items_canonical, json_roundtrip, posts_to_items, comments_to_items, lean_items,
@@ -549,6 +550,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         top_phrases_items, unique_terms, engagement_correlation, text_summary,
         tfidf_top_words, tfidf_words, plain_tokens, tfidf_vectors, polarity, mean_polarity,
         file_inventory, batch_files, stored_batches_roundtrip, current_batch,
-        job_metrics, job_history_top_words,
+        job_metrics, job_history_top_words, lean_job_references,
     ]
     return {f.__name__: f for f in chosen}

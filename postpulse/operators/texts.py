@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as t
-from ..functions.lexicons import TEXT_COLUMNS
+from ..functions.lexicons import SENTIMENT_WEIGHTS, TEXT_COLUMNS
 from ..functions.values import bins
 
 UNKNOWN = "unknown"
@@ -222,25 +223,74 @@ def unique_terms(cleaned: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def polarity(df: DataFrame, lexicon: DataFrame, key: Sequence[str], text_col: str) -> DataFrame:
+def polarity(
+    df: DataFrame,
+    lexicon: DataFrame,
+    key: Sequence[str],
+    text_col: str = "text",
+    broadcast_rows: int = 1_000_000,
+) -> DataFrame:
     """Mean polarity of the lexicon words in each item, 0.0 where there are none.
 
-    ``lexicon`` is a table (word, polarity). Words are counted inside their row first;
-    the join is left to the optimizer, which broadcasts the lexicon only when its size
-    allows it and otherwise splits skewed words. ``key`` must identify an item.
+    ``lexicon`` is a table (word, polarity), ``key`` identifies an item. A lexicon of at
+    most ``broadcast_rows`` words (counted first) goes to every task, and an item's words
+    never leave their task. For a larger one the words of an item are counted inside
+    their row and shuffled to the lexicon; adaptive execution splits frequent words.
     """
-    words = df.select(*key, F.sort_array(t.tokens(t.clean(F.col(text_col)))).alias("_sorted"))
-    words = words.withColumn("_starts", t.run_starts(F.col("_sorted")))
-    counted = words.select(
-        *key, t.term_frequencies(F.col("_sorted"), F.col("_starts")).alias("_terms")
-    )
-    rows = counted.select(*key, F.inline_outer("_terms"))
-    matched = rows.join(lexicon.select("word", "polarity"), "word", "left")
+    lexicon = lexicon.select("word", "polarity")
+    words = t.tokens(t.clean(F.col(text_col)))
+    if lexicon.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        rows = df.select(*key, F.explode_outer(words).alias("word"))
+        matched = rows.join(F.broadcast(lexicon), "word", "left").withColumn("tf", F.lit(1))
+    else:
+        runs = df.select(*key, F.sort_array(words).alias("_sorted"))
+        runs = runs.withColumn("_starts", t.run_starts(F.col("_sorted")))
+        terms = t.term_frequencies(F.col("_sorted"), F.col("_starts"))
+        rows = runs.select(*key, terms.alias("_terms")).select(*key, F.inline_outer("_terms"))
+        matched = rows.join(lexicon, "word", "left")
     hits = F.when(F.col("polarity").isNotNull(), F.col("tf"))
-    mean = F.sum(F.col("polarity") * F.col("tf")) / F.sum(hits)
+    mean = F.sum(F.col("polarity") * F.col("tf")) / F.nullif(F.sum(hits), F.lit(0))
     return matched.groupBy(*key).agg(F.coalesce(mean, F.lit(0.0)).alias("polarity"))
 
 
+def default_lexicon() -> dict[str, float]:
+    """The sentiment words with half their weight: from -1 to 1."""
+    return {w: weight / 2 for group, weight in SENTIMENT_WEIGHTS for w in group}
+
+
+def with_polarity(
+    df: DataFrame,
+    text_col: str = "text",
+    lexicon: Mapping[str, float] | None = None,
+    name: str = "sentiment",
+) -> DataFrame:
+    """Add the mean polarity by a small lexicon that travels inside the plan."""
+    words = df.withColumn("_words", t.tokens(t.clean(F.col(text_col))))
+    lexicon = default_lexicon() if lexicon is None else lexicon
+    return words.withColumn(name, t.polarity("_words", lexicon)).drop("_words")
+
+
+def score_with(
+    df: DataFrame,
+    scorer: Callable[[pd.Series], pd.Series],
+    text_col: str = "text",
+    name: str = "sentiment",
+) -> DataFrame:
+    """Add the score of a caller's own function over batches of texts; 0.0 without text.
+
+    The only way into Python: for scorers that Spark expressions cannot state.
+    """
+
+    def scored(texts: pd.Series) -> pd.Series:
+        return scorer(texts.fillna(""))
+
+    text = F.col(text_col)
+    value = F.pandas_udf(scored, "double")(text)
+    return df.withColumn(
+        name, F.when(F.coalesce(text, F.lit("")) != "", value).otherwise(F.lit(0.0))
+    )
+
+
 def mean_sentiment(df: DataFrame, column: str = "sentiment") -> DataFrame:
     return df.agg(F.avg(column).alias("avg_sentiment"))
 

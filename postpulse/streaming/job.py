@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators import tallies, tfidf
+from ..operators import mentions, tallies, texts, tfidf
 from ..plans.reports import batch_report
 from ..schemas import RICH_ITEM, canonicalise
 from ..sources import sinks
@@ -80,9 +80,9 @@ def process_batch(
     authors = tallies.author_stats_from_tally(tallied)
     sinks.write_json_batch(authors, folders.metrics, batch_id, "_author_stats")
 
-    texts = tfidf.long_enough(raw, "full_text")
+    long_texts = tfidf.long_enough(raw, "full_text")
     terms_path = sinks.write_parquet_batch(
-        tfidf.term_stats(texts, "full_text"), folders.terms, batch_id
+        tfidf.term_stats(long_texts, "full_text"), folders.terms, batch_id
     )
     words = tfidf.top_words(tfidf.word_scores(spark.read.parquet(terms_path)))
     sinks.write_json_if_any(words, folders.metrics, batch_id, "_tfidf_top_words")
@@ -96,6 +96,44 @@ def _stored_schema(batch: DataFrame) -> StructType:
     return StructType([*RICH_ITEM.fields, *extra])
 
 
+def lean_outputs(batch: DataFrame) -> dict[str, DataFrame]:
+    """What a batch of lean items shows, by the name of the view."""
+    words = tfidf.tfidf_top_words(batch, "text")
+    return {
+        "current_batch": batch,
+        "batch_references": mentions.reference_totals(batch),
+        "batch_windows": mentions.windowed_reference_lists(batch),
+        "batch_tfidf": words,
+        "batch_sentiment": texts.with_polarity(batch),
+        "batch_authors": tallies.top_authors(batch),
+        "batch_time_range": tallies.time_range(batch),
+    }
+
+
+def process_lean_batch(batch: DataFrame, batch_id: int, folders: JobFolders) -> None:
+    """Store a batch of lean items and its outputs, and publish them under their names."""
+    if batch.isEmpty():
+        return
+    spark = batch.sparkSession
+    stored = sinks.write_parquet_batch(batch, folders.raw, batch_id)
+    outputs = lean_outputs(spark.read.schema(batch.schema).parquet(stored))
+    sinks.publish(outputs.pop("current_batch"), "current_batch")
+    for name, frame in outputs.items():
+        path = sinks.write_json_batch(frame, folders.metrics, batch_id, f"_{name}")
+        sinks.publish(spark.read.schema(frame.schema).json(path), name)
+
+
+def _start(items: DataFrame, folders: JobFolders, interval: str | None, name: str, process):
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return (
+        items.writeStream.foreachBatch(process)
+        .option("checkpointLocation", folders.checkpoint(name))
+        .trigger(**trigger)
+        .queryName(name)
+        .start()
+    )
+
+
 def start_job(
     items: DataFrame,
     root: str,
@@ -108,16 +146,23 @@ def start_job(
     A restart continues from the checkpoint below ``root``; nothing is ever wiped.
     """
     folders = JobFolders(root)
-    trigger = {"processingTime": interval} if interval else {"availableNow": True}
-    return (
-        items.writeStream.foreachBatch(
-            lambda batch, batch_id: process_batch(batch, batch_id, folders, show)
-        )
-        .option("checkpointLocation", folders.checkpoint(name))
-        .trigger(**trigger)
-        .queryName(name)
-        .start()
-    )
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, batch_id, folders, show)
+
+    return _start(items, folders, interval, name, process)
+
+
+def start_lean_job(
+    items: DataFrame, root: str, interval: str | None = "30 seconds", name: str = "lean_items"
+) -> StreamingQuery:
+    """Run :func:`process_lean_batch` on every micro-batch."""
+    folders = JobFolders(root)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        process_lean_batch(batch, batch_id, folders)
+
+    return _start(items, folders, interval, name, process)
 
 
 def history_top_words(spark: SparkSession, root: str, n: int = 10) -> DataFrame:

@@ -100,6 +100,25 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert read_metrics(spark, folders.metrics).count() == 1
 
 
+def test_lean_job(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "out")
+    write_lines(spark, ROWS, folder)
+    lean = read_items_stream(spark, "text", LEAN_ITEM, folder).select(*LEAN_ITEM.names)
+    job.start_lean_job(lean, root, interval=None).awaitTermination()
+
+    def view(name):
+        return spark.table(f"global_temp.{name}")
+
+    assert view("current_batch").count() == 4
+    assert tuple(view("batch_references").first()) == (2, 1, 1)
+    assert view("batch_windows").agg(F.sum("users_count")).first()[0] == 24
+    assert 0 < view("batch_tfidf").count() <= 10
+    by_id = {r.id: r.sentiment for r in view("batch_sentiment").collect()}
+    assert by_id == {"1": 0.5, "2": 0.0, "3": 0.0, "4": 0.0}
+    assert view("batch_authors").count() == 4
+    assert view("batch_time_range").first().time_range_seconds == 65
+
+
 def test_empty_batch_is_skipped(spark, tmp_path):
     folders = job.JobFolders(str(tmp_path / "out"))
     job.process_batch(spark.createDataFrame([], LEAN_ITEM), 0, folders)
