@@ -449,13 +449,14 @@ def plain_tokens(spark, sf):
 
 def tfidf_vectors(spark, sf):
     posts = ingest.posts_to_items(raw_posts(spark, sf), F.lit(RECEIVED))
-    vectors = tfidf.tfidf_vectors(posts)
-    weights = vector_to_array("features")
+    vectors = tfidf.tfidf_vectors(posts).withColumn(
+        "weights", F.filter(vector_to_array("features"), lambda w: w != 0)
+    )
     return vectors.select(
         "id",
         F.size("filtered_words").alias("words"),
-        F.size(F.filter(weights, lambda w: w != 0)).alias("buckets"),
-        F.round(F.aggregate(weights, F.lit(0.0), lambda a, w: a + w), 6).alias("weight"),
+        F.size("weights").alias("buckets"),
+        F.round(F.aggregate("weights", F.lit(0.0), lambda a, w: a + w), 6).alias("weight"),
     )
 
 

@@ -89,23 +89,31 @@ def lexicon_hits(words: str) -> Column:
     return words_in(words, marked_words())
 
 
-def sentiment(words: str, hits: str) -> Column:
-    """Weighted lexicon score divided by the number of words (at least 5)."""
-    score = "0.0D"
-    for group, weight in lexicons.SENTIMENT_WEIGHTS:
-        score += f" {'+' if weight > 0 else '-'} {_count_in(hits, group)} * {abs(weight)}D"
+def negated_words(words: str, hits: str) -> Column:
+    """Number of (strong) positive words right after a negation.
+
+    Most texts lack a negation or a positive word; only the others look at neighbours.
+    """
     negations = _quoted(lexicons.NEGATIONS)
     glad = _quoted(lexicons.POSITIVE + lexicons.STRONG_POSITIVE)
-    # Most texts lack a negation or a glad word; only the others look at neighbours.
-    negated = f"""
-        case when exists({hits}, w -> w in ({negations})) and exists({hits}, w -> w in ({glad}))
+    return F.expr(
+        f"""case when exists({hits}, w -> w in ({negations}))
+              and exists({hits}, w -> w in ({glad}))
         then size(filter(
             zip_with({words}, slice({words}, 2, size({words})),
                      (a, b) -> a in ({negations}) and b in ({glad})),
             found -> found))
         else 0 end"""
-    penalty = f"{lexicons.NEGATED_PENALTY}D"
-    return F.expr(f"({score} - {negated} * {penalty}) / greatest(size({words}), 5)")
+    )
+
+
+def sentiment(hits: str, word_count: str, negated: str) -> Column:
+    """Weighted lexicon score divided by the number of words (at least 5)."""
+    score = "0.0D"
+    for group, weight in lexicons.SENTIMENT_WEIGHTS:
+        score += f" {'+' if weight > 0 else '-'} {_count_in(hits, group)} * {abs(weight)}D"
+    penalty = f"{negated} * {lexicons.NEGATED_PENALTY}D"
+    return F.expr(f"({score} - {penalty}) / greatest({word_count}, 5)")
 
 
 def sentiment_category(score: Column) -> Column:

@@ -27,6 +27,8 @@ def _rules(df: DataFrame, approximate: bool) -> list[Column]:
         "author": [distinct("author").alias("unique_authors")],
         "subreddit": [distinct("subreddit").alias("unique_subreddits")],
     }
+    if approximate:
+        rules["score"].append(F.percentile_approx("score", 0.5).cast("double").alias("score_median"))
     return [rule for name, group in rules.items() if name in df.columns for rule in group]
 
 
@@ -35,7 +37,7 @@ def _statistics(df: DataFrame, by: Sequence[str], approximate: bool) -> DataFram
     if not rules:
         raise ValueError("none of id, score, type, author, subreddit is present")
     stats = df.groupBy(*by).agg(*rules)
-    if "score" in df.columns:
+    if "score" in df.columns and not approximate:
         # The exact median comes from value counts: equal scores are merged before the
         # shuffle, so a hot batch costs its number of different scores.
         median = (
@@ -59,7 +61,10 @@ def _statistics(df: DataFrame, by: Sequence[str], approximate: bool) -> DataFram
 def batch_history(
     df: DataFrame, by: str = "batch_number", approximate: bool = False
 ) -> DataFrame:
-    """One row of statistics per batch, from the columns that are present."""
+    """One row of statistics per batch, from the columns that are present.
+
+    ``approximate`` takes sketches for the median and the distinct counts.
+    """
     return _statistics(df, [by], approximate)
 
 

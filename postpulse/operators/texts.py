@@ -36,18 +36,23 @@ def with_sentiment(df: DataFrame, cleaned_col: str = "clean") -> DataFrame:
     """
     staged = df.withColumn("_words", t.tokens(F.col(cleaned_col)))
     staged = staged.withColumn("_hits", t.lexicon_hits("_words"))
-    staged = _once(staged, cleaned_col, "_words", "_hits")
     staged = staged.withColumns(
-        {"sentiment": t.sentiment("_words", "_hits"), "_topics": t.topic_counts("_hits")}
+        {"word_count": F.size("_words"), "_negated": t.negated_words("_words", "_hits")}
+    ).drop("_words")
+    staged = _once(staged, cleaned_col, "word_count", "_hits", "_negated")
+    staged = staged.withColumns(
+        {
+            "sentiment": t.sentiment("_hits", "word_count", "_negated"),
+            "_topics": t.topic_counts("_hits"),
+        }
     )
     return staged.withColumns(
         {
-            "word_count": F.size("_words"),
             "sentiment_category": t.sentiment_category(F.col("sentiment")),
             "topic": t.topic("_topics"),
             "has_question": t.is_question(F.col(cleaned_col)),
         }
-    ).drop("_words", "_hits", "_topics")
+    ).drop("_hits", "_negated", "_topics")
 
 
 def enrich(
@@ -111,7 +116,8 @@ def question_counts(enriched: DataFrame) -> DataFrame:
         F.count_if(~F.col("has_question")).alias("statements"),
         F.count_if(F.col("has_question")).alias("questions"),
     )
-    share = F.lit(100.0) * F.col("questions") / (F.col("questions") + F.col("statements"))
+    entries = F.nullif(F.col("questions") + F.col("statements"), F.lit(0))
+    share = F.lit(100.0) * F.col("questions") / entries
     return counted.withColumns(
         {"question_percent": share, "statement_percent": F.lit(100.0) - share}
     )
@@ -161,28 +167,25 @@ def engagement_correlation(enriched: DataFrame) -> DataFrame:
     )
 
 
+def _term_rows(cleaned: DataFrame, text_col: str) -> DataFrame:
+    words = cleaned.select(t.meaningful_words(text_col).alias("words"))
+    pairs = words.withColumn("pairs", t.bigrams("words"))
+    entries = pairs.selectExpr(
+        """explode(array(named_struct('kind', 'term', 'items', words),
+                         named_struct('kind', 'phrase', 'items', pairs))) as e"""
+    )
+    rows = entries.select("e.kind", F.explode_outer("e.items").alias("term"))
+    return rows.filter(F.col("term").isNotNull())
+
+
 def term_counts(cleaned: DataFrame, text_col: str = "text") -> DataFrame:
     """Occurrences of every meaningful word and every pair of neighbours, in one pass.
 
     ``kind`` is ``term`` or ``phrase``. Counting starts before the shuffle, so frequent
     words travel once per task.
     """
-    words = cleaned.select(t.meaningful_words(text_col).alias("words"))
-    pairs = words.withColumn("pairs", t.bigrams("words"))
-    entries = pairs.select(
-        F.explode(
-            F.array(
-                F.struct(F.lit("term").alias("kind"), F.col("words").alias("items")),
-                F.struct(F.lit("phrase").alias("kind"), F.col("pairs").alias("items")),
-            )
-        ).alias("e")
-    )
-    rows = entries.select("e.kind", F.explode_outer("e.items").alias("term"))
-    return (
-        rows.filter(F.col("term").isNotNull())
-        .groupBy("kind", "term")
-        .agg(F.count("*").alias("count"))
-    )
+    rows = _term_rows(cleaned, text_col)
+    return rows.groupBy("kind", "term").agg(F.count("*").alias("count"))
 
 
 def _one_kind(cleaned: DataFrame, text_col: str, phrases: bool) -> DataFrame:
@@ -214,9 +217,23 @@ def top_phrases(
     return counts.orderBy(F.desc("count"), "term").limit(n)
 
 
-def unique_terms(cleaned: DataFrame, text_col: str = "text") -> DataFrame:
-    """How many different words and pairs there are."""
+def unique_terms(
+    cleaned: DataFrame, text_col: str = "text", approximate: bool = False
+) -> DataFrame:
+    """How many different words and pairs there are.
+
+    The exact numbers shuffle every different pair once; the approximate ones only a
+    sketch per task.
+    """
     kind = F.col("kind")
+    if approximate:
+        rows = _term_rows(cleaned, text_col)
+        return rows.agg(
+            F.approx_count_distinct(F.when(kind == "term", F.col("term"))).alias("unique_terms"),
+            F.approx_count_distinct(F.when(kind == "phrase", F.col("term"))).alias(
+                "unique_phrases"
+            ),
+        )
     return term_counts(cleaned, text_col).agg(
         F.count_if(kind == "term").alias("unique_terms"),
         F.count_if(kind == "phrase").alias("unique_phrases"),

@@ -29,7 +29,7 @@ def test_dialects(spark, dialect, expected):
 
 
 def test_producer_dialect(spark):
-    text = "menu/foo or/and reddit.com/r/python /U/Bob-x u/z"
+    text = "menu/foo or/and site.com/r/python /U/Bob-x u/z"
     users, communities, urls = lists(spark, text, "producer")
     assert users == ["foo", "Bob-x", "z"]
     assert communities == ["and", "python"]

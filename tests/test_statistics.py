@@ -149,6 +149,9 @@ def test_history_uses_the_columns_at_hand(spark):
     assert history.batch_history(some).columns == ["batch_number", "unique_authors"]
     approx = history.batch_history(some, approximate=True).orderBy("batch_number").collect()
     assert [r.unique_authors for r in approx] == [2, 1]
+    exact = history.overall_history(items(spark).filter("score > 0 or score < 0")).first()
+    close = history.overall_history(items(spark).filter("score > 0 or score < 0"), True).first()
+    assert exact == close
     with pytest.raises(ValueError):
         history.batch_history(items(spark).select("batch_number"))
 

@@ -147,6 +147,19 @@ def test_window_stream_equals_table(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
 
 
+def test_window_stream_with_state_on_disk(spark, tmp_path):
+    folder, root = str(tmp_path / "in"), str(tmp_path / "out")
+    write_lines(spark, ROWS, folder)
+    windows.use_rocksdb(spark)
+    try:
+        lean = read_items_stream(spark, "text", LEAN_ITEM, folder)
+        windows.start_windowed_references(lean, root, None).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    got = windows.read_windowed_references(spark, root)
+    assert got.agg(F.sum("user_ref_count")).first()[0] == 24
+
+
 def test_late_item_is_dropped(spark, tmp_path):
     folder, root = str(tmp_path / "in"), str(tmp_path / "out")
     start = 1700000000.0

@@ -144,6 +144,13 @@ def test_enrich_combines_columns_and_defaults(spark):
     assert [r.text for r in only] == ["a title"]
 
 
+def test_no_rows(spark):
+    enriched = texts.enrich(spark.createDataFrame([], "text string, score int"))
+    assert tuple(texts.question_counts(enriched).first()) == (0, 0, None, None)
+    assert texts.text_summary(enriched).first().entries == 0
+    assert texts.engagement_correlation(enriched).first().sentiment_corr is None
+
+
 def test_enrich_needs_a_text_column(spark):
     with pytest.raises(ValueError):
         texts.enrich(spark.createDataFrame([(1,)], "score int"))
@@ -157,6 +164,7 @@ def test_top_terms_and_phrases(spark):
     ]
     assert [tuple(r) for r in texts.top_phrases(df).collect()] == [("spark fun", 2)]
     assert tuple(texts.unique_terms(df).first()) == (3, 3)
+    assert tuple(texts.unique_terms(df, approximate=True).first()) == (3, 3)
 
 
 def test_polarity_forms_agree(spark):
