@@ -336,6 +336,16 @@ def insight_rows() -> str:
     return " union all ".join(selects)
 
 
+COMMUNITY_STATS = """
+select subreddit, type, count(*) as item_count, avg(score) as avg_score,
+  sum(num_comments)::bigint as total_comments, max(score) as max_score, min(score) as min_score
+from items group by 1, 2"""
+
+AUTHOR_STATS = """
+select author, count(*) as posts_count, avg(score) as avg_score,
+  sum(num_comments)::bigint as total_comments
+from items where author <> '[deleted]' group by 1"""
+
 REFS = dialect("name")
 
 METRICS = f"""with {ITEMS},
@@ -393,6 +403,11 @@ select {ITEM_COLUMNS}, text as full_text, null::varchar as title, null::varchar
   batch_number from items""",
         "json_roundtrip": f"""with {ITEMS}
 select {ITEM_COLUMNS}, {reference_text('name', 'text')} from items""",
+        "parse_json_lines": """
+select (props::json->>'$.k')::int as k, count(*) as n from events group by 1""",
+        "parsed_times": f"""with {POSTS}
+select id, round_even(created_utc * 1000000::double, 0)::bigint as created_micros,
+  epoch_us(timestamp '2024-01-01 00:00:00') as received_micros from posts""",
         "posts_to_items": f"""with {POSTS},
 shaped as (select *, coalesce(title, '') || ' ' || coalesce(selftext, '') as whole from posts)
 select id, 'post' as type, subreddit, title, coalesce(selftext, '') as text,
@@ -447,14 +462,8 @@ select sum(len({word_refs['user']}))::bigint as user_refs,
 select min(created_utc) as earliest_post, max(created_utc) as latest_post,
   count(*) as total_items,
   floor(max(created_utc) - min(created_utc))::bigint as time_range_seconds from items""",
-        "community_stats": f"""with {ITEMS}
-select subreddit, type, count(*) as item_count, avg(score) as avg_score,
-  sum(num_comments)::bigint as total_comments, max(score) as max_score, min(score) as min_score
-from items group by 1, 2""",
-        "author_stats": f"""with {ITEMS}
-select author, count(*) as posts_count, avg(score) as avg_score,
-  sum(num_comments)::bigint as total_comments
-from items where author <> '[deleted]' group by 1""",
+        "community_stats": f"with {ITEMS} " + COMMUNITY_STATS,
+        "author_stats": f"with {ITEMS} " + AUTHOR_STATS,
         "top_authors": f"""with {ITEMS}
 select author, count(*) as count from items group by 1 order by 2 desc, 1 limit 5""",
         "top_communities": f"""with {ITEMS}
@@ -542,6 +551,11 @@ select id, text, length::int as length, word_count::int as word_count, subreddit
 select word_count::int as word_count, length::int as length, sentiment from enriched""",
         "engagement_points": f"""with {ENRICHED_ITEMS}
 select sentiment, engagement_score, word_count::int as word_count from enriched""",
+        "meaningful_words": f"""with
+cleaned as (select doc_id, {clean('text')} as text from documents),
+lists as (select doc_id, {TERM_WORDS} as words from cleaned)
+select doc_id, array_to_string(words, ' ') as words, array_to_string({PAIRS}, '|') as pairs
+from lists""",
         "top_terms": f"""with {DOCUMENT_TERMS}
 select term, count(*) as count from terms where length(term) > 3 group by 1
 having count(*) > 1 order by 2 desc, 1 limit 12""",
@@ -601,6 +615,13 @@ select {ITEM_COLUMNS}, 1::int as batch_number from items where batch_number % 2
   coalesce(subs.m, 0) as subreddit_ref_mentions, coalesce(urls.m, 0) as url_ref_mentions""",
             ", top_author.author as most_active_author",
         ),
+        "job_user_refs": f"with {ITEMS} " + mentions("items", REFS["user"], "user_ref"),
+        "job_url_refs": f"with {ITEMS} " + mentions("items", REFS["url"], "url_ref"),
+        "job_community_stats": f"with {ITEMS} " + COMMUNITY_STATS,
+        "job_author_stats": f"with {ITEMS} " + AUTHOR_STATS,
+        "job_history_time_range": f"""with {ITEMS}
+select {iso('min(created_utc)', ' ')} as earliest_post,
+  {iso('max(created_utc)', ' ')} as latest_post, count(*) as total_items from items""",
         "lean_job_references": f"""with {ITEMS}
 select sum(len({word_refs['user']}))::bigint as user_refs,
   sum(len({word_refs['subreddit']}))::bigint as sub_refs,

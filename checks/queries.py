@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from postpulse.functions.text import plain_tokens as plain_words
+from postpulse.functions import text as text_functions
 from postpulse.operators import (
     authors,
     distribution,
@@ -28,7 +29,7 @@ from postpulse.plans.sample_items import (
 from postpulse.schemas import LEAN_ITEM, REFERENCE_COLUMNS, RICH_ITEM, canonicalise
 from postpulse.scratch import shared_folder
 from postpulse.sources import batches, sinks
-from postpulse.sources.items import item_lines, parse_lines
+from postpulse.sources.items import item_lines, parse_lines, parse_times
 from postpulse.sources.tables import spread
 from postpulse.streaming import job, windows
 
@@ -112,6 +113,22 @@ def json_roundtrip(spark, sf):
     return joined(parse_lines(lines), *REFERENCE_COLUMNS).select(*ITEM_COLUMNS, *REFERENCE_COLUMNS)
 
 
+def parse_json_lines(spark, sf):
+    lines = table(spark, sf, "events").select(F.col("props").alias("value"))
+    schema = StructType([StructField("k", IntegerType())])
+    return parse_lines(lines, schema).groupBy("k").agg(F.count("*").alias("n"))
+
+
+def parsed_times(spark, sf):
+    shaped = ingest.posts_to_items(raw_posts(spark, sf), F.lit(RECEIVED))
+    timed = parse_times(shaped)
+    return timed.select(
+        "id",
+        F.unix_micros("created_datetime").alias("created_micros"),
+        F.unix_micros("timestamp_received").alias("received_micros"),
+    )
+
+
 def posts_to_items(spark, sf):
     posts = raw_posts(spark, sf)
     shaped = joined(ingest.posts_to_items(posts, F.lit(RECEIVED)), *REFERENCE_COLUMNS)
@@ -397,6 +414,16 @@ def cleaned_documents(spark: SparkSession, sf: str) -> DataFrame:
     return texts.with_clean_text(documents(spark, sf)).select(F.col("clean").alias("text"))
 
 
+def meaningful_words(spark, sf):
+    cleaned = texts.with_clean_text(documents(spark, sf)).withColumn(
+        "words", text_functions.meaningful_words("clean")
+    )
+    paired = cleaned.withColumn("pairs", text_functions.bigrams("words"))
+    return joined(paired, "words").withColumn("pairs", F.array_join("pairs", "|")).select(
+        "doc_id", "words", "pairs"
+    )
+
+
 def top_terms(spark, sf):
     return texts.top_terms(cleaned_documents(spark, sf))
 
@@ -443,7 +470,7 @@ def tfidf_words(spark, sf):
 
 def plain_tokens(spark, sf):
     stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    words = documents(spark, sf).withColumn("words", plain_words("text", stop_words))
+    words = documents(spark, sf).withColumn("words", text_functions.plain_tokens("text", stop_words))
     return joined(words, "words").drop("text")
 
 
@@ -511,20 +538,57 @@ def current_batch(spark, sf):
     return batches.latest_batch(stored).select(*ITEM_COLUMNS, "batch_number")
 
 
-def _run_job(spark: SparkSession, sf: str) -> str:
-    root = shared_folder(spark, "job")
-    stream = mentions.extract_references(event_stream(spark, sf).drop("batch_number"))
-    job.start_job(stream, root, interval=None, name=f"job{id(stream)}").awaitTermination()
-    return root
+_job_roots: dict[tuple[str, str], str] = {}
+
+
+def job_root(spark: SparkSession, sf: str) -> str:
+    """Outputs of the stream job over all events; one run per application serves all queries."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _job_roots:
+        root = shared_folder(spark, "job")
+        stream = mentions.extract_references(event_stream(spark, sf).drop("batch_number"))
+        job.start_job(stream, root, interval=None, name=f"job{len(_job_roots)}").awaitTermination()
+        _job_roots[key] = root
+    return _job_roots[key]
+
+
+def _job_details(spark: SparkSession, sf: str, suffix: str, schema: str) -> DataFrame:
+    metrics = job.JobFolders(job_root(spark, sf)).metrics
+    return spark.read.schema(schema).json(f"{metrics}/batch_*_{suffix}")
 
 
 def job_metrics(spark, sf):
-    stored = batches.read_metrics(spark, job.JobFolders(_run_job(spark, sf)).metrics)
+    stored = batches.read_metrics(spark, job.JobFolders(job_root(spark, sf)).metrics)
     return stored.drop("processing_time", "batch_id")
 
 
+def job_user_refs(spark, sf):
+    return _job_details(spark, sf, "user_refs", "user_ref string, mention_count bigint")
+
+
+def job_url_refs(spark, sf):
+    return _job_details(spark, sf, "url_refs", "url_ref string, mention_count bigint")
+
+
+def job_community_stats(spark, sf):
+    schema = (
+        "subreddit string, type string, item_count bigint, avg_score double, "
+        "total_comments bigint, max_score int, min_score int"
+    )
+    return _job_details(spark, sf, "subreddit_stats", schema)
+
+
+def job_author_stats(spark, sf):
+    schema = "author string, posts_count bigint, avg_score double, total_comments bigint"
+    return _job_details(spark, sf, "author_stats", schema)
+
+
+def job_history_time_range(spark, sf):
+    return job.history_time_range(spark, job_root(spark, sf))
+
+
 def job_history_top_words(spark, sf):
-    return rounded(job.history_top_words(spark, _run_job(spark, sf)), 6, "score")
+    return rounded(job.history_top_words(spark, job_root(spark, sf)), 6, "score")
 
 
 def lean_job_references(spark, sf):
@@ -537,7 +601,7 @@ def lean_job_references(spark, sf):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     chosen = [
-        items_canonical, json_roundtrip, posts_to_items, comments_to_items, lean_items,
+        items_canonical, json_roundtrip, parse_json_lines, parsed_times, posts_to_items, comments_to_items, lean_items,
         merge_dedupe, newest_per_community, first_comments,
         user_mentions, community_mentions, url_mentions, reference_dialects, reference_totals,
         windowed_references, windowed_reference_lists, windowed_references_stream, stream_dedupe,
@@ -547,10 +611,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         user_summary, sample_authors, top_contributors,
         clean_text, clean_pages, sentiment, sentiment_documents, sentiment_distribution,
         sentiment_histogram, topics, question_ratio, enriched_text, enriched_posts,
-        text_complexity, engagement_points, top_terms, top_phrases, top_terms_items,
+        text_complexity, engagement_points, meaningful_words, top_terms, top_phrases, top_terms_items,
         top_phrases_items, unique_terms, engagement_correlation, text_summary,
         tfidf_top_words, tfidf_words, plain_tokens, tfidf_vectors, polarity, mean_polarity,
         file_inventory, batch_files, stored_batches_roundtrip, current_batch,
-        job_metrics, job_history_top_words, lean_job_references,
+        job_metrics, job_user_refs, job_url_refs, job_community_stats, job_author_stats,
+        job_history_time_range, job_history_top_words, lean_job_references,
     ]
     return {f.__name__: f for f in chosen}

@@ -27,7 +27,7 @@ def scans(plan):
     return len(re.findall(r"Scan parquet", plan))
 
 
-STREAMS = {"windowed_references_stream", "stream_dedupe", "job_metrics", "job_history_top_words"}
+STREAMS = {n for n in q.queries() if "stream" in n or "job" in n}
 STORED = {"batch_files", "stored_batches_roundtrip", "current_batch", "file_inventory"}
 
 
