@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.values import share_of
 
 
 def category_shares(df: DataFrame, column: str) -> DataFrame:
-    """Count and percentage per value of a categorical column.
-
-    The window for the total runs over the few categories, not over the rows.
-    """
+    """Count and percentage per value of a column; counts and total share one shuffle."""
     counts = df.groupBy(column).agg(F.count("*").alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
-    return counts.withColumn("percent", share_of(F.col("count"), total))
+    total = counts.agg(F.sum("count").alias("total"))
+    return counts.crossJoin(F.broadcast(total)).select(
+        column, "count", share_of(F.col("count"), F.col("total")).alias("percent")
+    )
 
 
 def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:

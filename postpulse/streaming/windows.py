@@ -69,6 +69,22 @@ def start_files(
     return _triggered(writer, interval).start()
 
 
+def start_closed_windows(
+    items: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = "30 seconds",
+    text_col: str = "text",
+    dialect: str = "token",
+) -> StreamingQuery:
+    """Append each window to files once, when the watermark has passed its end.
+
+    For long runs: nothing is written twice, at the price of waiting for late items.
+    """
+    closed = windowed_references(items, text_col=text_col, dialect=dialect)
+    return start_files(closed, path, checkpoint, interval)
+
+
 def start_memory_table(df: DataFrame, name: str, interval: str | None = None) -> StreamingQuery:
     """Append a stream to a table in driver memory: for trying things out only."""
     return _triggered(

@@ -55,6 +55,11 @@ def test_histogram_reads_the_rows_once(spark):
     assert scans(plan) == 1 and "ReusedExchange" in plan
 
 
+def test_shares_read_the_rows_once(spark):
+    plan = final_plan(distribution.category_shares(q.items(spark, SF), "subreddit"))
+    assert scans(plan) == 1 and "ReusedExchange" in plan
+
+
 def test_box_figures_read_the_rows_once(spark):
     plan = final_plan(distribution.box_stats(q.items(spark, SF), "score", "batch_number"))
     assert scans(plan) == 1 and "ReusedExchange" in plan

@@ -178,6 +178,21 @@ def test_late_item_is_dropped(spark, tmp_path):
     assert got.agg(F.sum("user_ref_count")).first()[0] == 24
 
 
+def test_closed_windows_are_written_once(spark, tmp_path):
+    folder, out, chk = (str(tmp_path / n) for n in ("in", "out", "chk"))
+    start = 1700000000.0
+    for i, at in enumerate([start, start + 3, start + 600, start + 1200]):
+        put_file(spark, [("post", "a", str(i), "/u/x", at, "x")], folder, f"{i}.txt", tmp_path)
+        lean = read_items_stream(spark, "text", LEAN_ITEM, folder)
+        windows.start_closed_windows(lean, out, chk, None).awaitTermination()
+    got = spark.read.parquet(out)
+    everything = spark.createDataFrame(
+        [(start,), (start + 3,), (start + 600,)], "created_utc double"
+    ).withColumn("text", F.lit("/u/x"))
+    expected = mentions.windowed_references(everything)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_duplicates_are_dropped_across_batches(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     put_file(spark, ROWS[:3], folder, "1.txt", tmp_path)
