@@ -227,9 +227,8 @@ def windowed_reference_lists(spark, sf):
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
-    events = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    )
+    # The table may be one file or a folder of files; a stream takes both by pattern.
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
     return items_from_events(events)
 
 
