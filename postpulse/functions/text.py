@@ -35,7 +35,8 @@ def clean(text: Column) -> Column:
     marked = F.regexp_replace(text, rf"(?:http|www)[^{SPACE}]+", URL_MARK)
     marked = F.regexp_replace(marked, rf"@[{WORD}]+", USER_MARK)
     marked = F.regexp_replace(marked, rf"#[{WORD}]+", TAG_MARK)
-    has_mark = text.contains("http") | text.contains("www") | text.contains("@") | text.contains("#")
+    has_link = text.contains("http") | text.contains("www")
+    has_mark = has_link | text.contains("@") | text.contains("#")
     text = F.when(has_mark, marked).otherwise(text)
     return F.lower(F.trim(F.regexp_replace(text, rf"[^{WORD}\[\]]++", " ")))
 

@@ -28,7 +28,8 @@ def _rules(df: DataFrame, approximate: bool) -> list[Column]:
         "subreddit": [distinct("subreddit").alias("unique_subreddits")],
     }
     if approximate:
-        rules["score"].append(F.percentile_approx("score", 0.5).cast("double").alias("score_median"))
+        median = F.percentile_approx("score", 0.5).cast("double")
+        rules["score"].append(median.alias("score_median"))
     return [rule for name, group in rules.items() if name in df.columns for rule in group]
 
 

@@ -123,7 +123,8 @@ def windowed_reference_lists(
     )
     pane_start = F.window("ts", f"{pane} seconds")["start"].alias("ts")
     triples = rows.groupBy(pane_start, *lists).agg(F.count("*").alias("copies"))
-    triples = triples.withColumn("entries", F.expr("1 + size(users) + size(subreddits) + size(urls)"))
+    entries = F.expr("1 + size(users) + size(subreddits) + size(urls)")
+    triples = triples.withColumn("entries", entries)
 
     # Sizes go from panes to windows; the parts of busy windows go back to their panes.
     window_start = F.window("ts", f"{length} seconds", f"{slide} seconds")["start"]
