@@ -2,12 +2,6 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
-
 from postpulse.functions import lexicons
 
 ITEM_WORDS = "good great love bad terrible not okay meh how code game news think my"
@@ -288,20 +282,12 @@ terms as (select unnest(words) as term from lists),
 phrases as (select unnest({PAIRS}) as term from lists)"""
 
 
-def english_stop_words() -> list[str]:
-    """The stop words that Spark ships."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as archive:
-        name = "org/apache/spark/ml/feature/stopwords/english.txt"
-        return archive.read(name).decode().split()
-
-
 def tfidf_sql(source: str) -> str:
     return rf"""split as (
   select row_number() over () as id, lower(text) as text from {source} where text is not null),
 words as (select id, unnest(regexp_split_to_array(text, '[{ASCII_SPACE}]')) as word from split),
 tf as (select id, word, count(*) as tf from words
-  where word <> '' and word not in ({quoted(english_stop_words())}) group by 1, 2),
+  where word <> '' and word not in ({quoted(lexicons.ENGLISH_STOP_WORDS)}) group by 1, 2),
 scores as (
   select word, round(max(tf) * ln(((select count(*) from split) + 1)::double / (count(*) + 1)), 6)
     as score
@@ -593,7 +579,7 @@ select word, score from scores order by score desc, word limit 10""",
         "tfidf_words": f"with {tfidf_sql('documents')} select word, score from scores",
         "plain_tokens": rf"""select doc_id, array_to_string(list_filter(
   regexp_split_to_array(lower(text), '[{ASCII_SPACE}]'),
-  lambda w: w <> '' and w not in ({quoted(english_stop_words())})), ' ') as words
+  lambda w: w <> '' and w not in ({quoted(lexicons.ENGLISH_STOP_WORDS)})), ' ') as words
 from documents""",
         "polarity": f"""with {ITEMS}, {polarity_sql('items', 'type, id')}
 select type, id, round(polarity, 6) as polarity from polarities""",

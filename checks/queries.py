@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from postpulse.functions import text as text_functions
+from postpulse.functions import lexicons, text as text_functions
 from postpulse.operators import (
     authors,
     distribution,
@@ -468,8 +467,9 @@ def tfidf_words(spark, sf):
 
 
 def plain_tokens(spark, sf):
-    stop_words = StopWordsRemover.loadDefaultStopWords("english")
-    words = documents(spark, sf).withColumn("words", text_functions.plain_tokens("text", stop_words))
+    words = documents(spark, sf).withColumn(
+        "words", text_functions.plain_tokens("text", lexicons.ENGLISH_STOP_WORDS)
+    )
     return joined(words, "words").drop("text")
 
 

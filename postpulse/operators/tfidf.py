@@ -7,6 +7,7 @@ from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as t
+from ..functions.lexicons import ENGLISH_STOP_WORDS
 
 MIN_TEXT_LENGTH = 10
 
@@ -23,10 +24,9 @@ def term_stats(df: DataFrame, text_col: str = "text") -> DataFrame:
     is shuffled. The row without a word carries the number of items in ``n_items``.
     Tables of several sets can be added up with :func:`merge_term_stats`.
     """
-    stop_words = StopWordsRemover.loadDefaultStopWords("english")
     texts = df.filter(F.col(text_col).isNotNull())
     words = texts.select(
-        F.sort_array(t.plain_tokens(text_col, stop_words)).alias("sorted")
+        F.sort_array(t.plain_tokens(text_col, ENGLISH_STOP_WORDS)).alias("sorted")
     )
     runs = words.withColumn("starts", t.run_starts(F.col("sorted")))
     pairs = runs.select(t.term_frequencies(F.col("sorted"), F.col("starts")).alias("terms"))
