@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing
+from . import decontaminate, language, packing
+from .rows import fold
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +23,14 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, tokenizer_file()))
 
 
+def op8_language(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    marked = docs.withColumn("held_out", fold("doc_id", 3) == 1)
+    model = language.train(marked.filter("not held_out"), id_col="doc_id")
+    found = language.identify(marked.drop("lang"), model, keep_text=False)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark_words(

@@ -12,10 +12,13 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+# So many rows are Python objects at a time.
+ROWS_AT_ONCE = 512
+
 Worker = Callable[[pa.RecordBatch], list]
 
 
@@ -54,13 +57,20 @@ def append_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
-        for batch in batches:
-            columns = [pa.array(v, t) for v, t in zip(work(batch), types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*map(batch.column, kept_names), *columns], names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, ROWS_AT_ONCE):
+                batch = whole.slice(start, ROWS_AT_ONCE)
+                columns = [pa.array(v, t) for v, t in zip(work(batch), types, strict=True)]
+                yield pa.RecordBatch.from_arrays([*map(batch.column, kept_names), *columns], names)
 
     return df.mapInArrow(run, schema)
 
 
+def fold(id_col: str, parts: int):
+    """crc32 of the id as text, modulo ``parts``; a null id counts as an empty one."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
