@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, packing
+from . import decontaminate, language, packing, simhash
 from .rows import fold
 
 
@@ -18,6 +18,13 @@ def tokenizer_file() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, keep_text=False)
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return packing.pack(packing.token_pieces(docs, tokenizer_file()))
