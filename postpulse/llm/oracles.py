@@ -32,6 +32,21 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
 from docs left join hit_words using (doc_id) left join hit_items using (doc_id)"""
 
+OP5 = r"""with lines as (
+  select row, doc_id, i, split[i] as line,
+    translate(trim(split[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from (select row, doc_id, split, unnest(range(1, len(split) + 1)) as i
+    from (select row_number() over () as row, doc_id,
+      string_split(coalesce(text, ''), chr(10)) as split from documents))),
+frequent as (
+  select key from lines where length(key) >= 1 group by key having count(distinct row) >= 10)
+select any_value(doc_id) as doc_id, count(*) as n_lines,
+  count(*) filter (key in (from frequent)) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i)
+    filter (key not in (from frequent)), '')) as kept_sha256
+from lines group by row"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_decontaminate": OP10}
+    return {"op5_lines": OP5, "op10_decontaminate": OP10}

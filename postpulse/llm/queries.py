@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, packing, simhash
+from . import decontaminate, language, lines, packing, simhash
 from .rows import fold
 
 
@@ -25,6 +25,12 @@ def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op5_lines(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    cleaned = lines.LineIndex.empty(spark).insert(docs).clean(docs)
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return packing.pack(packing.token_pieces(docs, tokenizer_file()))
