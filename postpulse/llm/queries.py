@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, lines, packing, simhash
+from . import decontaminate, language, lines, packing, sharding, simhash
 from .rows import fold
 
 
@@ -18,6 +18,24 @@ def tokenizer_file() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = table(spark, sf, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+    )
+    return sharding.shuffle_into_shards(docs, 24).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, keep_text=False)

@@ -1,0 +1,69 @@
+"""The draws follow their law; shards are exact and gapless."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from postpulse.llm import sharding
+
+
+def pmf(good, bad, sample):
+    low, high = max(0, sample - bad), min(good, sample)
+    total = math.comb(good + bad, sample)
+    return {k: math.comb(good, k) * math.comb(bad, sample - k) / total for k in range(low, high + 1)}
+
+
+@pytest.mark.parametrize("good, bad, sample", [(3, 5, 4), (12, 4, 9), (60, 40, 50), (90, 400, 200),
+                                               (400, 90, 300), (0, 5, 3), (4, 0, 3), (7, 7, 0)])
+def test_counts_follow_the_hypergeometric_law(spark, good, bad, sample):
+    n = 20_000
+    big = lambda x: F.lit(x).cast("bigint")
+    drawn = sharding.hypergeometric(big(good), big(bad), big(sample), F.lit(5), F.col("id"))
+    seen = dict(spark.range(n).select(drawn.alias("x")).groupBy("x").count().collect())
+    law = pmf(good, bad, sample)
+    assert set(seen) <= set(law)
+    common = {k: p for k, p in law.items() if p * n >= 8}
+    chi2 = sum((seen.get(k, 0) - p * n) ** 2 / (p * n) for k, p in common.items())
+    assert chi2 < len(common) + 5 * math.sqrt(2 * len(common))
+
+
+def test_log_factorial(spark):
+    for n, x in spark.range(0, 40).select("id", sharding.log_factorial(F.col("id"))).collect():
+        assert x == pytest.approx(math.lgamma(n + 1), abs=1e-9)
+
+
+def test_matrix_has_the_sizes_of_partitions_and_shards(spark):
+    sizes = [(p, (p * 37) % 101) for p in range(0, 3000, 1)]
+    frame = spark.createDataFrame(sizes, "part bigint, n bigint")
+    rows = dict(sharding.communication_matrix(frame, 7, 3).collect())
+    assert {p: sum(c) for p, c in rows.items()} == dict(sizes)
+    total = sum(n for _, n in sizes)
+    columns = [sum(c[s] for c in rows.values()) for s in range(7)]
+    assert columns == [total // 7 + (s < total % 7) for s in range(7)]
+
+
+@pytest.mark.parametrize("rows, blocks", [(1000, 200_000), (1003, 10), (5, 200_000), (0, 200_000)])
+def test_shards_are_exact(spark, rows, blocks):
+    docs = spark.range(rows, numPartitions=5).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.lit("x").alias("Shard"), F.lit(None).cast("string").alias("text"))
+    found = sharding.shuffle_into_shards(docs, 24, seed=1, rows_per_block=blocks).collect()
+    assert len(found) == rows
+    by = {}
+    for r in found:
+        by.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    assert max(map(len, by.values()), default=0) - min(map(len, by.values()), default=0) <= 1
+    ids = sorted(str(r.doc_id) for r in found)
+    assert ids == sorted(str(i) if i % 3 else "None" for i in range(rows))
+
+
+def test_all_places_are_equally_likely(spark):
+    """First rows of the table land in every shard about equally often, over many seeds."""
+    docs = spark.range(60, numPartitions=3).withColumnRenamed("id", "doc_id")
+    seen = [0, 0, 0]
+    for seed in range(12):
+        for r in sharding.shuffle_into_shards(docs, 3, seed=seed).filter("doc_id < 20").collect():
+            seen[r["shard"]] += 1
+    assert sum(seen) == 240 and all(55 <= s <= 105 for s in seen)
