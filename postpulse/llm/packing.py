@@ -22,7 +22,8 @@ from .rows import append_columns, reach_workers, shuffle_partitions, stored
 CAPACITY = 4096
 END_ID = 1
 PIECES_PER_PARTITION = 50_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 1_000_000
+WORDS_AT_ONCE = 1000
 
 _encoders: dict = {}
 
@@ -31,30 +32,45 @@ class _Encoder:
     """Token ids of whole texts as little-endian 32-bit words.
 
     The tokenizer drops white space and splits at it, so the ids of a text are those of its
-    parts between blanks and line ends in turn; parts are remembered, up to a bound.
+    parts between blanks and line ends in turn. Parts are remembered, up to a bound; new ones
+    are encoded many at a time, with a mark between them that is a token of its own.
     """
 
+    MARK = "\x00"
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        (self.mark,) = self.encode(self.MARK)
         self.known: dict[str, bytes] = {}
 
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def learn(self, parts: list[str]) -> None:
+        plain = [p for p in parts if self.MARK not in p]
+        for at in range(0, len(plain), WORDS_AT_ONCE):
+            some = plain[at : at + WORDS_AT_ONCE]
+            ids = self.encode(f" {self.MARK} ".join(some))
+            ends = [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            raw, start = ids.tobytes(), 0
+            for part, end in zip(some, ends, strict=True):
+                self.known[part] = raw[4 * start : 4 * end]
+                start = end + 1
+        for part in set(parts).difference(plain):
+            self.known[part] = self.encode(part).tobytes()
+
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        known = self.known
-        for text in texts:
-            parts = text.replace("\n", " ").split(" ") if text else []
-            new = [p for p in dict.fromkeys(parts) if p not in known]
-            if new:
-                if len(known) > CACHED_WORDS:
-                    known.clear()
-                    new = list(dict.fromkeys(parts))
-                encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-                known.update(
-                    (p, np.array(e.ids, "<u4").tobytes()) for p, e in zip(new, encoded, strict=True)
-                )
-            yield b"".join(map(known.__getitem__, parts))
+        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        needed = set().union(*split)
+        if len(self.known) + len(needed) > CACHED_WORDS:
+            self.known.clear()
+        self.learn(list(needed.difference(self.known)))
+        known = self.known.__getitem__
+        for parts in split:
+            yield b"".join(map(known, parts))
 
 
 def encoder(path: str) -> _Encoder:
