@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, lines, packing, sharding, simhash
+from . import decontaminate, language, lines, packing, sharding, simhash, toxicity
 from .rows import fold
 
 
@@ -49,6 +49,18 @@ def op5_lines(spark: SparkSession, sf: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    marked = docs.withColumn("held_out", fold("doc_id", 5) == 0)
+    model = toxicity.train(marked.filter("not held_out"), table(spark, sf, "labels"))
+    return toxicity.score(marked, model, keep_text=False).select(
+        "doc_id",
+        "held_out",
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return packing.pack(packing.token_pieces(docs, tokenizer_file()))
