@@ -15,9 +15,9 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns
+from .rows import append_columns, draw_of, training_sample
 
 ORDER = 4
 #: Bounds of the training sample, for each language.
@@ -25,7 +25,7 @@ TRAINING_DOCUMENTS = 2000
 TRAINING_CHARACTERS = 4_000_000
 #: A text is rejected beyond so many standard deviations of a word's cross-entropy.
 REJECT_DEVIATIONS = 4.0
-CACHED_WORDS = 300_000
+CACHED_WORDS = 700_000
 UNKNOWN = "und"
 
 _START, _END = 2, 3
@@ -146,19 +146,22 @@ def train(
     Of the sample, drawn by hash, one document in five sets the limit for rejection. Without
     any labelled word the model knows no language and every text is ``und``.
     """
-    order = F.xxhash64(id_col, text_col)
-    by_language = Window.partitionBy("lang").orderBy("draw", "text")
-    sample = (
-        docs.filter(F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
-        .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), order.alias("draw"))
-        .withColumn("n", F.row_number().over(by_language))
-        .filter(F.col("n") <= TRAINING_DOCUMENTS)
-        .withColumn("so_far", F.sum(F.length("text")).over(by_language))
-        .filter((F.col("so_far") <= TRAINING_CHARACTERS) | (F.col("n") == 1))
+    texts = docs.filter(F.col(lang_col).isNotNull() & (F.octet_length(text_col) > 0))
+    sample = training_sample(
+        texts,
+        texts.select(
+            draw_of(id_col, text_col).alias("draw"),
+            F.col(lang_col).alias("label"),
+            F.length(text_col).alias("size"),
+        ),
+        id_col=id_col,
+        text_col=text_col,
+        documents=TRAINING_DOCUMENTS,
+        characters=TRAINING_CHARACTERS,
     )
-    words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(f"({_WORD})")))
+    words = F.explode(F.regexp_extract_all(F.lower("words"), F.lit(f"({_WORD})")))
     counted = (
-        sample.select("lang", (F.col("n") % 5 == 0).alias("calibrates"), words.alias("word"))
+        sample.select(F.col("label").alias("lang"), (F.col("n") % 5 == 0).alias("calibrates"), words.alias("word"))
         .groupBy("lang", "word")
         .agg(
             F.count_if(~F.col("calibrates")).alias("fit"),
@@ -208,10 +211,11 @@ class _Scorer:
         self.sums = np.zeros((1024, len(self.model.languages) + 1))
 
     def learn(self, parts: list[str]) -> None:
-        words, owner = [], []
+        """Sums of new parts; a word that several parts hold is scored once."""
+        words, row, owner = {}, [], []
         for i, part in enumerate(parts):
             for word in _WORDS.findall(part.lower()):
-                words.append(word)
+                row.append(words.setdefault(word, len(words)))
                 owner.append(i)
         base = len(self.known)
         while base + len(parts) > len(self.sums):
@@ -219,25 +223,29 @@ class _Scorer:
         new = self.sums[base : base + len(parts)]
         new[:] = 0
         if words:
-            logs, n = log2_words(self.model, words)
-            np.add.at(new, owner, np.column_stack([logs, n]))
+            logs, n = log2_words(self.model, list(words))
+            both = np.column_stack([logs, n])[row]
+            for column in range(both.shape[1]):
+                new[:, column] = np.bincount(owner, both[:, column], len(parts))
         self.known.update(zip(parts, range(base, base + len(parts)), strict=True))
 
-    def totals(self, text: str) -> np.ndarray:
-        """log2 probability under each language, then the number of predicted characters."""
-        parts = text.split()
-        new = [p for p in dict.fromkeys(parts) if p not in self.known]
+    def totals(self, texts: list[str | None]) -> list[np.ndarray]:
+        """For each text log2 probability under each language, then the predicted characters."""
+        split = [t.split() if t else [] for t in texts]
+        needed = set().union(*split)
+        if len(self.known) + len(needed) > CACHED_WORDS:
+            self.forget()
+        new = list(needed.difference(self.known))
         if new:
-            if len(self.known) > CACHED_WORDS:
-                self.forget()
-                new = list(dict.fromkeys(parts))
             self.learn(new)
-        at = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
-        found = self.sums[at].sum(axis=0)
-        if not found[-1] and (words := _LETTERS.findall(text.lower())):
-            logs, n = log2_words(self.model, words)
-            found = np.append(logs.sum(axis=0), n.sum())
-        return found
+        out, known = [], self.known.__getitem__
+        for text, parts in zip(texts, split, strict=True):
+            found = self.sums[np.fromiter(map(known, parts), np.int64, len(parts))].sum(axis=0)
+            if not found[-1] and text and (words := _LETTERS.findall(text.lower())):
+                logs, n = log2_words(self.model, words)
+                found = np.append(logs.sum(axis=0), n.sum())
+            out.append(found)
+        return out
 
 
 _scorers: dict[str, _Scorer] = {}
@@ -261,10 +269,9 @@ def identify(
             _scorers[model.name] = _Scorer(model)
         scorer = _scorers[model.name]
 
-        def one(text: str | None) -> tuple:
-            totals = scorer.totals(text) if text and model.languages else np.zeros(1)
+        def one(totals: np.ndarray) -> tuple:
             n = totals[-1]
-            if not n:
+            if not n or not model.languages:
                 return UNKNOWN, 0.0, None, True
             best = int(np.argmax(totals[:-1]))
             score = 1 / np.exp2(np.maximum(totals[:-1] - totals[best], -1000)).sum()
@@ -272,7 +279,8 @@ def identify(
             return model.languages[best], score, entropy, bool(entropy > model.limits[best])
 
         def work(batch: pa.RecordBatch) -> list:
-            rows = [one(t) for t in batch.column(text_col).to_pylist()]
+            texts = batch.column(text_col).to_pylist()
+            rows = list(map(one, scorer.totals(texts) if model.languages else [np.zeros(1)] * len(texts)))
             return [list(c) for c in zip(*rows, strict=True)] if rows else [[], [], [], []]
 
         return work

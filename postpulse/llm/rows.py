@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -71,6 +71,38 @@ def fold(id_col: str, parts: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
 
 
+def training_sample(
+    docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, documents: int, characters: int
+) -> DataFrame:
+    """(label, draw, n, words): for each label at most so many texts and characters, by hash.
+
+    ``labels``: (draw, label, size) of the texts to choose from, ``draw`` being
+    :func:`draw_of`. Only these narrow rows are shuffled; the chosen texts, a bounded number,
+    are then looked up. A text that repeats with its id is taken once.
+    """
+    narrow = labels.groupBy("draw").agg(F.min("label").alias("label"), F.max("size").alias("size"))
+    totals = narrow.groupBy("label").agg(
+        F.count("*").alias("texts"), F.sum("size").alias("total")
+    )
+    chance = 1.2 * F.least(documents / F.col("texts"), characters / F.greatest("total", F.lit(1)))
+    uniform = F.pmod("draw", F.lit(1 << 40)) / float(1 << 40)
+    by_label = Window.partitionBy("label").orderBy("draw")
+    chosen = (
+        narrow.join(totals, "label")
+        .filter(uniform < chance)
+        .withColumn("n", F.row_number().over(by_label))
+        .withColumn("so_far", F.sum("size").over(by_label))
+        .filter((F.col("n") <= documents) & ((F.col("so_far") <= characters) | (F.col("n") == 1)))
+        .select("draw", "label", "n")
+    )
+    texts = docs.select(F.col(text_col).alias("words"), draw_of(id_col, text_col).alias("draw"))
+    return texts.join(F.broadcast(chosen), "draw").dropDuplicates(["draw"])
+
+
+def draw_of(id_col: str, text_col: str):
+    return F.xxhash64(id_col, text_col)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

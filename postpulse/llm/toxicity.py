@@ -16,9 +16,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns
+from .rows import append_columns, draw_of, training_sample
 
 #: Bounds of the training sample, for each label.
 TRAINING_DOCUMENTS = 4000
@@ -224,25 +224,26 @@ def train(
     marks = labels.filter(F.col(label_col).isNotNull()).groupBy(
         F.col(id_col).alias("id")
     ).agg(F.max(F.col(label_col).cast("int")).alias("mark"))
-    by_mark = Window.partitionBy("mark").orderBy("draw", "words")
+    texts = docs.filter(F.octet_length(text_col) > 0)
+    labelled = texts.select(
+        F.col(id_col).alias("id"),
+        F.length(text_col).alias("size"),
+        draw_of(id_col, text_col).alias("draw"),
+    ).join(marks, "id")
     sample = (
-        docs.filter(F.octet_length(text_col) > 0)
-        .select(
-            F.col(id_col).alias("id"),
-            F.col(text_col).alias("words"),
-            F.xxhash64(id_col, text_col).alias("draw"),
+        training_sample(
+            texts,
+            labelled.select("draw", F.col("mark").alias("label"), "size"),
+            id_col=id_col,
+            text_col=text_col,
+            documents=TRAINING_DOCUMENTS,
+            characters=TRAINING_CHARACTERS,
         )
-        .join(marks, "id")
-        .withColumn("n", F.row_number().over(by_mark))
-        .filter(F.col("n") <= TRAINING_DOCUMENTS)
-        .withColumn("so_far", F.sum(F.length("words")).over(by_mark))
-        .filter((F.col("so_far") <= TRAINING_CHARACTERS) | (F.col("n") == 1))
-        .select("words", "mark", "draw")
         .toPandas()
-        .sort_values(["draw", "words"])
+        .sort_values("draw")
     )
     model = Model(np.zeros(BUCKETS), np.zeros((2, 2)))
-    toxic = (sample["mark"].to_numpy() > 0).astype(int)
+    toxic = (sample["label"].to_numpy() > 0).astype(int)
     texts = [t if t.split() else "." for t in sample["words"]]
     if len(set(toxic)) < 2:
         return model
