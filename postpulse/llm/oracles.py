@@ -47,6 +47,21 @@ select any_value(doc_id) as doc_id, count(*) as n_lines,
     filter (key not in (from frequent)), '')) as kept_sha256
 from lines group by row"""
 
+OP3 = """with vectors as (
+  select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where vec_id is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+pairs as (
+  select q.vec_id as query_id, c.vec_id,
+    list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) as score
+  from vectors q join vectors c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 20 = 0),
+ranked as (
+  select query_id, vec_id, score,
+    row_number() over (partition by query_id order by score desc, vec_id)::int as rank
+  from pairs)
+select query_id, rank, vec_id, score from ranked where rank <= 20"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_lines": OP5, "op10_decontaminate": OP10}
+    return {"op3_nearest": OP3, "op5_lines": OP5, "op10_decontaminate": OP10}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, lines, packing, sharding, simhash, toxicity
+from . import decontaminate, language, lines, nearest, packing, pages, sharding, simhash, toxicity
 from .rows import fold
 
 
@@ -36,6 +36,16 @@ def op1_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op2_pages(spark: SparkSession, sf: str) -> DataFrame:
+    return pages.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+
+
+def op3_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    queries = vectors.filter("vec_id % 20 = 0")
+    return nearest.nearest(queries, vectors, 20).withColumnRenamed("query", "query_id")
+
+
 def op4_simhash(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, keep_text=False)
