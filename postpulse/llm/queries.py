@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, lines, nearest, packing, pages, sharding, simhash, toxicity
+from . import decontaminate, language, lines, nearest, ngrams, packing, pages, sharding, simhash, toxicity
 from .rows import fold
 
 
@@ -84,6 +84,14 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_ngrams(spark: SparkSession, sf: str) -> DataFrame:
+    remainder = fold("doc_id", 7)
+    docs = table(spark, sf, "documents").select(
+        "doc_id", "text", (remainder == 2).alias("held_out"), (remainder != 2).alias("train")
+    )
+    return ngrams.score(docs, train_col="train").drop("train")
+
+
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark_words(
