@@ -263,21 +263,8 @@ def components(pairs: DataFrame, *, most_rounds: int = 50) -> DataFrame:
     raise RuntimeError(f"components still move after {most_rounds} rounds")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = SHINGLE,
-    max_bits: int = MAX_BITS,
-    keep_text: bool = True,
-) -> DataFrame:
-    """``docs`` with fingerprint, component_id (smallest id reachable) and near_row.
-
-    Texts without words have fingerprint zero and are linked like any other. Repeated rows
-    belong to one component; rows without an id take part, and a component of such rows alone
-    has a null component_id. ``near_row`` numbers the rows. Columns with these names are replaced.
-    """
+def _grouped(docs, id_col, text_col, shingle, max_bits, keep_text) -> tuple[DataFrame, DataFrame]:
+    """Stored rows with fingerprint and near_row; (fingerprint, component_id) of all of them."""
     own = without(docs, ["fingerprint", "component_id", "near_row"])
     rows = stored(
         fingerprints(own, text_col=text_col, shingle=shingle, keep_text=keep_text).withColumn(
@@ -293,16 +280,44 @@ def near_duplicates(
         "root", F.coalesce("root", "fingerprint")
     )
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    known = rooted.join(named, "root").select("fingerprint", "component_id")
-    return rows.join(known, "fingerprint")
+    return rows, rooted.join(named, "root").select("fingerprint", "root", "component_id")
 
 
-def one_of_each(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Of each group of :func:`near_duplicates` the row with the smallest id, then first row.
+def near_duplicates(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    keep_text: bool = True,
+) -> DataFrame:
+    """``docs`` with fingerprint and component_id (smallest id reachable).
 
-    Rows whose component has no id are kept by fingerprint in the same way.
+    Texts without words have fingerprint zero and are linked like any other. Repeated rows
+    belong to one component; rows without an id take part, and a component of such rows alone
+    has a null component_id. Columns with the added names are replaced.
     """
-    first = found.groupBy(
-        "component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("f")
-    ).agg(F.min_by("near_row", F.struct(F.col(id_col).isNull(), id_col, "near_row")).alias("near_row"))
-    return found.join(first.select("near_row"), "near_row", "left_semi")
+    rows, known = _grouped(docs, id_col, text_col, shingle, max_bits, keep_text)
+    return rows.drop("near_row").join(known.drop("root"), "fingerprint")
+
+
+def one_of_each(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """Of each group of near-duplicates the row with the smallest id (null last), then first row."""
+    rows, known = _grouped(docs, id_col, text_col, shingle, max_bits, True)
+    place = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col), "near_row")
+    first = (
+        rows.select(id_col, "fingerprint", "near_row")
+        .join(known, "fingerprint")
+        .groupBy("root")
+        .agg(F.min(place).alias("first"))
+    )
+    kept = rows.join(first.select("first.near_row"), "near_row", "left_semi")
+    return kept.drop("near_row", "fingerprint")
