@@ -8,9 +8,10 @@ with fewer partitions each round, until a round saves nothing.
 
 from __future__ import annotations
 
+import string
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -49,8 +50,11 @@ class _Encoder:
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def learn(self, parts: list[str]) -> None:
-        plain = [p for p in parts if self.MARK not in p]
+    def learn(self, parts: Iterable[str]) -> None:
+        """Ids of new parts from those of their stem and the punctuation behind it."""
+        cut = [(part, *self.stem_and_tail(part)) for part in parts]
+        new = {s for _, stem, tail in cut for s in (stem, tail)}.difference(self.known)
+        plain = [p for p in new if self.MARK not in p]
         for at in range(0, len(plain), WORDS_AT_ONCE):
             some = plain[at : at + WORDS_AT_ONCE]
             ids = self.encode(f" {self.MARK} ".join(some))
@@ -59,15 +63,26 @@ class _Encoder:
             for part, end in zip(some, ends, strict=True):
                 self.known[part] = raw[4 * start : 4 * end]
                 start = end + 1
-        for part in set(parts).difference(plain):
+        for part in new.difference(plain):
             self.known[part] = self.encode(part).tobytes()
+        for part, stem, tail in cut:
+            self.known[part] = self.known[stem] + self.known[tail] if tail else self.known[stem]
+
+    @staticmethod
+    def stem_and_tail(part: str) -> tuple[str, str]:
+        """The tokenizer always splits between a letter or digit and ASCII punctuation, and
+        lower-cases; below U+0130 its lower case is that of Python and needs no composition."""
+        stem = part.rstrip(string.punctuation)
+        if not stem or not stem[-1].isalnum():
+            return part, ""
+        return stem.lower() if max(stem) < "\u0130" else stem, part[len(stem) :]
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         needed = set().union(*split)
         if len(self.known) + len(needed) > CACHED_WORDS:
             self.known.clear()
-        self.learn(list(needed.difference(self.known)))
+        self.learn(needed.difference(self.known))
         known = self.known.__getitem__
         for parts in split:
             yield b"".join(map(known, parts))
