@@ -1,0 +1,98 @@
+"""Kept lines against counting in Python; insertion and deletion cancel; the filter alone."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from postpulse.llm import lines
+
+rnd = random.Random(2)
+LINES = ["Menu", " menu\t", "MENU\x0b", "", "  ", "é É", "É é", "License text.", "\xa0x"] + [f"own {i}" for i in range(60)]
+
+
+def key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate({i: i + 32 for i in range(65, 91)})
+
+
+def plain(texts, least, known=None):
+    split = [(t or "").split("\n") for t in texts]
+    counts = Counter(k for s in (known or split) for k in {key(x) for x in s} if k)
+    out = []
+    for s in split:
+        kept = [x for x in s if not key(x) or counts[key(x)] < least]
+        out.append((len(s), len(s) - len(kept), "\n".join(kept)))
+    return out
+
+
+def texts(n):
+    return ["\n".join(rnd.choices(LINES, k=rnd.randint(1, 12))) for _ in range(n)] + [None, "", "\n", "\r\n"]
+
+
+def cleaned(index, docs):
+    return sorted((r.n_lines, r.n_dropped, r.text) for r in index.clean(docs).collect())
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i % 97, t, "x", 1) for i, t in enumerate(rows)],
+                                 "doc_id bigint, text string, source string, N_LINES int")
+
+
+def test_lines_of_many_documents_go(spark):
+    rows = texts(200)
+    rows += rows[:5] * 3 + ["Menu\n" * 4000 + "last"]
+    docs = frame(spark, rows)
+    index = lines.LineIndex.empty(spark).insert(docs)
+    assert cleaned(index, docs) == sorted(plain(rows, 10))
+
+
+def test_deletion_takes_back_insertion(spark):
+    first, second = texts(60), texts(60)
+    a, b = frame(spark, first), frame(spark, second)
+    index = lines.LineIndex.empty(spark, shards=3, min_documents=15).insert(a)
+    alone = cleaned(index, a)
+    both = index.insert(b)
+    split = [(t or "").split("\n") for t in first + second]
+    assert cleaned(both, a) == sorted(plain(first, 15, split)) != alone
+    back = both.delete(b)
+    assert cleaned(back, a) == alone
+    assert back.counts.count() == index.counts.count()
+    assert both.delete(b).delete(a).counts.count() == 0
+
+
+def test_no_documents(spark):
+    docs = frame(spark, ["x"]).limit(0)
+    assert lines.LineIndex.empty(spark).insert(docs).clean(docs).count() == 0
+    some = frame(spark, ["x", None])
+    assert cleaned(lines.LineIndex.empty(spark), some) == [(1, 0, ""), (1, 0, "x")]
+
+
+@pytest.mark.parametrize("n", [1, 50, 5000])
+def test_cuckoo_filter(n):
+    draw = np.random.default_rng(n)
+    h = draw.integers(-(2**63), 2**63 - 1, (4, n), dtype=np.int64)
+    cuckoo = lines.CuckooFilter.sized(n)
+    assert cuckoo.insert(h[0], h[1])
+    assert cuckoo.contains(h[0], h[1]).all()
+    assert cuckoo.contains(h[2], h[3]).mean() < 0.01
+    half = n // 2
+    cuckoo.delete(h[0, :half], h[1, :half])
+    assert cuckoo.contains(h[0, half:], h[1, half:]).all()
+    assert (cuckoo.table != 0).sum() == n - half
+    while cuckoo.insert(*draw.integers(-(2**63), 2**63 - 1, (2, 40), dtype=np.int64)):
+        pass
+    assert (cuckoo.table != 0).mean() > 0.8
+
+
+def test_a_full_filter_grows():
+    import pandas as pd
+
+    draw = np.random.default_rng(1)
+    h1, h2 = draw.integers(-(2**63), 2**63 - 1, (2, 400), dtype=np.int64)
+    small = lines.CuckooFilter.sized(1)
+    own = pd.DataFrame({"shard": [3], "filter": [small.table.tobytes()]})
+    keys = pd.DataFrame({"shard": 3, "h1": h1, "h2": h2, "was": False, "now": True})
+    grown = lines._update_filter(own, keys)
+    table = np.frombuffer(grown["filter"][0], np.uint32).reshape(-1, lines.SLOTS)
+    assert lines.CuckooFilter(table).contains(h1, h2).all()
