@@ -25,7 +25,7 @@ from pyspark.sql.types import ArrayType, StructType
 
 from .rows import ROWS_AT_ONCE, reach_workers, shuffle_partitions, stored, without
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 CLASSES = 24  # by log2 of the context's count
 STEPS = 200
 END, START = 0, 1
@@ -45,6 +45,17 @@ def unpacked(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as compressed steps; the upper bytes of a step are mostly zero."""
+    planes = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.cumsum(np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel(), dtype=np.uint64)
+
+
 class Chunk:
     """Texts as numbers of words; words are numbered by key, after the two marks.
 
@@ -137,7 +148,7 @@ def _asker(buckets: int, chunk_bytes: int):
                 (_BIGRAM, pairs, np.bincount(which, chunk.train, len(pairs))),
             )
             out = [
-                (kind, b, number, keys[i:j].tobytes(), packed(counts[i:j]))
+                (kind, b, number, packed_keys(keys[i:j]), packed(counts[i:j]))
                 for kind, keys, counts in sides
                 for ends in [bucket_ends(keys, buckets).tolist()]
                 for b, (i, j) in enumerate(zip(ends, ends[1:], strict=False))
@@ -156,7 +167,7 @@ _ANSWER = "kind int, bucket int, chunk bigint, counts binary, check bigint, new_
 
 def _answer(rows: pd.DataFrame) -> pd.DataFrame:
     """Corpus counts of one bucket, for each chunk in the order it asked."""
-    asked = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
+    asked = [unpacked_keys(k) for k in rows["keys"]]
     counts = np.concatenate([unpacked(c) for c in rows["counts"]])
     known, inverse = np.unique(np.concatenate(asked), return_inverse=True)
     totals = np.bincount(inverse, counts, len(known)).astype(np.int64)

@@ -81,3 +81,5 @@ def test_no_rows_and_no_training(spark):
 def test_packing_round_trip():
     for numbers in ([], [0], [1, 255, 256, 70000, 2**32 - 1]):
         assert ngrams.unpacked(ngrams.packed(np.array(numbers, np.int64))).tolist() == numbers
+    keys = np.array([0, 1, 5, 2**63, 2**64 - 1], np.uint64)
+    assert ngrams.unpacked_keys(ngrams.packed_keys(keys)).tolist() == keys.tolist()
