@@ -83,8 +83,8 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
 
 
-def _kneser_ney(words: list[str], counts: np.ndarray) -> tuple[list, float]:
-    """For each order (grams, alphas, contexts, gammas), and the probability of any character."""
+def _kneser_ney(words: list[str], counts: np.ndarray) -> list[tuple]:
+    """For each order (grams, alphas, contexts, gammas)."""
     codes, at, word = _codes(words)
     grams, contexts = _hashes(codes, at), _hashes(codes, at - 1)
     weight = counts[word].astype(np.float64)
@@ -105,7 +105,7 @@ def _kneser_ney(words: list[str], counts: np.ndarray) -> tuple[list, float]:
         total, types = np.bincount(group, seen), np.bincount(group)
         alphas = np.maximum(seen - discount, 0) / total[group]
         tables.append((keys, alphas, heads, discount * types / total))
-    return tables, 1 / (len(tables[0][0]) + 1)
+    return tables
 
 
 def _merged(tables: list[tuple[np.ndarray, np.ndarray]], default: float):
@@ -179,13 +179,14 @@ def train(
         own = g[g["fit"] > 0]
         fitted.append(_kneser_ney(own["word"].tolist(), own["fit"].to_numpy()))
     for k in range(ORDER):
-        grams, alphas = _merged([t[k][:2] for t, _ in fitted], 0.0)
-        contexts, gammas = _merged([t[k][2:] for t, _ in fitted], 1.0)
+        grams, alphas = _merged([t[k][:2] for t in fitted], 0.0)
+        contexts, gammas = _merged([t[k][2:] for t in fitted], 1.0)
         model.grams.append(grams)
         model.alphas.append(alphas)
         model.contexts.append(contexts)
         model.gammas.append(gammas)
-    model.base = np.array([base for _, base in fitted])
+    # One law for all languages below the unigrams: any known character, or an unknown one.
+    model.base = np.full(len(groups), 1 / (len(model.grams[0]) + 1))
     limits = []
     for column, (_, g) in enumerate(groups):
         own = g[g["check"] > 0] if g["check"].sum() else g
