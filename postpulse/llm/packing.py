@@ -8,7 +8,7 @@ with fewer partitions each round, until a round saves nothing.
 
 from __future__ import annotations
 
-import string
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
@@ -29,12 +29,20 @@ WORDS_AT_ONCE = 1000
 _encoders: dict = {}
 
 
+# The tokenizer's own pieces of a text, for lower-cased Latin-1.
+_PIECES = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d"
+    "|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+"
+    "|[0-9\xb2\xb3\xb9\xbc-\xbe]"
+    "|[^a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe\t-\r \x85\xa0]+"
+)
+
+
 class _Encoder:
     """Token ids of whole texts as little-endian 32-bit words.
 
-    The tokenizer drops white space and splits at it, so the ids of a text are those of its
-    parts between blanks and line ends in turn. Parts are remembered, up to a bound; new ones
-    are encoded many at a time, with a mark between them that is a token of its own.
+    The ids of a text are those of its parts in turn. Parts are remembered, up to a bound; new
+    ones are encoded many at a time, with a mark between them that is a token of its own.
     """
 
     MARK = "\x00"
@@ -50,11 +58,20 @@ class _Encoder:
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    @staticmethod
+    def parts(text: str | None) -> list[str]:
+        """Latin-1 texts, which need no composition and have simple lower case, in the
+        tokenizer's own pieces; others between blanks and line ends, where it always splits."""
+        if not text:
+            return []
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text.replace("\n", " ").split(" ")
+        return _PIECES.findall(text.lower())
+
     def learn(self, parts: Iterable[str]) -> None:
-        """Ids of new parts from those of their stem and the punctuation behind it."""
-        cut = [(part, *self.stem_and_tail(part)) for part in parts]
-        new = {s for _, stem, tail in cut for s in (stem, tail)}.difference(self.known)
-        plain = [p for p in new if self.MARK not in p]
+        plain = [p for p in parts if self.MARK not in p]
         for at in range(0, len(plain), WORDS_AT_ONCE):
             some = plain[at : at + WORDS_AT_ONCE]
             ids = self.encode(f" {self.MARK} ".join(some))
@@ -63,22 +80,11 @@ class _Encoder:
             for part, end in zip(some, ends, strict=True):
                 self.known[part] = raw[4 * start : 4 * end]
                 start = end + 1
-        for part in new.difference(plain):
+        for part in set(parts).difference(plain):
             self.known[part] = self.encode(part).tobytes()
-        for part, stem, tail in cut:
-            self.known[part] = self.known[stem] + self.known[tail] if tail else self.known[stem]
-
-    @staticmethod
-    def stem_and_tail(part: str) -> tuple[str, str]:
-        """The tokenizer always splits between a letter or digit and ASCII punctuation, and
-        lower-cases; below U+0130 its lower case is that of Python and needs no composition."""
-        stem = part.rstrip(string.punctuation)
-        if not stem or not stem[-1].isalnum():
-            return part, ""
-        return stem.lower() if max(stem) < "\u0130" else stem, part[len(stem) :]
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
+        split = [self.parts(t) for t in texts]
         needed = set().union(*split)
         if len(self.known) + len(needed) > CACHED_WORDS:
             self.known.clear()
