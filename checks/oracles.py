@@ -210,16 +210,29 @@ WINDOW_LISTS = f"""with {ITEMS},
 found as (
   select created_utc, {NAMES['user']} as users, {NAMES['subreddit']} as subreddits,
     {NAMES['url']} as urls from items),
-spread as (
+fanned as (
   select (floor(created_utc / 5) * 5)::bigint - 5 * k as window_start, users, subreddits, urls
   from found, range(12) as r(k))
-select window_start, window_start + 60 as window_end, 0::bigint as part, count(*)::int as items,
-  array_to_string(list_sort(flatten(list(users))), ' ') as users,
-  array_to_string(list_sort(flatten(list(subreddits))), ' ') as subreddits,
-  array_to_string(list_sort(flatten(list(urls))), ' ') as urls,
-  sum(len(users))::bigint as users_count, sum(len(subreddits))::bigint as subreddits_count,
-  sum(len(urls))::bigint as urls_count
-from spread group by window_start"""
+select window_start, window_start + 60 as window_end, array_to_string(users, ' ') as users,
+  array_to_string(subreddits, ' ') as subreddits, array_to_string(urls, ' ') as urls,
+  count(*) as copies
+from fanned group by window_start, fanned.users, fanned.subreddits, fanned.urls"""
+
+
+def each_batch(sql: str) -> str:
+    """The result of ``sql`` over the items of each of four batches."""
+    parts = [
+        f"select {k}::int as batch_number, * from ("
+        f"with items as (select * from whole where batch_number % 4 = {k}) {sql})"
+        for k in range(4)
+    ]
+    return f"with {ITEMS}, whole as (from items) " + " union all ".join(parts)
+
+
+TIME_RANGE = """select min(created_utc) as earliest_post, max(created_utc) as latest_post,
+  count(*) as total_items,
+  floor(max(created_utc) - min(created_utc))::bigint as time_range_seconds from items"""
+
 
 USER_SCORES = f"""user_scores as (
   select author, count(score) as score_count, coalesce(sum(score), 0)::bigint as total_score,
@@ -252,7 +265,7 @@ from (
 group by bin, low, high, total, bins"""
 
 
-BOX = f"""{ITEMS},
+BOX = f"""{ITEMS.replace("event_id % 8", "event_id % 12")},
 fences as (
   select batch_number, count(*) as n_items, min(score)::double as min, max(score)::double as max,
     quantile_cont(score, 0.25)::double as q1, quantile_cont(score, 0.5)::double as median,
@@ -294,6 +307,10 @@ scores as (
   from tf group by word)"""
 
 
+TOP_WORDS = f"""from (with {tfidf_sql('items')}
+select word, score from scores order by score desc, word limit 10)"""
+
+
 def polarity_sql(source: str, key: str) -> str:
     values = ", ".join(
         f"('{w}', {weight / 2}::double)"
@@ -397,7 +414,7 @@ select id, round_even(created_utc * 1000000::double, 0)::bigint as created_micro
         "posts_to_items": f"""with {POSTS},
 shaped as (select *, coalesce(title, '') || ' ' || coalesce(selftext, '') as whole from posts)
 select id, 'post' as type, subreddit, title, coalesce(selftext, '') as text,
-  trim(whole) as full_text, coalesce(author, '[deleted]') as author, score,
+  regexp_replace(whole, '^[{SPACE}]+|[{SPACE}]+$', '', 'g') as full_text, coalesce(author, '[deleted]') as author, score,
   round(coalesce(upvote_ratio, 0), 2) as upvote_ratio, num_comments, created_utc,
   {iso('created_utc')} as created_datetime, url, permalink, null::varchar as post_id, is_self,
   null::boolean as is_submitter, over_18, spoiler, locked,
@@ -418,9 +435,9 @@ select 'comment', subreddit, id, body, created_utc, coalesce(author, '[deleted]'
 from comments""",
         "merge_dedupe": f"""with {ITEMS},
 both_ as (select * from items union all
-  select * replace (created_utc + 5 as created_utc, score + 1 as score) from items)
+  select * replace (score + 1 as score) from items)
 select {ITEM_COLUMNS} from (
-  select *, row_number() over (partition by type, id order by created_utc) as k from both_
+  select *, row_number() over (partition by type, id order by score desc) as k from both_
   where subreddit in ('click', 'view', 'error')) where k = 1""",
         "newest_per_community": f"""with {ITEMS}
 select {ITEM_COLUMNS} from (
@@ -444,10 +461,7 @@ select sum(len({word_refs['user']}))::bigint as user_refs,
         "windowed_references_stream": WINDOWS,
         "windowed_reference_lists": WINDOW_LISTS,
         "stream_dedupe": f"with {ITEMS} select {ITEM_COLUMNS} from items",
-        "time_range": f"""with {ITEMS}
-select min(created_utc) as earliest_post, max(created_utc) as latest_post,
-  count(*) as total_items,
-  floor(max(created_utc) - min(created_utc))::bigint as time_range_seconds from items""",
+        "time_range": f"with {ITEMS} " + TIME_RANGE,
         "community_stats": f"with {ITEMS} " + COMMUNITY_STATS,
         "author_stats": f"with {ITEMS} " + AUTHOR_STATS,
         "top_authors": f"""with {ITEMS}
@@ -586,32 +600,42 @@ select type, id, round(polarity, 6) as polarity from polarities""",
         "mean_polarity": f"""with {polarity_sql('documents', 'doc_id')}
 select round(avg(polarity), 6) as avg_sentiment from polarities""",
         "batch_files": f"""with {ITEMS}
-select (batch_number % 2)::int as batch_number, count(*)::bigint as records from items
-group by 1""",
+select (batch_number % 2)::int as batch_number, count(distinct subreddit) as files,
+  count(*)::bigint as records from items group by 1""",
         "stored_batches_roundtrip": f"""with {ITEMS}
 select {ITEM_COLUMNS}, (batch_number % 2)::int as batch_number from items""",
         "current_batch": f"""with {ITEMS}
 select {ITEM_COLUMNS}, 1::int as batch_number from items where batch_number % 2 = 1""",
-        "job_metrics": METRICS.replace(
-            "event_id % 8 as batch_number", "0 as batch_number"
-        ).replace("b.batch_number as batch_id, '2024-01-01 00:00:00' as processing_time, ", "")
+        "job_metrics": METRICS.replace("event_id % 8 as batch_number", "event_id % 4 as batch_number")
+        .replace("'2024-01-01 00:00:00' as processing_time, ", "")
         .replace(
             """,
   top_author.author as most_active_author, coalesce(users.m, 0) as user_ref_mentions,
   coalesce(subs.m, 0) as subreddit_ref_mentions, coalesce(urls.m, 0) as url_ref_mentions""",
             ", top_author.author as most_active_author",
         ),
-        "job_user_refs": f"with {ITEMS} " + mentions("items", REFS["user"], "user_ref"),
-        "job_url_refs": f"with {ITEMS} " + mentions("items", REFS["url"], "url_ref"),
-        "job_community_stats": f"with {ITEMS} " + COMMUNITY_STATS,
-        "job_author_stats": f"with {ITEMS} " + AUTHOR_STATS,
+        "job_user_refs": each_batch(mentions("items", REFS["user"], "user_ref")),
+        "job_subreddit_refs": each_batch(mentions("items", REFS["subreddit"], "subreddit_ref")),
+        "job_url_refs": each_batch(mentions("items", REFS["url"], "url_ref")),
+        "job_community_stats": each_batch(COMMUNITY_STATS),
+        "job_author_stats": each_batch(AUTHOR_STATS),
+        "job_top_words": each_batch(TOP_WORDS),
         "job_history_time_range": f"""with {ITEMS}
 select {iso('min(created_utc)', ' ')} as earliest_post,
   {iso('max(created_utc)', ' ')} as latest_post, count(*) as total_items from items""",
-        "lean_job_references": f"""with {ITEMS}
-select sum(len({word_refs['user']}))::bigint as user_refs,
+        "lean_job_references": each_batch(f"""select
+  sum(len({word_refs['user']}))::bigint as user_refs,
   sum(len({word_refs['subreddit']}))::bigint as sub_refs,
-  sum(len({word_refs['url']}))::bigint as url_refs from items""",
+  sum(len({word_refs['url']}))::bigint as url_refs from items"""),
+        "lean_job_time_range": each_batch(TIME_RANGE),
+        "lean_job_authors": each_batch(
+            "select author, count(*) as count from items group by 1 order by 2 desc, 1 limit 5"
+        ),
+        "lean_job_top_words": each_batch(TOP_WORDS),
+        "lean_history_time_range": f"with {ITEMS} " + TIME_RANGE,
+        "lean_history_top_words": f"""with {ITEMS},
+{tfidf_sql('items')}
+select word, score from scores order by score desc, word limit 10""",
         "job_history_top_words": f"""with {ITEMS},
 {tfidf_sql('items')}
 select word, score from scores order by score desc, word limit 10""",

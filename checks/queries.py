@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -28,8 +27,13 @@ from postpulse.plans.sample_items import (
 from postpulse.schemas import LEAN_ITEM, REFERENCE_COLUMNS, RICH_ITEM, canonicalise
 from postpulse.scratch import shared_folder
 from postpulse.sources import batches, sinks
-from postpulse.sources.items import item_lines, parse_lines, parse_times
-from postpulse.sources.tables import spread
+from postpulse.sources.items import (
+    item_lines,
+    parse_lines,
+    parse_times,
+    read_items_stream,
+    stamp,
+)
 from postpulse.streaming import job, windows
 
 RECEIVED = "2024-01-01T00:00:00"
@@ -46,12 +50,8 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
     return items_from_events(table(spark, sf, "events"))
 
 
-def spread_items(spark: SparkSession, sf: str) -> DataFrame:
-    return items_from_events(spread(table(spark, sf, "events")))
-
-
 def items_with_references(spark: SparkSession, sf: str) -> DataFrame:
-    return mentions.extract_references(spread_items(spark, sf))
+    return mentions.extract_references(items(spark, sf))
 
 
 def rich_items(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,23 +59,22 @@ def rich_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+    return table(spark, sf, "documents").select("doc_id", "text")
 
 
 def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
     columns = table(spark, sf, "documents").select("doc_id", "text", "source")
-    return posts_from_documents(spread(columns))
+    return posts_from_documents(columns)
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    columns = table(spark, sf, "pages").select(
+    return table(spark, sf, "pages").select(
         "page_id", F.concat_ws(" ", "url", "html").alias("text")
     )
-    return spread(columns)
 
 
 def enriched_items(spark: SparkSession, sf: str) -> DataFrame:
-    return texts.enrich(spread_items(spark, sf), keep=["id"])
+    return texts.enrich(items(spark, sf), keep=["id"])
 
 
 def enriched_documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -150,10 +149,10 @@ def lean_items(spark, sf):
 
 
 def merge_dedupe(spark, sf):
-    once = items(spark, sf)
-    later = once.withColumns(
-        {"created_utc": F.col("created_utc") + 5.0, "score": F.col("score") + 1}
-    )
+    once = items(spark, sf).withColumn("timestamp_received", F.lit("2024-01-01T01:00:00"))
+    # The copy that came first has the larger content.
+    earlier = {"timestamp_received": F.lit(RECEIVED), "score": F.col("score") + 1}
+    later = once.withColumns(earlier)
     kept = ingest.only_communities(ingest.merge_items(once, later), ["click", "view", "error"])
     return ingest.dedupe(kept).select(*ITEM_COLUMNS)
 
@@ -200,11 +199,11 @@ def reference_dialects(spark, sf):
 
 
 def reference_totals(spark, sf):
-    return mentions.reference_totals(spread_items(spark, sf))
+    return mentions.reference_totals(items(spark, sf))
 
 
 def windowed_references(spark, sf):
-    return epoch_windows(mentions.windowed_references(spread_items(spark, sf)))
+    return epoch_windows(mentions.windowed_references(items(spark, sf)))
 
 
 def epoch_windows(df: DataFrame) -> DataFrame:
@@ -214,35 +213,47 @@ def epoch_windows(df: DataFrame) -> DataFrame:
 
 
 def windowed_reference_lists(spark, sf):
-    lists = mentions.windowed_reference_lists(spread_items(spark, sf))
-    flat = lists.withColumn("items", F.size("users")).withColumns(
-        {
-            c: F.array_join(F.sort_array(F.flatten(c)), " ")
-            for c in ("users", "subreddits", "urls")
-        }
-    )
-    return epoch_windows(flat)
+    lists = mentions.windowed_reference_lists(items(spark, sf))
+    return epoch_windows(joined(lists, "users", "subreddits", "urls"))
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
-    # The table may be one file or a folder of files; a stream takes both by pattern.
-    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
-    return items_from_events(events)
+def put_in_order(spark: SparkSession, frames: list[DataFrame]) -> str:
+    """Each frame as one more Parquet file of a folder, so that a stream takes them in turn."""
+    folder = shared_folder(spark, "arrivals")
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def time_slices(df: DataFrame, n: int = 4) -> list[DataFrame]:
+    """The items in ``n`` parts of equal time span, in order."""
+    low, high = df.agg(F.min("created_utc"), F.max("created_utc")).first()
+    part = F.least(F.floor((F.col("created_utc") - low) / (high - low) * n), F.lit(n - 1))
+    return [df.filter(part == i) for i in range(n)]
+
+
+def arriving(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
+    """A stream that gets one frame in each micro-batch."""
+    folder = put_in_order(spark, frames)
+    source = spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1)
+    return stamp(source.parquet(folder))
 
 
 def windowed_references_stream(spark, sf):
     root = shared_folder(spark, "windows")
-    windows.start_windowed_references(event_stream(spark, sf), root, None).awaitTermination()
+    stream = arriving(spark, time_slices(items(spark, sf)))
+    windows.start_windowed_references(stream, root, None).awaitTermination()
     return epoch_windows(windows.read_windowed_references(spark, root))
 
 
 def stream_dedupe(spark, sf):
+    """Old and new items arrive mixed, then a changed copy of each; eight micro-batches."""
     root = shared_folder(spark, "dedupe")
-    twice = ingest.merge_items(event_stream(spark, sf), event_stream(spark, sf))
-    timed = twice.withColumn("created_ts", F.col("created_utc").cast("timestamp"))
+    parts = time_slices(items(spark, sf).select(*ITEM_COLUMNS))
+    first = [parts[i] for i in (2, 0, 3, 1)]
+    again = [p.withColumn("score", F.col("score") - 1) for p in parts]
     windows.start_deduped_files(
-        timed, f"{root}/items", f"{root}/checkpoint", "created_ts"
+        arriving(spark, first + again), f"{root}/items", f"{root}/checkpoint"
     ).awaitTermination()
     return spark.read.parquet(f"{root}/items").select(*ITEM_COLUMNS)
 
@@ -296,12 +307,17 @@ def score_histogram(spark, sf):
     return distribution.histogram(items(spark, sf), "score", 30)
 
 
+def twelve_batches(spark: SparkSession, sf: str) -> DataFrame:
+    number = F.substring("id", 2, 20).cast("bigint")
+    return items(spark, sf).withColumn("batch_number", number % 12)
+
+
 def score_box(spark, sf):
-    return distribution.box_stats(items(spark, sf), "score", "batch_number", 8)
+    return distribution.box_stats(twelve_batches(spark, sf), "score", "batch_number", 8)
 
 
 def score_outliers(spark, sf):
-    return distribution.box_outliers(items(spark, sf), "score", "batch_number", 8)
+    return distribution.box_outliers(twelve_batches(spark, sf), "score", "batch_number", 8)
 
 
 def user_scores(spark, sf):
@@ -475,20 +491,14 @@ def plain_tokens(spark, sf):
 
 def tfidf_vectors(spark, sf):
     posts = ingest.posts_to_items(raw_posts(spark, sf), F.lit(RECEIVED))
-    vectors = tfidf.tfidf_vectors(posts).withColumn(
-        "weights", F.filter(vector_to_array("features"), lambda w: w != 0)
-    )
-    return vectors.select(
-        "id",
-        F.size("filtered_words").alias("words"),
-        F.size("weights").alias("buckets"),
-        F.round(F.aggregate("weights", F.lit(0.0), lambda a, w: a + w), 6).alias("weight"),
-    )
+    vectors = tfidf.tfidf_vectors(posts)
+    rows = vectors.select("id", F.size("filtered_words").alias("words"), F.inline("features"))
+    return rounded(rows, 6, "weight")
 
 
 def polarity(spark, sf):
     scored = texts.polarity(
-        spread_items(spark, sf), polarity_words(spark), key=["type", "id"], text_col="text"
+        items(spark, sf), polarity_words(spark), key=["type", "id"], text_col="text"
     )
     return rounded(scored, 6, "polarity")
 
@@ -513,18 +523,9 @@ def _stored(spark: SparkSession, sf: str) -> str:
     return root
 
 
-def file_inventory(spark, sf):
-    found = batches.file_inventory(spark, sf)
-    return found.select(
-        F.regexp_extract("path", r"([a-z]+)\.parquet$", 1).alias("table_name"),
-        "extension",
-        (F.col("length") > 0).alias("has_bytes"),
-    )
-
-
 def batch_files(spark, sf):
     stored = batches.read_batches(spark, _stored(spark, sf))
-    return batches.batch_files(stored).select("batch_number", "records")
+    return batches.batch_files(stored)
 
 
 def stored_batches_roundtrip(spark, sf):
@@ -537,36 +538,46 @@ def current_batch(spark, sf):
     return batches.latest_batch(stored).select(*ITEM_COLUMNS, "batch_number")
 
 
-_job_roots: dict[tuple[str, str], str] = {}
+def line_stream(spark: SparkSession, df: DataFrame, schema: StructType) -> DataFrame:
+    """The items as JSON lines, one file and micro-batch for each of four batch numbers."""
+    folder = shared_folder(spark, "lines")
+    for number in range(4):
+        part = df.filter(F.col("batch_number") % 4 == number).select(*schema.names)
+        item_lines(part).coalesce(1).write.mode("append").text(folder)
+    return read_items_stream(spark, "text", schema, folder, maxFilesPerTrigger="1")
 
 
 def job_root(spark: SparkSession, sf: str) -> str:
-    """Outputs of the stream job over all events; one run per application serves all queries."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _job_roots:
-        root = shared_folder(spark, "job")
-        stream = mentions.extract_references(event_stream(spark, sf).drop("batch_number"))
-        job.start_job(stream, root, interval=None, name=f"job{len(_job_roots)}").awaitTermination()
-        _job_roots[key] = root
-    return _job_roots[key]
+    """Outputs of the stream job over all events in four micro-batches of JSON lines."""
+    root = shared_folder(spark, "job")
+    stream = line_stream(spark, rich_items(spark, sf), RICH_ITEM)
+    job.start_job(stream, root, interval=None, name=root[-32:]).awaitTermination()
+    return root
 
 
-def _job_details(spark: SparkSession, sf: str, suffix: str, schema: str) -> DataFrame:
-    metrics = job.JobFolders(job_root(spark, sf)).metrics
-    return spark.read.schema(schema).json(f"{metrics}/batch_*_{suffix}")
+def details(spark: SparkSession, root: str, suffix: str, schema: str) -> DataFrame:
+    """One kind of output with the number of its batch."""
+    rows = spark.read.schema(schema).json(f"{job.JobFolders(root).metrics}/batch_*{suffix}")
+    number = batches.batch_number(F.col("_metadata.file_path"))
+    return rows.select(number.alias("batch_number"), "*")
 
 
 def job_metrics(spark, sf):
     stored = batches.read_metrics(spark, job.JobFolders(job_root(spark, sf)).metrics)
-    return stored.drop("processing_time", "batch_id")
+    return stored.drop("processing_time")
 
 
 def job_user_refs(spark, sf):
-    return _job_details(spark, sf, "user_refs", "user_ref string, mention_count bigint")
+    return details(spark, job_root(spark, sf), "_user_refs", "user_ref string, mention_count bigint")
+
+
+def job_subreddit_refs(spark, sf):
+    schema = "subreddit_ref string, mention_count bigint"
+    return details(spark, job_root(spark, sf), "_subreddit_refs", schema)
 
 
 def job_url_refs(spark, sf):
-    return _job_details(spark, sf, "url_refs", "url_ref string, mention_count bigint")
+    return details(spark, job_root(spark, sf), "_url_refs", "url_ref string, mention_count bigint")
 
 
 def job_community_stats(spark, sf):
@@ -574,12 +585,17 @@ def job_community_stats(spark, sf):
         "subreddit string, type string, item_count bigint, avg_score double, "
         "total_comments bigint, max_score int, min_score int"
     )
-    return _job_details(spark, sf, "subreddit_stats", schema)
+    return details(spark, job_root(spark, sf), "_subreddit_stats", schema)
 
 
 def job_author_stats(spark, sf):
     schema = "author string, posts_count bigint, avg_score double, total_comments bigint"
-    return _job_details(spark, sf, "author_stats", schema)
+    return details(spark, job_root(spark, sf), "_author_stats", schema)
+
+
+def job_top_words(spark, sf):
+    words = details(spark, job_root(spark, sf), "_tfidf_top_words", "word string, score double")
+    return rounded(words, 6, "score")
 
 
 def job_history_time_range(spark, sf):
@@ -590,12 +606,38 @@ def job_history_top_words(spark, sf):
     return rounded(job.history_top_words(spark, job_root(spark, sf)), 6, "score")
 
 
-def lean_job_references(spark, sf):
+def lean_job_root(spark: SparkSession, sf: str) -> str:
     root = shared_folder(spark, "lean-job")
-    lean = event_stream(spark, sf).select(*LEAN_ITEM.names)
-    job.start_lean_job(lean, root, interval=None, name=f"lean{id(lean)}").awaitTermination()
+    stream = line_stream(spark, items(spark, sf), LEAN_ITEM).select(*LEAN_ITEM.names)
+    job.start_lean_job(stream, root, interval=None, name=root[-32:]).awaitTermination()
+    return root
+
+
+def lean_job_references(spark, sf):
     schema = "user_refs bigint, sub_refs bigint, url_refs bigint"
-    return spark.read.schema(schema).json(f"{root}/metrics/batch_*_batch_references")
+    return details(spark, lean_job_root(spark, sf), "_batch_references", schema)
+
+
+def lean_job_time_range(spark, sf):
+    schema = "earliest_post double, latest_post double, total_items bigint, time_range_seconds bigint"
+    return details(spark, lean_job_root(spark, sf), "_batch_time_range", schema)
+
+
+def lean_job_authors(spark, sf):
+    return details(spark, lean_job_root(spark, sf), "_batch_authors", "author string, count bigint")
+
+
+def lean_job_top_words(spark, sf):
+    words = details(spark, lean_job_root(spark, sf), "_batch_tfidf", "word string, score double")
+    return rounded(words, 6, "score")
+
+
+def lean_history_time_range(spark, sf):
+    return job.lean_history(spark, lean_job_root(spark, sf))["history_time_range"]
+
+
+def lean_history_top_words(spark, sf):
+    return rounded(job.lean_history(spark, lean_job_root(spark, sf))["history_tfidf"], 6, "score")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -613,8 +655,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         text_complexity, engagement_points, meaningful_words, top_terms, top_phrases, top_terms_items,
         top_phrases_items, unique_terms, engagement_correlation, text_summary,
         tfidf_top_words, tfidf_words, plain_tokens, tfidf_vectors, polarity, mean_polarity,
-        file_inventory, batch_files, stored_batches_roundtrip, current_batch,
-        job_metrics, job_user_refs, job_url_refs, job_community_stats, job_author_stats,
-        job_history_time_range, job_history_top_words, lean_job_references,
+        batch_files, stored_batches_roundtrip, current_batch,
+        job_metrics, job_user_refs, job_subreddit_refs, job_url_refs, job_community_stats,
+        job_author_stats, job_top_words, job_history_time_range, job_history_top_words,
+        lean_job_references, lean_job_time_range, lean_job_authors, lean_job_top_words,
+        lean_history_time_range, lean_history_top_words,
     ]
     return {f.__name__: f for f in chosen}

@@ -25,6 +25,11 @@ def has_content(text: Column) -> Column:
     return F.coalesce(text.rlike(rf"[{WORD}\[\]]"), F.lit(False))
 
 
+def stripped(text):
+    """Without white space at either end, as Python counts white space."""
+    return F.regexp_replace(text, rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+
+
 def clean(text: Column) -> Column:
     """Links, @users and #tags become marks, other punctuation blanks, all lower case.
 

@@ -19,11 +19,27 @@ def epoch_to_timestamp(seconds: Column) -> Column:
 
 
 def clock_text(ts: Column, separator: str = "T") -> Column:
-    """ISO text of a timestamp; microseconds appear only when there are any."""
-    pattern = f"yyyy-MM-dd'{separator}'HH:mm:ss"
-    return F.when(
-        F.unix_micros(ts) % 1_000_000 == 0, F.date_format(ts, pattern)
-    ).otherwise(F.date_format(ts, pattern + ".SSSSSS"))
+    """ISO text of a timestamp in UTC; microseconds appear only when there are any."""
+    micros = F.unix_micros(ts)
+    day = F.floor(micros / F.lit(86_400_000_000))
+    seconds = F.floor(F.pmod(micros, F.lit(86_400_000_000)) / 1_000_000).cast("int")
+
+    def digits(number: Column, n: int = 2) -> Column:
+        return F.lpad(number.cast("string"), n, "0")
+
+    clock = F.concat_ws(
+        ":",
+        digits(F.floor(seconds / 3600)),
+        digits(F.floor(seconds / 60) % 60),
+        digits(seconds % 60),
+    )
+    fraction = F.pmod(micros, F.lit(1_000_000))
+    return F.concat(
+        F.date_from_unix_date(day.cast("int")).cast("string"),
+        F.lit(separator),
+        clock,
+        F.when(fraction == 0, "").otherwise(F.concat(F.lit("."), digits(fraction, 6))),
+    )
 
 
 def bins(value: Column, edges: Sequence[tuple[float | None, str]]) -> Column:

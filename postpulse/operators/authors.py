@@ -83,5 +83,7 @@ def top_contributors(enriched: DataFrame, n: int = 8) -> DataFrame:
     top = totals.orderBy(F.desc("engagement"), "author").limit(max(n, 2))
     # The window sees the few rows that are left.
     authors = F.count("*").over(Window.partitionBy())
-    several = top.withColumn("_authors", authors).filter(F.col("_authors") > 1)
-    return several.drop("_authors").orderBy("engagement", F.desc("author"))
+    place = F.row_number().over(Window.orderBy(F.desc("engagement"), "author"))
+    several = top.withColumns({"_authors": authors, "_place": place})
+    kept = several.filter((F.col("_authors") > 1) & (F.col("_place") <= n))
+    return kept.drop("_authors", "_place").orderBy("engagement", F.desc("author"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.values import share_of
 
@@ -18,15 +18,105 @@ def category_shares(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """How often each non-NULL value occurs: the small input of the figures below.
+def beside(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``by``, NULL equal to NULL; without ``by`` the one row of ``right`` to all.
 
-    NULLs are dropped by their count afterwards; a filter on the value itself would
-    move below a computed column and repeat its expression for every row.
+    A plain equality would infer a filter on the keys, which moves below the counts of one
+    side only, so that the rows would be read again.
     """
+    if not by:
+        return left.crossJoin(F.broadcast(right))
+    renamed = right.select(
+        *[F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in right.columns]
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return left.join(renamed, same, how).drop(*[f"_{c}" for c in by])
+
+
+def _all_counts(df: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """Rows per value; a NULL value has none, but keeps its group in the table."""
     value = F.col(column).cast("double")
-    counts = df.groupBy(*by, value.alias("value")).agg(F.count(column).alias("n"))
-    return counts.filter(F.col("n") > 0)
+    return df.groupBy(*by, value.alias("value")).agg(F.count(column).alias("n"))
+
+
+def _of_numbers(counts: DataFrame) -> DataFrame:
+    # The condition depends on the count, so it stays above the aggregate: all readers of
+    # the counts have the same shuffle, and a computed column is not repeated below.
+    return counts.filter(F.when(~F.isnan("value"), F.col("n")) > 0)
+
+
+def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """How often each value occurs, NULL and NaN left out: the small input of the figures below."""
+    return _of_numbers(_all_counts(df, column, by))
+
+
+QUANTILE_BINS = 1024
+
+
+def exact_quantiles(
+    counts: DataFrame, by: Sequence[str], shares: dict[str, float]
+) -> DataFrame:
+    """Interpolated quantiles of value counts (value, n), one column for each name in ``shares``.
+
+    Values are first counted in bins of equal width; only the bins that hold a wanted rank
+    are sorted, each in its own window. No task sees all values of a group.
+    """
+    by = list(by)
+    bounds = counts.groupBy(*by).agg(
+        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
+    )
+    bounded = beside(counts, bounds, by)
+    width = F.col("high") - F.col("low")
+    place = F.floor((F.col("value") - F.col("low")) / width * QUANTILE_BINS)
+    finite = (width > 0) & (width < float("inf"))
+    binned = bounded.withColumn(
+        "bin", F.when(finite, F.least(place, F.lit(QUANTILE_BINS - 1))).otherwise(0)
+    )
+    ranks = F.array_sort(
+        F.array_distinct(
+            F.concat(
+                *[
+                    F.array(F.floor((F.col("total") - 1) * q), F.ceil((F.col("total") - 1) * q))
+                    for q in shares.values()
+                ]
+            )
+        )
+    )
+    in_order = Window.partitionBy(*by).orderBy("bin")
+    bins = (
+        binned.groupBy(*by, "bin", "total")
+        .agg(F.sum("n").alias("m"))
+        .withColumn("before", F.sum("m").over(in_order) - F.col("m"))
+        .withColumn(
+            "ranks",
+            F.filter(
+                ranks, lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("m"))
+            ),
+        )
+        .filter(F.size("ranks") > 0)
+        .select(*by, "bin", "before", "ranks")
+    )
+    inside = Window.partitionBy(*by, "bin").orderBy("value")
+    found = (
+        beside(binned, bins, [*by, "bin"])
+        .withColumn("upto", F.col("before") + F.sum("n").over(inside))
+        .withColumn(
+            "ranks",
+            F.filter("ranks", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n"))),
+        )
+        .select(*by, "total", "value", F.explode("ranks").alias("rank"))
+    )
+    at = found.groupBy(*by, "total").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at")
+    )
+
+    def quantile(q: float):
+        position = (F.col("total") - 1) * q
+        low = F.element_at("at", F.floor(position))
+        high = F.element_at("at", F.ceil(position))
+        return low + (high - low) * (position - F.floor(position))
+
+    return at.select(*by, *[quantile(q).alias(name) for name, q in shares.items()])
 
 
 def histogram(df: DataFrame, column: str, bin_count: int) -> DataFrame:
@@ -53,28 +143,31 @@ def histogram(df: DataFrame, column: str, bin_count: int) -> DataFrame:
     )
 
 
-def first_groups(df: DataFrame, by: str, n: int) -> DataFrame:
-    """Rows of the ``n`` smallest values of ``by``."""
-    chosen = df.select(by).distinct().orderBy(by).limit(n)
-    return df.join(F.broadcast(chosen), by, "left_semi")
+def _box_counts(df: DataFrame, column: str, by: str, first: int | None) -> DataFrame:
+    """Value counts of all groups, or of the ``first`` smallest; the rows are scanned once."""
+    everything = _all_counts(df, column, [by])
+    counts = _of_numbers(everything)
+    if first is None:
+        return counts
+    # The (true) condition keeps the counts alive, so that both readers share one shuffle.
+    groups = everything.groupBy(by).agg(F.sum("n").alias("_rows")).filter("_rows >= 0")
+    chosen = groups.orderBy(by).limit(first).select(by)
+    return beside(counts, F.broadcast(chosen), [by])
 
 
 def _quartiles(counts: DataFrame, by: str) -> DataFrame:
-    quartiles = F.percentile("value", F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]), F.col("n"))
     stats = counts.groupBy(by).agg(
-        quartiles.alias("q"),
-        F.sum("n").alias("n_items"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        F.sum("n").alias("n_items"), F.min("value").alias("min"), F.max("value").alias("max")
     )
-    q1, q2, q3 = (F.col("q")[i] for i in range(3))
-    return stats.select(
+    quartiles = exact_quantiles(counts, [by], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q1, q3 = F.col("q1"), F.col("q3")
+    return beside(stats, quartiles, [by]).select(
         by,
         "n_items",
         "min",
-        q1.alias("q1"),
-        q2.alias("median"),
-        q3.alias("q3"),
+        "q1",
+        "median",
+        "q3",
         "max",
         (q1 - 1.5 * (q3 - q1)).alias("lower_fence"),
         (q3 + 1.5 * (q3 - q1)).alias("upper_fence"),
@@ -88,14 +181,13 @@ def box_stats(df: DataFrame, column: str, by: str, first: int | None = None) ->
     number of different values. Whiskers end at the outermost value inside the fences,
     which lie 1.5 interquartile ranges from the quartiles.
     """
-    source = df if first is None else first_groups(df, by, first)
-    counts = value_counts(source, column, [by])
+    counts = _box_counts(df, column, by, first)
     fences = _quartiles(counts, by)
     value = F.col("value")
     inside = value.between(F.col("lower_fence"), F.col("upper_fence"))
     figures = ["n_items", "min", "q1", "median", "q3", "max"]
     return (
-        counts.join(fences, by)
+        beside(counts, fences, [by])
         .groupBy(by, *figures)
         .agg(
             F.min(F.when(inside, value)).alias("lower_whisker"),
@@ -107,7 +199,6 @@ def box_stats(df: DataFrame, column: str, by: str, first: int | None = None) ->
 
 def box_outliers(df: DataFrame, column: str, by: str, first: int | None = None) -> DataFrame:
     """Values outside the fences with their number of items."""
-    source = df if first is None else first_groups(df, by, first)
-    counts = value_counts(source, column, [by])
+    counts = _box_counts(df, column, by, first)
     outside = ~F.col("value").between(F.col("lower_fence"), F.col("upper_fence"))
-    return counts.join(_quartiles(counts, by), by).filter(outside).select(by, "value", "n")
+    return beside(counts, _quartiles(counts, by), [by]).filter(outside).select(by, "value", "n")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.references import KINDS, references
+from ..functions.text import stripped
 from ..functions.values import clock_text, column_or, epoch_to_timestamp
 from ..schemas import LEAN_ITEM, REFERENCE_COLUMNS, RICH_ITEM
 
@@ -43,7 +44,7 @@ def posts_to_items(
     values |= {
         "type": F.lit("post"),
         "text": body,
-        "full_text": F.trim(full_text),
+        "full_text": stripped(full_text),
         "author": column_or(posts, "author", DELETED_AUTHOR),
         "upvote_ratio": column_or(posts, "upvote_ratio", 0.0),
         "created_datetime": clock_text(epoch_to_timestamp(F.col("created_utc"))),
@@ -109,8 +110,8 @@ def only_communities(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.filter(F.col("subreddit").isin(*names))
 
 
-def dedupe(df: DataFrame, order: Iterable[str] = ("created_utc",)) -> DataFrame:
-    """One row per (type, id): the first by ``order``.
+def dedupe(df: DataFrame, order: Iterable[str] = ("timestamp_received",)) -> DataFrame:
+    """One row per (type, id): the first by ``order``, by default the first received.
 
     Copies meet in the map-side aggregate, so an id with very many copies sends one
     row per task. Rows that tie in ``order`` are settled by their whole content,
@@ -123,9 +124,15 @@ def dedupe(df: DataFrame, order: Iterable[str] = ("created_utc",)) -> DataFrame:
     return first.select(*keys, "_first.*").select(*df.columns)
 
 
-def dedupe_stream(df: DataFrame, event_time: str, delay: str = "1 minute") -> DataFrame:
-    """First copy of each (type, id); ids are forgotten ``delay`` after their event time."""
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["type", "id"])
+def dedupe_stream(
+    df: DataFrame, arrival: str = "spark_timestamp", remember: str = "1 day"
+) -> DataFrame:
+    """First received copy of each (type, id); ids are forgotten ``remember`` after arrival.
+
+    The watermark follows the arrival, not the creation: an old item that is seen for the
+    first time arrives now, so it is never late.
+    """
+    return df.withWatermark(arrival, remember).dropDuplicatesWithinWatermark(["type", "id"])
 
 
 def _first_per_group(df: DataFrame, group: str, order: list[Column], n: int) -> DataFrame:

@@ -105,78 +105,20 @@ def windowed_reference_lists(
     dialect: str = "name",
     length: int = 60,
     slide: int = 5,
-    part_size: int = 100_000,
-    salts: int = 64,
 ) -> DataFrame:
-    """Reference lists and counts per sliding window, one list per item.
+    """The reference lists of the items of each sliding window, with their number of items.
 
-    A window is one row (``part`` 0) until its lists hold about ``part_size`` entries;
-    a fuller one is spread over as many parts as it needs, so neither a row nor a task
-    grows with the busiest window. Equal list triples are counted first, and a triple
-    with very many copies is cut into pieces, so copies do not pile up either.
+    One row for each window and triple of lists (users, subreddits, urls), ``copies`` items
+    each; totals come from :func:`windowed_references`. Items are counted in panes first, so a
+    busy window costs its different triples, and its rows need not be in one place.
     """
     lists = ("users", "subreddits", "urls")
-    pane = gcd(length, slide)
     rows = df.select(
         _event_time(time_col).alias("ts"),
         *[references(F.col(text_col), kind, dialect).alias(n) for n, kind in zip(lists, KINDS)],
     )
-    pane_start = F.window("ts", f"{pane} seconds")["start"].alias("ts")
-    triples = rows.groupBy(pane_start, *lists).agg(F.count("*").alias("copies"))
-    entries = F.expr("1 + size(users) + size(subreddits) + size(urls)")
-    triples = triples.withColumn("entries", entries)
-
-    # Sizes go from panes to windows; the parts of busy windows go back to their panes.
-    window_start = F.window("ts", f"{length} seconds", f"{slide} seconds")["start"]
-    panes = triples.groupBy("ts").agg(F.expr("sum(copies * entries)").alias("size"))
-    windows = panes.select(window_start.alias("window_start"), "size")
-    busy = (
-        windows.groupBy("window_start")
-        .agg(F.expr(f"ceil(sum(size) / {part_size})").alias("parts"))
-        .filter("parts > 1")
-        .selectExpr(
-            f"""explode(sequence(window_start, window_start + interval {length - pane} seconds,
-                                 interval {pane} seconds)) as ts""",
-            "struct(window_start, parts) as parts",
-        )
-        .groupBy("ts")
-        .agg(F.map_from_entries(F.collect_list("parts")).alias("parts"))
-    )
-    # A busy pane is looked up under every salt, so its rows spread over the join tasks.
-    busy = busy.select("ts", "parts", F.explode(F.expr(f"sequence(0, {salts - 1})")).alias("salt"))
-
-    per_piece = F.expr(f"greatest({part_size} div entries, 1)")
-    pieces = triples.withColumn("per_piece", per_piece).withColumn(
-        "piece", F.explode(F.expr("sequence(0, (copies - 1) div per_piece)"))
-    )
-    salted = pieces.select(
-        "ts",
-        *lists,
-        F.expr("cast(least(per_piece, copies - piece * per_piece) as int)").alias("copies"),
-        F.expr(f"cast(pmod(xxhash64(users, subreddits, urls, piece), {salts}) as int)").alias(
-            "salt"
-        ),
-        F.expr("cast(hash(users, subreddits, urls, piece) as bigint)").alias("hash"),
-    )
-    spread = salted.join(busy, ["ts", "salt"], "left").select(
-        window_start.alias("window_start"), *lists, "copies", "hash", "parts"
-    )
-    parted = spread.withColumn("part", F.expr("coalesce(pmod(hash, parts[window_start]), 0)"))
-    item = F.struct(*lists, "copies")
-    collected = parted.groupBy("window_start", "part").agg(F.collect_list(item).alias("items"))
-    collected = collected.withColumns(
-        {
-            n: F.expr(f"flatten(transform(items, i -> array_repeat(i.{n}, i.copies)))")
-            for n in lists
-        }
-    )
-    return collected.select(
-        "window_start",
-        F.expr(f"window_start + interval {length} seconds").alias("window_end"),
-        "part",
-        *lists,
-        *[
-            F.expr(f"aggregate({n}, 0L, (total, l) -> total + size(l))").alias(f"{n}_count")
-            for n in lists
-        ],
-    )
+    pane = F.window("ts", f"{gcd(length, slide)} seconds")["start"].alias("ts")
+    triples = rows.groupBy(pane, *lists).agg(F.count("*").alias("copies"))
+    window = F.window("ts", f"{length} seconds", f"{slide} seconds").alias("window")
+    windows = triples.groupBy(window, *lists).agg(F.sum("copies").alias("copies"))
+    return windows.select(*_window_columns(F.col("window")), *lists, "copies")

@@ -241,30 +241,20 @@ def unique_terms(
 
 
 def polarity(
-    df: DataFrame,
-    lexicon: DataFrame,
-    key: Sequence[str],
-    text_col: str = "text",
-    broadcast_rows: int = 1_000_000,
+    df: DataFrame, lexicon: DataFrame, key: Sequence[str], text_col: str = "text"
 ) -> DataFrame:
     """Mean polarity of the lexicon words in each item, 0.0 where there are none.
 
-    ``lexicon`` is a table (word, polarity), ``key`` identifies an item. A lexicon of at
-    most ``broadcast_rows`` words (counted first) goes to every task, and an item's words
-    never leave their task. For a larger one the words of an item are counted inside
-    their row and shuffled to the lexicon; adaptive execution splits frequent words.
+    ``lexicon`` is a table (word, polarity), ``key`` identifies an item. The words of an item
+    are counted inside their row and joined to the lexicon; adaptive execution picks the join
+    and splits frequent words. Only matches are shuffled back to their item.
     """
-    lexicon = lexicon.select("word", "polarity")
     words = t.tokens(t.clean(F.col(text_col)))
-    if lexicon.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        rows = df.select(*key, F.explode_outer(words).alias("word"))
-        matched = rows.join(F.broadcast(lexicon), "word", "left").withColumn("tf", F.lit(1))
-    else:
-        runs = df.select(*key, F.sort_array(words).alias("_sorted"))
-        runs = runs.withColumn("_starts", t.run_starts(F.col("_sorted")))
-        terms = t.term_frequencies(F.col("_sorted"), F.col("_starts"))
-        rows = runs.select(*key, terms.alias("_terms")).select(*key, F.inline_outer("_terms"))
-        matched = rows.join(lexicon, "word", "left")
+    runs = df.select(*key, F.sort_array(words).alias("_sorted"))
+    runs = runs.withColumn("_starts", t.run_starts(F.col("_sorted")))
+    terms = t.term_frequencies(F.col("_sorted"), F.col("_starts"))
+    rows = runs.select(*key, terms.alias("_terms")).select(*key, F.inline_outer("_terms"))
+    matched = rows.join(lexicon.select("word", "polarity"), "word", "left")
     hits = F.when(F.col("polarity").isNotNull(), F.col("tf"))
     mean = F.sum(F.col("polarity") * F.col("tf")) / F.nullif(F.sum(hits), F.lit(0))
     return matched.groupBy(*key).agg(F.coalesce(mean, F.lit(0.0)).alias("polarity"))

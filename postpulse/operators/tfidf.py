@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as t
@@ -76,16 +76,40 @@ def tfidf_top_words(df: DataFrame, text_col: str = "text", n: int = 10) -> DataF
 def tfidf_vectors(
     df: DataFrame, text_col: str = "full_text", num_features: int = 1000
 ) -> DataFrame:
-    """Hashed TF-IDF: id, words without stop words, sparse vector."""
-    texts = long_enough(df, text_col).select("id", text_col)
-    pipeline = Pipeline(
-        stages=[
-            Tokenizer(inputCol=text_col, outputCol="words"),
-            StopWordsRemover(inputCol="words", outputCol="filtered_words"),
-            HashingTF(
-                inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features
-            ),
-            IDF(inputCol="raw_features", outputCol="features"),
-        ]
+    """Hashed TF-IDF: id, words without stop words, weights as an array of (bucket, weight).
+
+    Buckets come from the hashing transformer, which learns nothing. Their document
+    frequencies are one row of ``num_features`` numbers, so no job runs before the action.
+    """
+    texts = long_enough(df, text_col)
+    words = t.plain_tokens(text_col, ENGLISH_STOP_WORDS)
+    counted = HashingTF(
+        inputCol="filtered_words", outputCol="counts", numFeatures=num_features
+    ).transform(texts.select("id", words.alias("filtered_words")))
+    buckets = F.filter(
+        F.transform(
+            vector_to_array("counts"),
+            lambda n, i: F.struct(i.alias("bucket"), n.alias("tf")),
+        ),
+        lambda x: x["tf"] > 0,
+    )
+    rows = counted.select("id", "filtered_words", buckets.alias("buckets"))
+    # The entry without a bucket counts the texts.
+    entries = F.concat(F.array(F.lit(-1)), F.col("buckets.bucket"))
+    frequency = (
+        rows.select(F.explode(entries).alias("bucket")).groupBy("bucket").agg(F.count("*").alias("df"))
+    )
+    size = F.max(F.when(F.col("bucket") == -1, F.col("df")))
+    known = frequency.agg(
+        size.alias("n"), F.map_from_entries(F.collect_list(F.struct("bucket", "df"))).alias("dfs")
+    )
+    weights = F.transform(
+        "buckets",
+        lambda x: F.struct(
+            x["bucket"].alias("bucket"),
+            (x["tf"] * _idf(F.col("n"), F.element_at("dfs", x["bucket"]))).alias("weight"),
+        ),
+    )
+    return rows.crossJoin(F.broadcast(known)).select(
+        "id", "filtered_words", weights.alias("features")
     )
-    return pipeline.fit(texts).transform(texts).select("id", "filtered_words", "features")

@@ -19,7 +19,9 @@ def items_from_events(events: DataFrame) -> DataFrame:
         " else concat('user_', cast(user_id as string)) end as author",
         "cast(floor(value) as int) as score",
         "case when event_id % 3 = 0 then cast(event_id % 17 as int) end as num_comments",
-        "cast(unix_micros(cast(ts as timestamp)) as double) / 1e6 as created_utc",
+        # Zone-free: the difference from the epoch, both without a time zone.
+        "cast(timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts) as double) / 1e6"
+        " as created_utc",
         f"""concat(
             element_at({words}, cast(event_id % 14 + 1 as int)), ' ',
             element_at({words}, cast(event_id * 5 % 14 + 1 as int)), ' ',

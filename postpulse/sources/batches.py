@@ -7,6 +7,7 @@ from pyspark.sql.types import StructType
 
 from ..schemas import METRICS, RICH_ITEM
 from .items import parse_times
+from .sinks import write_raw_batch
 
 # Where the batch number stands in a path, and the file kinds that hold data.
 BATCH_IN_PATH = r"batch_(\d+)"
@@ -20,6 +21,10 @@ def batch_number(path: Column) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")).try_cast("int"), F.lit(0))
 
 
+def _has_community(path: Column) -> Column:
+    return F.regexp_extract(path, COMMUNITY_IN_PATH, 1) != ""
+
+
 def _community(path: Column) -> Column:
     """Community in the path; folder names are escaped, and so is the path as a whole."""
 
@@ -37,30 +42,65 @@ def read_batches(
     schema: StructType = RICH_ITEM,
     batch: int | str = "*",
     community: str = "*",
+    skip_broken: bool = False,
+    times: bool = True,
 ) -> DataFrame:
     """Stored batches, each row with batch number, file path and file time.
 
-    Unreadable files are skipped. With the declared schema no file is opened just to
-    learn its columns. Batches are no partitions of one table to Spark, so the community
-    comes from the folder name; ``batch`` and ``community`` (glob patterns) list the
-    wanted folders only.
+    All Parquet files below ``root`` are read, whatever the folders; outside a batch folder
+    the number is 0. A broken file is an error, unless ``skip_broken`` is set: then
+    :func:`files_without_rows` tells what was passed over. With the declared schema no file
+    is opened just to learn its columns; ``times`` turns its time texts into timestamps. The community comes from the folder name, else from
+    the file; ``batch`` and ``community`` (glob patterns) list the wanted folders only.
     """
-    stored = StructType([f for f in schema.fields if f.name != "subreddit"])
+    folder = root
+    if community != "*":
+        folder = f"{root}/batch_{batch}/subreddit={community}"
+    elif batch != "*":
+        folder = f"{root}/batch_{batch}"
     rows = (
-        spark.read.schema(stored)
+        spark.read.schema(schema)
         .option("recursiveFileLookup", "true")
-        .option("ignoreCorruptFiles", "true")
-        .parquet(f"{root}/batch_{batch}/subreddit={community}")
+        .option("pathGlobFilter", "*.parquet")
+        .option("ignoreCorruptFiles", str(skip_broken).lower())
+        .parquet(folder)
     )
     path = F.col("_metadata.file_path")
-    columns = [_community(path).alias(n) if n == "subreddit" else F.col(n) for n in schema.names]
+    named = F.when(_has_community(path), _community(path)).otherwise(F.col("subreddit"))
+    columns = [named.alias(n) if n == "subreddit" else F.col(n) for n in schema.names]
     tagged = rows.select(
         *columns,
         batch_number(path).alias("batch_number"),
         path.alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_timestamp"),
     )
-    return parse_times(tagged)
+    return parse_times(tagged) if times else tagged
+
+
+def files_without_rows(spark: SparkSession, root: str, batches: DataFrame) -> DataFrame:
+    """Parquet files below ``root`` that gave ``batches`` no row: path, length, is_parquet.
+
+    A file whose end is no Parquet end (``is_parquet`` false) was skipped as broken. A sound
+    file may hold no rows; one that is damaged inside gives its first rows, so only a strict
+    read shows it.
+    """
+    mark = F.lit(b"PAR1")
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(root)
+    )
+    read = batches.select(F.col("file_path").alias("path")).distinct()
+    return files.join(read, "path", "left_anti").select(
+        "path", "length", (F.substring("content", -4, 4) == mark).alias("is_parquet")
+    )
+
+
+def compact_batch(spark: SparkSession, root: str, target: str, batch: int) -> str:
+    """One stored batch written anew below ``target``, small files of a community gathered."""
+    rows = read_batches(spark, root, batch=batch, times=False)
+    return write_raw_batch(rows.select(*RICH_ITEM.names), target, batch)
 
 
 def batch_files(batches: DataFrame) -> DataFrame:

@@ -111,7 +111,11 @@ def lean_outputs(batch: DataFrame) -> dict[str, DataFrame]:
 
 
 def process_lean_batch(batch: DataFrame, batch_id: int, folders: JobFolders) -> None:
-    """Store a batch of lean items and its outputs, and publish them under their names."""
+    """Store a batch of lean items and its outputs, and publish them under their names.
+
+    Its term statistics and time range are stored too; time range and top words over all
+    batches so far are merged from these small tables.
+    """
     if batch.isEmpty():
         return
     spark = batch.sparkSession
@@ -121,6 +125,26 @@ def process_lean_batch(batch: DataFrame, batch_id: int, folders: JobFolders) ->
     for name, frame in outputs.items():
         path = sinks.write_json_batch(frame, folders.metrics, batch_id, f"_{name}")
         sinks.publish(spark.read.schema(frame.schema).json(path), name)
+    lean = spark.read.schema(batch.schema).parquet(stored)
+    sinks.write_parquet_batch(tfidf.term_stats(lean, "text"), folders.terms, batch_id)
+    sinks.write_parquet_batch(tallies.time_range(lean), folders.tallies, batch_id)
+    for name, frame in lean_history(spark, folders.root).items():
+        sinks.publish(frame, name)
+
+
+def lean_history(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Time range and top words over all batches of a lean job, by the name of the view."""
+    ranges = spark.read.parquet(f"{JobFolders(root).tallies}/batch_*")
+    bounds = ranges.agg(
+        F.min("earliest_post").alias("earliest_post"),
+        F.max("latest_post").alias("latest_post"),
+        F.sum("total_items").alias("total_items"),
+    )
+    span = F.floor(F.col("latest_post") - F.col("earliest_post"))
+    return {
+        "history_time_range": bounds.withColumn("time_range_seconds", span),
+        "history_tfidf": history_top_words(spark, root),
+    }
 
 
 def _start(items: DataFrame, folders: JobFolders, interval: str | None, name: str, process):

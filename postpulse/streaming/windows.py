@@ -56,6 +56,17 @@ def read_windowed_references(spark: SparkSession, root: str) -> DataFrame:
     return latest_per_key(log, ["window_start", "window_end"])
 
 
+def compact_windows(spark: SparkSession, root: str, target: str) -> str:
+    """The current count of every window as one epoch of a new log below ``target``.
+
+    For a stopped query: a later run goes on with ``target`` as its root.
+    """
+    path = f"{JobFolders(target).windows}/epoch_-1"
+    current = read_windowed_references(spark, root).withColumn("epoch", F.lit(-1))
+    current.write.mode("overwrite").parquet(path)
+    return path
+
+
 def start_files(
     df: DataFrame, path: str, checkpoint: str, interval: str | None = None, fmt: str = "parquet"
 ) -> StreamingQuery:
@@ -100,8 +111,8 @@ def start_console(df: DataFrame, interval: str | None = None) -> StreamingQuery:
 
 
 def start_deduped_files(
-    items: DataFrame, path: str, checkpoint: str, event_time: str, delay: str = "1 minute",
-    interval: str | None = None,
+    items: DataFrame, path: str, checkpoint: str, arrival: str = "spark_timestamp",
+    remember: str = "1 day", interval: str | None = None,
 ) -> StreamingQuery:
-    """Append the first copy of each item to files."""
-    return start_files(dedupe_stream(items, event_time, delay), path, checkpoint, interval)
+    """Append the first received copy of each item to files."""
+    return start_files(dedupe_stream(items, arrival, remember), path, checkpoint, interval)

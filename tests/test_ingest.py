@@ -78,19 +78,20 @@ def test_canonicalise(spark):
     assert (row.type, row.full_text, row.title) == ("post", "Only title", None)
 
 
-def test_dedupe_keeps_the_first(spark):
+def test_dedupe_keeps_the_first_received(spark):
     df = spark.createDataFrame(
         [
-            ("post", "1", 5.0, "late"),
-            ("post", "1", 2.0, "early"),
-            ("comment", "1", 9.0, "other kind"),
-            ("post", "1", 2.0, "equal time"),
+            ("post", "1", 2.0, "T01:00", "late copy, smaller content"),
+            ("post", "1", 2.0, "T00:00", "received first"),
+            ("comment", "1", 9.0, "T02:00", "other kind"),
         ],
-        "type string, id string, created_utc double, text string",
+        "type string, id string, created_utc double, timestamp_received string, text string",
     )
     rows = {(r.type, r.id): r.text for r in ingest.dedupe(df).collect()}
-    assert rows == {("post", "1"): "early", ("comment", "1"): "other kind"}
+    assert rows == {("post", "1"): "received first", ("comment", "1"): "other kind"}
     assert ingest.dedupe(df).columns == df.columns
+    by_time = ingest.dedupe(df, ["created_utc", "text"]).filter("type = 'post'").first()
+    assert by_time.text == "late copy, smaller content"
 
 
 def test_dedupe_of_one_id_with_very_many_copies(spark):
@@ -99,11 +100,35 @@ def test_dedupe_of_one_id_with_very_many_copies(spark):
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("id"),
         F.col("id").cast("double").alias("created_utc"),
     )
-    out = ingest.dedupe(df)
+    out = ingest.dedupe(df, ["created_utc"])
     assert out.count() == 20_001
     assert out.filter("id = 'hot'").first().created_utc == 0.0
 
 
+def test_white_space_at_the_ends_goes(spark):
+    rows = [("t", "body\n\t"), ("\u00a0t ", None), ("", " \x1c "), ("a", "b\u3000")]
+    posts = spark.createDataFrame([(str(i), *r, 1.0) for i, r in enumerate(rows)],
+                                  "id string, title string, selftext string, created_utc double")
+    texts = [r.full_text for r in ingest.posts_to_items(posts).orderBy("id").collect()]
+    assert texts == [(t + " " + (b or "")).strip() for t, b in rows]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    from checks import queries
+
+    sf = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        shifted = queries.items(spark, sf).agg(F.sum("created_utc")).first()[0]
+        post = spark.createDataFrame([("1", 1700000000.25), ("2", -1.0)], "id string, created_utc double")
+        texts = [r[0] for r in ingest.posts_to_items(post.withColumn("title", F.lit("t")))
+                 .orderBy("id").select("created_datetime").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert shifted == queries.items(spark, sf).agg(F.sum("created_utc")).first()[0]
+    assert texts == ["2023-11-14T22:13:20.250000", "1969-12-31T23:59:59"]
+
+
 def test_selection(spark):
     df = spark.createDataFrame(
         [("a", "s", 1.0), ("b", "s", 3.0), ("c", "s", 3.0), ("d", "t", 0.0)],

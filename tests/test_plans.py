@@ -27,8 +27,8 @@ def scans(plan):
     return len(re.findall(r"Scan parquet", plan))
 
 
-STREAMS = {n for n in q.queries() if "stream" in n or "job" in n}
-STORED = {"batch_files", "stored_batches_roundtrip", "current_batch", "file_inventory"}
+STREAMS = {n for n in q.queries() if "stream" in n or "job" in n or n.startswith("lean_history")}
+STORED = {"batch_files", "stored_batches_roundtrip", "current_batch"}
 
 
 @pytest.mark.parametrize("name", sorted(set(q.queries()) - STREAMS - STORED))
@@ -36,7 +36,7 @@ def test_no_python_in_plans(spark, name):
     plan = planned(q.queries()[name](spark, SF))
     # The vector-to-array conversion is a JVM function of the ML library.
     assert "Python" not in plan and "InPandas" not in plan and "ArrowEval" not in plan
-    assert "CartesianProduct" not in plan
+    assert "CartesianProduct" not in plan and "RoundRobin" not in plan
 
 
 def test_metrics_scan_once(spark):
@@ -55,6 +55,21 @@ def test_histogram_reads_the_rows_once(spark):
     assert scans(plan) == 1 and "ReusedExchange" in plan
 
 
+@pytest.mark.parametrize("name", ["batch_history", "overall_history", "batch_insights", "score_box",
+                                  "score_outliers"])
+def test_history_and_boxes_read_the_rows_once(spark, name):
+    plan = final_plan(q.queries()[name](spark, SF))
+    assert scans(plan) == 1 and "ReusedExchange" in plan
+    assert "percentile" not in plan
+
+
+def test_hashed_weights_start_no_job(spark):
+    posts = q.ingest.posts_to_items(q.raw_posts(spark, SF))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    tfidf.tfidf_vectors(posts)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(before)
+
+
 def test_shares_read_the_rows_once(spark):
     plan = final_plan(distribution.category_shares(q.items(spark, SF), "subreddit"))
     assert scans(plan) == 1 and "ReusedExchange" in plan

@@ -65,10 +65,44 @@ def test_stored_batches(spark, tmp_path):
     assert [tuple(r) for r in files] == [(0, 2, 2), (12, 1, 1)]
     assert [r.id for r in batches.current_batch(spark, root).collect()] == ["3"]
     assert [r.id for r in batches.latest_batch(stored).collect()] == ["3"]
-    # An unreadable file is passed over.
+    # An unreadable file is an error, or passed over on demand and then listed.
+    assert batches.files_without_rows(spark, root, stored).isEmpty()
     with open(f"{root}/batch_12/subreddit=a/broken.parquet", "wb") as f:
         f.write(b"no parquet at all")
-    assert batches.read_batches(spark, root).count() == 3
+    with pytest.raises(Exception, match="(?i)parquet"):
+        batches.read_batches(spark, root).count()
+    some = batches.read_batches(spark, root, skip_broken=True)
+    assert some.count() == 3
+    [skipped] = batches.files_without_rows(spark, root, some).collect()
+    assert skipped.path.endswith("broken.parquet") and not skipped.is_parquet
+
+
+def test_batches_of_other_layouts(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    sinks.write_raw_batch(rich(spark, [("1", "a", "x", 1)]), root, 3)
+    rich(spark, [("2", "b", "y", 2)]).write.parquet(f"{root}/batch_7")
+    rich(spark, [("3", "c", "z", 3)]).write.parquet(f"{root}/elsewhere")
+    rows = batches.read_batches(spark, root).orderBy("id").collect()
+    assert [(r.id, r.subreddit, r.batch_number) for r in rows] == [
+        ("1", "a", 3), ("2", "b", 7), ("3", "c", 0),
+    ]
+    assert [r.id for r in batches.read_batches(spark, root, batch=7).collect()] == ["2"]
+    assert [r.id for r in batches.current_batch(spark, root).collect()] == ["2"]
+
+
+def test_one_community_lists_its_folders_only(spark, tmp_path):
+    root, target = str(tmp_path / "raw"), str(tmp_path / "compact")
+    for number in (1, 2):
+        for part in range(3):
+            rows = rich(spark, [(f"{number}{part}", "a", "x", 1), (f"{number}{part}b", "b", "y", 2)])
+            rows.write.mode("append").partitionBy("subreddit").parquet(f"{root}/batch_{number}")
+    files = batches.read_batches(spark, root, community="a").inputFiles()
+    assert len(files) == 6 and all("/subreddit=a/" in f for f in files)
+    batches.compact_batch(spark, root, target, 1)
+    old = batches.read_batches(spark, root, batch=1, times=False).drop("file_path", "file_timestamp")
+    new = batches.read_batches(spark, target, times=False).drop("file_path", "file_timestamp")
+    assert new.exceptAll(old).isEmpty() and old.exceptAll(new).isEmpty()
+    assert len(new.inputFiles()) == 2
 
 
 def test_hot_community_is_split_over_files(spark, tmp_path):
@@ -158,6 +192,18 @@ def test_published_views_and_named_tables(spark):
     assert items.table_if_exists(spark, "no_such_table") is None
 
 
+def test_shared_folder_is_required(monkeypatch):
+    class Session:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch.shared_folder(Session, "x")
+
+
 def test_shared_folder_comes_from_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch.shared_folder(spark, "x").startswith(f"{base}/x-")

@@ -129,6 +129,7 @@ def test_author_summary_sample_and_contributors(spark):
         [("a", 1), ("b", 5), ("b", None), ("c", None)], "author string, engagement_score int"
     )
     assert [tuple(r) for r in authors.top_contributors(df, 2).collect()] == [("a", 1), ("b", 5)]
+    assert [tuple(r) for r in authors.top_contributors(df, 1).collect()] == [("b", 5)]
     assert authors.top_contributors(df.filter("author = 'a'")).isEmpty()
 
 
@@ -179,6 +180,31 @@ def test_histogram(spark):
     assert [(r.bin, r["count"]) for r in same] == [(0, 1)]
 
 
+def test_nan_is_in_no_bin(spark):
+    df = spark.createDataFrame([(float(v),) for v in (0, 1, 10, "nan")], "v double")
+    rows = distribution.histogram(df, "v", 5).orderBy("bin").collect()
+    assert [(r.bin, r["count"]) for r in rows] == [(0, 2), (4, 1)]
+
+
+def test_quantiles_are_exact(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    groups = {
+        "a": rng.normal(size=5000) ** 3, "b": rng.integers(0, 4, 999), "c": np.array([7.0]),
+        "d": np.array([1e300, -1e300, 3.0, 3.0]), "e": np.array([-np.inf, 0.0, 1.0, 5.0, np.inf]),
+    }
+    rows = [(g, float(v)) for g, values in groups.items() for v in values]
+    counts = distribution.value_counts(spark.createDataFrame(rows, "g string, v double"), "v", ["g"])
+    shares = {"x": 0.25, "y": 0.5, "z": 0.9}
+    found = {r.g: (r.x, r.y, r.z) for r in distribution.exact_quantiles(counts, ["g"], shares).collect()}
+    for g, values in groups.items():
+        if g == "e":
+            assert found[g][:2] == (0.0, 1.0)
+        else:
+            assert found[g] == pytest.approx(tuple(np.quantile(values, list(shares.values()))), rel=1e-12)
+
+
 def test_box_figures(spark):
     values = [1, 2, 3, 4, 5, 6, 7, 8, 100]
     df = spark.createDataFrame([(0, v) for v in values] + [(1, 5), (9, 5)], "b int, v int")

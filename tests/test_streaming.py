@@ -111,7 +111,10 @@ def test_lean_job(spark, tmp_path):
 
     assert view("current_batch").count() == 4
     assert tuple(view("batch_references").first()) == (2, 1, 1)
-    assert view("batch_windows").agg(F.sum("users_count")).first()[0] == 24
+    users = F.sum(F.size("users") * F.col("copies"))
+    assert view("batch_windows").agg(users).first()[0] == 24
+    assert tuple(view("history_time_range").first()) == (1700000000.0, 1700000065.0, 4, 65)
+    assert view("history_tfidf").collect() == view("batch_tfidf").select("word", "score").collect()
     assert 0 < view("batch_tfidf").count() <= 10
     by_id = {r.id: r.sentiment for r in view("batch_sentiment").collect()}
     assert by_id == {"1": 0.5, "2": 0.0, "3": 0.0, "4": 0.0}
@@ -198,13 +201,48 @@ def test_duplicates_are_dropped_across_batches(spark, tmp_path):
     put_file(spark, ROWS[:3], folder, "1.txt", tmp_path)
     put_file(spark, ROWS[1:3], folder, "2.txt", tmp_path)
     lean = read_items_stream(spark, "text", LEAN_ITEM, folder, maxFilesPerTrigger="1")
-    timed = lean.withColumn("created_ts", F.col("created_utc").cast("timestamp"))
-    windows.start_deduped_files(
-        timed, out, str(tmp_path / "chk"), "created_ts"
-    ).awaitTermination()
+    windows.start_deduped_files(lean, out, str(tmp_path / "chk")).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == ["1", "2", "3"]
 
 
+def test_old_items_that_arrive_first_time_are_kept(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i, at in enumerate([10000.0, 10100.0, 9000.0, 10200.0, 9000.0]):
+        rows = [("post", "a", str(int(at)), f"text {i}", at, "x")]
+        put_file(spark, rows, folder, f"{i}.txt", tmp_path)
+    lean = read_items_stream(spark, "text", LEAN_ITEM, folder, maxFilesPerTrigger="1")
+    windows.start_deduped_files(lean, out, str(tmp_path / "chk")).awaitTermination()
+    got = sorted((r.id, r.text) for r in spark.read.parquet(out).collect())
+    assert got == [("10000", "text 0"), ("10100", "text 1"), ("10200", "text 3"), ("9000", "text 2")]
+
+
+def test_window_log_is_compacted(spark, tmp_path):
+    folder, root, target = (str(tmp_path / n) for n in ("in", "out", "compact"))
+    put_file(spark, ROWS[:2], folder, "1.txt", tmp_path)
+    put_file(spark, ROWS[2:], folder, "2.txt", tmp_path)
+    lean = read_items_stream(spark, "text", LEAN_ITEM, folder, maxFilesPerTrigger="1")
+    windows.start_windowed_references(lean, root, None).awaitTermination()
+    windows.compact_windows(spark, root, target)
+    old, new = (windows.read_windowed_references(spark, r) for r in (root, target))
+    assert new.exceptAll(old).isEmpty() and old.exceptAll(new).isEmpty()
+
+
+def test_broken_file_of_a_batch_stops_the_job(spark, tmp_path, monkeypatch):
+    folders = job.JobFolders(str(tmp_path / "out"))
+    batch = mentions.extract_references(spark.createDataFrame(ROWS, LEAN_ITEM))
+    real = sinks.write_raw_batch
+
+    def broken(df, root, batch_id):
+        path = real(df, root, batch_id)
+        with open(f"{path}/subreddit=a/broken.parquet", "wb") as f:
+            f.write(b"no parquet at all")
+        return path
+
+    monkeypatch.setattr(sinks, "write_raw_batch", broken)
+    with pytest.raises(Exception, match="(?i)parquet"):
+        job.process_batch(batch, 0, folders)
+
+
 def test_memory_and_console_sinks(spark, tmp_path):
     folder = str(tmp_path / "in")
     write_lines(spark, ROWS, folder)

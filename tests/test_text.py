@@ -180,17 +180,6 @@ def test_polarity_forms_agree(spark):
     assert [r.polarity for r in by_plan] == pytest.approx(expected)
 
 
-def test_polarity_with_a_lexicon_too_large_to_broadcast(spark):
-    rows = [(1, "good good bad"), (2, "odd"), (3, "table"), (4, None)]
-    df = spark.createDataFrame(rows, "id int, text string")
-    words = [("good", 0.5), ("bad", -0.5), ("odd", 0.25)]
-    table = spark.createDataFrame(words, "word string, polarity double")
-    small = texts.polarity(df, table, ["id"]).collect()
-    large = texts.polarity(df, table, ["id"], broadcast_rows=2).collect()
-    assert sorted(map(tuple, small)) == sorted(map(tuple, large))
-    assert {r.id: r.polarity for r in small} == pytest.approx({1: 0.5 / 3, 2: 0.25, 3: 0.0, 4: 0.0})
-
-
 def test_own_scorer(spark):
     df = spark.createDataFrame([("abc",), ("",), (None,)], "text string")
     rows = texts.score_with(df, lambda s: s.str.len().astype("float64")).collect()
