@@ -21,11 +21,11 @@ from .rows import append_columns, draw_of, training_sample
 
 ORDER = 4
 #: Bounds of the training sample, for each language.
-TRAINING_DOCUMENTS = 2000
-TRAINING_CHARACTERS = 4_000_000
+TRAINING_DOCUMENTS = 1500
+TRAINING_CHARACTERS = 2_000_000
 #: A text is rejected beyond so many standard deviations of a word's cross-entropy.
 REJECT_DEVIATIONS = 4.0
-CACHED_WORDS = 700_000
+CACHED_WORDS = 500_000
 UNKNOWN = "und"
 
 _START, _END = 2, 3

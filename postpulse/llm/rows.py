@@ -7,7 +7,6 @@ name (in any case), all other columns pass through untouched.
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -16,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from ..scratch import shared_folder
+
 # So many rows are Python objects at a time.
 ROWS_AT_ONCE = 512
 
@@ -107,14 +108,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``, or that of the context."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: lost executors cost no recomputation."""
     path = shared_folder(df.sparkSession, name)

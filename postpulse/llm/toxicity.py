@@ -11,20 +11,26 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
-from collections import Counter
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .rows import append_columns, draw_of, training_sample
 
 #: Bounds of the training sample, for each label.
-TRAINING_DOCUMENTS = 4000
-TRAINING_CHARACTERS = 8_000_000
+TRAINING_DOCUMENTS = 3000
+TRAINING_CHARACTERS = 5_000_000
+#: So many clean texts are searched for mistakes, and so many mistaken ones are learned from.
+MINED_DOCUMENTS = 20_000
+MINED_CHARACTERS = 60_000_000
+MINED_KEPT = 500
 #: A stem is a toxic seed if chance has less than exp(-SEED_EVIDENCE) and this share is clean.
-SEED_EVIDENCE = 12.0
+SEED_EVIDENCE = 14.0
 SEED_CLEAN_SHARE = 0.02
 BUCKETS = 1 << 18
 STEPS = 60
@@ -48,7 +54,7 @@ class Model:
     transitions: np.ndarray  # log potentials, from label to label
     start: float = 0.0  # log potential of label 1 at the start
     bias: float = 0.0
-    document: np.ndarray = field(default_factory=lambda: np.array([-4.0, 0.0, 0.0]))
+    document: np.ndarray = field(default_factory=lambda: np.array([-4.0, 0.0, 0.0, 0.0, 0.0]))
     name: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
@@ -114,23 +120,39 @@ class _Sample:
             np.fromiter((types.setdefault(w, len(types)) for w in t.split()), np.int64)
             for t in texts
         ]
-        rows = [token_features(w) for w in types]
-        self.owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.feature = np.fromiter((f for r in rows for f in r), np.int64, len(self.owner))
-        words = [_EDGES.sub("", w.lower()) for w in types]
-        names = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        self.word = np.array([names[w] for w in words], np.int64)
+        features, sizes = array("q"), array("q")
+        for token in types:
+            found = token_features(token)
+            features.extend(found)
+            sizes.append(len(found))
+        self.feature = np.array(features)
+        self.owner = np.repeat(np.arange(len(types)), np.array(sizes))
+        names: dict[str, int] = {}
+        words = (_EDGES.sub("", w.lower()) for w in types)
+        self.word = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64)
         self.names = list(names)
-        pieces = [
-            (d, at) for d, ids in enumerate(self.docs) for at in range(0, len(ids), PIECE)
-        ]
-        self.ids = np.zeros((PIECE, len(pieces)), np.int64)
-        self.inside = np.zeros((PIECE, len(pieces)), bool)
-        self.piece_doc = np.array([d for d, _ in pieces], np.int64)
-        for c, (d, at) in enumerate(pieces):
-            part = self.docs[d][at : at + PIECE]
-            self.ids[: len(part), c] = part
-            self.inside[: len(part), c] = True
+        lengths = np.array([len(d) for d in self.docs])
+        pieces = -(-lengths // PIECE)
+        self.piece_doc = np.repeat(np.arange(len(lengths)), pieces)
+        self.ids = np.zeros((PIECE, len(self.piece_doc)), np.int64)
+        self.inside = np.zeros((PIECE, len(self.piece_doc)), bool)
+        column = 0
+        for ids in self.docs:
+            for at in range(0, len(ids), PIECE):
+                part = ids[at : at + PIECE]
+                self.ids[: len(part), column] = part
+                self.inside[: len(part), column] = True
+                column += 1
+
+    def _neighbourhoods(self, label: int) -> np.ndarray:
+        """For each word the different pairs of words around it in texts of one label."""
+        wide = len(self.names) + 1
+        codes = [np.empty(0, np.int64)]
+        for d in np.flatnonzero(self.toxic == label):
+            w = np.concatenate([[wide - 1], self.word[self.docs[d]], [wide - 1]])
+            codes.append(np.unique((w[1:-1] * wide + w[:-2]) * wide + w[2:]))
+        found = np.unique(np.concatenate(codes)) // wide // wide
+        return np.bincount(found, minlength=len(self.names))
 
     def seeds(self) -> np.ndarray:
         """Words whose stem meets in many neighbourhoods of toxic texts and hardly in clean ones.
@@ -139,23 +161,21 @@ class _Sample:
         and after it, so a copied passage counts once. As many toxic ones by chance must be
         unlikely, given the share of toxic neighbourhoods in the sample.
         """
-        contexts = [set(), set()]
-        for label in (0, 1):
-            for d in np.flatnonzero(self.toxic == label):
-                w = np.concatenate([[-1], self.word[self.docs[d]], [-1]])
-                contexts[label].update(zip(w[1:-1].tolist(), w[:-2].tolist(), w[2:].tolist(), strict=True))
-        share = len(contexts[1]) / max(1, len(contexts[0]) + len(contexts[1]))
-        stems: dict[str, list[int]] = {}
-        for label in (0, 1):
-            for w, n in Counter(w for w, _, _ in contexts[label]).items():
-                for stem in stems_of(self.names[w]):
-                    stems.setdefault(stem, [0, 0])[label] += n
-        found = {
-            stem
-            for stem, (clean, toxic) in stems.items()
-            if -toxic * np.log(share) >= SEED_EVIDENCE and clean <= SEED_CLEAN_SHARE * toxic
-        }
-        return np.array([bool(found.intersection(stems_of(w))) for w in self.names], bool)
+        clean, toxic = self._neighbourhoods(0), self._neighbourhoods(1)
+        share = toxic.sum() / max(1, toxic.sum() + clean.sum())
+        hashes, sizes = array("Q"), array("q")
+        for name in self.names:
+            stems = [xxhash.xxh64_intdigest(s) for s in stems_of(name)]
+            hashes.extend(stems)
+            sizes.append(len(stems))
+        owner = np.repeat(np.arange(len(self.names)), np.array(sizes))
+        stems, inverse = np.unique(np.array(hashes), return_inverse=True)
+        of_clean = np.bincount(inverse, clean[owner], len(stems))
+        of_toxic = np.bincount(inverse, toxic[owner], len(stems))
+        telling = (-of_toxic * np.log(share) >= SEED_EVIDENCE) & (
+            of_clean <= SEED_CLEAN_SHARE * of_toxic
+        )
+        return np.bincount(owner, telling[inverse], len(self.names)) > 0
 
     def emissions(self, model: Model) -> np.ndarray:
         by_type = np.bincount(self.owner, model.weights[self.feature], self.owner[-1] + 1)
@@ -189,12 +209,11 @@ def _fit(sample: _Sample, gold: np.ndarray, model: Model) -> Model:
     return Model(weights, transitions.reshape(2, 2), float(start[0]), float(bias[0]))
 
 
-def _document_features(p: np.ndarray) -> tuple[float, float]:
-    """The strongest token in log odds, and how much evidence there is in all."""
-    if not len(p):
-        return -14.0, 0.0
-    top = min(max(float(p.max()), 1e-6), 1 - 1e-6)
-    return float(np.log(top / (1 - top))), float(np.log1p((p * p).sum()))
+def _document_features(p: np.ndarray) -> tuple[float, ...]:
+    """Log odds of the two strongest tokens, the evidence in all, and the length."""
+    top = np.clip(np.sort(np.concatenate([[1e-6, 1e-6], p]))[-2:], 1e-6, 1 - 1e-6)
+    odds = np.log(top / (1 - top))
+    return odds[1], odds[0], float(np.log1p((p * p).sum())), float(np.log1p(len(p)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -230,27 +249,47 @@ def train(
         F.length(text_col).alias("size"),
         draw_of(id_col, text_col).alias("draw"),
     ).join(marks, "id")
+    labelled = labelled.select("draw", F.col("mark").alias("label"), "size")
+    columns = {"id_col": id_col, "text_col": text_col}
     sample = (
         training_sample(
-            texts,
-            labelled.select("draw", F.col("mark").alias("label"), "size"),
-            id_col=id_col,
-            text_col=text_col,
-            documents=TRAINING_DOCUMENTS,
-            characters=TRAINING_CHARACTERS,
+            texts, labelled, documents=TRAINING_DOCUMENTS, characters=TRAINING_CHARACTERS, **columns
         )
+        .select("draw", "label", "words")
         .toPandas()
-        .sort_values("draw")
     )
-    model = Model(np.zeros(BUCKETS), np.zeros((2, 2)))
+    if sample["label"].nunique() < 2:
+        return Model(np.zeros(BUCKETS), np.zeros((2, 2)))
+    model = _trained(sample)
+    # Clean texts that the first model takes for toxic teach the second one.
+    more = training_sample(
+        texts,
+        labelled.filter("label = 0"),
+        documents=MINED_DOCUMENTS,
+        characters=MINED_CHARACTERS,
+        **columns,
+    )
+    mistaken = (
+        score(more, model, text_col="words")
+        .filter("toxicity >= 0.5")
+        .orderBy("draw")
+        .limit(MINED_KEPT)
+        .select("draw", "label", "words")
+        .toPandas()
+    )
+    both = pd.concat([sample, mistaken]).drop_duplicates("draw")
+    return _trained(both) if len(both) > len(sample) else model
+
+
+def _trained(sample: pd.DataFrame) -> Model:
+    """Seeds, three fits of the chain, then the document weights."""
+    sample = sample.sort_values("draw")
     toxic = (sample["label"].to_numpy() > 0).astype(int)
-    texts = [t if t.split() else "." for t in sample["words"]]
-    if len(set(toxic)) < 2:
-        return model
-    known = _Sample(texts, toxic)
+    known = _Sample([t if t.split() else "." for t in sample["words"]], toxic)
     in_toxic = known.toxic[known.piece_doc] == 1
     gold = (known.seeds()[known.word][known.ids] & known.inside & in_toxic).astype(float)
-    # Then what the first fit finds in toxic documents counts as labelled too.
+    model = Model(np.zeros(BUCKETS), np.zeros((2, 2)))
+    # What a fit finds in toxic documents counts as labelled in the next one.
     for _ in range(2):
         model = _fit(known, gold, model)
         p = marginals(model, known.emissions(model)[known.ids], known.inside)
@@ -345,7 +384,7 @@ def score(
         def work(batch: pa.RecordBatch) -> list:
             texts = batch.column(text_col).to_pylist()
             found = window_marginals(model, emitter(texts))
-            x = np.array([_document_features(p) for p in found]).reshape(-1, 2)
+            x = np.array([_document_features(p) for p in found]).reshape(-1, 4)
             logit = model.document[0] + x @ model.document[1:]
             scores = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
             spans = [_spans(t, p) if len(p) and p.max() >= 0.5 else [] for t, p in zip(texts, found)]
