@@ -1,31 +1,37 @@
 """Word lists behind sentiment, topics and term ranking."""
 
 # Graded sentiment words and their weights.
-STRONG_POSITIVE = (
-    "amazing awesome excellent fantastic incredible outstanding brilliant wonderful "
-    "perfect superb magnificent spectacular"
-).split()
+STRONG_POSITIVE = [
+    "amazing", "awesome", "excellent", "fantastic", "incredible", "outstanding", "brilliant",
+    "wonderful", "perfect", "superb", "magnificent", "spectacular",
+]
 
-POSITIVE = (
-    "good great nice love like best better beautiful helpful useful cool fun interesting "
-    "solid decent recommend recommended worth quality smooth easy clear glad happy pleased "
-    "satisfied works working fixed"
-).split()
+POSITIVE = [
+    "good", "great", "nice", "love", "like", "best", "better", "beautiful", "helpful", "useful",
+    "cool", "fun", "interesting", "solid", "decent", "recommend", "recommended", "worth",
+    "quality", "smooth", "easy", "clear", "glad", "happy", "pleased", "satisfied", "works",
+    "working", "fixed",
+]
 
-MILD_POSITIVE = "ok okay fine alright fair reasonable acceptable adequate".split()
+MILD_POSITIVE = [
+    "ok", "okay", "fine", "alright", "fair", "reasonable", "acceptable", "adequate",
+]
 
-STRONG_NEGATIVE = (
-    "terrible awful horrible disgusting pathetic useless garbage trash worst hate despise "
-    "nightmare"
-).split()
+STRONG_NEGATIVE = [
+    "terrible", "awful", "horrible", "disgusting", "pathetic", "useless", "garbage", "trash",
+    "worst", "hate", "despise", "nightmare",
+]
 
-NEGATIVE = (
-    "bad worse suck sucks annoying stupid dumb ridiculous frustrating disappointing failed "
-    "broken problem problems issue issues wrong error bug bugs difficult hard confusing "
-    "complicated slow laggy glitch crash crashed"
-).split()
+NEGATIVE = [
+    "bad", "worse", "suck", "sucks", "annoying", "stupid", "dumb", "ridiculous", "frustrating",
+    "disappointing", "failed", "broken", "problem", "problems", "issue", "issues", "wrong",
+    "error", "bug", "bugs", "difficult", "hard", "confusing", "complicated", "slow", "laggy",
+    "glitch", "crash", "crashed",
+]
 
-MILD_NEGATIVE = "meh boring bland mediocre average lacking outdated".split()
+MILD_NEGATIVE = [
+    "meh", "boring", "bland", "mediocre", "average", "lacking", "outdated",
+]
 
 SENTIMENT_WEIGHTS = (
     (STRONG_POSITIVE, 2.0),
@@ -37,17 +43,32 @@ SENTIMENT_WEIGHTS = (
 )
 
 # A negation right before a (strong) positive word costs this much.
-NEGATIONS = "not no never dont doesn isn aren wasn weren".split()
+NEGATIONS = [
+    "not", "no", "never", "dont", "doesn", "isn", "aren", "wasn", "weren",
+]
 NEGATED_PENALTY = 1.5
 
 # Topic keywords; the order decides ties.
 TOPICS = {
-    "technical": "code programming software app website development tech bug feature".split(),
-    "gaming": "game gaming play player level fps console pc steam".split(),
-    "question": "how what why when where help question anyone does".split(),
-    "discussion": "think opinion thoughts discussion debate view perspective".split(),
-    "news": "news update announcement breaking report article source".split(),
-    "personal": "my me i personal experience story happened today".split(),
+    "technical": [
+        "code", "programming", "software", "app", "website", "development", "tech", "bug",
+        "feature",
+    ],
+    "gaming": [
+        "game", "gaming", "play", "player", "level", "fps", "console", "pc", "steam",
+    ],
+    "question": [
+        "how", "what", "why", "when", "where", "help", "question", "anyone", "does",
+    ],
+    "discussion": [
+        "think", "opinion", "thoughts", "discussion", "debate", "view", "perspective",
+    ],
+    "news": [
+        "news", "update", "announcement", "breaking", "report", "article", "source",
+    ],
+    "personal": [
+        "my", "me", "i", "personal", "experience", "story", "happened", "today",
+    ],
 }
 NO_TOPIC = "general"
 
@@ -55,13 +76,15 @@ NO_TOPIC = "general"
 QUESTION_MARKERS = ["?", "how", "what", "why", "help"]
 
 # Words that are never terms.
-TERM_STOP_WORDS = (
-    "the and or but in on at to for of with by is are was were be been being have has had "
-    "do does did will would could should may might a an as if it he she they we you i me my "
-    "myself this that these those am get got can just like one also even way use used using "
-    "make made making take know think see go going went come now time people than first its "
-    "who user tag url"
-).split()
+TERM_STOP_WORDS = [
+    "the", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "is", "are",
+    "was", "were", "be", "been", "being", "have", "has", "had", "do", "does", "did", "will",
+    "would", "could", "should", "may", "might", "a", "an", "as", "if", "it", "he", "she",
+    "they", "we", "you", "i", "me", "my", "myself", "this", "that", "these", "those", "am",
+    "get", "got", "can", "just", "like", "one", "also", "even", "way", "use", "used", "using",
+    "make", "made", "making", "take", "know", "think", "see", "go", "going", "went", "come",
+    "now", "time", "people", "than", "first", "its", "who", "user", "tag", "url",
+]
 
 # The text columns a row may have, in reading order.
 TEXT_COLUMNS = ["title", "text", "full_text", "body", "content"]

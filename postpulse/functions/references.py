@@ -11,6 +11,8 @@ DIALECTS = {
     "producer": {
         "user": (r"(?iu)/?u/([A-Za-z0-9_-]+)", 1),
         "subreddit": (r"(?iu)/?r/([A-Za-z0-9_-]+)", 1),
+        # Equal to the class [a-zA-Z], [0-9], [$-_@.&+], [!*, ] taken together: the range from
+        # $ to _ holds digits, capitals and the rest; only a-z, ! and the blank are outside.
         "url": (r"https?://[ !$-_a-z]+", 0),
     },
     "token": {

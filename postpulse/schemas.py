@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
-    DataType,
     DoubleType,
     FloatType,
     IntegerType,
@@ -25,36 +24,68 @@ TEXT, WHOLE, LONG, REAL, FLAG = (
 )
 
 
-def _schema(*groups: tuple[str, DataType]) -> StructType:
-    """Nullable fields, given as groups of names of one type."""
-    return StructType([StructField(n, kind) for names, kind in groups for n in names.split()])
-
-
 # Field names, order and types of the three row kinds.
-RICH_ITEM = _schema(
-    ("id type subreddit title text full_text author", TEXT),
-    ("score", WHOLE),
-    ("upvote_ratio", FloatType()),
-    ("num_comments", WHOLE),
-    ("created_utc", REAL),
-    ("created_datetime url permalink post_id", TEXT),
-    ("is_self is_submitter over_18 spoiler locked", FLAG),
-    ("user_references subreddit_references url_references", ArrayType(TEXT)),
-    ("timestamp_received", TEXT),
+RICH_ITEM = StructType(
+    [
+        StructField("id", TEXT),
+        StructField("type", TEXT),
+        StructField("subreddit", TEXT),
+        StructField("title", TEXT),
+        StructField("text", TEXT),
+        StructField("full_text", TEXT),
+        StructField("author", TEXT),
+        StructField("score", WHOLE),
+        StructField("upvote_ratio", FloatType()),
+        StructField("num_comments", WHOLE),
+        StructField("created_utc", REAL),
+        StructField("created_datetime", TEXT),
+        StructField("url", TEXT),
+        StructField("permalink", TEXT),
+        StructField("post_id", TEXT),
+        StructField("is_self", FLAG),
+        StructField("is_submitter", FLAG),
+        StructField("over_18", FLAG),
+        StructField("spoiler", FLAG),
+        StructField("locked", FLAG),
+        StructField("user_references", ArrayType(TEXT)),
+        StructField("subreddit_references", ArrayType(TEXT)),
+        StructField("url_references", ArrayType(TEXT)),
+        StructField("timestamp_received", TEXT),
+    ]
 )
 
-LEAN_ITEM = _schema(("type subreddit id text", TEXT), ("created_utc", REAL), ("author", TEXT))
+LEAN_ITEM = StructType(
+    [
+        StructField("type", TEXT),
+        StructField("subreddit", TEXT),
+        StructField("id", TEXT),
+        StructField("text", TEXT),
+        StructField("created_utc", REAL),
+        StructField("author", TEXT),
+    ]
+)
 
-METRICS = _schema(
-    ("batch_id", LONG),
-    ("processing_time", TEXT),
-    ("total_records time_range_seconds", LONG),
-    ("earliest_post latest_post", TEXT),
-    ("posts_count comments_count unique_subreddits unique_authors", LONG),
-    ("avg_score", REAL),
-    ("max_score min_score", LONG),
-    ("total_user_references total_subreddit_references total_url_references", LONG),
-    ("top_subreddit most_active_author", TEXT),
+METRICS = StructType(
+    [
+        StructField("batch_id", LONG),
+        StructField("processing_time", TEXT),
+        StructField("total_records", LONG),
+        StructField("time_range_seconds", LONG),
+        StructField("earliest_post", TEXT),
+        StructField("latest_post", TEXT),
+        StructField("posts_count", LONG),
+        StructField("comments_count", LONG),
+        StructField("unique_subreddits", LONG),
+        StructField("unique_authors", LONG),
+        StructField("avg_score", REAL),
+        StructField("max_score", LONG),
+        StructField("min_score", LONG),
+        StructField("total_user_references", LONG),
+        StructField("total_subreddit_references", LONG),
+        StructField("total_url_references", LONG),
+        StructField("top_subreddit", TEXT),
+        StructField("most_active_author", TEXT),
+    ]
 )
 
 REFERENCE_COLUMNS = ("user_references", "subreddit_references", "url_references")

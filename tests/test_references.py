@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from postpulse.functions.references import KINDS
+from postpulse.functions.references import DIALECTS, KINDS
 from postpulse.operators import mentions
 from postpulse.schemas import REFERENCE_COLUMNS
 
@@ -123,3 +123,16 @@ def test_totals(spark):
     assert tuple(mentions.reference_totals(df).first()) == (2, 1, 0)
     assert tuple(mentions.reference_totals(df.limit(0)).first()) == (0, 0, 0)
     assert KINDS == ("user", "subreddit", "url")
+
+
+def test_the_short_url_class_equals_the_long_one():
+    import random
+    import re
+
+    rnd = random.Random(1)
+    long = re.compile(r"https?://(?:[a-zA-Z]|[0-9]|[$-_@.&+]|[!* ,])+")
+    short = re.compile(DIALECTS["producer"]["url"][0])
+    signs = [chr(i) for i in range(9, 127)] + ["é", "世"]
+    for _ in range(20_000):
+        text = "".join(rnd.choices(signs, k=8)) + "http://" + "".join(rnd.choices(signs, k=20))
+        assert long.findall(text) == short.findall(text)
