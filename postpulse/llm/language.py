@@ -24,7 +24,7 @@ ORDER = 4
 TRAINING_DOCUMENTS = 1500
 TRAINING_CHARACTERS = 2_000_000
 #: A text is rejected beyond so many standard deviations of a word's cross-entropy.
-REJECT_DEVIATIONS = 4.0
+REJECT_DEVIATIONS = 5.0
 CACHED_WORDS = 500_000
 UNKNOWN = "und"
 

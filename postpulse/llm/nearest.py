@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .rows import reach_workers, stored
 
-QUERY_BLOCK = 8192
-CANDIDATE_BLOCK = 32_768
+QUERY_BLOCK = 4096
+CANDIDATE_BLOCK = 16_384
 #: Queries of a block that are multiplied at a time.
 ROWS_AT_ONCE = 256
 PAIRS_AT_ONCE = 1 << 18
