@@ -20,6 +20,9 @@ from ..scratch import shared_folder
 # So many rows are Python objects at a time.
 ROWS_AT_ONCE = 512
 
+# A classifier is trained for so many labels at most.
+MOST_LABELS = 1000
+
 Worker = Callable[[pa.RecordBatch], list]
 
 
@@ -82,9 +85,15 @@ def training_sample(
     are then looked up. A text that repeats with its id is taken once.
     """
     narrow = labels.groupBy("draw").agg(F.min("label").alias("label"), F.max("size").alias("size"))
-    totals = narrow.groupBy("label").agg(
+    # One row for each label, their number checked, so that no row moves to its label before
+    # the draw has thinned them out.
+    counted = narrow.groupBy("label").agg(
         F.count("*").alias("texts"), F.sum("size").alias("total")
     )
+    known = counted.limit(MOST_LABELS + 1).collect()
+    if len(known) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} different labels")
+    totals = F.broadcast(docs.sparkSession.createDataFrame(known, counted.schema))
     chance = 1.2 * F.least(documents / F.col("texts"), characters / F.greatest("total", F.lit(1)))
     uniform = F.pmod("draw", F.lit(1 << 40)) / float(1 << 40)
     by_label = Window.partitionBy("label").orderBy("draw")
