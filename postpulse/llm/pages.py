@@ -41,11 +41,12 @@ NOISE_ROLES = {
     "menubar", "navigation", "search", "toolbar",
 }
 NOISE_NAMES = {
-    "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs",
-    "comment", "comments", "consent", "cookie", "cookies", "disqus", "footer", "masthead", "menu",
-    "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pager", "pagination", "popup",
-    "promo", "promotion", "related", "share", "sharing", "sidebar", "social", "sponsor",
-    "sponsored", "subscribe", "toolbar", "widget",
+    "ad", "ads", "adsbygoogle", "advert", "adverts", "advertisement", "advertising", "alert",
+    "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies",
+    "disqus", "footer", "gdpr", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation",
+    "newsletter", "notice", "overlay", "pager", "pagination", "popup", "promo", "promotion",
+    "related", "replies", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
+    "subscribe", "toolbar", "widget",
 }
 # Elements of the page's frame: their class names do not make them noise.
 FRAME = {"html", "body", "article", "main"}
