@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame, functions as F
 from .rows import append_columns, draw_of, training_sample
 
 #: Bounds of the training sample, for each label.
-TRAINING_DOCUMENTS = 3000
-TRAINING_CHARACTERS = 5_000_000
+TRAINING_DOCUMENTS = 2500
+TRAINING_CHARACTERS = 4_000_000
 #: So many clean texts are searched for mistakes, and so many mistaken ones are learned from.
 MINED_DOCUMENTS = 20_000
 MINED_CHARACTERS = 60_000_000
 MINED_KEPT = 500
 #: A stem is a toxic seed if chance has less than exp(-SEED_EVIDENCE) and this share is clean.
-SEED_EVIDENCE = 14.0
+SEED_EVIDENCE = 9.0
 SEED_CLEAN_SHARE = 0.02
 BUCKETS = 1 << 18
 STEPS = 60
