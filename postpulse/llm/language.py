@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, draw_of, training_sample
+from .rows import append_columns, draw_of, held, training_sample
 
 ORDER = 4
 #: Bounds of the training sample, for each language.
@@ -26,6 +26,7 @@ TRAINING_CHARACTERS = 2_000_000
 #: A text is rejected beyond so many standard deviations of a word's cross-entropy.
 REJECT_DEVIATIONS = 5.0
 CACHED_WORDS = 500_000
+WORDS_AT_ONCE = 4096
 UNKNOWN = "und"
 
 _START, _END = 2, 3
@@ -224,8 +225,12 @@ class _Scorer:
         new = self.sums[base : base + len(parts)]
         new[:] = 0
         if words:
-            logs, n = log2_words(self.model, list(words))
-            both = np.column_stack([logs, n])[row]
+            new_words = list(words)
+            scored = [
+                np.column_stack(log2_words(self.model, new_words[at : at + WORDS_AT_ONCE]))
+                for at in range(0, len(new_words), WORDS_AT_ONCE)
+            ]
+            both = np.concatenate(scored)[row]
             for column in range(both.shape[1]):
                 new[:, column] = np.bincount(owner, both[:, column], len(parts))
         self.known.update(zip(parts, range(base, base + len(parts)), strict=True))
@@ -249,9 +254,6 @@ class _Scorer:
         return out
 
 
-_scorers: dict[str, _Scorer] = {}
-
-
 def identify(
     docs: DataFrame, model: Model, *, text_col: str = "text", keep_text: bool = True
 ) -> DataFrame:
@@ -265,10 +267,7 @@ def identify(
 
     def make():
         model = shared.value
-        if model.name not in _scorers:
-            _scorers.clear()
-            _scorers[model.name] = _Scorer(model)
-        scorer = _scorers[model.name]
+        scorer = held(("language", model.name), lambda: _Scorer(model))
 
         def one(totals: np.ndarray) -> tuple:
             n = totals[-1]

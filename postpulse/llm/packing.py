@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, reach_workers, shuffle_partitions, stored
+from .rows import append_columns, held, reach_workers, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -26,8 +26,6 @@ PIECES_PER_PARTITION = 50_000
 CACHED_WORDS = 1_000_000
 WORDS_AT_ONCE = 1000
 
-_encoders: dict = {}
-
 
 # The tokenizer's own pieces of a text, for lower-cased Latin-1.
 _PIECES = re.compile(
@@ -96,9 +94,7 @@ class _Encoder:
 
 def encoder(path: str) -> _Encoder:
     """One encoder for each Python worker."""
-    if path not in _encoders:
-        _encoders[path] = _Encoder(path)
-    return _encoders[path]
+    return held(("encoder", path), lambda: _Encoder(path))
 
 
 def token_pieces(

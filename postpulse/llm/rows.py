@@ -26,6 +26,20 @@ MOST_LABELS = 1000
 Worker = Callable[[pa.RecordBatch], list]
 
 
+_held: dict = {}
+
+
+def held(key: tuple, make: Callable):
+    """What ``make`` gives, kept for the next tasks of this Python worker.
+
+    One thing is kept at a time, so the memory of one operator does not add to that of another.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it.
 

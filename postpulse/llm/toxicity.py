@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, draw_of, training_sample
+from .rows import append_columns, draw_of, held, training_sample
 
 #: Bounds of the training sample, for each label.
 TRAINING_DOCUMENTS = 2500
@@ -347,9 +347,6 @@ class _Emitter:
         return [np.fromiter(map(known, parts), np.float64, len(parts)) for parts in split]
 
 
-_emitters: dict[str, _Emitter] = {}
-
-
 def _spans(text: str, p: np.ndarray) -> list[dict]:
     """Runs of tokens with a marginal of one half or more, as code points from and to."""
     tokens, found, last = list(_TOKEN.finditer(text)), [], None
@@ -376,10 +373,7 @@ def score(
 
     def make():
         model = shared.value
-        if model.name not in _emitters:
-            _emitters.clear()
-            _emitters[model.name] = _Emitter(model)
-        emitter = _emitters[model.name]
+        emitter = held(("toxicity", model.name), lambda: _Emitter(model))
 
         def work(batch: pa.RecordBatch) -> list:
             texts = batch.column(text_col).to_pylist()
