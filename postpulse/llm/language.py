@@ -1,7 +1,7 @@
 """Language ID by interpolated Kneser-Ney models of characters, one for each language.
 
-Words are runs of letters without digits beside them, lower-cased and padded with start and end marks; a model predicts
-each letter and the end mark from up to three characters before it. N-grams of all languages lie
+Words are runs of letters without digits beside them, lower-cased and padded with start and end
+marks; a model predicts each letter and the end mark from up to three characters before it. N-grams of all languages lie
 in sorted hash arrays, one for each order, beside a matrix with a column for each language, so
 one binary search serves all models. The language with the lowest cross-entropy per character
 wins; a text whose cross-entropy is far from what its language's words have is rejected.
@@ -162,7 +162,11 @@ def train(
     )
     words = F.explode(F.regexp_extract_all(F.lower("words"), F.lit(f"({_WORD})")))
     counted = (
-        sample.select(F.col("label").alias("lang"), (F.col("n") % 5 == 0).alias("calibrates"), words.alias("word"))
+        sample.select(
+            F.col("label").alias("lang"),
+            (F.col("n") % 5 == 0).alias("calibrates"),
+            words.alias("word"),
+        )
         .groupBy("lang", "word")
         .agg(
             F.count_if(~F.col("calibrates")).alias("fit"),

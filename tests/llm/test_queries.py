@@ -8,10 +8,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from checks.compare import _sorted_rows, connect
-from postpulse.llm import ngrams, registry
+from postpulse.llm import registry
 from tests.llm.test_packing import plain_ids
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
