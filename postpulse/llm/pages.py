@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -80,6 +81,7 @@ class Dom:
         self.tags, self.parents, self.noise = ["#page"], [-1], [False]
         self.events: list[tuple[int, str | None]] = []
         self.open = [0]
+        self.opened: Counter[str] = Counter()  # open elements by tag, to spare most walks up
         at = 0
         while match := _MARKUP.search(page, at):
             self._text(page[at : match.start()])
@@ -105,19 +107,23 @@ class Dom:
     def _pop(self, depth: int) -> None:
         while len(self.open) > depth:
             node = self.open.pop()
+            self.opened[self.tags[node]] -= 1
             self._border(node, self.tags[node])
 
     def _close(self, tag: str) -> None:
+        if not self.opened[tag]:
+            return
         for depth in range(len(self.open) - 1, 0, -1):
             if self.tags[self.open[depth]] == tag:
                 self._pop(depth)
                 return
 
     def _start(self, tag: str, rest: str) -> None:
-        if tag in ("body", "html") and tag in (self.tags[n] for n in self.open):
+        if tag in ("body", "html") and self.opened[tag]:
             return
         inner, barrier = CLOSES.get(tag, ({"p"} if tag in BLOCK else set(), {"table", "button"}))
-        for depth in range(len(self.open) - 1, 0, -1):
+        walk = any(self.opened[name] for name in inner)
+        for depth in range(len(self.open) - 1, 0, -1) if walk else ():
             name = self.tags[self.open[depth]]
             if name in inner:
                 self._pop(depth)
@@ -135,11 +141,12 @@ class Dom:
             self.events.append((parent, " "))
         if tag not in VOID and not (rest.rstrip().endswith("/") and tag not in BLOCK):
             self.open.append(node)
+            self.opened[tag] += 1
 
     def _is_noise(self, tag: str, rest: str) -> bool:
         if tag in NOISE_TAGS:
             return True
-        in_article = any(self.tags[n] in ("article", "main") for n in self.open)
+        in_article = bool(self.opened["article"] or self.opened["main"])
         if tag == "header" and not in_article:
             return True
         if not rest.strip() or tag in FRAME:
