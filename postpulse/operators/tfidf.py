@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as t
@@ -86,12 +85,9 @@ def tfidf_vectors(
     counted = HashingTF(
         inputCol="filtered_words", outputCol="counts", numFeatures=num_features
     ).transform(texts.select("id", words.alias("filtered_words")))
-    buckets = F.filter(
-        F.transform(
-            vector_to_array("counts"),
-            lambda n, i: F.struct(i.alias("bucket"), n.alias("tf")),
-        ),
-        lambda x: x["tf"] > 0,
+    sparse = F.unwrap_udt("counts")
+    buckets = F.zip_with(
+        sparse["indices"], sparse["values"], lambda i, n: F.struct(i.alias("bucket"), n.alias("tf"))
     )
     rows = counted.select("id", "filtered_words", buckets.alias("buckets"))
     # The entry without a bucket counts the texts.
@@ -103,11 +99,14 @@ def tfidf_vectors(
     known = frequency.agg(
         size.alias("n"), F.map_from_entries(F.collect_list(F.struct("bucket", "df"))).alias("dfs")
     )
+    # An array, as a map is searched from its start.
+    places = F.sequence(F.lit(0), F.lit(num_features - 1))
+    known = known.select("n", F.transform(places, lambda i: F.element_at("dfs", i)).alias("dfs"))
     weights = F.transform(
         "buckets",
         lambda x: F.struct(
             x["bucket"].alias("bucket"),
-            (x["tf"] * _idf(F.col("n"), F.element_at("dfs", x["bucket"]))).alias("weight"),
+            (x["tf"] * _idf(F.col("n"), F.get("dfs", x["bucket"]))).alias("weight"),
         ),
     )
     return rows.crossJoin(F.broadcast(known)).select(
