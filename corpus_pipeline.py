@@ -43,9 +43,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents' token ids with their place in a sequence."""
+    """Pieces of the documents with their token ids and their place in a sequence."""
     pieces = packing.token_pieces(docs.select("doc_id", "text"), tokenizer_file())
-    return packing.pack(pieces)
+    return packing.pack(pieces).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

@@ -9,7 +9,6 @@ with fewer partitions each round, until a round saves nothing.
 from __future__ import annotations
 
 import re
-import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 
@@ -105,10 +104,10 @@ def token_pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
 ) -> DataFrame:
-    """``docs`` without the text, one row for each piece: piece, start, length, ids_crc32.
+    """``docs`` without the text, one row for each piece: piece, start, length, ids, ids_crc32.
 
     A document is its ids and ``end_id``; longer ones are cut every ``capacity`` ids. A null
-    or empty text is the end id alone.
+    or empty text is the end id alone. ``ids`` are little-endian 32-bit words.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -128,7 +127,7 @@ def token_pieces(
                             "piece": at // (4 * capacity),
                             "start": at // 4,
                             "length": len(ids[at : at + 4 * capacity]) // 4,
-                            "ids_crc32": zlib.crc32(ids[at : at + 4 * capacity]),
+                            "ids": ids[at : at + 4 * capacity],
                         }
                         for at in range(0, len(ids), 4 * capacity)
                     ]
@@ -137,9 +136,10 @@ def token_pieces(
 
         return work
 
-    schema = "cut array<struct<piece: int, start: bigint, length: bigint, ids_crc32: bigint>>"
+    schema = "cut array<struct<piece: int, start: bigint, length: bigint, ids: binary>>"
     cut = append_columns(docs, schema, make, drop=(text_col,))
-    return cut.select(*[c for c in cut.columns if c != "cut"], F.inline("cut"))
+    pieces = cut.select(*[c for c in cut.columns if c != "cut"], F.inline("cut"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -260,4 +260,5 @@ def pack(
         if last:
             break
         waiting = packed.filter("open").select("row", "length")
-    return rows.join(done, "row").select("own.*", "sequence_id", "offset")
+    # By sorting at any size: the ids move once, into as many partitions as the session asks for.
+    return rows.join(done.hint("merge"), "row").select("own.*", "sequence_id", "offset")

@@ -73,7 +73,8 @@ def op6_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return packing.pack(packing.token_pieces(docs, tokenizer_file()))
+    packed = packing.pack(packing.token_pieces(docs, tokenizer_file()))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 def op8_language(spark: SparkSession, sf: str) -> DataFrame:

@@ -116,6 +116,21 @@ def test_documents_become_full_sequences(spark, per_partition):
     assert len(bins) <= -(-total // 100) + 3
 
 
+def test_sequences_hold_the_token_ids(spark):
+    rows = [(i, f"Some words, {i} of them. " * (i % 7 * 9)) for i in range(60)] + [(60, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = packing.pack(packing.token_pieces(docs, PATH, capacity=100), capacity=100).collect()
+    whole, sequences = {}, {}
+    for r in sorted(found, key=lambda r: r.start):
+        whole[r.doc_id] = whole.get(r.doc_id, b"") + bytes(r.ids)
+    for r in sorted(found, key=lambda r: r.offset):
+        before = sequences.get(r.sequence_id, b"")
+        assert len(before) == 4 * r.offset and len(r.ids) == 4 * r.length
+        sequences[r.sequence_id] = before + bytes(r.ids)
+    assert whole == {i: plain_ids(t) + b"\x01\0\0\0" for i, t in rows}
+    assert max(map(len, sequences.values())) <= 400
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.pack(packing.token_pieces(docs, PATH)).count() == 0

@@ -92,6 +92,15 @@ def test_packing(kept):
     assert sorted((p.doc_id, p.piece, p.ids_crc32) for p in pieces) == expected
 
 
+def test_packing_returns_the_ids(kept):
+    before, pieces = kept[4:6]
+    whole = {}
+    for p in sorted(pieces, key=lambda p: p.start):
+        whole.setdefault(p.doc_id, []).append(bytes(p.ids))
+    assert {i: b"".join(w) for i, w in whole.items()} == {
+        r.doc_id: plain_ids(r.text) + b"\x01\0\0\0" for r in before}
+
+
 def test_run(spark, kept):
     pieces = corpus_pipeline.run(spark, SF)
     first = {(r.doc_id, r.piece, r.ids_crc32) for r in kept[-1] if r.doc_id < 90_000}
