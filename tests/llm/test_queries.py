@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 from checks.compare import _sorted_rows, connect
-from postpulse.llm import registry
+from postpulse.llm import queries, registry
 from tests.llm.test_packing import plain_ids
 from tests.llm.test_simhash import plain_components, plain_fingerprint
 
@@ -60,6 +60,17 @@ def test_sharding(spark, documents):
     assert all(r.grown_shard is None for r in rows)
 
 
+def test_sharding_moves_the_texts(spark, monkeypatch):
+    given = []
+    real = queries.sharding.shuffle_into_shards
+    spy = lambda docs, *a, **k: given.append(docs.columns) or real(docs, *a, **k)
+    monkeypatch.setattr(queries.sharding, "shuffle_into_shards", spy)
+    plan = run(spark, "op1_sharding")._jdf.queryExecution().optimizedPlan().toString()
+    assert given == [["doc_id", "text"]]
+    # The digest is taken above the exchange into shards and the ranks there.
+    assert plan.count(" crc32(") == 1 and plan.index(" crc32(") < plan.index("Window")
+
+
 def test_sharding_is_native(spark):
     plan = run(spark, "op1_sharding")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

@@ -67,3 +67,14 @@ def test_all_places_are_equally_likely(spark):
         for r in sharding.shuffle_into_shards(docs, 3, seed=seed).filter("doc_id < 20").collect():
             seen[r["shard"]] += 1
     assert sum(seen) == 100 and all(15 <= s <= 52 for s in seen)
+
+
+def test_texts_reach_their_shards(spark):
+    """Very long texts, and one source with most of the rows."""
+    n = F.when(F.col("id") % 50 == 0, 100_000).otherwise(F.col("id") % 7).cast("int")
+    docs = spark.range(400, numPartitions=5).select(
+        "id", F.expr("if(id < 300, 'hot', 'x')").alias("source"),
+        F.when(F.col("id") % 9 > 0, F.repeat(F.concat("id", F.lit(" é\n")), n)).alias("text"))
+    found = sharding.shuffle_into_shards(docs, 8, seed=2, rows_per_block=10)
+    assert sorted(map(str, found.select("id", "source", "text").collect())) == sorted(map(str, docs.collect()))
+    assert {r["shard"]: r["count"] for r in found.groupBy("shard").count().collect()} == dict.fromkeys(range(8), 50)
