@@ -6,7 +6,8 @@ up its children. The lowest density on the way from the node with the largest su
 is the threshold; below every node that reaches it, the subtree with the largest sum is content.
 
 Parts that are no article by their element, role or class name (menus, footers, adverts, forms,
-reader comments) count as text in the statistics but add to no sum and are never content.
+reader comments) count as text in the statistics but add to no sum and are never content. A class
+name or id marks them only as a whole, and only where the element does not wrap the content.
 """
 
 from __future__ import annotations
@@ -49,6 +50,10 @@ NOISE_NAMES = {
     "related", "replies", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "widget",
 }
+# Readers' comments can be longer than the article.
+READER_NAMES = {"comment", "comments", "disqus", "replies"}
+# Elements that hold the content: their ancestors' names do not make them noise.
+LANDMARKS = {"article", "main", "h1"}
 # Elements of the page's frame: their class names do not make them noise.
 FRAME = {"html", "body", "article", "main"}
 # A start tag of the key closes an open element of the set, up to the barrier.
@@ -71,7 +76,6 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(
     r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""", re.DOTALL
 )
-_NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
 class Dom:
@@ -79,6 +83,7 @@ class Dom:
 
     def __init__(self, page: str):
         self.tags, self.parents, self.noise = ["#page"], [-1], [False]
+        self.named: dict[int, set[str]] = {}  # names that mark noise, unless the node is a wrapper
         self.events: list[tuple[int, str | None]] = []
         self.open = [0]
         self.opened: Counter[str] = Counter()  # open elements by tag, to spare most walks up
@@ -95,6 +100,8 @@ class Dom:
                     end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(page, at)
                     at = end.start() if end else len(page)
         self._text(page[at:])
+        if self.named:
+            self._judge_names()
 
     def _text(self, text: str) -> None:
         if text:
@@ -135,7 +142,7 @@ class Dom:
         parent, node = self.open[-1], len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.noise.append(self.noise[parent] or self._is_noise(tag, rest))
+        self.noise.append(self.noise[parent] or self._is_noise(node, tag, rest))
         self._border(node, tag)
         if tag == "br":
             self.events.append((parent, " "))
@@ -143,7 +150,8 @@ class Dom:
             self.open.append(node)
             self.opened[tag] += 1
 
-    def _is_noise(self, tag: str, rest: str) -> bool:
+    def _is_noise(self, node: int, tag: str, rest: str) -> bool:
+        """By element, role or attribute; names are noted, to be judged on the whole page."""
         if tag in NOISE_TAGS:
             return True
         in_article = bool(self.opened["article"] or self.opened["main"])
@@ -152,17 +160,43 @@ class Dom:
         if not rest.strip() or tag in FRAME:
             return False
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
-        names = {
-            n.lower() for key in ("class", "id") for n in _NAME.findall(given.get(key, ""))
-        }
+        names = {n for key in ("class", "id") for n in given.get(key, "").lower().split()}
+        if found := names & (NOISE_NAMES if in_article else NOISE_NAMES | {"header"}):
+            self.named[node] = found
         return (
-            bool(names & NOISE_NAMES)
-            or given.get("role", "").lower() in NOISE_ROLES
+            given.get("role", "").lower() in NOISE_ROLES
             or "hidden" in given
-            or ("header" in names and not in_article)
             or "display:none" in given.get("style", "").replace(" ", "").lower()
         )
 
+    def _judge_names(self) -> None:
+        """Names make noise of what holds no landmark, nor most of the text without links.
+
+        An article inside another one is no landmark: it may be a reader's comment. Where the
+        page has an article or main, an advert can be the longer text, so the amount says nothing.
+        """
+        n = len(self.tags)
+        inside, linked = [False] * n, [False] * n
+        holds, plain, framed = [False] * n, [0] * n, False
+        for i in range(1, n):
+            up = self.parents[i]
+            linked[i] = linked[up] or self.tags[i] == "a"
+            inside[i] = inside[up] or self.tags[up] == "article"
+            holds[i] = self.tags[i] in LANDMARKS and not self.noise[i] and not inside[i]
+            framed |= holds[i] and self.tags[i] != "h1"
+        for node, text in self.events:
+            if text is not None and not self.noise[node] and not linked[node]:
+                plain[node] += len("".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            holds[self.parents[i]] |= holds[i]
+            plain[self.parents[i]] += plain[i]
+        for i in range(1, n):
+            if found := self.named.get(i):
+                elsewhere = framed or bool(found & READER_NAMES and holds[0])
+                most = 2 * plain[i] > plain[0] and not elsewhere
+                self.noise[i] |= not (holds[i] or most)
+            self.noise[i] |= self.noise[self.parents[i]]
+
 
 def densities(dom: Dom, body: int) -> list[float]:
     """Composite text density of every node."""

@@ -34,6 +34,28 @@ def test_main_text(page, text):
     assert pages.main_text(page) == "\n".join(" ".join(b.split()) for b in text.split("\n"))
 
 
+ARTICLE = f"<article><h1>T</h1><p>{LONG}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body>{MENU}<div class='layout has-sidebar'>{ARTICLE}</div>",
+        f'<body><div id="content-sidebar-wrap">{MENU}{ARTICLE}</div>',
+        f"<body><div class='no-comments'><div class='post related'>{ARTICLE}</div></div>",
+        f"<body><div class=widget><main><h1>T</h1><p>{LONG}</p></main></div>",
+        f"<body><div class='noCommentsHere post'><h1>T</h1><p>{LONG}</div>{MENU}",
+        f"<body><section class='Related'><div><p>T<p>{LONG}</div></section><p><a href=x>{LONG}</a>",
+        f"<body><div class=layout>{ARTICLE}<div class='box Sidebar'><p>{LONG}</div></div>",
+        f"<body>{ARTICLE}<section id=comments><p>{LONG}<p>{LONG}<p>{LONG}</section>",
+        f"<body><div class=ad>{LONG}{LONG}{LONG}</div>{ARTICLE}",
+        f"<body><article><h1>T</h1><p>{LONG}</p><div class=comments><article>{LONG}</article></div>",
+    ],
+)
+def test_names_of_wrappers_drop_no_content(page):
+    assert pages.main_text(page) == f"T\n{LONG.strip()}"
+
+
 def test_links_lower_the_density():
     dom = pages.Dom(f"<body><div>{LONG}</div><div><a>{LONG}</a></div></body>")
     by_tag = dict(zip(range(len(dom.tags)), pages.densities(dom, 1)))
