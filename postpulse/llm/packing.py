@@ -38,8 +38,9 @@ _PIECES = re.compile(
 class _Encoder:
     """Token ids of whole texts as little-endian 32-bit words.
 
-    The ids of a text are those of its parts in turn. Parts are remembered, up to a bound; new
-    ones are encoded many at a time, with a mark between them that is a token of its own.
+    A text is cut at the tokenizer's added tokens first, and the ids of the text between them are
+    those of its parts in turn. Parts are remembered, up to a bound; new ones are encoded many at
+    a time, with a mark between them that is a token of its own.
     """
 
     MARK = "\x00"
@@ -48,7 +49,14 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        for token in added.values():
+            if token.normalized or token.lstrip or token.rstrip or token.single_word:
+                raise ValueError(f"added token {token.content!r} is not matched literally")
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        # The longest token at a place wins.
+        literal = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
+        self.cut = re.compile(f"({literal})") if literal else None
         (self.mark,) = self.encode(self.MARK)
         self.known: dict[str, bytes] = {}
 
@@ -80,7 +88,18 @@ class _Encoder:
         for part in set(parts).difference(plain):
             self.known[part] = self.encode(part).tobytes()
 
+    def whole_ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids as of the tokenizer itself, added tokens in the texts included."""
+        # Added tokens stand at the odd places.
+        cut = [self.cut.split(t) if self.cut and t else [t] for t in texts]
+        plain = self.ids([s for stretches in cut for s in stretches[::2]])
+        for stretches in cut:
+            yield b"".join(
+                self.added[s] if i % 2 else next(plain) for i, s in enumerate(stretches)
+            )
+
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of texts without added tokens; characters that spell one are text."""
         split = [self.parts(t) for t in texts]
         needed = set().union(*split)
         if len(self.known) + len(needed) > CACHED_WORDS:
@@ -107,7 +126,7 @@ def token_pieces(
     """``docs`` without the text, one row for each piece: piece, start, length, ids, ids_crc32.
 
     A document is its ids and ``end_id``; longer ones are cut every ``capacity`` ids. A null
-    or empty text is the end id alone. ``ids`` are little-endian 32-bit words.
+    or empty text is the end id alone. Added tokens in a text are tokens. ``ids`` are little-endian 32-bit words.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -119,7 +138,7 @@ def token_pieces(
 
         def work(batch: pa.RecordBatch) -> list:
             pieces = []
-            for ids in tokens.ids(batch.column(text_col).to_pylist()):
+            for ids in tokens.whole_ids(batch.column(text_col).to_pylist()):
                 ids += end
                 pieces.append(
                     [

@@ -38,6 +38,30 @@ def test_ids_of_any_texts(texts):
     assert list(packing.encoder(PATH).ids(texts)) == [plain_ids(t) for t in texts]
 
 
+UNCHANGED = Tokenizer.from_file(PATH)
+ADDED = ["<|endoftext|>", "<|startoftext|>"]
+
+
+def contract_ids(text):
+    return np.array(UNCHANGED.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from([*ADDED, "<|ENDOFTEXT|>", "<|endof", "text|>", " ", "a", "É", "é",
+                                          "漢 b", "\u0301", "\x00", "\n"]) | st.text(max_size=6), max_size=9)
+                .map("".join), max_size=4))
+def test_added_tokens_in_texts_are_tokens(texts):
+    assert list(packing.encoder(PATH).whole_ids(texts)) == [contract_ids(t) for t in texts]
+
+
+def test_pieces_of_texts_with_added_tokens(spark):
+    texts = ["a <|endoftext|> b", "<|startoftext|>x<|endoftext|><|endoftext|>", "É漢<|endoftext|>\u0301 y", *ODD]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r.doc_id: bytes(r.ids) for r in packing.token_pieces(docs, PATH).collect()}
+    assert found == {i: contract_ids(t) + b"\x01\0\0\0" for i, t in enumerate(texts)}
+    assert np.frombuffer(found[0], "<u4").tolist() == [320, 49407, 321, 1]
+
+
 def test_remembering_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "CACHED_WORDS", 50)
     own = packing._Encoder(PATH)
