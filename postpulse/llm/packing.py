@@ -99,7 +99,7 @@ class _Encoder:
             )
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of texts without added tokens; characters that spell one are text."""
+        """Ids of texts in which no added token stands; ``whole_ids`` cuts these out first."""
         split = [self.parts(t) for t in texts]
         needed = set().union(*split)
         if len(self.known) + len(needed) > CACHED_WORDS:
