@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, language, lines, nearest, ngrams, packing, pages, sharding, simhash, toxicity
+from . import alignment, decontaminate, language, lines, nearest, ngrams, packing, pages, sharding, simhash, toxicity
 from .rows import fold
 
 
@@ -102,3 +102,13 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
         decontaminate.items_digest().alias("items_sha256"),
         "contaminated",
     )
+
+
+def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    a, b = (str(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.align(docs, a, b)
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
