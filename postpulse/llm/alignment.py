@@ -28,7 +28,7 @@ from .chunks import own_list, own_type, text_chunks, with_own
 from .ngrams import packed, unpacked
 from .rows import held, reach_workers, stored, without
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 # Units are tokenised so many bytes at a time.
 SLAB_BYTES = 1 << 16
 # Longer texts are cut into units one by one, not in one list.
@@ -341,55 +341,37 @@ def _reader(schema: StructType, a_path: str, b_path: str, kind: str, chunk_bytes
 
 def _finisher(schema: StructType):
     arrow = to_arrow_schema(schema)
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = {n: batch.column(n)[at] for n in batch.schema.names}
-                get = {n: unpacked(row[n].as_py()) for n in (
-                    "sizes", "units", "unit_a", "unit_b", "unit_groups", "link_sizes", "links"
-                )}
-                n_of, best_of = (row[n].values.to_numpy() for n in ("n", "best"))
-                sizes, units, links = get["sizes"], get["units"], get["links"]
-                of_unit = {
-                    "n_a": get["unit_a"],
-                    "n_b": get["unit_b"],
-                    "n_groups": get["unit_groups"],
-                    "n_links": get["link_sizes"],
-                    "n_best": _span_sums(best_of[links], get["link_sizes"]),
-                    "count_sum": _span_sums(n_of[links], get["link_sizes"]),
-                }
-                sums = [_span_sums(x[units], sizes) for x in of_unit.values()]
-                text = zstandard.ZstdDecompressor().decompress(row["texts"].as_py()).decode()
-                lines = text.split("\n")
-                own = row["own"].values
-                ends = np.cumsum(sizes).tolist()
-                # So many units at a time become texts.
-                for lo, hi in _spans(ends, 1 << 18):
-                    groups = [
-                        ";".join(map(lines.__getitem__, units[e - n : e].tolist()))
-                        for e, n in zip(ends[lo:hi], sizes[lo:hi].tolist(), strict=True)
-                    ]
-                    part = own.slice(lo, hi - lo)
-                    yield pa.RecordBatch.from_arrays(
-                        [*part.flatten(), *[pa.array(s[lo:hi], pa.int64()) for s in sums], pa.array(groups)],
-                        schema=arrow,
-                    )
+    packs = ("sizes", "units", "unit_a", "unit_b", "unit_groups", "link_sizes", "links")
+
+    def finish(chunk: pa.Table) -> pa.Table:
+        row = {n: chunk.column(n)[0] for n in chunk.column_names}
+        got = {n: unpacked(row[n].as_py()) for n in packs}
+        n_of, best_of = (row[n].values.to_numpy() for n in ("n", "best"))
+        sizes, units, links = got["sizes"], got["units"], got["links"]
+        of_unit = (
+            got["unit_a"],
+            got["unit_b"],
+            got["unit_groups"],
+            got["link_sizes"],
+            _span_sums(best_of[links], got["link_sizes"]),
+            _span_sums(n_of[links], got["link_sizes"]),
+        )
+        sums = [pa.array(_span_sums(x[units], sizes), pa.int64()) for x in of_unit]
+        text = zstandard.ZstdDecompressor().decompress(row["texts"].as_py()).decode()
+        lines = text.split("\n")
+        ends = np.cumsum(sizes).tolist()
+        groups = pa.array(
+            (
+                ";".join(map(lines.__getitem__, units[e - n : e].tolist()))
+                for e, n in zip(ends, sizes.tolist(), strict=True)
+            ),
+            pa.string(),
+        )
+        return pa.Table.from_arrays([*row["own"].values.flatten(), *sums, groups], schema=arrow)
 
     return finish
 
 
-def _spans(ends: list[int], most: int) -> Iterator[tuple[int, int]]:
-    """Ranges of documents with about ``most`` units each."""
-    lo = 0
-    for i, end in enumerate(ends):
-        if end - (ends[lo - 1] if lo else 0) >= most:
-            yield lo, i + 1
-            lo = i + 1
-    if lo < len(ends):
-        yield lo, len(ends)
-
-
 def align(
     docs: DataFrame,
     a_path: str,
@@ -435,13 +417,13 @@ def align(
     )
     nothing = F.array().cast("array<bigint>")
     joined = table.drop("pairs", "counts").join(answers, "chunk", "left").select(
-        *[c for c in table.columns if c not in ("pairs", "counts", "chunk")],
+        *[c for c in table.columns if c not in ("pairs", "counts")],
         F.coalesce("n", nothing).alias("n"),
         F.coalesce("best", nothing).alias("best"),
     )
     types = ", ".join(f"{c} bigint" for c in ADDED[:-1])
     out = StructType([*fields, *StructType.fromDDL(f"{types}, groups string")])
-    done = joined.mapInArrow(_finisher(out), out)
+    done = joined.groupBy("chunk").applyInArrow(_finisher(out), out)
     return done.select(
         *[F.col(f"own_{i}").alias(c) for i, c in enumerate(kept.columns)], *ADDED
     )
