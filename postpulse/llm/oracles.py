@@ -62,6 +62,39 @@ ranked as (
   from pairs)
 select query_id, rank, vec_id, score from ranked where rank <= 20"""
 
+OP11 = r"""with pieces as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words
+  from (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[.,;:!?\x0A-\x0D]')) as piece from documents)),
+totals as (select lang, sum(len(words))::bigint as n from pieces group by lang),
+counts as (
+  select lang, size, phrase, count(*) as a
+  from (select lang, size, array_to_string(words[i : i + size - 1], ' ') as phrase
+    from (select lang, words, size, unnest(range(1, len(words) - size + 2)) as i
+      from pieces cross join (select unnest(range(1, 6)) as size) where len(words) >= size))
+  group by lang, size, phrase having count(*) >= 100),
+cuts as (
+  select lang, phrase, a, k, string_split(phrase, ' ') as words
+  from (select *, unnest(range(1, size)) as k from counts where size > 1)),
+scored as (
+  select c.lang, c.phrase, c.a, c.k, x.a as l, y.a as r, n,
+    ((1000::hugeint * c.a * n) // (x.a::hugeint * y.a))::bigint as score
+  from cuts c join totals using (lang)
+    join counts x on x.lang = c.lang and x.phrase = array_to_string(words[1:k], ' ')
+    join counts y on y.lang = c.lang and y.phrase = array_to_string(words[k + 1 :], ' ')),
+lowest as (
+  select * from scored
+  qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+within as (
+  select distinct lang, a, unnest([array_to_string(words[1 : size - 1], ' '),
+    array_to_string(words[2:size], ' ')]) as phrase
+  from (select *, string_split(phrase, ' ') as words from counts where size > 2))
+select lang, rank, phrase, a, l, r, n, score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+  from lowest anti join within using (lang, phrase, a))
+where rank <= 2000"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_nearest": OP3, "op5_lines": OP5, "op10_decontaminate": OP10}
+    return {"op3_nearest": OP3, "op5_lines": OP5, "op10_decontaminate": OP10, "op11_collocations": OP11}

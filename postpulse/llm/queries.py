@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, decontaminate, language, lines, nearest, ngrams, packing, pages, sharding, simhash, toxicity
+from . import alignment, collocations, decontaminate, language, lines, nearest, ngrams, packing, pages, sharding, simhash, toxicity
 from .rows import fold
 
 
@@ -104,6 +104,10 @@ def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents").select("lang", "text"))
+
+
 def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
