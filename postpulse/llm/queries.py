@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, collocations, decontaminate, language, lines, nearest, ngrams, packing, pages, sharding, simhash, toxicity
+from . import alignment, collocations, decontaminate, language, lines, nearest, ngrams, packing, pages, sharding, simhash, suffixes, toxicity
 from .rows import fold
 
 
@@ -108,6 +108,12 @@ def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
     return collocations.collocations(table(spark, sf, "documents").select("lang", "text"))
 
 
+def op12_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = suffixes.without_repeats(docs)
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept", "spans")
+
+
 def op13_alignment(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
