@@ -43,12 +43,13 @@ LENGTH = 50
 # A perfect difference set: every remainder is a difference of two of its members.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 BLOCK = 6
-CHUNK_BYTES = 12 << 20
-BUCKET_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 # Places are worked on in windows of so many bytes.
 WINDOW = 1 << 20
-# Names keep so many leading bits; equal bits of different triples only keep a suffix in the race.
-NAME_BITS = 44
+# Names keep so many leading bits more than the corpus has places; equal bits of different triples
+# only keep a suffix in the race.
+SPARE_BITS = 8
 LAST = np.int64(2**63 - 1)
 ADDED = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
 _TRIPLE, _STRETCH = 0, 1
@@ -74,8 +75,9 @@ def unpacked_longs(data: bytes) -> np.ndarray:
 class Places:
     """The bytes of a chunk's documents in a row, and what starts at each place."""
 
-    def __init__(self, raw: bytes, sizes: np.ndarray, length: int):
+    def __init__(self, raw: bytes, sizes: np.ndarray, length: int, name_bits: int = 64):
         self.raw, self.length, self.size = raw, length, len(raw)
+        self.dropped = np.uint64(64 - name_bits)
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         padded = raw + bytes(length + 16)
@@ -102,7 +104,7 @@ class Places:
             own = own[(own >= at) & (own < min(at + WINDOW, self.size))]
             own = own[own + 3 * BLOCK <= self.ends[self.documents(own)]]
             places.append(own)
-            names.append(self.fingerprints(own, 3 * BLOCK) >> np.uint64(64 - NAME_BITS) << np.uint64(64 - NAME_BITS))
+            names.append(self.fingerprints(own, 3 * BLOCK) >> self.dropped << self.dropped)
         return np.concatenate(places), np.concatenate(names)
 
     def stretches(self) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +163,7 @@ def _gather(schema: StructType, chunk_bytes: int):
                 "chunk": number,
                 "ids": packed_longs(ids),
                 "sizes": packed(np.array([len(t) for t in texts])),
-                "bytes": zstandard.ZstdCompressor(level=1).compress(b"".join(texts)),
+                "bytes": zstandard.ZstdCompressor(level=3).compress(b"".join(texts)),
             }
             arrays = [
                 own_list(rows, f.type) if f.name == "own" else pa.array([values[f.name]], f.type)
@@ -172,9 +174,9 @@ def _gather(schema: StructType, chunk_bytes: int):
     return gather
 
 
-def _chunk(row: dict, length: int) -> tuple[Places, np.ndarray]:
+def _chunk(row: dict, length: int, name_bits: int = 64) -> tuple[Places, np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(row["bytes"])
-    return Places(raw, unpacked(row["sizes"]), length), unpacked_longs(row["ids"])
+    return Places(raw, unpacked(row["sizes"]), length, name_bits), unpacked_longs(row["ids"])
 
 
 def _questions(number: int, kind: int, buckets: int, keys, second, documents) -> list[tuple]:
@@ -204,12 +206,12 @@ def _shared_names(places: Places) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return at, rank, found, least < most
 
 
-def _first_asker(buckets: int, length: int):
+def _first_asker(buckets: int, length: int, name_bits: int):
     schema = to_arrow_schema(StructType.fromDDL(_ASK))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
-            places, ids = _chunk(row, length)
+            places, ids = _chunk(row, length, name_bits)
             _, _, names, several = _shared_names(places)
             starts, _, one, two = stretch_names(places)
             one, two, least, _ = _least(one, two, ids[places.documents(starts)])
@@ -253,14 +255,14 @@ def _answer_list(answers: list[dict], kind: int, sizes: list[int] | None = None)
 _STATE = f"{_CHUNK}, removed binary, waiting binary"
 
 
-def _waiter(schema: StructType, buckets: int, length: int):
+def _waiter(schema: StructType, buckets: int, length: int, name_bits: int):
     """Removed prefixes of stretches that an earlier document has; waiting ones of the others."""
     arrow = to_arrow_schema(schema)
 
     def wait(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         row = {n: chunk.column(n)[0].as_py() for n in ("chunk", "ids", "sizes", "bytes")}
         replies = answers.to_pylist()
-        places, ids = _chunk(row, length)
+        places, ids = _chunk(row, length, name_bits)
         at, rank, names, _ = _shared_names(places)
         sizes = np.diff(bucket_ends(names, buckets))
         bits = [
@@ -320,7 +322,7 @@ def _merged_keys(row: dict, length: int):
     return places, ids, waiting, own, _least(one, two, own)
 
 
-def _second_asker(buckets: int, length: int):
+def _second_asker(buckets: int, length: int, name_bits: int):
     schema = to_arrow_schema(StructType.fromDDL(_ASK))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,16 +417,17 @@ def without_repeats(
     chunks = spark.read.schema(schema).parquet(first)
     size = read.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
+    name_bits = min(64, int(size).bit_length() + SPARE_BITS)
     needed = ["chunk", "ids", "sizes", "bytes"]
 
     def answers(rows: DataFrame, columns: list[str], asker) -> DataFrame:
-        asked = rows.select(*columns).mapInArrow(asker(buckets, length), _ASK)
+        asked = rows.select(*columns).mapInArrow(asker(buckets, length, name_bits), _ASK)
         return asked.groupBy("kind", "bucket").applyInPandas(_answered, _ANSWER)
 
     state_schema = StructType.fromDDL(_STATE).add("own", own_type(fields))
     state = chunks.groupBy("chunk").cogroup(answers(chunks, needed, _first_asker).groupBy("chunk"))
     second = shared_folder(spark, "suffix-state")
-    state.applyInArrow(_waiter(state_schema, buckets, length), state_schema).write.parquet(second)
+    state.applyInArrow(_waiter(state_schema, buckets, length, name_bits), state_schema).write.parquet(second)
     discard(spark, first)
     waiting = spark.read.schema(state_schema).parquet(second)
     types = "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
