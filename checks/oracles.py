@@ -459,7 +459,10 @@ select sum(len({word_refs['user']}))::bigint as user_refs,
   sum(len({word_refs['url']}))::bigint as url_refs from items""",
         "windowed_references": WINDOWS,
         "windowed_references_stream": WINDOWS,
+        "window_table_stream": WINDOWS,
         "windowed_reference_lists": WINDOW_LISTS,
+        "windowed_reference_lists_stream": WINDOW_LISTS,
+        "stream_first_copies": f"with {ITEMS} select {ITEM_COLUMNS} from items",
         "stream_dedupe": f"with {ITEMS} select {ITEM_COLUMNS} from items",
         "time_range": f"with {ITEMS} " + TIME_RANGE,
         "community_stats": f"with {ITEMS} " + COMMUNITY_STATS,

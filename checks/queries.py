@@ -258,6 +258,47 @@ def stream_dedupe(spark, sf):
     return spark.read.parquet(f"{root}/items").select(*ITEM_COLUMNS)
 
 
+def window_table_stream(spark, sf):
+    root = shared_folder(spark, "window-table")
+    stream = arriving(spark, time_slices(items(spark, sf)))
+    windows.start_window_table(stream, root, None).awaitTermination()
+    return epoch_windows(windows.window_table(spark, root).read().drop("epoch"))
+
+
+def windowed_reference_lists_stream(spark, sf):
+    """Some items before the end of a slice come with the next one; a late item closes the last windows."""
+    frames = time_slices(items(spark, sf))
+    waiting, batches_ = None, []
+    for frame in frames:
+        end = frame.agg(F.max("created_utc")).first()[0]
+        late = (F.col("created_utc") > end - 50) & (F.col("created_utc") < end) & (F.crc32("id") % 2 == 0)
+        batch = frame.filter(~late)
+        batches_.append(batch if waiting is None else batch.unionByName(waiting))
+        waiting = frame.filter(late)
+    closing = frames[-1].limit(1).withColumn("created_utc", F.lit(end + 86400))
+    last = closing.withColumn("text", F.lit(""))
+    batches_ += [last.unionByName(waiting)]
+    root = shared_folder(spark, "window-lists")
+    windows.start_closed_window_lists(
+        arriving(spark, batches_), f"{root}/lists", f"{root}/checkpoint", None
+    ).awaitTermination()
+    lists = spark.read.parquet(f"{root}/lists")
+    return epoch_windows(joined(lists, "users", "subreddits", "urls"))
+
+
+def stream_first_copies(spark, sf):
+    """Old and new items arrive mixed, then a changed copy of each, two days apart from batch to batch."""
+    root = shared_folder(spark, "first-copies")
+    parts = time_slices(items(spark, sf).select(*ITEM_COLUMNS))
+    first = [parts[i] for i in (2, 0, 3, 1)]
+    again = [p.withColumn("score", F.col("score") - 1) for p in parts]
+    frames = [
+        f.withColumn("received", F.lit(86400 * 2 * i)) for i, f in enumerate(first + again)
+    ]
+    windows.start_first_copies(arriving(spark, frames), root, "received", None).awaitTermination()
+    return windows.read_first_copies(spark, root).select(*ITEM_COLUMNS)
+
+
 # --- statistics ----------------------------------------------------------------------
 
 
@@ -646,6 +687,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         merge_dedupe, newest_per_community, first_comments,
         user_mentions, community_mentions, url_mentions, reference_dialects, reference_totals,
         windowed_references, windowed_reference_lists, windowed_references_stream, stream_dedupe,
+        window_table_stream, windowed_reference_lists_stream, stream_first_copies,
         time_range, community_stats, author_stats, top_authors, top_communities, batch_metrics,
         kpi_cards, batch_history, overall_history, batch_insights, score_histogram, score_box,
         score_outliers, user_scores, top_users, avg_score_histogram, activity_levels,

@@ -105,20 +105,26 @@ def windowed_reference_lists(
     dialect: str = "name",
     length: int = 60,
     slide: int = 5,
+    watermark: str = "1 minute",
 ) -> DataFrame:
     """The reference lists of the items of each sliding window, with their number of items.
 
     One row for each window and triple of lists (users, subreddits, urls), ``copies`` items
     each; totals come from :func:`windowed_references`. Items are counted in panes first, so a
     busy window costs its different triples, and its rows need not be in one place.
+
+    On a stream these are two aggregations in a row, for append mode: a pane is handed on when
+    the watermark has passed it, a window when all its panes are.
     """
     lists = ("users", "subreddits", "urls")
     rows = df.select(
         _event_time(time_col).alias("ts"),
         *[references(F.col(text_col), kind, dialect).alias(n) for n, kind in zip(lists, KINDS)],
     )
-    pane = F.window("ts", f"{gcd(length, slide)} seconds")["start"].alias("ts")
+    if df.isStreaming:
+        rows = rows.withWatermark("ts", watermark)
+    pane = F.window("ts", f"{gcd(length, slide)} seconds").alias("pane")
     triples = rows.groupBy(pane, *lists).agg(F.count("*").alias("copies"))
-    window = F.window("ts", f"{length} seconds", f"{slide} seconds").alias("window")
+    window = F.window("pane", f"{length} seconds", f"{slide} seconds").alias("window")
     windows = triples.groupBy(window, *lists).agg(F.sum("copies").alias("copies"))
     return windows.select(*_window_columns(F.col("window")), *lists, "copies")

@@ -208,6 +208,15 @@ def running_time_range(metrics: DataFrame) -> DataFrame:
     )
 
 
+def merge_time_ranges(ranges: DataFrame) -> DataFrame:
+    """Several time ranges (earliest_post, latest_post, total_items) as one."""
+    return ranges.agg(
+        F.min("earliest_post").alias("earliest_post"),
+        F.max("latest_post").alias("latest_post"),
+        F.sum("total_items").alias("total_items"),
+    )
+
+
 def kpi(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Headline numbers of a set of items as one row."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct

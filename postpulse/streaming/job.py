@@ -12,7 +12,8 @@ from ..operators import mentions, tallies, texts, tfidf
 from ..plans.reports import batch_report
 from ..schemas import RICH_ITEM, canonicalise
 from ..sources import sinks
-from ..sources.batches import read_batches, read_metrics
+from ..sources.batches import read_batches
+from .tables import KeyedTable
 
 DETAIL_SUFFIXES = {
     "user_ref": "_user_refs",
@@ -43,6 +44,10 @@ class JobFolders:
     def terms(self) -> str:
         return f"{self.root}/terms"
 
+    @property
+    def running(self) -> str:
+        return f"{self.root}/running"
+
     @property
     def windows(self) -> str:
         return f"{self.root}/windows"
@@ -58,7 +63,8 @@ def process_batch(
 
     The batch is parsed once and written; statistics read the stored columns they need.
     Tallies and term statistics are written too, and the small outputs come from
-    those tables. Any failure fails the batch; its folders are overwritten on replay.
+    those tables. The history is kept as running tables, each version made from the one
+    before and this batch. Any failure fails the batch; its folders are overwritten on replay.
     """
     if batch.isEmpty():
         return
@@ -84,8 +90,12 @@ def process_batch(
     terms_path = sinks.write_parquet_batch(
         tfidf.term_stats(long_texts, "full_text"), folders.terms, batch_id
     )
-    words = tfidf.top_words(tfidf.word_scores(spark.read.parquet(terms_path)))
+    terms = spark.read.parquet(terms_path)
+    words = tfidf.top_words(tfidf.word_scores(terms))
     sinks.write_json_if_any(words, folders.metrics, batch_id, "_tfidf_top_words")
+    running_terms(spark, folders).upsert(terms, batch_id)
+    stored = spark.read.schema(metrics.schema).json(metrics_path)
+    running_range(spark, folders).upsert(tallies.running_time_range(stored), batch_id)
     if show:
         for frame in batch_report(raw, tallied, metrics).values():
             frame.show(truncate=False)
@@ -96,6 +106,16 @@ def _stored_schema(batch: DataFrame) -> StructType:
     return StructType([*RICH_ITEM.fields, *extra])
 
 
+def running_terms(spark: SparkSession, folders: JobFolders) -> KeyedTable:
+    """Term statistics of all batches so far."""
+    return KeyedTable(spark, f"{folders.running}/terms", ["word"], tfidf.merge_term_stats)
+
+
+def running_range(spark: SparkSession, folders: JobFolders) -> KeyedTable:
+    """Time range and number of items of all batches so far, in one row."""
+    return KeyedTable(spark, f"{folders.running}/range", [], tallies.merge_time_ranges, 1)
+
+
 def lean_outputs(batch: DataFrame) -> dict[str, DataFrame]:
     """What a batch of lean items shows, by the name of the view."""
     words = tfidf.tfidf_top_words(batch, "text")
@@ -113,8 +133,8 @@ def lean_outputs(batch: DataFrame) -> dict[str, DataFrame]:
 def process_lean_batch(batch: DataFrame, batch_id: int, folders: JobFolders) -> None:
     """Store a batch of lean items and its outputs, and publish them under their names.
 
-    Its term statistics and time range are stored too; time range and top words over all
-    batches so far are merged from these small tables.
+    Its term statistics and time range are stored too, and added to the running tables from
+    which time range and top words over all batches so far are read.
     """
     if batch.isEmpty():
         return
@@ -126,20 +146,18 @@ def process_lean_batch(batch: DataFrame, batch_id: int, folders: JobFolders) ->
         path = sinks.write_json_batch(frame, folders.metrics, batch_id, f"_{name}")
         sinks.publish(spark.read.schema(frame.schema).json(path), name)
     lean = spark.read.schema(batch.schema).parquet(stored)
-    sinks.write_parquet_batch(tfidf.term_stats(lean, "text"), folders.terms, batch_id)
-    sinks.write_parquet_batch(tallies.time_range(lean), folders.tallies, batch_id)
+    terms = sinks.write_parquet_batch(tfidf.term_stats(lean, "text"), folders.terms, batch_id)
+    running_terms(spark, folders).upsert(spark.read.parquet(terms), batch_id)
+    span = sinks.write_parquet_batch(tallies.time_range(lean), folders.tallies, batch_id)
+    span_row = spark.read.parquet(span).drop("time_range_seconds")
+    running_range(spark, folders).upsert(span_row, batch_id)
     for name, frame in lean_history(spark, folders.root).items():
         sinks.publish(frame, name)
 
 
 def lean_history(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Time range and top words over all batches of a lean job, by the name of the view."""
-    ranges = spark.read.parquet(f"{JobFolders(root).tallies}/batch_*")
-    bounds = ranges.agg(
-        F.min("earliest_post").alias("earliest_post"),
-        F.max("latest_post").alias("latest_post"),
-        F.sum("total_items").alias("total_items"),
-    )
+    bounds = running_range(spark, JobFolders(root)).read()
     span = F.floor(F.col("latest_post") - F.col("earliest_post"))
     return {
         "history_time_range": bounds.withColumn("time_range_seconds", span),
@@ -190,14 +208,14 @@ def start_lean_job(
 
 
 def history_top_words(spark: SparkSession, root: str, n: int = 10) -> DataFrame:
-    """Top words over all stored batches, from their term statistics."""
-    stats = spark.read.parquet(f"{JobFolders(root).terms}/batch_*")
-    return tfidf.top_words(tfidf.word_scores(tfidf.merge_term_stats(stats)), n)
+    """Top words over all batches so far, from their running term statistics."""
+    stats = running_terms(spark, JobFolders(root)).read()
+    return tfidf.top_words(tfidf.word_scores(stats), n)
 
 
 def history_time_range(spark: SparkSession, root: str) -> DataFrame:
-    """Time range over all stored batches, from their metrics rows."""
-    return tallies.running_time_range(read_metrics(spark, JobFolders(root).metrics))
+    """Time range over all batches so far, from one running row."""
+    return running_range(spark, JobFolders(root)).read()
 
 
 def history_items(spark: SparkSession, root: str) -> DataFrame:

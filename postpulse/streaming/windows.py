@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..operators.ingest import dedupe_stream
-from ..operators.mentions import windowed_references
+from ..operators.mentions import windowed_reference_lists, windowed_references
 from .job import JobFolders, latest_per_key
+from .tables import KeyedTable, SeenIds
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -67,6 +68,46 @@ def compact_windows(spark: SparkSession, root: str, target: str) -> str:
     return path
 
 
+def _newest_windows(rows: DataFrame) -> DataFrame:
+    """The row of the last epoch of each window."""
+    keys = ["window_start", "window_end"]
+    rest = [c for c in rows.columns if c not in keys]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("row"))
+    return newest.select(*keys, "row.*")
+
+
+def window_table(spark: SparkSession, root: str, buckets: int = 16) -> KeyedTable:
+    """The table that :func:`start_window_table` keeps; ``read()`` while the stream runs."""
+    path = f"{JobFolders(root).windows}-table"
+    return KeyedTable(spark, path, ["window_start", "window_end"], _newest_windows, buckets)
+
+
+def start_window_table(
+    items: DataFrame,
+    root: str,
+    interval: str | None = "30 seconds",
+    text_col: str = "text",
+    dialect: str = "token",
+    buckets: int = 16,
+) -> StreamingQuery:
+    """Window counts of a stream as a table with one row for each window, updated in place.
+
+    The number of live files is bounded by the buckets, not by the epochs.
+    """
+    table = window_table(items.sparkSession, root, buckets)
+
+    def upsert(changed: DataFrame, epoch: int) -> None:
+        table.upsert(changed.withColumn("epoch", F.lit(epoch).cast("bigint")), epoch)
+
+    writer = (
+        windowed_references(items, text_col=text_col, dialect=dialect)
+        .writeStream.outputMode("update")
+        .foreachBatch(upsert)
+        .option("checkpointLocation", JobFolders(root).checkpoint("window-table"))
+    )
+    return _triggered(writer, interval).start()
+
+
 def start_files(
     df: DataFrame, path: str, checkpoint: str, interval: str | None = None, fmt: str = "parquet"
 ) -> StreamingQuery:
@@ -96,6 +137,20 @@ def start_closed_windows(
     return start_files(closed, path, checkpoint, interval)
 
 
+def start_closed_window_lists(
+    items: DataFrame,
+    path: str,
+    checkpoint: str,
+    interval: str | None = "30 seconds",
+    text_col: str = "text",
+    dialect: str = "name",
+) -> StreamingQuery:
+    """Append the reference lists of each window to files once, when the watermark has passed its
+    end. Items up to a minute late are in time; the last windows wait for newer items."""
+    closed = windowed_reference_lists(items, text_col=text_col, dialect=dialect)
+    return start_files(closed, path, checkpoint, interval)
+
+
 def start_memory_table(df: DataFrame, name: str, interval: str | None = None) -> StreamingQuery:
     """Append a stream to a table in driver memory: for trying things out only."""
     return _triggered(
@@ -116,3 +171,32 @@ def start_deduped_files(
 ) -> StreamingQuery:
     """Append the first received copy of each item to files."""
     return start_files(dedupe_stream(items, arrival, remember), path, checkpoint, interval)
+
+
+def start_first_copies(
+    items: DataFrame,
+    root: str,
+    arrival: str = "spark_timestamp",
+    interval: str | None = "30 seconds",
+    **sizes: int,
+) -> StreamingQuery:
+    """The first received copy of each item of the whole run, below ``items`` by batch.
+
+    Unlike :func:`start_deduped_files` no id is ever forgotten: ids are kept in tables, not in the
+    state of the stream. ``sizes`` are those of :class:`SeenIds`.
+    """
+    seen = SeenIds(items.sparkSession, f"{root}/seen", **sizes)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if not batch.isEmpty():
+            seen.first_copies(batch, batch_id, f"{root}/items/batch_{batch_id}", (arrival,))
+
+    writer = items.writeStream.foreachBatch(process).option(
+        "checkpointLocation", JobFolders(root).checkpoint("first-copies")
+    )
+    return _triggered(writer, interval).start()
+
+
+def read_first_copies(spark: SparkSession, root: str) -> DataFrame:
+    """What :func:`start_first_copies` has kept so far."""
+    return spark.read.parquet(f"{root}/items/batch_*").drop("bucket")
