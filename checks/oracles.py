@@ -493,6 +493,8 @@ select batch_number, any_value(n_items) as n_items, any_value(min) as min, any_v
         "score_outliers": f"""with {BOX}
 select batch_number, value, count(*) as n from marked where not inside group by 1, 2""",
         "user_scores": f"with {ITEMS}, {USER_SCORES} select * from user_scores",
+        "sample_authors": f"""with {ITEMS}, {USER_SCORES} select * from user_scores
+order by md5(author || ':0'), author limit 100""",
         "top_users": f"""with {ITEMS}, {USER_SCORES} {top_users}
 order by total_score desc, author limit 10""",
         "avg_score_histogram": f"with {ITEMS}, {USER_SCORES} "
@@ -607,6 +609,11 @@ select (batch_number % 2)::int as batch_number, count(distinct subreddit) as fil
   count(*)::bigint as records from items group by 1""",
         "stored_batches_roundtrip": f"""with {ITEMS}
 select {ITEM_COLUMNS}, (batch_number % 2)::int as batch_number from items""",
+        "merged_batches": f"""with {ITEMS}
+select * replace (score::bigint as score),
+  case when batch_number = 0 then (score % 7)::double else score / 4.0::double end as weight,
+  case when batch_number = 1 then 'f' || author end as flair
+from (select {ITEM_COLUMNS}, (batch_number % 2)::int as batch_number from items)""",
         "current_batch": f"""with {ITEMS}
 select {ITEM_COLUMNS}, 1::int as batch_number from items where batch_number % 2 = 1""",
         "job_metrics": METRICS.replace("event_id % 8 as batch_number", "event_id % 4 as batch_number")

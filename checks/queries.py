@@ -574,6 +574,22 @@ def stored_batches_roundtrip(spark, sf):
     return stored.select(*ITEM_COLUMNS, "batch_number")
 
 
+def merged_batches(spark, sf):
+    """Two batches of different columns: the second has a flair, wider scores and weights with fractions."""
+    root = shared_folder(spark, "merged")
+    rich = rich_items(spark, sf)
+    parts = [rich.filter(F.col("batch_number") % 2 == n).drop("batch_number") for n in (0, 1)]
+    sinks.write_raw_batch(parts[0].withColumn("weight", F.col("score") % 7), root, 0)
+    second = {
+        "flair": F.concat(F.lit("f"), "author"),
+        "weight": F.col("score") / 4,
+        "score": F.col("score").cast("bigint"),
+    }
+    sinks.write_raw_batch(parts[1].withColumns(second), root, 1)
+    stored = batches.read_batches(spark, root)
+    return stored.select(*ITEM_COLUMNS, "weight", "flair", "batch_number")
+
+
 def current_batch(spark, sf):
     stored = batches.read_batches(spark, _stored(spark, sf))
     return batches.latest_batch(stored).select(*ITEM_COLUMNS, "batch_number")
@@ -697,7 +713,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         text_complexity, engagement_points, meaningful_words, top_terms, top_phrases, top_terms_items,
         top_phrases_items, unique_terms, engagement_correlation, text_summary,
         tfidf_top_words, tfidf_words, plain_tokens, tfidf_vectors, polarity, mean_polarity,
-        batch_files, stored_batches_roundtrip, current_batch,
+        batch_files, stored_batches_roundtrip, merged_batches, current_batch,
         job_metrics, job_user_refs, job_subreddit_refs, job_url_refs, job_community_stats,
         job_author_stats, job_top_words, job_history_time_range, job_history_top_words,
         lean_job_references, lean_job_time_range, lean_job_authors, lean_job_top_words,

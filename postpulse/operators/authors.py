@@ -69,8 +69,9 @@ def user_summary(scores: DataFrame) -> DataFrame:
 
 
 def sample_authors(scores: DataFrame, n: int = 100, seed: int = 0) -> DataFrame:
-    """Exactly ``n`` random authors (all, if there are fewer); the same for the same seed."""
-    return scores.orderBy(F.xxhash64("author", F.lit(seed)), "author").limit(n)
+    """Exactly ``n`` random authors (all, if there are fewer), by the MD5 of name and seed."""
+    draw = F.md5(F.concat("author", F.lit(f":{seed}")))
+    return scores.orderBy(draw, "author").limit(n)
 
 
 def top_contributors(enriched: DataFrame, n: int = 8) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..files import Files
 from ..schemas import METRICS, RICH_ITEM
 from .items import parse_times
+from .merging import read_merged
 from .sinks import write_raw_batch
 
 # Where the batch number stands in a path, and the file kinds that hold data.
@@ -36,6 +38,9 @@ def _community(path: Column) -> Column:
     return F.when(folder != "", F.nullif(name, F.lit("__HIVE_DEFAULT_PARTITION__")))
 
 
+_TAGS = ("batch_number", "file_path", "file_timestamp")
+
+
 def read_batches(
     spark: SparkSession,
     root: str,
@@ -44,55 +49,81 @@ def read_batches(
     community: str = "*",
     skip_broken: bool = False,
     times: bool = True,
+    merge: bool = True,
 ) -> DataFrame:
     """Stored batches, each row with batch number, file path and file time.
 
     All Parquet files below ``root`` are read, whatever the folders; outside a batch folder
     the number is 0. A broken file is an error, unless ``skip_broken`` is set: then
-    :func:`files_without_rows` tells what was passed over. With the declared schema no file
-    is opened just to learn its columns; ``times`` turns its time texts into timestamps. The community comes from the folder name, else from
-    the file; ``batch`` and ``community`` (glob patterns) list the wanted folders only.
+    :func:`files_without_rows` tells what was passed over. Columns beyond ``schema`` follow it,
+    NULL in files without them; a column stored in several types has one that holds them all.
+    Without ``merge`` no footer is read ahead and only the columns of ``schema`` are. ``times`` turns
+    the time texts of ``schema`` into timestamps. The community comes from the folder name, else from
+    the file; ``batch`` and ``community`` (glob patterns) list the wanted folders only, and
+    :func:`in_communities` is a filter that opens only the files of some communities.
     """
     folder = root
     if community != "*":
         folder = f"{root}/batch_{batch}/subreddit={community}"
     elif batch != "*":
         folder = f"{root}/batch_{batch}"
-    rows = (
-        spark.read.schema(schema)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .option("ignoreCorruptFiles", str(skip_broken).lower())
-        .parquet(folder)
-    )
-    path = F.col("_metadata.file_path")
+    tags = {
+        "__path": F.col("_metadata.file_path"),
+        "__time": F.col("_metadata.file_modification_time"),
+    }
+    if merge:
+        pattern = f"{root}/*" if folder == root else folder
+        paths = Files(spark, root).matching(pattern) or [folder]
+        rows = read_merged(spark, paths, schema, tags, skip_broken)
+    else:
+        rows = (
+            spark.read.schema(schema)
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .option("ignoreCorruptFiles", str(skip_broken).lower())
+            .parquet(folder)
+            .select(*schema.names, *[c.alias(n) for n, c in tags.items()])
+        )
+    path = F.col("__path")
     named = F.when(_has_community(path), _community(path)).otherwise(F.col("subreddit"))
-    columns = [named.alias(n) if n == "subreddit" else F.col(n) for n in schema.names]
+    # Stored columns of these names are of an earlier reading.
+    own = [c for c in rows.columns if c.lower() not in (*_TAGS, *tags)]
     tagged = rows.select(
-        *columns,
+        *[named.alias(n) if n == "subreddit" else F.col(f"`{n}`") for n in own],
         batch_number(path).alias("batch_number"),
         path.alias("file_path"),
-        F.col("_metadata.file_modification_time").alias("file_timestamp"),
+        F.col("__time").alias("file_timestamp"),
     )
     return parse_times(tagged) if times else tagged
 
 
+def in_communities(*names: str) -> Column:
+    """Rows of some communities of stored batches, by their folders alone: others are not opened."""
+    return _community(F.col("file_path")).isin(*names)
+
+
 def files_without_rows(spark: SparkSession, root: str, batches: DataFrame) -> DataFrame:
     """Parquet files below ``root`` that gave ``batches`` no row: path, length, is_parquet.
 
     A file whose end is no Parquet end (``is_parquet`` false) was skipped as broken. A sound
     file may hold no rows; one that is damaged inside gives its first rows, so only a strict
-    read shows it.
+    read shows it. Paths are compared first; of the files that are left, whose names are fewer
+    than those that any scan of them lists, the contents are read.
     """
     mark = F.lit(b"PAR1")
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
-        .load(root)
-    )
+
+    def files(*paths: str) -> DataFrame:
+        return (
+            spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(list(paths))
+        )
+
     read = batches.select(F.col("file_path").alias("path")).distinct()
-    return files.join(read, "path", "left_anti").select(
+    left = [r.path for r in files(root).select("path").join(read, "path", "left_anti").collect()]
+    found = files(*left) if left else files(root).limit(0)
+    return found.select(
         "path", "length", (F.substring("content", -4, 4) == mark).alias("is_parquet")
     )
 
@@ -100,7 +131,7 @@ def files_without_rows(spark: SparkSession, root: str, batches: DataFrame) -> Da
 def compact_batch(spark: SparkSession, root: str, target: str, batch: int) -> str:
     """One stored batch written anew below ``target``, small files of a community gathered."""
     rows = read_batches(spark, root, batch=batch, times=False)
-    return write_raw_batch(rows.select(*RICH_ITEM.names), target, batch)
+    return write_raw_batch(rows.drop(*_TAGS), target, batch)
 
 
 def batch_files(batches: DataFrame) -> DataFrame:

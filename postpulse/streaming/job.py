@@ -70,7 +70,7 @@ def process_batch(
         return
     spark = batch.sparkSession
     sinks.write_raw_batch(canonicalise(batch), folders.raw, batch_id)
-    raw = read_batches(spark, folders.raw, _stored_schema(batch), batch_id)
+    raw = read_batches(spark, folders.raw, _stored_schema(batch), batch_id, merge=False)
     sinks.publish(raw, "raw")
 
     tally_path = sinks.write_parquet_batch(tallies.tally(raw), folders.tallies, batch_id)
