@@ -4,18 +4,17 @@ Every pair of places has a common shift, below PERIOD, that takes both to sample
 whose number modulo PERIOD lies in COVER. So two suffixes that agree in ``length`` bytes agree in
 the triple of blocks at some sampled place of both.
 
-* Sort the sampled triples: their names are the ranks of their fingerprints, dealt to ranges of
-  names and sorted there. A suffix whose prefix holds only triples of one document is unique
-  and is discarded.
-* Recurse on names: texts are also cut into stretches at places that their bytes choose, and
-  equal stretches get one name and the smallest document that has it. A stretch that an earlier
-  document has is removed whole; of each name only the earliest stretch goes on. A prefix of
-  ``length`` bytes is too short to hold a second sampled triple of its class, so
-  this is where recursion ends.
+* First copies that are long are taken out: texts are cut into stretches at places that their bytes
+  choose, and equal stretches get one name and the smallest document that has it. A stretch that
+  an earlier document has is removed whole; of each name only the earliest stretches go on.
+* Sort the sampled triples of these: their names are fingerprints, dealt to ranges and sorted
+  there. A suffix whose prefix holds only triples of one stretch is unique and is discarded.
+  A prefix of ``length`` bytes is too short to hold a second sampled triple
+  of its class, so names of names decide nothing more and recursion ends here.
 * Merge the remaining suffixes, sampled or not: their prefixes are sorted by range, and adjacent
   ones compared. Runs of equal prefixes learn the smallest document that has one.
 
-Documents travel in chunks; ranges answer each chunk in the order of its question, and the number
+Documents are stored once, in chunks, and only questions and answers move; ranges answer each chunk in the order of its question, and the number
 of ranges follows the bytes of the corpus. Neither copies nor frequent passages meet in one task,
 as a chunk asks once for what it has often.
 """
@@ -23,7 +22,9 @@ as a chunk asks once for what it has often.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -37,22 +38,26 @@ from pyspark.sql.types import StructType
 from ..scratch import shared_folder
 from .chunks import own_list, own_type, text_chunks, with_own
 from .ngrams import bucket_ends, packed, packed_keys, unpacked, unpacked_keys
-from .rows import discard, reach_workers, without
+from .rows import reach_workers, stored, without
 
 LENGTH = 50
 # A perfect difference set: every remainder is a difference of two of its members.
-PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
-BLOCK = 6
-CHUNK_BYTES = 4 << 20
+PERIOD, COVER = 21, (0, 1, 4, 14, 16)
+BLOCK = 10
+CHUNK_BYTES = 6 << 20
 BUCKET_BYTES = 8 << 20
+# Texts are kept in buckets of about so many bytes, one task each.
+TASK_BYTES = 16 << 20
 # Places are worked on in windows of so many bytes.
 WINDOW = 1 << 20
 # Names keep so many leading bits more than the corpus has places; equal bits of different triples
 # only keep a suffix in the race.
-SPARE_BITS = 8
+SPARE_BITS = 7
+# Prefixes keep so many more in their first fingerprint, beside 32 bits in the second.
+PREFIX_BITS = 24
 LAST = np.int64(2**63 - 1)
 ADDED = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
-_TRIPLE, _STRETCH = 0, 1
+_TRIPLE, _STRETCH, _PREFIX, _REMOVED, _WAITING = range(5)
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -195,32 +200,71 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _shared_names(places: Places) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sampled places, the rank of their name, and the names with a mark if two documents here have it."""
-    at, names = places.triples()
-    found, rank = np.unique(names, return_inverse=True)
-    documents = places.documents(at)
-    least, most = np.full(len(found), len(places.ends)), np.full(len(found), -1)
-    np.minimum.at(least, rank, documents)
-    np.maximum.at(most, rank, documents)
-    return at, rank, found, least < most
-
-
-def _first_asker(buckets: int, length: int, name_bits: int):
+def _stretch_asker(buckets: int, length: int):
     schema = to_arrow_schema(StructType.fromDDL(_ASK))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for b in batches for r in b.to_pylist()):
-            places, ids = _chunk(row, length, name_bits)
-            _, _, names, several = _shared_names(places)
+            places, ids = _chunk(row, length)
             starts, _, one, two = stretch_names(places)
             one, two, least, _ = _least(one, two, ids[places.documents(starts)])
-            nothing = np.zeros(len(names), np.uint64)
-            yield _batch(
-                _questions(row["chunk"], _TRIPLE, buckets, names, nothing, several.astype(np.int64))
-                + _questions(row["chunk"], _STRETCH, buckets, one, two, least),
-                schema,
-            )
+            yield _batch(_questions(row["chunk"], _STRETCH, buckets, one, two, least), schema)
+
+    return ask
+
+
+@dataclass
+class _Earliest:
+    """The stretches of a chunk that no earlier document has, their triples, and the other stretches."""
+
+    places: Places
+    starts: np.ndarray
+    ends: np.ndarray
+    sampled: np.ndarray
+    rank: np.ndarray
+    names: np.ndarray
+    several: np.ndarray
+    removed: np.ndarray
+
+
+def _earliest(row: dict, answers: list[dict], length: int, name_bits: int) -> _Earliest:
+    places, ids = _chunk(row, length, name_bits)
+    starts, ends, one, two = stretch_names(places)
+    own = ids[places.documents(starts)]
+    *_, place = _least(one, two, own)
+    replies = map(unpacked_longs, _answer_list(answers, _STRETCH))
+    least = np.concatenate([np.zeros(0, np.int64), *replies])
+    earlier = least[place] < own
+    removed = np.column_stack([starts[earlier], ends[earlier] + length - 1])
+    starts, ends = starts[~earlier], ends[~earlier]
+    # Triples that a prefix from one of these stretches can hold.
+    sampled, names = places.triples()
+    at = np.searchsorted(starts, sampled, side="right") - 1
+    reach = np.append(ends + length - 1, 0)[at]
+    inside = (at >= 0) & (sampled + 3 * BLOCK <= reach)
+    sampled, names, at = sampled[inside], names[inside], at[inside]
+    found, rank = np.unique(names, return_inverse=True)
+    low, high = np.full(len(found), len(starts)), np.full(len(found), -1)
+    np.minimum.at(low, rank, at)
+    np.maximum.at(high, rank, at)
+    return _Earliest(places, starts, ends, sampled, rank, found, low < high, removed)
+
+
+def _chunk_row(chunk: pa.Table) -> dict:
+    return {n: chunk.column(n)[0].as_py() for n in ("chunk", "ids", "sizes", "bytes")}
+
+
+def _triple_asker(buckets: int, length: int, name_bits: int):
+    schema = to_arrow_schema(StructType.fromDDL(_ASK))
+
+    def ask(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        row = _chunk_row(chunk)
+        own = _earliest(row, answers.to_pylist(), length, name_bits)
+        nothing = np.zeros(len(own.names), np.uint64)
+        asked = _questions(
+            row["chunk"], _TRIPLE, buckets, own.names, nothing, own.several.astype(np.int64)
+        )
+        return pa.Table.from_batches([_batch(asked, schema)])
 
     return ask
 
@@ -247,47 +291,30 @@ def _answered(rows: pd.DataFrame) -> pd.DataFrame:
     return rows[["kind", "bucket", "chunk"]].assign(answer=answers)
 
 
-def _answer_list(answers: list[dict], kind: int, sizes: list[int] | None = None) -> list[bytes]:
+def _answer_list(answers: list[dict], kind: int) -> list[bytes]:
     own = sorted((r for r in answers if r["kind"] == kind), key=lambda r: r["bucket"])
     return [r["answer"] for r in own]
 
 
-_STATE = f"{_CHUNK}, removed binary, waiting binary"
-
-
-def _waiter(schema: StructType, buckets: int, length: int, name_bits: int):
+def _waiter(buckets: int, length: int, name_bits: int):
     """Removed prefixes of stretches that an earlier document has; waiting ones of the others."""
-    arrow = to_arrow_schema(schema)
+    schema = to_arrow_schema(StructType.fromDDL(_ANSWER))
 
     def wait(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        row = {n: chunk.column(n)[0].as_py() for n in ("chunk", "ids", "sizes", "bytes")}
-        replies = answers.to_pylist()
-        places, ids = _chunk(row, length, name_bits)
-        at, rank, names, _ = _shared_names(places)
-        sizes = np.diff(bucket_ends(names, buckets))
+        row, replies = _chunk_row(chunk), answers.to_pylist()
+        own = _earliest(row, replies, length, name_bits)
+        sizes = np.diff(bucket_ends(own.names, buckets))
         bits = [
             np.unpackbits(np.frombuffer(a, np.uint8), count=n)
             for a, n in zip(_answer_list(replies, _TRIPLE), sizes[sizes > 0].tolist(), strict=True)
         ]
-        shared = np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)[rank]
-        starts, ends, one, two = stretch_names(places)
-        own = ids[places.documents(starts)]
-        *_, place = _least(one, two, own)
-        least = np.concatenate(
-            [np.zeros(0, np.int64), *map(unpacked_longs, _answer_list(replies, _STRETCH))]
-        )
-        earlier = least[place] < own
-        # Prefixes that start in the earliest stretch of a name and hold a shared triple.
-        sampled = at[shared]
-        open_starts, open_ends = starts[~earlier], ends[~earlier]
-        waiting = _prefixes(sampled, open_starts, open_ends, length)
-        removed = np.column_stack([starts[earlier], ends[earlier] + length - 1])
-        arrays = {
-            **{n: chunk.column(n).combine_chunks() for n in ("chunk", "ids", "sizes", "bytes", "own")},
-            "removed": pa.array([packed(removed.ravel())], pa.binary()),
-            "waiting": pa.array([packed(np.diff(waiting, prepend=0))], pa.binary()),
-        }
-        return pa.Table.from_arrays([arrays[f.name].cast(f.type) for f in arrow], schema=arrow)
+        shared = np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)[own.rank]
+        waiting = _prefixes(own.sampled[shared], own.starts, own.ends, length)
+        told = [
+            (_REMOVED, 0, row["chunk"], packed(own.removed.ravel())),
+            (_WAITING, 0, row["chunk"], packed(np.diff(waiting, prepend=0))),
+        ]
+        return pa.Table.from_batches([_batch(told, schema)])
 
     return wait
 
@@ -312,38 +339,39 @@ def _prefixes(sampled: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(left, sizes)
 
 
-def _merged_keys(row: dict, length: int):
+def _merged_keys(row: dict, answers: list[dict], length: int, key_bits: int):
     places, ids = _chunk(row, length)
-    waiting = np.cumsum(unpacked(row["waiting"]))
-    one = places.fingerprints(waiting, length)
+    dropped = np.uint64(64 - key_bits)
+    waiting = np.cumsum(unpacked(_answer_list(answers, _WAITING)[0]))
+    one = places.fingerprints(waiting, length) >> dropped << dropped
     two = _mixed(places.words[waiting] * _M1 + places.fingerprints(waiting + 1, length - 1))
     two &= np.uint64(0xFFFFFFFF)
     own = ids[places.documents(waiting)]
-    return places, ids, waiting, own, _least(one, two, own)
+    return places, waiting, own, _least(one, two, own)
 
 
-def _second_asker(buckets: int, length: int, name_bits: int):
+def _prefix_asker(buckets: int, length: int, key_bits: int):
     schema = to_arrow_schema(StructType.fromDDL(_ASK))
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
-            *_, (one, two, least, _) = _merged_keys(row, length)
-            yield _batch(_questions(row["chunk"], _STRETCH, buckets, one, two, least), schema)
+    def ask(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        row = _chunk_row(chunk)
+        *_, (one, two, least, _) = _merged_keys(row, answers.to_pylist(), length, key_bits)
+        asked = _questions(row["chunk"], _PREFIX, buckets, one, two, least)
+        return pa.Table.from_batches([_batch(asked, schema)])
 
     return ask
 
 
-def _remover(schema: StructType, length: int):
+def _remover(schema: StructType, length: int, key_bits: int):
     arrow = to_arrow_schema(schema)
 
     def remove(chunk: pa.Table, answers: pa.Table) -> pa.Table:
-        names = ("chunk", "ids", "sizes", "bytes", "removed", "waiting")
-        row = {n: chunk.column(n)[0].as_py() for n in names}
-        places, _, waiting, own, (*_, rank) = _merged_keys(row, length)
-        replies = _answer_list(answers.to_pylist(), _STRETCH)
-        least = np.concatenate([np.zeros(0, np.int64), *map(unpacked_longs, replies)])
+        row, replies = _chunk_row(chunk), answers.to_pylist()
+        places, waiting, own, (*_, rank) = _merged_keys(row, replies, length, key_bits)
+        told = map(unpacked_longs, _answer_list(replies, _PREFIX))
+        least = np.concatenate([np.zeros(0, np.int64), *told])
         hit = waiting[least[rank] < own]
-        removed = unpacked(row["removed"]).reshape(-1, 2)
+        removed = unpacked(_answer_list(replies, _REMOVED)[0]).reshape(-1, 2)
         # How many removed prefixes cover each byte.
         cover = np.bincount(hit, minlength=places.size + 1)[: places.size + 1]
         cover = cover + np.bincount(removed[:, 0], minlength=places.size + 1)
@@ -412,26 +440,32 @@ def without_repeats(
     read, fields = with_own(docs, kept, text_col)
     read = read.withColumn("id", F.col(f"own_{[c.lower() for c in kept.columns].index(id_col.lower())}").cast("bigint"))
     schema = StructType.fromDDL(_CHUNK).add("own", own_type(fields))
-    first = shared_folder(spark, "suffix-chunks")
-    read.mapInArrow(_gather(schema, chunk_bytes), schema).write.parquet(first)
-    chunks = spark.read.schema(schema).parquet(first)
     size = read.agg(F.sum(F.octet_length("words"))).first()[0] or 0
     buckets = max(1, math.ceil(size / bucket_bytes))
     name_bits = min(64, int(size).bit_length() + SPARE_BITS)
-    needed = ["chunk", "ids", "sizes", "bytes"]
-
-    def answers(rows: DataFrame, columns: list[str], asker) -> DataFrame:
-        asked = rows.select(*columns).mapInArrow(asker(buckets, length, name_bits), _ASK)
-        return asked.groupBy("kind", "bucket").applyInPandas(_answered, _ANSWER)
-
-    state_schema = StructType.fromDDL(_STATE).add("own", own_type(fields))
-    state = chunks.groupBy("chunk").cogroup(answers(chunks, needed, _first_asker).groupBy("chunk"))
-    second = shared_folder(spark, "suffix-state")
-    state.applyInArrow(_waiter(state_schema, buckets, length, name_bits), state_schema).write.parquet(second)
-    discard(spark, first)
-    waiting = spark.read.schema(state_schema).parquet(second)
+    key_bits = min(64, int(size).bit_length() + PREFIX_BITS)
+    # Bucketed by chunk, so that the texts stay where they are and only answers move.
+    name = f"suffix_chunks_{uuid.uuid4().hex}"
+    writer = read.mapInArrow(_gather(schema, chunk_bytes), schema).write
+    writer.bucketBy(max(1, math.ceil(size / TASK_BYTES)), "chunk").option(
+        "path", shared_folder(spark, "suffix-chunks")
+    ).saveAsTable(name)
+    chunks = spark.table(name)
+
+    def answers(asked: DataFrame, name: str) -> DataFrame:
+        return stored(asked.groupBy("kind", "bucket").applyInPandas(_answered, _ANSWER), name)
+
+    def beside(told: DataFrame, work, ddl: str | StructType) -> DataFrame:
+        return chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(work, ddl)
+
+    columns = ["chunk", "ids", "sizes", "bytes"]
+    asked = chunks.select(*columns).mapInArrow(_stretch_asker(buckets, length), _ASK)
+    stretches = answers(asked, "suffix-stretches")
+    triples = answers(beside(stretches, _triple_asker(buckets, length, name_bits), _ASK), "suffix-triples")
+    waiter = _waiter(buckets, length, name_bits)
+    waiting = stored(beside(stretches.unionByName(triples), waiter, _ANSWER), "suffix-waiting")
+    prefixes = answers(beside(waiting, _prefix_asker(buckets, length, key_bits), _ASK), "suffix-prefixes")
     types = "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
     out = StructType([*fields, *StructType.fromDDL(types)])
-    found = answers(waiting, [*needed, "waiting"], _second_asker)
-    done = waiting.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_remover(out, length), out)
+    done = beside(waiting.unionByName(prefixes), _remover(out, length, key_bits), out)
     return done.select(*[F.col(f"own_{i}").alias(c) for i, c in enumerate(kept.columns)], *ADDED)

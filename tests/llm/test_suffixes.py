@@ -69,7 +69,7 @@ def test_cover():
     shifts = {(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER}
     assert shifts == set(range(suffixes.PERIOD))
     with pytest.raises(ValueError):
-        suffixes.without_repeats(None, length=47)
+        suffixes.without_repeats(None, length=49)
 
 
 @settings(max_examples=100, deadline=None)
@@ -85,11 +85,11 @@ def test_places(documents, window):
     finally:
         suffixes.WINDOW = whole
     bounds = list(zip(places.starts.tolist(), places.ends.tolist()))
-    fits = [p for a, b in bounds for p in range(a, b) if p % 31 in suffixes.COVER and p + 18 <= b]
+    fits = [p for a, b in bounds for p in range(a, b) if p % 21 in suffixes.COVER and p + 30 <= b]
     assert at.tolist() == fits
     of = {}
     for p, name in zip(at.tolist(), names.tolist()):
-        assert of.setdefault(raw[p : p + 18], name) == name
+        assert of.setdefault(raw[p : p + 30], name) == name
     assert starts.tolist() == sorted(set(starts.tolist())) and ends.tolist() == [*starts[1:].tolist(), *([len(raw)] if raw else [])]
     # Every place at which a prefix fits lies in one stretch.
     covered = [p for a, b in zip(begins.tolist(), stops.tolist()) for p in range(a, b)]
@@ -104,7 +104,7 @@ def test_prefixes_around_triples(sampled, gaps):
     starts = starts[: len(stops)]
     got = suffixes._prefixes(np.array(sorted(sampled), np.int64), starts, stops, 50)
     inside = [p for a, b in zip(starts, stops) for p in range(a, b)]
-    assert got.tolist() == [p for p in inside if any(p <= s <= p + 32 for s in sampled)]
+    assert got.tolist() == [p for p in inside if any(p <= s <= p + 20 for s in sampled)]
 
 
 def test_columns_and_empty_tables(spark):
