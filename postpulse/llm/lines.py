@@ -212,7 +212,8 @@ class LineIndex:
         """``docs`` without the lines whose key is frequent, beside n_lines and n_dropped.
 
         The text of a null is empty afterwards. Repeated rows lose the same lines. Lines that
-        the index has never seen stay. Columns named n_lines and n_dropped are replaced.
+        the index has never seen stay. Columns named n_lines and n_dropped, in any case, are
+        replaced; all others keep their name and content, whatever the name.
         """
         own = without(docs, ["n_lines", "n_dropped"])
         # Equal rows lose equal lines, so a hash of id and text is all that names a row.
@@ -255,19 +256,23 @@ class LineIndex:
             .groupBy("row1", "row2")
             .agg(F.collect_set("h1").alias("dropped_keys"))
         )
-        lines = lines_of(F.col(text_col))
+        # Own columns travel under names that nothing else has.
+        names = {c: f"own_{i}" for i, c in enumerate(own.columns)}
+        text = next(n for c, n in names.items() if c.lower() == text_col.lower())
+        lines = lines_of(F.col(text))
         kept = F.filter(
             lines,
             lambda x: F.col("dropped_keys").isNull()
             | ~F.array_contains("dropped_keys", _hashes(key_of(x))[0]),
         )
-        joined = own.select("*", *row).join(dropped, ["row1", "row2"], "left")
-        texts = joined.withColumns(
+        renamed = own.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()], *row)
+        texts = renamed.join(dropped, ["row1", "row2"], "left").withColumns(
             {"n_lines": F.size(lines).cast("bigint"), "kept_lines": kept}
         ).withColumns(
             {
                 "n_dropped": F.col("n_lines") - F.size("kept_lines"),
-                text_col: F.array_join("kept_lines", "\n"),
+                text: F.array_join("kept_lines", "\n"),
             }
         )
-        return texts.select(*own.columns, "n_lines", "n_dropped")
+        back = [F.col(n).alias(c) for c, n in names.items()]
+        return texts.select(*back, "n_lines", "n_dropped")

@@ -96,3 +96,15 @@ def test_a_full_filter_grows():
     grown = lines._update_filter(own, keys)
     table = np.frombuffer(grown["filter"][0], np.uint32).reshape(-1, lines.SLOTS)
     assert lines.CuckooFilter(table).contains(h1, h2).all()
+
+
+def test_own_columns_of_any_name(spark):
+    rows = texts(60) * 2
+    schema = "doc_id bigint, Text string, row1 int, ROW2 int, kept_lines int, dropped_keys string, shard int, own_0 int, N_Dropped int"
+    docs = spark.createDataFrame([(i, t, i, 2, 3, "d", 5, 6, 7) for i, t in enumerate(rows)], schema)
+    index = lines.LineIndex.empty(spark, 3).insert(docs)
+    found = index.clean(docs)
+    assert found.columns == [*docs.columns[:-1], "n_lines", "n_dropped"]
+    got = found.collect()
+    assert {tuple(r)[3:8] for r in got} == {(2, 3, "d", 5, 6)} and all(r.row1 == r.doc_id for r in got)
+    assert [(r.n_lines, r.n_dropped, r.Text) for r in sorted(got)] == plain(rows, 10)
