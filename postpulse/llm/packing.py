@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, held, reach_workers, stored
+from .rows import append_columns, held, reach_workers, stored, without
 
 CAPACITY = 4096
 END_ID = 1
@@ -155,9 +155,11 @@ def token_pieces(
 
         return work
 
-    schema = "cut array<struct<piece: int, start: bigint, length: bigint, ids: binary>>"
-    cut = append_columns(docs, schema, make, drop=(text_col,))
-    pieces = cut.select(*[c for c in cut.columns if c != "cut"], F.inline("cut"))
+    own = without(docs, ["piece", "start", "length", "ids", "ids_crc32"])
+    schema = "__cut array<struct<piece: int, start: bigint, length: bigint, ids: binary>>"
+    cut = append_columns(own, schema, make, drop=(text_col,))
+    others = [F.col(f"`{c}`") for c in cut.columns if c != "__cut"]
+    pieces = cut.select(*others, F.inline("__cut"))
     return pieces.withColumn("ids_crc32", F.crc32("ids"))
 
 
@@ -240,13 +242,13 @@ def pack(
 
     Each round keeps the well filled bins and exchanges the documents of the others. The last
     round keeps all. Rows that are equal are pieces of their own; an empty table stays empty.
+    Columns named like the added ones, in any case, are replaced.
     """
     reach_workers(pieces.sparkSession)
-    named = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    kept = without(pieces, ["sequence_id", "offset"])
+    named = [F.col(f"`{c}`") for c in kept.columns]
     rows = stored(
-        pieces.select(
-            F.monotonically_increasing_id().alias("row"), F.struct(*named).alias("own")
-        ),
+        kept.select(F.monotonically_increasing_id().alias("row"), F.struct(*named).alias("own")),
         "pieces",
     )
     waiting = rows.select("row", F.col("own.length").alias("length"))

@@ -158,3 +158,17 @@ def test_sequences_hold_the_token_ids(spark):
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.pack(packing.token_pieces(docs, PATH)).count() == 0
+
+
+def test_own_columns_of_any_name(spark):
+    rows = [(i, "a b " * i, "s", i, "c", 1.5, "row", 7) for i in range(50)]
+    schema = "doc_id bigint, text string, Sequence_ID string, Offset int, cut string, Start double, row string, own int"
+    docs = spark.createDataFrame(rows, schema)
+    pieces = packing.token_pieces(docs, PATH, capacity=40)
+    named = ["doc_id", "Sequence_ID", "Offset", "cut", "row", "own", "piece", "start", "length", "ids", "ids_crc32"]
+    assert pieces.columns == named
+    found = packing.pack(pieces, capacity=40)
+    assert found.columns == [*(n for n in named if n not in ("Sequence_ID", "Offset")), "sequence_id", "offset"]
+    got = found.collect()
+    assert {(r.cut, r.row, r.own) for r in got} == {("c", "row", 7)}
+    assert {r.doc_id for r in got} == set(range(50)) and all(0 <= r.offset < 40 for r in got)
