@@ -6,8 +6,10 @@ up its children. The lowest density on the way from the node with the largest su
 is the threshold; below every node that reaches it, the subtree with the largest sum is content.
 
 Parts that are no article by their element, role or class name (menus, footers, adverts, forms,
-reader comments) count as text in the statistics but add to no sum and are never content. A class
-name or id marks them only as a whole, and only where the element does not wrap the content.
+reader comments) count as text in the statistics but add to no sum and are never content. Class
+names and ids count as a whole or by the parts that say what a thing is (``site-footer``,
+``adSlot``). Names, roles and elements such as ``form`` or ``aside`` mark a part only where it
+does not wrap the content.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import html
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,13 +38,14 @@ BLOCK = {
     "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
 NOISE_TAGS = {
-    "head", "nav", "footer", "aside", "form", "button", "select", "fieldset", "dialog", "menu",
-    "object", "embed", "svg", "canvas", "audio", "video", "map",
+    "head", "button", "select", "object", "embed", "svg", "canvas", "audio", "video", "map",
 } | RAW
-NOISE_ROLES = {
-    "alert", "alertdialog", "banner", "complementary", "contentinfo", "dialog", "form", "menu",
-    "menubar", "navigation", "search", "toolbar",
-}
+# Noise unless they wrap the content: boxes, which some pages put around all they have, and frames,
+# which hold text of their own and so must also hold an article or main.
+BOX_TAGS = {"form", "aside", "fieldset", "dialog"}
+FRAME_TAGS = {"nav", "footer", "header", "menu"}
+BOX_ROLES = {"alert", "alertdialog", "complementary", "dialog", "form", "search"}
+FRAME_ROLES = {"banner", "contentinfo", "menu", "menubar", "navigation", "toolbar"}
 NOISE_NAMES = {
     "ad", "ads", "adsbygoogle", "advert", "adverts", "advertisement", "advertising", "alert",
     "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies",
@@ -50,6 +54,22 @@ NOISE_NAMES = {
     "related", "replies", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored",
     "subscribe", "toolbar", "widget",
 }
+# Of a name in parts: the last part says what the thing is, or the first one does and the last is
+# a word for any part of a page. Other first or last parts, or a word that denies, say nothing.
+LAST_PARTS = {
+    "ad", "ads", "advert", "adverts", "advertisement", "banner", "breadcrumb", "breadcrumbs",
+    "comment", "comments", "consent", "cookies", "disqus", "footer", "menu", "modal", "nav",
+    "navbar", "navigation", "newsletter", "notice", "pager", "pagination", "popup", "replies",
+    "sidebar", "signup", "sponsor", "subscribe",
+}
+ANY_PARTS = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "column", "container",
+    "content", "form", "group", "holder", "icons", "inner", "item", "items", "left", "link",
+    "links", "list", "message", "outer", "panel", "right", "row", "section", "slot", "text",
+    "thread", "top", "unit", "widget", "widgets", "wrap", "wrapper", "zone",
+}
+DENIALS = {"has", "hide", "is", "no", "non", "not", "off", "with", "without"}
+SITE_HEADERS = {"site", "page", "top", "global"}
 # Readers' comments can be longer than the article.
 READER_NAMES = {"comment", "comments", "disqus", "replies"}
 # Elements that hold the content: their ancestors' names do not make them noise.
@@ -68,7 +88,7 @@ CLOSES = {
 }
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*\Z",
     re.DOTALL,
@@ -78,12 +98,31 @@ _ATTRIBUTE = re.compile(
 )
 
 
+_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+
+
+@lru_cache(maxsize=1 << 16)
+def noise_name(name: str) -> str | None:
+    """The word by which a class name or id tells a part that is no article."""
+    if (whole := name.lower()) in NOISE_NAMES or whole == "header":
+        return whole
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    if len(parts) < 2 or not DENIALS.isdisjoint(parts):
+        return None
+    first, last = parts[0], parts[-1]
+    if last in LAST_PARTS or (last == "header" and first in SITE_HEADERS):
+        return last
+    return first if first in NOISE_NAMES and last in ANY_PARTS else None
+
+
 class Dom:
     """Nodes in page order as parallel lists; ``events`` are texts and block borders."""
 
     def __init__(self, page: str):
         self.tags, self.parents, self.noise = ["#page"], [-1], [False]
-        self.named: dict[int, set[str]] = {}  # names that mark noise, unless the node is a wrapper
+        # What marks noise unless the node is a wrapper: whether a box (or a frame), and names.
+        self.boxes: dict[int, bool] = {}
+        self.named: dict[int, set[str]] = {}
         self.events: list[tuple[int, str | None]] = []
         self.open = [0]
         self.opened: Counter[str] = Counter()  # open elements by tag, to spare most walks up
@@ -100,6 +139,8 @@ class Dom:
                     end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(page, at)
                     at = end.start() if end else len(page)
         self._text(page[at:])
+        if self.boxes:
+            self._judge_boxes()
         if self.named:
             self._judge_names()
 
@@ -151,48 +192,70 @@ class Dom:
             self.opened[tag] += 1
 
     def _is_noise(self, node: int, tag: str, rest: str) -> bool:
-        """By element, role or attribute; names are noted, to be judged on the whole page."""
+        """By element or attribute; boxes, roles and names are noted, to be judged on the whole page."""
         if tag in NOISE_TAGS:
             return True
         in_article = bool(self.opened["article"] or self.opened["main"])
-        if tag == "header" and not in_article:
-            return True
+        if tag in BOX_TAGS or (tag in FRAME_TAGS and not (tag == "header" and in_article)):
+            self.boxes[node] = tag in BOX_TAGS
         if not rest.strip() or tag in FRAME:
             return False
         given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(rest)}
-        names = {n for key in ("class", "id") for n in given.get(key, "").lower().split()}
-        if found := names & (NOISE_NAMES if in_article else NOISE_NAMES | {"header"}):
+        words = (n for key in ("class", "id") for n in given.get(key, "").split())
+        names = {found for n in words if (found := noise_name(n))}
+        if found := names - {"header"} if in_article else names:
             self.named[node] = found
-        return (
-            given.get("role", "").lower() in NOISE_ROLES
-            or "hidden" in given
-            or "display:none" in given.get("style", "").replace(" ", "").lower()
-        )
+        role = given.get("role", "").lower()
+        if role in BOX_ROLES | FRAME_ROLES:
+            self.boxes.setdefault(node, role in BOX_ROLES)
+        return "hidden" in given or "display:none" in given.get("style", "").replace(" ", "").lower()
 
-    def _judge_names(self) -> None:
-        """Names make noise of what holds no landmark, nor most of the text without links.
+    def _weighed(self) -> tuple[list[bool], list[bool], list[int]]:
+        """Whether each node holds a landmark, whether an article or main, and its characters
+        outside links and noise.
 
-        An article inside another one is no landmark: it may be a reader's comment. Where the
-        page has an article or main, an advert can be the longer text, so the amount says nothing.
+        An article inside another one is no landmark: it may be a reader's comment.
         """
         n = len(self.tags)
         inside, linked = [False] * n, [False] * n
-        holds, plain, framed = [False] * n, [0] * n, False
+        holds, frames, plain = [False] * n, [False] * n, [0] * n
         for i in range(1, n):
             up = self.parents[i]
             linked[i] = linked[up] or self.tags[i] == "a"
             inside[i] = inside[up] or self.tags[up] == "article"
             holds[i] = self.tags[i] in LANDMARKS and not self.noise[i] and not inside[i]
-            framed |= holds[i] and self.tags[i] != "h1"
+            frames[i] = holds[i] and self.tags[i] != "h1"
         for node, text in self.events:
             if text is not None and not self.noise[node] and not linked[node]:
                 plain[node] += len("".join(text.split()))
         for i in range(n - 1, 0, -1):
-            holds[self.parents[i]] |= holds[i]
-            plain[self.parents[i]] += plain[i]
-        for i in range(1, n):
+            up = self.parents[i]
+            holds[up] |= holds[i]
+            frames[up] |= frames[i]
+            plain[up] += plain[i]
+        return holds, frames, plain
+
+    def _judge_boxes(self) -> None:
+        """A box is noise unless it has most of the text without links and, where the page has an
+        article or main, holds one; a frame must hold one on any page."""
+        _, frames, plain = self._weighed()
+        for i in range(1, len(self.tags)):
+            if i in self.boxes:
+                most = 2 * plain[i] > plain[0]
+                wrapper = most and (frames[i] or (self.boxes[i] and not frames[0]))
+                self.noise[i] |= not wrapper
+            self.noise[i] |= self.noise[self.parents[i]]
+
+    def _judge_names(self) -> None:
+        """Names make noise of what holds no landmark, nor most of the text without links.
+
+        Where the page has an article or main, an advert can be the longer text, so the amount
+        says nothing.
+        """
+        holds, frames, plain = self._weighed()
+        for i in range(1, len(self.tags)):
             if found := self.named.get(i):
-                elsewhere = framed or bool(found & READER_NAMES and holds[0])
+                elsewhere = frames[0] or bool(found & READER_NAMES and holds[0])
                 most = 2 * plain[i] > plain[0] and not elsewhere
                 self.noise[i] |= not (holds[i] or most)
             self.noise[i] |= self.noise[self.parents[i]]

@@ -56,6 +56,48 @@ def test_names_of_wrappers_drop_no_content(page):
     assert pages.main_text(page) == f"T\n{LONG.strip()}"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form id=aspnetForm>{MENU}{ARTICLE}</form>",
+        f"<body><form id=aspnetForm>{MENU}<h1>T</h1><p>{LONG}</p></form>",
+        f"<body><aside>{ARTICLE}</aside><footer>f</footer>",
+        f"<body><fieldset><h2>T</h2><p>{LONG}</p></fieldset>{MENU}",
+        f"<body><dialog open>{ARTICLE}</dialog>",
+        f"<body><div role=dialog><div role=complementary>{ARTICLE}</div></div>",
+        f"<body><div role=banner><main><h1>T</h1><p>{LONG}</p></main></div>",
+        f"<body><form><input name=q> search</form>{ARTICLE}<form><p>{LONG}{LONG}{LONG}</form>",
+    ],
+)
+def test_boxes_around_the_content_drop_none(page):
+    assert pages.main_text(page) == f"T\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["cookie-banner", "site-footer", "comment-list", "ad-slot", "adSlot", "SiteFooter",
+     "comments__thread", "share-buttons", "privacy-notice", "newsletter_box", "page-header"],
+)
+def test_compound_names(name):
+    part = f"<div class='x {name}'><p>{LONG[:90]}</p></div>"
+    assert pages.main_text(f"<body>{part}{ARTICLE}{part}") == f"T\n{LONG.strip()}"
+    unframed = f"<body>{part}<div><h1>T</h1><p>{LONG}</p></div>{part}"
+    assert pages.main_text(unframed) == f"T\n{LONG.strip()}"
+    assert pages.main_text(f"<body>{MENU}<div class={name}>{ARTICLE}</div>") == f"T\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize(
+    "name", ["no-comments", "hasSidebar", "content-sidebar-wrap", "share-price", "social-policy", "headline"]
+)
+def test_names_that_say_nothing(name):
+    page = f"<body><article><h1>T</h1><p class={name}>{LONG}</p><p>{LONG}</p></article>"
+    assert pages.main_text(page) == f"T\n{LONG.strip()}\n{LONG.strip()}"
+
+
+def test_character_data_sections_are_markup():
+    assert pages.main_text(f"<body><p>{LONG}<![CDATA[ a > b ]]></p>") == LONG.strip()
+
+
 def test_links_lower_the_density():
     dom = pages.Dom(f"<body><div>{LONG}</div><div><a>{LONG}</a></div></body>")
     by_tag = dict(zip(range(len(dom.tags)), pages.densities(dom, 1)))
