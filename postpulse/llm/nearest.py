@@ -25,10 +25,9 @@ PAIRS_AT_ONCE = 1 << 18
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vector) of rows that take part, once for each id.
+    """(id, vector, times) of rows that take part; rows alike in both are one with their number.
 
     Left out: null ids and vectors, vectors with a null or non-finite component, zero vectors.
-    Of several vectors with one id the smallest takes part.
     """
     finite = F.forall(
         vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -36,9 +35,9 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).filter(
         finite & F.exists(vector_col, lambda x: x != 0)
     )
-    return rows.groupBy(F.col(id_col).cast("bigint").alias("id")).agg(
-        F.min(F.col(vector_col).cast("array<double>")).alias("vector")
-    )
+    return rows.groupBy(
+        F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("vector")
+    ).agg(F.count("*").alias("times"))
 
 
 def quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -81,9 +80,29 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def best(scores: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[float, int]]:
-    """The k largest scores, ties to smaller ids, as (-score, id)."""
-    return heapq.nsmallest(k, zip((-scores).tolist(), ids.tolist(), strict=True))
+def best(scores: np.ndarray, ids: np.ndarray, times: np.ndarray, k: int) -> list[tuple[float, int, int]]:
+    """The k largest scores, ties to smaller ids, as (-score, id, times)."""
+    return heapq.nsmallest(k, zip((-scores).tolist(), ids.tolist(), times.tolist(), strict=True))
+
+
+def copies(q: pd.DataFrame, c: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs are the query's own row and no other, and how often the candidate counts for
+    the query: a row that has equal ones has one other less."""
+    own = q["id"].to_numpy()[:, None] == c["id"].to_numpy()
+    times = np.broadcast_to(c["times"].to_numpy(), own.shape)
+    if own.any():
+        times = times.copy()
+        for i, j in zip(*np.nonzero(own), strict=True):
+            equal = np.array_equal(q["vector"].iloc[i], c["vector"].iloc[j])
+            own[i, j] = equal and times[i, j] == 1
+            times[i, j] -= equal
+    return own, times
+
+
+_TILE_COLUMNS = {
+    "key": "bigint", "query": "bigint", "again": "bigint", "vec_id": "bigint", "score": "double",
+    "times": "bigint",
+}
 
 
 def _tile(k: int):
@@ -93,12 +112,13 @@ def _tile(k: int):
         q_sizes, c_sizes = queries["vector"].map(len), candidates["vector"].map(len)
         for size in set(q_sizes).intersection(c_sizes):
             some_q, some_c = queries[q_sizes == size], candidates[c_sizes == size]
-            q_ids, c_ids = some_q["id"].to_numpy(), some_c["id"].to_numpy()
+            keys, again = some_q["key"].to_numpy(), some_q["times"].to_numpy()
+            c_ids = some_c["id"].to_numpy()
             q, c = np.stack(some_q["vector"].tolist()), np.stack(some_c["vector"].tolist())
             q_small, c_small = quantised(q), quantised(c)
             for at in range(0, len(q), ROWS_AT_ONCE):
                 rows = slice(at, at + ROWS_AT_ONCE)
-                own = q_ids[rows, None] == c_ids
+                own, times = copies(some_q.iloc[rows], some_c)
                 i, j = survivors([x[rows] for x in q_small], c_small, own, k)
                 scores = np.concatenate(
                     [np.empty(0)]
@@ -109,9 +129,11 @@ def _tile(k: int):
                 )
                 ends = np.searchsorted(i, np.arange(len(own) + 1))
                 for n, (first, last) in enumerate(zip(ends, ends[1:], strict=False)):
-                    found = best(scores[first:last], c_ids[j[first:last]], k)
-                    out += [(q_ids[at + n], other, -s) for s, other in found]
-        return pd.DataFrame(out, columns=["query", "vec_id", "score"])
+                    others = j[first:last]
+                    found = best(scores[first:last], c_ids[others], times[n, others], k)
+                    query = (keys[at + n], some_q["id"].iloc[at + n], again[at + n])
+                    out += [(*query, other, -s, m) for s, other, m in found]
+        return pd.DataFrame(out, columns=list(_TILE_COLUMNS))
 
     return tile
 
@@ -119,9 +141,12 @@ def _tile(k: int):
 def _merge(k: int):
     def merge(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for query, found in rows.groupby("query", sort=False):
-            nearest = best(found["score"].to_numpy(), found["vec_id"].to_numpy(), k)
-            out += [(query, rank, other, -s) for rank, (s, other) in enumerate(nearest, 1)]
+        for _, found in rows.groupby("key", sort=False):
+            query, again = found["query"].iloc[0], found["again"].iloc[0]
+            entries = best(*(found[c].to_numpy() for c in ("score", "vec_id", "times")), k)
+            each = [(other, -s) for s, other, m in entries for _ in range(min(m, k))][:k]
+            ranked = [(query, rank, *e) for rank, e in enumerate(each, 1)]
+            out += ranked * int(again)
         return pd.DataFrame(out, columns=["query", "rank", "vec_id", "score"])
 
     return merge
@@ -130,7 +155,7 @@ def _merge(k: int):
 def _blocks(rows: DataFrame, size: int) -> tuple[Column, int]:
     """A block number by hash, for blocks of about ``size`` rows."""
     count = max(1, -(-rows.count() // size))
-    return F.pmod(F.xxhash64("id"), F.lit(count)).cast("int"), count
+    return F.pmod(F.xxhash64("id", "vector"), F.lit(count)).cast("int"), count
 
 
 def nearest(
@@ -143,29 +168,31 @@ def nearest(
     query_block: int = QUERY_BLOCK,
     candidate_block: int = CANDIDATE_BLOCK,
 ) -> DataFrame:
-    """(query, rank, vec_id, score): for each query its k nearest rows with another id.
+    """(query, rank, vec_id, score): for each query its k nearest rows but its own.
 
-    Fewer candidates give fewer rows; a query without any gives none. Vectors of different
-    lengths have no product. Other columns of the inputs are not used.
+    Rows that share an id are rows of their own, as queries and as candidates; a query's own row is
+    one that equals it in id and vector. Fewer candidates give fewer rows; a query without any
+    gives none. Vectors of different lengths have no product. Other columns are not used.
     """
     reach_workers(candidates.sparkSession)
-    q = stored(usable(queries, id_col, vector_col), "queries")
+    asked = usable(queries, id_col, vector_col)
+    q = stored(asked.withColumn("key", F.monotonically_increasing_id()), "queries")
     c = stored(usable(candidates, id_col, vector_col), "candidates")
     q_block, q_count = _blocks(q, query_block)
     c_block, c_count = _blocks(c, candidate_block)
     # Each block meets each block of the other side once: the stated queries against all rows.
     every_c = F.explode(F.sequence(F.lit(0), F.lit(c_count - 1)))
     every_q = F.explode(F.sequence(F.lit(0), F.lit(q_count - 1)))
-    left = q.select("id", "vector", q_block.alias("qb")).withColumn("cb", every_c)
-    right = c.select("id", "vector", c_block.alias("cb")).withColumn("qb", every_q)
+    left = q.select("key", "id", "vector", "times", q_block.alias("qb")).withColumn("cb", every_c)
+    right = c.select("id", "vector", "times", c_block.alias("cb")).withColumn("qb", every_q)
     tiles = (
         left.groupBy("qb", "cb")
         .cogroup(right.groupBy("qb", "cb"))
-        .applyInPandas(_tile(k), "query bigint, vec_id bigint, score double")
+        .applyInPandas(_tile(k), ", ".join(f"{c} {t}" for c, t in _TILE_COLUMNS.items()))
     )
     parts = F.lit(max(1, 8 * q_count))
     return (
-        tiles.withColumn("part", F.pmod(F.xxhash64("query"), parts))
+        tiles.withColumn("part", F.pmod(F.xxhash64("key"), parts))
         .groupBy("part")
         .applyInPandas(_merge(k), "query bigint, rank int, vec_id bigint, score double")
     )

@@ -10,17 +10,16 @@ rng = np.random.default_rng(3)
 
 def brute(rows, k, is_query):
     """Sums from the first component on, as the operator states."""
-    good = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not np.isfinite(x) for x in v) or not any(v):
-            continue
-        good[i] = min(good.get(i, v), v)
+    good = [
+        (i, v) for i, v in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)
+    ]
     out = []
-    for q, a in good.items():
+    for n, (q, a) in enumerate(good):
         if is_query(q):
             found = []
-            for c, b in good.items():
-                if c != q and len(a) == len(b):
+            for m, (c, b) in enumerate(good):
+                if m != n and len(a) == len(b):
                     s = 0.0
                     for x, y in zip(a, b):
                         s += x * y
@@ -44,6 +43,14 @@ def test_all_neighbours(spark, query_block, candidate_block):
     assert sorted(map(tuple, found.collect())) == brute(rows, 6, lambda q: q % 5 == 0)
 
 
+def test_repeated_ids(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (21, [1.0, 1.0]), (40, [2.0, 2.0])]
+    rows += [(40, [2.0, 2.0])] * 3 + [(41, [3.0, 1.0])] * 9
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = nearest.nearest(frame.filter("vec_id % 20 = 0"), frame, 6, query_block=2, candidate_block=3)
+    assert sorted(map(tuple, found.collect())) == brute(rows, 6, lambda q: q % 20 == 0)
+
+
 def test_no_rows(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert nearest.nearest(frame, frame, 3).count() == 0
