@@ -96,24 +96,29 @@ def training_sample(
 
     ``labels``: (draw, label, size) of the texts to choose from, ``draw`` being
     :func:`draw_of`. Only these narrow rows are shuffled; the chosen texts, a bounded number,
-    are then looked up. A text that repeats with its id is taken once.
+    are then looked up. A text that repeats with its id is taken once. Texts that alone have more
+    characters than the bound are drawn only where a label has no others, and then one.
     """
     narrow = labels.groupBy("draw").agg(F.min("label").alias("label"), F.max("size").alias("size"))
+    fits = F.col("size") <= characters
     # One row for each label, their number checked, so that no row moves to its label before
     # the draw has thinned them out.
     counted = narrow.groupBy("label").agg(
-        F.count("*").alias("texts"), F.sum("size").alias("total")
+        F.count("*").alias("all_texts"),
+        F.count_if(fits).alias("fitting"),
+        F.coalesce(F.sum(F.when(fits, F.col("size"))), F.lit(1)).alias("total"),
     )
     known = counted.limit(MOST_LABELS + 1).collect()
     if len(known) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} different labels")
     totals = F.broadcast(docs.sparkSession.createDataFrame(known, counted.schema))
-    chance = 1.2 * F.least(documents / F.col("texts"), characters / F.greatest("total", F.lit(1)))
+    texts = F.when(F.col("fitting") > 0, F.col("fitting")).otherwise(F.col("all_texts"))
+    chance = 1.2 * F.least(documents / texts, characters / F.greatest("total", F.lit(1)))
     uniform = F.pmod("draw", F.lit(1 << 40)) / float(1 << 40)
     by_label = Window.partitionBy("label").orderBy("draw")
     chosen = (
         narrow.join(totals, "label")
-        .filter(uniform < chance)
+        .filter((uniform < chance) & (fits | (F.col("fitting") == 0)))
         .withColumn("n", F.row_number().over(by_label))
         .withColumn("so_far", F.sum("size").over(by_label))
         .filter((F.col("n") <= documents) & ((F.col("so_far") <= characters) | (F.col("n") == 1)))

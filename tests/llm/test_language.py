@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from postpulse.llm import language
+from postpulse.llm.rows import draw_of, training_sample
 
 rng = np.random.default_rng(9)
 SYLLABLES = {"aa": ["ka", "lo", "mi", "tu"], "bb": ["sch", "ei", "ung", "en"], "cc": ["é", "ño", "ci", "ra"]}
@@ -84,3 +86,16 @@ def test_nothing_to_learn_from(spark):
     docs = spark.createDataFrame([(1, "abc", None)], "doc_id bigint, text string, lang string")
     model = language.train(docs, id_col="doc_id")
     assert [(r.lang_pred, r.score) for r in language.identify(docs, model).collect()] == [("und", 0.0)]
+
+
+def test_sample_passes_over_texts_beyond_the_bound(spark):
+    rows = [(i, "word " * 40, "en") for i in range(200)] + [(200 + i, "x" * 300_000, "en") for i in range(5)]
+    rows += [(900 + i, "y" * 250_000, "long") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    labels = docs.select(
+        draw_of("doc_id", "text").alias("draw"), F.col("lang").alias("label"), F.length("text").alias("size")
+    )
+    found = training_sample(
+        docs, labels, id_col="doc_id", text_col="text", documents=1000, characters=200_000
+    ).groupBy("label").agg(F.count("*").alias("n"), F.max("n").alias("last"))
+    assert {r.label: r.n for r in found.collect()} == {"en": 200, "long": 1}
