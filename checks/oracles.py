@@ -490,6 +490,14 @@ select batch_number, any_value(n_items) as n_items, any_value(min) as min, any_v
   any_value(median) as median, any_value(q3) as q3, any_value(max) as max,
   min(value) filter (inside) as lower_whisker, max(value) filter (inside) as upper_whisker,
   count(*) filter (not inside) as outliers from marked group by 1""",
+        "cumulative_figures": f"""with {ITEMS}, twelve as (
+  select * replace (substr(id, 2)::bigint % 12 as batch_number) from items)
+select b.batch_number, count(id) as id_count, count(*) filter (type = 'post') as posts,
+  {two_places('avg(score)')} as score_mean, min(score)::double as score_min,
+  max(score)::double as score_max, count(distinct author) as author,
+  count(distinct subreddit) as subreddit, true as close
+from (select distinct batch_number from twelve) b join twelve t on t.batch_number <= b.batch_number
+group by 1""",
         "score_outliers": f"""with {BOX}
 select batch_number, value, count(*) as n from marked where not inside group by 1, 2""",
         "user_scores": f"with {ITEMS}, {USER_SCORES} select * from user_scores",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from postpulse.functions import lexicons, text as text_functions
@@ -14,6 +14,7 @@ from postpulse.operators import (
     history,
     ingest,
     mentions,
+    sketches,
     tallies,
     texts,
     tfidf,
@@ -357,6 +358,33 @@ def score_box(spark, sf):
     return distribution.box_stats(twelve_batches(spark, sf), "score", "batch_number", 8)
 
 
+def exact_growth(df: DataFrame, column: str, by: str) -> DataFrame:
+    """Different values of a column up to each group: each counts where it comes first."""
+    first = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.min(by).alias(by))
+    so_far = Window.orderBy(by)
+    counts = df.groupBy(by).agg(F.lit(0).alias("n")).unionByName(
+        first.groupBy(by).agg(F.count("*").cast("int").alias("n"))
+    )
+    return counts.groupBy(by).agg(F.sum("n").alias("n")).select(by, F.sum("n").over(so_far).alias(column))
+
+
+def cumulative_figures(spark, sf):
+    """Figures after each batch from the sketches of the batches, their distinct counts beside
+    the exact ones."""
+    df = twelve_batches(spark, sf)
+    grown = sketches.figures(sketches.running(sketches.sketch(df, ["batch_number"])))
+    for name in ("author", "subreddit"):
+        grown = grown.join(exact_growth(df, name, "batch_number"), "batch_number")
+
+    def close(estimate, exact):
+        return F.abs(F.col(estimate) - F.col(exact)) <= 1 + 4 * 0.0082 * F.col(exact)
+
+    return grown.select(
+        "batch_number", "id_count", "posts", "score_mean", "score_min", "score_max", "author", "subreddit",
+        (close("unique_authors", "author") & close("unique_subreddits", "subreddit")).alias("close"),
+    )
+
+
 def score_outliers(spark, sf):
     return distribution.box_outliers(twelve_batches(spark, sf), "score", "batch_number", 8)
 
@@ -706,7 +734,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         window_table_stream, windowed_reference_lists_stream, stream_first_copies,
         time_range, community_stats, author_stats, top_authors, top_communities, batch_metrics,
         kpi_cards, batch_history, overall_history, batch_insights, score_histogram, score_box,
-        score_outliers, user_scores, top_users, avg_score_histogram, activity_levels,
+        cumulative_figures, score_outliers, user_scores, top_users, avg_score_histogram, activity_levels,
         user_summary, sample_authors, top_contributors,
         clean_text, clean_pages, sentiment, sentiment_documents, sentiment_distribution,
         sentiment_histogram, topics, question_ratio, enriched_text, enriched_posts,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.values import share_of
 
@@ -25,6 +25,8 @@ def beside(left: DataFrame, right: DataFrame, by: Sequence[str], how: str = "inn
     side only, so that the rows would be read again.
     """
     if not by:
+        if how == "left":
+            return left.join(F.broadcast(right), F.lit(True), how)
         return left.crossJoin(F.broadcast(right))
     renamed = right.select(
         *[F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in right.columns]
@@ -50,28 +52,61 @@ def value_counts(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFram
     return _of_numbers(_all_counts(df, column, by))
 
 
-QUANTILE_BINS = 1024
+QUANTILE_BINS = 256
+#: Different values of a group that are looked at, about, to find the edges of its bins.
+SAMPLED_VALUES = 8192
+
+
+def sampled_edges(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, edges): sorted values that part the different values of each group into even bins.
+
+    They are quantiles of a sample that a hash of the value draws, so every run, and every task
+    that is run again, finds the same. Sizes follow the different values, not their range: an
+    outlier moves no edge.
+    """
+    sizes = counts.groupBy(*by).agg(F.count("*").alias("values"), F.min("value").alias("low"))
+    one_in = F.greatest(F.lit(1), F.ceil(F.col("values") / SAMPLED_VALUES))
+    drawn = (F.pmod(F.xxhash64("value"), one_in) == 0) | (F.col("value") == F.col("low"))
+    sample = (
+        beside(counts, sizes, by)
+        .filter(drawn)
+        .groupBy(*by)
+        .agg(F.sort_array(F.collect_list("value")).alias("sample"))
+    )
+    places = F.sequence(F.lit(1), F.lit(QUANTILE_BINS - 1))
+    size = F.size("sample")
+    edges = F.transform(
+        places, lambda i: F.get("sample", F.floor(i * size / QUANTILE_BINS).cast("int"))
+    )
+    return sample.select(*by, F.array_distinct(edges).alias("edges"))
+
+
+def _bin_of(value: Column, edges: Column) -> Column:
+    """How many edges are at most ``value``, by halving."""
+    steps = F.array(*[F.lit(QUANTILE_BINS >> i) for i in range(1, QUANTILE_BINS.bit_length())])
+
+    def further(at: Column, step: Column) -> Column:
+        fits = (at + step <= F.size(edges)) & (value >= F.get(edges, at + step - 1))
+        return F.when(fits, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def exact_quantiles(
-    counts: DataFrame, by: Sequence[str], shares: dict[str, float]
+    counts: DataFrame, by: Sequence[str], shares: dict[str, float], edges: DataFrame | None = None
 ) -> DataFrame:
     """Interpolated quantiles of value counts (value, n), one column for each name in ``shares``.
 
-    Values are first counted in bins of equal width; only the bins that hold a wanted rank
-    are sorted, each in its own window. No task sees all values of a group.
+    Values are first counted in bins; only the bins that hold a wanted rank are sorted, each in
+    its own window. ``edges`` (by, edges: a sorted array) may come from stored sketches, else
+    from :func:`sampled_edges`. They decide how the work is split, never the result.
     """
     by = list(by)
-    bounds = counts.groupBy(*by).agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total")
-    )
-    bounded = beside(counts, bounds, by)
-    width = F.col("high") - F.col("low")
-    place = F.floor((F.col("value") - F.col("low")) / width * QUANTILE_BINS)
-    finite = (width > 0) & (width < float("inf"))
-    binned = bounded.withColumn(
-        "bin", F.when(finite, F.least(place, F.lit(QUANTILE_BINS - 1))).otherwise(0)
-    )
+    totals = counts.groupBy(*by).agg(F.sum("n").alias("total"))
+    known = sampled_edges(counts, by) if edges is None else edges.select(*by, "edges")
+    bounds = beside(totals, known, by, "left")
+    place = F.coalesce(_bin_of(F.col("value"), F.col("edges")), F.lit(0))
+    binned = beside(counts, bounds, by).withColumn("bin", place).drop("edges")
     ranks = F.array_sort(
         F.array_distinct(
             F.concat(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators import mentions, tallies, texts, tfidf
+from ..operators import mentions, sketches, tallies, texts, tfidf
 from ..plans.reports import batch_report
 from ..schemas import RICH_ITEM, canonicalise
 from ..sources import sinks
@@ -44,6 +44,10 @@ class JobFolders:
     def terms(self) -> str:
         return f"{self.root}/terms"
 
+    @property
+    def sketches(self) -> str:
+        return f"{self.root}/sketches"
+
     @property
     def running(self) -> str:
         return f"{self.root}/running"
@@ -94,6 +98,8 @@ def process_batch(
     words = tfidf.top_words(tfidf.word_scores(terms))
     sinks.write_json_if_any(words, folders.metrics, batch_id, "_tfidf_top_words")
     running_terms(spark, folders).upsert(terms, batch_id)
+    sketch_path = sinks.write_parquet_batch(sketches.sketch(raw), folders.sketches, batch_id)
+    running_sketches(spark, folders).upsert(spark.read.parquet(sketch_path), batch_id)
     stored = spark.read.schema(metrics.schema).json(metrics_path)
     running_range(spark, folders).upsert(tallies.running_time_range(stored), batch_id)
     if show:
@@ -116,6 +122,11 @@ def running_range(spark: SparkSession, folders: JobFolders) -> KeyedTable:
     return KeyedTable(spark, f"{folders.running}/range", [], tallies.merge_time_ranges, 1)
 
 
+def running_sketches(spark: SparkSession, folders: JobFolders) -> KeyedTable:
+    """Mergeable statistics of all batches so far, in one row."""
+    return KeyedTable(spark, f"{folders.running}/sketches", [], sketches.merge, 1)
+
+
 def lean_outputs(batch: DataFrame) -> dict[str, DataFrame]:
     """What a batch of lean items shows, by the name of the view."""
     words = tfidf.tfidf_top_words(batch, "text")
@@ -218,6 +229,19 @@ def history_time_range(spark: SparkSession, root: str) -> DataFrame:
     return running_range(spark, JobFolders(root)).read()
 
 
+def history_figures(spark: SparkSession, root: str) -> DataFrame:
+    """Figures over all batches so far, from one row of sketches: no item is read again."""
+    return sketches.figures(running_sketches(spark, JobFolders(root)).read())
+
+
+def history_growth(spark: SparkSession, root: str) -> DataFrame:
+    """The same figures after each batch, from the stored row of sketches of each."""
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"/batch_(\d+)/", 1).cast("bigint")
+    stored = spark.read.parquet(f"{JobFolders(root).sketches}/batch_*")
+    rows = stored.select(number.alias("batch_number"), "*")
+    return sketches.figures(sketches.running(rows))
+
+
 def history_items(spark: SparkSession, root: str) -> DataFrame:
     """All stored items with their batch number."""
     return read_batches(spark, JobFolders(root).raw)
