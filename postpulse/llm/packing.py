@@ -2,8 +2,9 @@
 
 Pieces are dealt to partitions and packed there by best-fit decreasing. Lower bounds from dual
 feasible functions certify a partition's number of bins. Partitions with a gap between bound and
-bins, and the loosely filled bins of all others, exchange their documents and are packed again,
-with fewer partitions each round, until a round saves nothing.
+bins deal all documents of bins that are not full anew, certified ones those of their emptiest bin;
+they are packed again by best-fit decreasing, round after round until a round saves no bin. One
+partition has nobody to exchange with; its bound is returned like any other.
 """
 
 from __future__ import annotations
@@ -211,75 +212,100 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
-def _packer(capacity: int):
-    """Pack one partition; ``open`` marks the bins whose documents go to the exchange."""
+def _packer(capacity: int, exchange: bool):
+    """Pack one partition; ``open`` marks the bins whose documents go to the exchange.
+
+    ``bins`` and ``bound`` are those of the documents that stay, and of those that are open.
+    """
 
     def pack(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
         pieces = pieces.sort_values(["length", "row"], ascending=[False, True])
         lengths = pieces["length"].to_numpy()
         bins, offsets = best_fit_decreasing(lengths, capacity)
         fill = np.bincount(bins, lengths).astype(np.int64)
-        gap = len(fill) - lower_bound(lengths, capacity)
-        # A gap: enough of the emptiest bins to close it. None: the emptiest bin alone.
         loose = np.zeros(len(fill), bool)
-        loose[np.argsort(fill, kind="stable")[: 1 + 2 * max(0, gap)]] = True
-        loose &= fill < capacity
+        if exchange:
+            gap = len(fill) - lower_bound(lengths, capacity)
+            loose[np.argsort(fill, kind="stable")[: len(fill) if gap else 1]] = True
+            loose &= fill < capacity
+        is_open = loose[bins]
+        bounds = [lower_bound(lengths[is_open == side], capacity) for side in (False, True)]
         return pieces.assign(
-            part=key[0], bin=bins, offset=offsets, open=loose[bins], gap=gap, n_bins=len(fill)
+            part=key[0],
+            bin=bins,
+            offset=offsets,
+            open=is_open,
+            bins=np.where(is_open, loose.sum(), (~loose).sum()),
+            bound=np.where(is_open, bounds[1], bounds[0]),
         )
 
     return pack
 
 
+def _bins_of(packed: DataFrame) -> tuple[int, int]:
+    """Bins of all partitions, and how many of them are open."""
+    parts = packed.groupBy("part", "open").agg(F.max("bins").alias("bins"))
+    sums = parts.agg(F.sum("bins"), F.sum(F.when(F.col("open"), F.col("bins")))).first()
+    return sums[0] or 0, sums[1] or 0
+
+
 def pack(
     pieces: DataFrame,
     *,
     capacity: int = CAPACITY,
-    rounds: int = 4,
     pieces_per_partition: int = PIECES_PER_PARTITION,
+    certify: bool = False,
 ) -> DataFrame:
     """``pieces`` (column ``length``, at most ``capacity``) with sequence_id and offset.
 
-    Each round keeps the well filled bins and exchanges the documents of the others. The last
-    round keeps all. Rows that are equal are pieces of their own; an empty table stays empty.
-    Columns named like the added ones, in any case, are replaced.
+    Rounds go on until the number of bins stops falling; a round that saves none is not taken over.
+    ``certify`` adds the certificate of each piece: ``packed_in`` (the round and partition that it
+    stayed in, those of its open bins apart), ``packed_bins`` and ``packed_bound``, the bins of the pieces that stayed there and
+    the least that they need. Rows that are equal are pieces of their own; an empty table stays
+    empty. Columns named like the added ones, in any case, are replaced.
     """
     reach_workers(pieces.sparkSession)
-    kept = without(pieces, ["sequence_id", "offset"])
+    certificate = ["packed_in", "packed_bins", "packed_bound"] if certify else []
+    kept = without(pieces, ["sequence_id", "offset", *certificate])
     named = [F.col(f"`{c}`") for c in kept.columns]
     rows = stored(
         kept.select(F.monotonically_increasing_id().alias("row"), F.struct(*named).alias("own")),
         "pieces",
     )
-    waiting = rows.select("row", F.col("own.length").alias("length"))
     schema = (
         "row bigint, length bigint, part bigint, bin bigint, offset bigint, open boolean, "
-        "gap bigint, n_bins bigint"
+        "bins bigint, bound bigint"
     )
-    done = None
-    for number in range(rounds):
-        count = waiting.count()
-        if number and not count:
-            break
+    waiting = rows.select("row", F.col("own.length").alias("length"))
+    count = waiting.count()
+    done, before, occupied, number = None, None, 0, 0
+    while True:
         parts = max(1, -(-count // pieces_per_partition))
-        last = number == rounds - 1 or parts == 1
-        dealt = waiting.withColumn(
-            "part", F.pmod(F.xxhash64("row", F.lit(number)), F.lit(parts)).cast("bigint")
-        )
-        packed = stored(
-            dealt.groupBy("part").applyInPandas(_packer(capacity), schema), "packed"
-        ).withColumn(
-            "sequence_id",
-            F.lit(number).cast("bigint") * F.lit(1 << 56)
-            + F.col("part") * F.lit(1 << 32)
-            + F.col("bin"),
-        )
-        kept = (packed if last else packed.filter(~F.col("open"))).select(
-            "row", "sequence_id", "offset"
+        part = F.pmod(F.xxhash64("row", F.lit(number)), F.lit(parts)).cast("bigint")
+        dealt = waiting.withColumn("part", part).groupBy("part")
+        packed = stored(dealt.applyInPandas(_packer(capacity, parts > 1), schema), "packed").select(
+            "*",
+            (F.lit(number).cast("bigint") * F.lit(1 << 56) + F.col("part") * F.lit(1 << 32)).alias("at"),
         )
-        done = kept if done is None else done.unionByName(kept)
-        if last:
+        bins, opened = _bins_of(packed)
+        if before is not None and bins >= occupied:
+            # This round saved nothing: its documents stay where they were.
+            done = done.unionByName(before)
             break
-        waiting = packed.filter("open").select("row", "length")
+        closed = packed.filter(~F.col("open"))
+        done = closed if done is None else done.unionByName(closed)
+        if not opened:
+            break
+        before, occupied, number = packed.filter("open"), opened, number + 1
+        waiting = before.select("row", "length")
+        count = waiting.count()
+    kept_in = F.col("at") + F.when(F.col("open"), F.lit(1 << 31)).otherwise(F.lit(0))
+    placed = done.withColumn("kept_in", kept_in).select(
+        "row",
+        (F.col("at") + F.col("bin")).alias("sequence_id"),
+        "offset",
+        *[F.col(c).alias(n) for c, n in zip(("kept_in", "bins", "bound"), certificate, strict=False)],
+    )
     # By sorting at any size: the ids move once, into as many partitions as the session asks for.
-    return rows.join(done.hint("merge"), "row").select("own.*", "sequence_id", "offset")
+    joined = rows.join(placed.hint("merge"), "row")
+    return joined.select("own.*", "sequence_id", "offset", *certificate)

@@ -172,3 +172,29 @@ def test_own_columns_of_any_name(spark):
     got = found.collect()
     assert {(r.cut, r.row, r.own) for r in got} == {("c", "row", 7)}
     assert {r.doc_id for r in got} == set(range(50)) and all(0 <= r.offset < 40 for r in got)
+
+
+def test_rounds_go_on_until_none_saves_a_bin(spark):
+    rng = np.random.default_rng(11)
+    lengths = [int(n) for n in rng.integers(15, 70, 1500)]
+    frame = spark.createDataFrame([(n,) for n in lengths], "length bigint").repartition(1)
+    found = packing.pack(frame, capacity=100, pieces_per_partition=6, certify=True).collect()
+    assert sorted(r.length for r in found) == sorted(lengths)
+    bins, groups = {}, {}
+    for r in found:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        groups.setdefault(r.packed_in, set()).add(r.sequence_id)
+    for spans in bins.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(spans)))
+        assert [o for o, _ in sorted(spans)] == [0, *ends[:-1]] and ends[-1] <= 100
+    # Each certificate tells the bins that its pieces take, and no more than they need at least.
+    assert all(r.packed_bound <= r.packed_bins == len(groups[r.packed_in]) for r in found)
+    rounds = {r.packed_in >> 56 for r in found}
+    once = [packing.best_fit_decreasing(np.array(lengths[i : i + 6]), 100)[0].max() + 1 for i in range(0, 1500, 6)]
+    assert len(rounds) > 4 and len(bins) < sum(once)
+
+
+def test_one_partition_is_certified(spark):
+    frame = spark.createDataFrame([(n,) for n in [60, 60, 60, 40, 40, 10]], "length bigint")
+    found = packing.pack(frame, capacity=100, certify=True).collect()
+    assert {(r.packed_bins, r.packed_bound) for r in found} == {(3, 3)}
