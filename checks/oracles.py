@@ -582,6 +582,16 @@ select term, count(*) as count from phrases group by 1 order by 2 desc, 1 limit
         "unique_terms": f"""with {DOCUMENT_TERMS}
 select (select count(distinct term) from terms) as unique_terms,
   (select count(distinct term) from phrases) as unique_phrases""",
+        "cumulative_terms": f"""with {DOCUMENT_TERMS}
+select * from (select 'term' as kind, term, count(*) as count from terms where length(term) > 3
+  group by 2 having count(*) > 1 order by 3 desc, 2 limit 12)
+union all select * from (select 'phrase' as kind, term, count(*) as count from phrases
+  group by 2 having count(*) > 1 order by 3 desc, 2 limit 8)""",
+        "job_history_terms": f"""with {ITEM_TERMS}
+select * from (select 'term' as kind, term, count(*) as count from terms
+  group by 2 order by 3 desc, 2 limit 5)
+union all select * from (select 'phrase' as kind, term, count(*) as count from phrases
+  group by 2 order by 3 desc, 2 limit 3)""",
         "engagement_correlation": f"""with {ENRICHED_ITEMS},
 c as (select corr(sentiment, engagement_score::double) as s,
   corr(word_count::double, engagement_score::double) as l from enriched

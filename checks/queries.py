@@ -11,6 +11,7 @@ from postpulse.functions import lexicons, text as text_functions
 from postpulse.operators import (
     authors,
     distribution,
+    frequent,
     history,
     ingest,
     mentions,
@@ -527,6 +528,34 @@ def unique_terms(spark, sf):
     return texts.unique_terms(cleaned_documents(spark, sf))
 
 
+def both_kinds(terms: DataFrame, phrases: DataFrame) -> DataFrame:
+    return terms.select(F.lit("term").alias("kind"), "*").unionByName(
+        phrases.select(F.lit("phrase").alias("kind"), "*")
+    )
+
+
+def cumulative_terms(spark, sf):
+    """Top terms and phrases over twelve batches of documents, by the stored summaries of the batches."""
+    cleaned = texts.with_clean_text(documents(spark, sf)).select(
+        (F.col("doc_id") % 12).alias("batch_number"), F.col("clean").alias("text")
+    )
+    path = shared_folder(spark, "vocabulary")
+    frequent.summary(cleaned, ["batch_number"]).write.parquet(path)
+    merged = frequent.merge(spark.read.parquet(path))
+    return both_kinds(frequent.top_terms(merged, cleaned), frequent.top_phrases(merged, cleaned))
+
+
+def job_history_terms(spark, sf):
+    """Top terms and phrases over four micro-batches, from their running summary."""
+    root = shared_folder(spark, "vocabulary-job")
+    stream = line_stream(spark, items(spark, sf), LEAN_ITEM).select(*LEAN_ITEM.names)
+    job.start_vocabulary(stream, root, interval=None, name=root[-32:]).awaitTermination()
+    return both_kinds(
+        job.history_top_terms(spark, root, 5, frequent_only=False),
+        job.history_top_phrases(spark, root, 3, frequent_only=False),
+    )
+
+
 def engagement_correlation(spark, sf):
     return rounded(
         texts.engagement_correlation(enriched_items(spark, sf)), 6, "sentiment_corr", "length_corr"
@@ -739,11 +768,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         clean_text, clean_pages, sentiment, sentiment_documents, sentiment_distribution,
         sentiment_histogram, topics, question_ratio, enriched_text, enriched_posts,
         text_complexity, engagement_points, meaningful_words, top_terms, top_phrases, top_terms_items,
-        top_phrases_items, unique_terms, engagement_correlation, text_summary,
+        top_phrases_items, unique_terms, cumulative_terms, engagement_correlation, text_summary,
         tfidf_top_words, tfidf_words, plain_tokens, tfidf_vectors, polarity, mean_polarity,
         batch_files, stored_batches_roundtrip, merged_batches, current_batch,
         job_metrics, job_user_refs, job_subreddit_refs, job_url_refs, job_community_stats,
         job_author_stats, job_top_words, job_history_time_range, job_history_top_words,
+        job_history_terms,
         lean_job_references, lean_job_time_range, lean_job_authors, lean_job_top_words,
         lean_history_time_range, lean_history_top_words,
     ]

@@ -18,7 +18,7 @@ def with_clean_text(df: DataFrame, text_col: str = "text", name: str = "clean")
     return df.withColumn(name, t.clean(F.col(text_col)))
 
 
-def _once(df: DataFrame, *columns: str) -> DataFrame:
+def once(df: DataFrame, *columns: str) -> DataFrame:
     """Keep costly columns from being computed again.
 
     A filter on a computed column is normally moved below it and repeats the whole
@@ -39,7 +39,7 @@ def with_sentiment(df: DataFrame, cleaned_col: str = "clean") -> DataFrame:
     staged = staged.withColumns(
         {"word_count": F.size("_words"), "_negated": t.negated_words("_words", "_hits")}
     ).drop("_words")
-    staged = _once(staged, cleaned_col, "word_count", "_hits", "_negated")
+    staged = once(staged, cleaned_col, "word_count", "_hits", "_negated")
     staged = staged.withColumns(
         {
             "sentiment": t.sentiment("_hits", "word_count", "_negated"),
@@ -55,6 +55,23 @@ def with_sentiment(df: DataFrame, cleaned_col: str = "clean") -> DataFrame:
     ).drop("_hits", "_negated", "_topics")
 
 
+def _text_columns(df: DataFrame, text_cols: Sequence[str] | None) -> tuple[list[str], Column]:
+    """The text columns of items, and whether any of them has content."""
+    columns = [c for c in TEXT_COLUMNS if c in df.columns] if text_cols is None else list(text_cols)
+    if not columns:
+        raise ValueError("no text column present")
+    has_text = F.lit(False)
+    for c in columns:
+        has_text = has_text | t.has_content(F.col(c))
+    return columns, has_text
+
+
+def item_texts(df: DataFrame, text_cols: Sequence[str] | None = None) -> DataFrame:
+    """The column ``text`` of :func:`enrich` alone."""
+    columns, has_text = _text_columns(df, text_cols)
+    return df.filter(has_text).select(t.combine(columns).alias("text"))
+
+
 def enrich(
     df: DataFrame,
     text_cols: Sequence[str] | None = None,
@@ -67,12 +84,7 @@ def enrich(
     number of comments leaves the engagement NULL unless ``comments_as_zero``.
     """
     present = set(df.columns)
-    columns = [c for c in TEXT_COLUMNS if c in present] if text_cols is None else list(text_cols)
-    if not columns:
-        raise ValueError("no text column present")
-    has_text = F.lit(False)
-    for c in columns:
-        has_text = has_text | t.has_content(F.col(c))
+    columns, has_text = _text_columns(df, text_cols)
 
     def given(name: str, default) -> Column:
         return F.col(name) if name in present else F.lit(default)
@@ -167,28 +179,34 @@ def engagement_correlation(enriched: DataFrame) -> DataFrame:
     )
 
 
-def _term_rows(cleaned: DataFrame, text_col: str) -> DataFrame:
-    words = cleaned.select(t.meaningful_words(text_col).alias("words"))
+def _term_rows(cleaned: DataFrame, text_col: str, by: Sequence[str] = ()) -> DataFrame:
+    words = cleaned.select(*by, t.meaningful_words(text_col).alias("words"))
     pairs = words.withColumn("pairs", t.bigrams("words"))
-    entries = pairs.selectExpr(
-        """explode(array(named_struct('kind', 'term', 'items', words),
-                         named_struct('kind', 'phrase', 'items', pairs))) as e"""
+    entries = pairs.select(
+        *by,
+        F.expr(
+            """explode(array(named_struct('kind', 'term', 'items', words),
+                             named_struct('kind', 'phrase', 'items', pairs))) as e"""
+        ),
     )
-    rows = entries.select("e.kind", F.explode_outer("e.items").alias("term"))
+    rows = entries.select(*by, "e.kind", F.explode_outer("e.items").alias("term"))
     return rows.filter(F.col("term").isNotNull())
 
 
-def term_counts(cleaned: DataFrame, text_col: str = "text") -> DataFrame:
-    """Occurrences of every meaningful word and every pair of neighbours, in one pass.
+def term_counts(
+    cleaned: DataFrame, text_col: str = "text", by: Sequence[str] = ()
+) -> DataFrame:
+    """Occurrences of every meaningful word and every pair of neighbours, in one pass, by group.
 
     ``kind`` is ``term`` or ``phrase``. Counting starts before the shuffle, so frequent
     words travel once per task.
     """
-    rows = _term_rows(cleaned, text_col)
-    return rows.groupBy("kind", "term").agg(F.count("*").alias("count"))
+    rows = _term_rows(cleaned, text_col, by)
+    return rows.groupBy(*by, "kind", "term").agg(F.count("*").alias("count"))
 
 
-def _one_kind(cleaned: DataFrame, text_col: str, phrases: bool) -> DataFrame:
+def counts_of_kind(cleaned: DataFrame, text_col: str, phrases: bool) -> DataFrame:
+    """Occurrences of every meaningful word, or of every pair of neighbours."""
     words = cleaned.select(t.meaningful_words(text_col).alias("items"))
     if phrases:
         words = words.select(t.bigrams("items").alias("items"))
@@ -201,7 +219,7 @@ def top_terms(
     cleaned: DataFrame, n: int = 12, text_col: str = "text", frequent_only: bool = True
 ) -> DataFrame:
     """Most frequent words; by default of four and more letters and found twice or more."""
-    counts = _one_kind(cleaned, text_col, phrases=False)
+    counts = counts_of_kind(cleaned, text_col, phrases=False)
     if frequent_only:
         counts = counts.filter((F.col("count") > 1) & (F.length("term") > 3))
     return counts.orderBy(F.desc("count"), "term").limit(n)
@@ -211,7 +229,7 @@ def top_phrases(
     cleaned: DataFrame, n: int = 8, text_col: str = "text", frequent_only: bool = True
 ) -> DataFrame:
     """Most frequent pairs of neighbouring words, by default found twice or more."""
-    counts = _one_kind(cleaned, text_col, phrases=True)
+    counts = counts_of_kind(cleaned, text_col, phrases=True)
     if frequent_only:
         counts = counts.filter(F.col("count") > 1)
     return counts.orderBy(F.desc("count"), "term").limit(n)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text as t
 from ..functions.lexicons import ENGLISH_STOP_WORDS
+from .texts import once
 
 MIN_TEXT_LENGTH = 10
 
@@ -79,8 +80,9 @@ def tfidf_vectors(
 
     Buckets come from the hashing transformer, which learns nothing. Their document
     frequencies are one row of ``num_features`` numbers, so no job runs before the action.
+    Texts are tokenised and hashed once: weights and frequencies read one shuffle by id.
     """
-    texts = long_enough(df, text_col)
+    texts = long_enough(once(df.select("id", text_col), text_col), text_col)
     words = t.plain_tokens(text_col, ENGLISH_STOP_WORDS)
     counted = HashingTF(
         inputCol="filtered_words", outputCol="counts", numFeatures=num_features
@@ -89,7 +91,10 @@ def tfidf_vectors(
     buckets = F.zip_with(
         sparse["indices"], sparse["values"], lambda i, n: F.struct(i.alias("bucket"), n.alias("tf"))
     )
-    rows = counted.select("id", "filtered_words", buckets.alias("buckets"))
+    # A list of one row is not pruned, so both readers have the same plan below the shuffle.
+    row = F.struct("filtered_words", buckets.alias("buckets"))
+    rows = counted.select("id", F.array(row).alias("row")).hint("rebalance", "id")
+    rows = rows.select("id", F.inline_outer("row"))
     # The entry without a bucket counts the texts.
     entries = F.concat(F.array(F.lit(-1)), F.col("buckets.bucket"))
     frequency = (

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators import mentions, sketches, tallies, texts, tfidf
+from ..operators import frequent, mentions, sketches, tallies, texts, tfidf
 from ..plans.reports import batch_report
 from ..schemas import RICH_ITEM, canonicalise
 from ..sources import sinks
@@ -48,6 +48,14 @@ class JobFolders:
     def sketches(self) -> str:
         return f"{self.root}/sketches"
 
+    @property
+    def texts(self) -> str:
+        return f"{self.root}/texts"
+
+    @property
+    def vocabulary(self) -> str:
+        return f"{self.root}/vocabulary"
+
     @property
     def running(self) -> str:
         return f"{self.root}/running"
@@ -127,6 +135,25 @@ def running_sketches(spark: SparkSession, folders: JobFolders) -> KeyedTable:
     return KeyedTable(spark, f"{folders.running}/sketches", [], sketches.merge, 1)
 
 
+def running_vocabulary(spark: SparkSession, folders: JobFolders) -> KeyedTable:
+    """The summary of terms and phrases of all batches so far, in one row each."""
+    return KeyedTable(spark, f"{folders.running}/vocabulary", ["kind"], frequent.merge, 1)
+
+
+def process_vocabulary(batch: DataFrame, batch_id: int, folders: JobFolders) -> None:
+    """Store the cleaned texts of a batch and the summary of their terms, and add it to the running one.
+
+    Works for rich and lean items. A replay writes the same folders and the same version.
+    """
+    if batch.isEmpty():
+        return
+    spark = batch.sparkSession
+    texts_path = sinks.write_parquet_batch(texts.item_texts(batch), folders.texts, batch_id)
+    cleaned = spark.read.schema("text string").parquet(texts_path)
+    path = sinks.write_parquet_batch(frequent.summary(cleaned), folders.vocabulary, batch_id)
+    running_vocabulary(spark, folders).upsert(spark.read.parquet(path), batch_id)
+
+
 def lean_outputs(batch: DataFrame) -> dict[str, DataFrame]:
     """What a batch of lean items shows, by the name of the view."""
     words = tfidf.tfidf_top_words(batch, "text")
@@ -218,6 +245,38 @@ def start_lean_job(
     return _start(items, folders, interval, name, process)
 
 
+def start_vocabulary(
+    items: DataFrame, root: str, interval: str | None = "30 seconds", name: str = "vocabulary"
+) -> StreamingQuery:
+    """Run :func:`process_vocabulary` on every micro-batch."""
+    folders = JobFolders(root)
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        process_vocabulary(batch, batch_id, folders)
+
+    return _start(items, folders, interval, name, process)
+
+
+def _vocabulary(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    folders = JobFolders(root)
+    cleaned = spark.read.schema("text string").parquet(f"{folders.texts}/batch_*")
+    return running_vocabulary(spark, folders).read(), cleaned
+
+
+def history_top_terms(
+    spark: SparkSession, root: str, n: int = 12, frequent_only: bool = True
+) -> DataFrame:
+    """Top terms over all batches so far: from the running summary, and the texts where it is not sure."""
+    return frequent.top_terms(*_vocabulary(spark, root), n, frequent_only=frequent_only)
+
+
+def history_top_phrases(
+    spark: SparkSession, root: str, n: int = 8, frequent_only: bool = True
+) -> DataFrame:
+    """Top phrases over all batches so far, as :func:`history_top_terms`."""
+    return frequent.top_phrases(*_vocabulary(spark, root), n, frequent_only=frequent_only)
+
+
 def history_top_words(spark: SparkSession, root: str, n: int = 10) -> DataFrame:
     """Top words over all batches so far, from their running term statistics."""
     stats = running_terms(spark, JobFolders(root)).read()

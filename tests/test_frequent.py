@@ -1,0 +1,111 @@
+"""Summaries of term counts: their bounds, and top terms equal to those of all counts."""
+
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from postpulse.operators import frequent, texts
+from postpulse.schemas import LEAN_ITEM
+from postpulse.streaming import job
+
+LETTERS = "abcdefghijklmnopqrst"
+
+
+def word(i):
+    return "w" + LETTERS[i // 20 % 20] + LETTERS[i % 20] + "q" * (i % 3)
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    """Texts of six batches, with a steep head and a long flat tail of words."""
+    draw = random.Random(7)
+    rows = [
+        (b, " ".join(word(int(400 * draw.random() ** 3)) for _ in range(draw.randrange(0, 12))))
+        for b in range(6) for _ in range(120)
+    ]
+    rows += [(0, None), (3, "")]
+    df = spark.createDataFrame(rows, "batch int, text string").cache()
+    df.count()
+    yield df
+    df.unpersist()
+
+
+def stored(spark, df, folder, size):
+    frequent.summary(df, ["batch"], size=size).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@pytest.mark.parametrize("size", [1, 20, 5000])
+def test_bounds_hold_for_sums_and_sums_of_sums(spark, lines, tmp_path, size):
+    true = {(r.kind, r.term): r["count"] for r in texts.term_counts(lines).collect()}
+    parts = stored(spark, lines, str(tmp_path / "s"), size)
+    at_once = frequent.merge(parts, size)
+    halves = [frequent.merge(parts.filter(F.col("batch") % 2 == i), size) for i in (0, 1)]
+    for merged in (at_once, frequent.merge(halves[0].unionByName(halves[1]), size)):
+        for row in merged.collect():
+            kept = {e.term: e for e in row.terms}
+            assert len(kept) <= size
+            for (kind, term), n in true.items():
+                if kind != row.kind:
+                    continue
+                if term in kept:
+                    assert kept[term]["count"] <= n <= kept[term]["count"] + kept[term].error
+                else:
+                    assert n <= row.cut
+            assert (size < 5000) or (row.cut == 0 and not any(e.error for e in kept.values()))
+
+
+@pytest.mark.parametrize("size", [1, 60])
+@pytest.mark.parametrize("frequent_only", [True, False])
+@pytest.mark.parametrize("n", [12, 10_000])
+def test_same_top_as_all_counts(spark, lines, tmp_path, size, frequent_only, n):
+    merged = frequent.merge(stored(spark, lines, str(tmp_path / "s"), size), size)
+    for ours, plain in ((frequent.top_terms, texts.top_terms), (frequent.top_phrases, texts.top_phrases)):
+        got = ours(merged, lines, n, frequent_only=frequent_only).collect()
+        assert got == plain(lines, n, frequent_only=frequent_only).collect()
+
+
+def test_sure_terms_need_no_text(spark, lines, tmp_path):
+    merged = frequent.merge(stored(spark, lines, str(tmp_path / "s"), 5000))
+    none = lines.limit(0)
+    assert frequent.top_terms(merged, none).collect() == texts.top_terms(lines).collect()
+
+
+def test_candidates_alone_are_counted(spark, tmp_path):
+    rows = [(0, "many many many many many some"), (1, "many many other more"), (1, "some lone")]
+    df = spark.createDataFrame(rows, "batch int, text string")
+    merged = frequent.merge(stored(spark, df, str(tmp_path / "s"), 1), 1)
+    complete, found = frequent._candidates(merged, "term", 1, 1, F.lit(True))
+    assert complete and [(r.term, r["count"], r.error) for r in found] == [("many", 7, 0)]
+    assert [tuple(r) for r in frequent.top_terms(merged, df, 1).collect()] == [("many", 7)]
+    assert frequent._candidates(merged, "term", 2, 1, F.lit(True))[0] is False
+    assert [tuple(r) for r in frequent.top_terms(merged, df, 2).collect()] == [("many", 7), ("some", 2)]
+
+
+def test_no_terms_at_all(spark):
+    none = spark.createDataFrame([(1, None), (1, "")], "batch int, text string")
+    merged = frequent.merge(frequent.summary(none, ["batch"]))
+    assert merged.count() == 0
+    assert frequent.top_terms(merged, none).count() == 0
+    with pytest.raises(ValueError):
+        frequent.top_terms(merged, none, 0)
+
+
+def lean(spark, batch):
+    rows = [("post", "c", f"{batch}-{i}", f"shared words item{batch} and words number{i}", 1.0, "a") for i in range(4)]
+    return spark.createDataFrame(rows, LEAN_ITEM)
+
+
+def test_replayed_and_restarted_batches_count_once(spark, tmp_path):
+    folders = job.JobFolders(str(tmp_path))
+    for batch in (0, 1, 1, 2, 2):
+        job.process_vocabulary(lean(spark, batch), batch, folders)
+    job.process_vocabulary(lean(spark, 3).limit(0), 3, folders)
+    whole = texts.item_texts(lean(spark, 0).unionByName(lean(spark, 1)).unionByName(lean(spark, 2)))
+    got = job.history_top_terms(spark, folders.root)
+    assert got.collect() == texts.top_terms(whole).collect() and not got.inputFiles()
+    assert job.history_top_phrases(spark, folders.root).collect() == texts.top_phrases(whole).collect()
+    expected = Counter({"words": 24, "shared": 12})
+    assert {r.term: r["count"] for r in got.collect()} == expected
