@@ -17,6 +17,8 @@ from . import texts
 
 #: Terms that a summary keeps of each kind.
 SIZE = 2000
+#: Parts of a group of terms that are ranked apart.
+PARTS = 64
 
 
 def _highest() -> Column:
@@ -24,9 +26,17 @@ def _highest() -> Column:
 
 
 def _cut_off(rows: DataFrame, keys: Sequence[str], size: int, least_cut: Column) -> DataFrame:
-    """The ``size`` rows (term, count, error) of each group with the highest bounds, as one row."""
-    order = Window.partitionBy(*keys).orderBy(_highest().desc(), "term")
-    placed = rows.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= size + 1)
+    """The ``size`` rows (term, count, error) of each group with the highest bounds, as one row.
+
+    Terms are thinned out in parts of each group first, so that no task sorts a whole group.
+    """
+    order = [_highest().desc(), "term"]
+    part = F.pmod(F.xxhash64("term"), F.lit(PARTS)).alias("part")
+    parted = Window.partitionBy(*keys, "part").orderBy(*order)
+    thinned = rows.select("*", part).withColumn("place", F.row_number().over(parted))
+    thinned = thinned.filter(F.col("place") <= size + 1).drop("part", "place")
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    placed = thinned.withColumn("place", F.row_number().over(whole)).filter(F.col("place") <= size + 1)
     kept = F.col("place") <= size
     return placed.groupBy(*keys).agg(
         F.greatest(F.coalesce(F.max(F.when(~kept, _highest())), F.lit(0)), F.max(least_cut)).alias("cut"),

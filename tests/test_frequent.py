@@ -109,3 +109,19 @@ def test_replayed_and_restarted_batches_count_once(spark, tmp_path):
     assert job.history_top_phrases(spark, folders.root).collect() == texts.top_phrases(whole).collect()
     expected = Counter({"words": 24, "shared": 12})
     assert {r.term: r["count"] for r in got.collect()} == expected
+
+
+def test_groups_are_ranked_in_parts_first(spark, lines):
+    """The first terms of a group can all lie in one part, and the rows sorted at once are those left."""
+    counts = texts.term_counts(lines, "text", ["batch"]).withColumn("error", F.lit(0).cast("bigint"))
+    for size in (1, 5, 100, 5000):
+        rows = frequent.summary(lines, ["batch"], size=size).collect()
+        for row in rows:
+            own = counts.filter((F.col("batch") == row.batch) & (F.col("kind") == row.kind)) if size == 5 else None
+            assert len(row.terms) <= size
+            if own is not None:
+                ranked = own.orderBy(F.desc("count"), "term").limit(size + 1).collect()
+                assert sorted(t.term for t in row.terms) == sorted(r.term for r in ranked[:size])
+                assert row.cut == (ranked[size]["count"] if len(ranked) > size else 0)
+    plan = frequent.summary(lines, ["batch"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") >= 2
