@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from postpulse.files import Files
 from postpulse.functions import lexicons, text as text_functions
 from postpulse.operators import (
     authors,
@@ -42,6 +43,8 @@ RECEIVED = "2024-01-01T00:00:00"
 ITEM_COLUMNS = [
     "id", "type", "subreddit", "author", "score", "num_comments", "created_utc", "text",
 ]
+# A batch of a stream arrives in so many files at most.
+MOST_FILES = 64
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -219,12 +222,23 @@ def windowed_reference_lists(spark, sf):
     return epoch_windows(joined(lists, "users", "subreddits", "urls"))
 
 
-def put_in_order(spark: SparkSession, frames: list[DataFrame]) -> str:
-    """Each frame as one more Parquet file of a folder, so that a stream takes them in turn."""
+def put_in_order(spark: SparkSession, frames: list[DataFrame]) -> tuple[str, int]:
+    """A folder that gets each frame in turn as so many Parquet files, and that number.
+
+    The number follows the input of the first frame, so that all its tasks write. A frame with
+    fewer rows than files has empty files too: a stream that takes the number of files at a time
+    takes one frame.
+    """
     folder = shared_folder(spark, "arrivals")
-    for frame in frames:
-        frame.coalesce(1).write.mode("append").parquet(folder)
-    return folder
+    files = Files(spark, folder)
+    each = min(MOST_FILES, frames[0].rdd.getNumPartitions())
+    for i, frame in enumerate(frames, 1):
+        # By content: dealt in turn, all rows would be sorted first.
+        spread = frame.repartition(each, *frame.columns) if each > 1 else frame.coalesce(1)
+        spread.write.mode("append").parquet(folder)
+        for _ in range(i * each - len(files.matching(f"{folder}/*.parquet"))):
+            frame.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return folder, each
 
 
 def time_slices(df: DataFrame, n: int = 4) -> list[DataFrame]:
@@ -236,8 +250,8 @@ def time_slices(df: DataFrame, n: int = 4) -> list[DataFrame]:
 
 def arriving(spark: SparkSession, frames: list[DataFrame]) -> DataFrame:
     """A stream that gets one frame in each micro-batch."""
-    folder = put_in_order(spark, frames)
-    source = spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1)
+    folder, each = put_in_order(spark, frames)
+    source = spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", each)
     return stamp(source.parquet(folder))
 
 
