@@ -193,6 +193,15 @@ def _term_rows(cleaned: DataFrame, text_col: str, by: Sequence[str] = ()) -> Dat
     return rows.filter(F.col("term").isNotNull())
 
 
+def _dealt(cleaned: DataFrame, text_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """The texts in parts of bounded size, however large the files or row groups they come from.
+
+    A task holds the different pairs of its part before their shuffle, several times the bytes of
+    the texts. Copies from different tasks go to different parts.
+    """
+    return cleaned.select(*by, text_col).repartition(F.col(text_col), F.spark_partition_id())
+
+
 def term_counts(
     cleaned: DataFrame, text_col: str = "text", by: Sequence[str] = ()
 ) -> DataFrame:
@@ -201,13 +210,14 @@ def term_counts(
     ``kind`` is ``term`` or ``phrase``. Counting starts before the shuffle, so frequent
     words travel once per task.
     """
-    rows = _term_rows(cleaned, text_col, by)
+    rows = _term_rows(_dealt(cleaned, text_col, by), text_col, by)
     return rows.groupBy(*by, "kind", "term").agg(F.count("*").alias("count"))
 
 
 def counts_of_kind(cleaned: DataFrame, text_col: str, phrases: bool) -> DataFrame:
     """Occurrences of every meaningful word, or of every pair of neighbours."""
-    words = cleaned.select(t.meaningful_words(text_col).alias("items"))
+    texts = _dealt(cleaned, text_col) if phrases else cleaned
+    words = texts.select(t.meaningful_words(text_col).alias("items"))
     if phrases:
         words = words.select(t.bigrams("items").alias("items"))
     rows = words.select(F.explode_outer("items").alias("term"))
@@ -240,21 +250,24 @@ def unique_terms(
 ) -> DataFrame:
     """How many different words and pairs there are.
 
-    The exact numbers shuffle every different pair once; the approximate ones only a
+    The exact numbers shuffle the texts and every different pair once; the approximate ones only a
     sketch per task.
     """
-    kind = F.col("kind")
     if approximate:
-        rows = _term_rows(cleaned, text_col)
+        rows, kind = _term_rows(cleaned, text_col), F.col("kind")
         return rows.agg(
             F.approx_count_distinct(F.when(kind == "term", F.col("term"))).alias("unique_terms"),
             F.approx_count_distinct(F.when(kind == "phrase", F.col("term"))).alias(
                 "unique_phrases"
             ),
         )
-    return term_counts(cleaned, text_col).agg(
-        F.count_if(kind == "term").alias("unique_terms"),
-        F.count_if(kind == "phrase").alias("unique_phrases"),
+    words = _dealt(cleaned, text_col).select(t.meaningful_words(text_col).alias("words"))
+    both = words.select(F.concat("words", t.bigrams("words")).alias("items"))
+    rows = both.select(F.explode_outer("items").alias("term")).filter(F.col("term").isNotNull())
+    # No word holds a blank.
+    phrase = F.col("term").contains(" ")
+    return rows.distinct().agg(
+        F.count_if(~phrase).alias("unique_terms"), F.count_if(phrase).alias("unique_phrases")
     )
 
 

@@ -50,6 +50,14 @@ def test_tfidf_reads_the_texts_once(spark):
     assert "hashpartitioning(word" in plan and "doc_id" not in plan
 
 
+@pytest.mark.parametrize("name", ["unique_terms", "top_phrases", "cumulative_terms"])
+def test_pairs_are_held_after_texts_are_dealt(spark, name):
+    counted = {"cumulative_terms": lambda s, sf: texts.term_counts(q.cleaned_documents(s, sf))}
+    plan = planned(counted.get(name, getattr(q, name))(spark, SF))
+    # Plans print from the result down to the scan.
+    assert plan.index("Generate") < plan.index("REPARTITION_BY_COL") < plan.index("Scan parquet")
+
+
 def test_histogram_reads_the_rows_once(spark):
     plan = final_plan(q.score_histogram(spark, SF))
     assert scans(plan) == 1 and "ReusedExchange" in plan
