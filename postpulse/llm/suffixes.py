@@ -50,6 +50,8 @@ BUCKET_BYTES = 8 << 20
 TASK_BYTES = 16 << 20
 # Places are worked on in windows of so many bytes.
 WINDOW = 1 << 20
+# Fingerprints are made of so many places at once, which stay in a core's cache.
+AT_ONCE = 1 << 14
 # Names keep so many leading bits more than the corpus has places; equal bits of different triples
 # only keep a suffix in the race.
 SPARE_BITS = 7
@@ -58,6 +60,8 @@ PREFIX_BITS = 24
 LAST = np.int64(2**63 - 1)
 ADDED = ("n_bytes", "n_removed", "n_spans", "spans", "kept")
 _TRIPLE, _STRETCH, _PREFIX, _REMOVED, _WAITING = range(5)
+# Bytes of a second name.
+_SECOND = {_STRETCH: "<u8", _PREFIX: "<u4"}
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -67,6 +71,26 @@ def _mixed(keys: np.ndarray) -> np.ndarray:
     return keys ^ (keys >> np.uint64(32))
 
 
+def _mix(keys: np.ndarray) -> None:
+    """As :func:`_mixed`, in place."""
+    keys ^= keys >> np.uint64(32)
+    keys *= _M2
+    keys ^= keys >> np.uint64(29)
+    keys *= _M1
+    keys ^= keys >> np.uint64(32)
+
+
+def _factors(count: int) -> np.ndarray:
+    """Odd factors, one for each word of a string."""
+    return _mixed(np.arange(1, count + 1, dtype=np.uint64) * _M1) | np.uint64(1)
+
+
+def _sampled_before(places: np.ndarray) -> np.ndarray:
+    """How many sampled places are less than each place."""
+    row, rest = np.divmod(places, PERIOD)
+    return row * len(COVER) + np.searchsorted(COVER, rest)
+
+
 def packed_longs(numbers: np.ndarray) -> bytes:
     planes = numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
@@ -77,6 +101,31 @@ def unpacked_longs(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(8, -1).T).view("<i8").ravel()
 
 
+def _ordered(keys: np.ndarray, spare: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, where each was, and where each different one begins.
+
+    Where the ``spare`` low bits of all keys, which are zero, hold a place, key and place are sorted as one number.
+    """
+    count = len(keys)
+    if count >> spare == 0:
+        ordered = keys | np.arange(count, dtype=np.uint64)
+        ordered.sort()
+        mask = np.uint64((1 << spare) - 1)
+        order = (ordered & mask).astype(np.int64)
+        ordered &= ~mask
+    else:
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    new = np.ones(count, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return ordered, order, np.flatnonzero(new)
+
+
+def _ranges(low: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` numbers from each ``low`` on."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts - low, counts)
+
+
 class Places:
     """The bytes of a chunk's documents in a row, and what starts at each place."""
 
@@ -92,33 +141,62 @@ class Places:
     def documents(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.ends, places, side="right")
 
-    def fingerprints(self, places: np.ndarray, size: int) -> np.ndarray:
-        """Of the ``size`` bytes from each place on; at least eight."""
-        out = np.full(len(places), _M2, np.uint64)
-        for at in [*range(0, size - 8, 8), size - 8]:
-            out = _mixed(out ^ self.words[places + at]) + _M1
-        return out
+    def fingerprints(self, places: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two of the ``size`` bytes from each place on; at least eight. The second has 32 bits."""
+        out, second = np.full(len(places), _M2, np.uint64), np.zeros(len(places), np.uint64)
+        offsets = [*range(0, size - 8, 8), size - 8]
+        for i in range(0, len(places), AT_ONCE):
+            own, one, two = places[i : i + AT_ONCE], out[i : i + AT_ONCE], second[i : i + AT_ONCE]
+            for at, factor in zip(offsets, _factors(len(offsets)), strict=True):
+                words = self.words[own + at]
+                one ^= words
+                _mix(one)
+                one += _M1
+                words *= factor
+                two += words
+            _mix(two)
+        second >>= np.uint64(32)
+        return out, second
 
     def triples(self) -> tuple[np.ndarray, np.ndarray]:
         """Sampled places and the names of their triples, where one fits before the document ends."""
-        places, names = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        for at in range(0, self.size, WINDOW):
-            first = -(-at // PERIOD) * PERIOD
-            rows = np.arange(max(first - PERIOD, 0), min(at + WINDOW, self.size), PERIOD)
-            own = (rows[:, None] + np.array(COVER)).ravel()
-            own = own[(own >= at) & (own < min(at + WINDOW, self.size))]
-            own = own[own + 3 * BLOCK <= self.ends[self.documents(own)]]
-            places.append(own)
-            names.append(self.fingerprints(own, 3 * BLOCK) >> self.dropped << self.dropped)
-        return np.concatenate(places), np.concatenate(names)
+        return self.triples_within(self.starts, self.ends - 3 * BLOCK + 1)[:2]
+
+    def triples_within(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Sampled places from each start up to its end, names of their triples, and which start it is.
+
+        Different triples may have equal names: what is named is compared once more.
+        """
+        rows = -(-self.size // PERIOD)
+        names = np.empty((rows, len(COVER)), np.uint64)
+        offsets = [*range(0, 3 * BLOCK - 8, 8), 3 * BLOCK - 8]
+        factors = _factors(len(offsets))
+        step = max(1, WINDOW // PERIOD)
+        for at in range(0, rows, step):
+            many = min(step, rows - at)
+            for column, shift in enumerate(COVER):
+                own = np.zeros(many, np.uint64)
+                for offset, factor in zip(offsets, factors, strict=True):
+                    first = at * PERIOD + shift + offset
+                    own += self.words[first : first + (many - 1) * PERIOD + 1 : PERIOD] * factor
+                _mix(own)
+                names[at : at + many, column] = own
+        low = _sampled_before(starts)
+        counts = np.maximum(_sampled_before(np.maximum(ends, starts)) - low, 0)
+        index = _ranges(low, counts)
+        sampled = (np.arange(rows)[:, None] * PERIOD + np.array(COVER)).ravel()
+        own = names.ravel()[index] >> self.dropped << self.dropped
+        return sampled[index], own, np.repeat(np.arange(len(starts)), counts)
 
     def stretches(self) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the stretches: cut where the next eight bytes say so, and at documents."""
-        cuts = [self.starts[self.ends > self.starts]]
-        for at in range(0, self.size, WINDOW):
-            words = self.words[at : min(at + WINDOW, self.size)]
-            cuts.append(np.flatnonzero(_mixed(words + _M1) >> np.uint64(57) == 0) + at)
-        starts = np.unique(np.concatenate(cuts))
+        cuts, step = [self.starts[self.ends > self.starts]], min(WINDOW, AT_ONCE)
+        for at in range(0, self.size, step):
+            words = self.words[at : min(at + step, self.size)] + _M1
+            _mix(words)
+            cuts.append(np.flatnonzero(words < np.uint64(1 << 57)) + at)
+        starts = np.sort(np.concatenate(cuts), kind="stable")
+        starts = starts[np.diff(starts, prepend=-1) > 0]
         return starts, np.append(starts[1:], self.size) if len(starts) else starts
 
 
@@ -141,13 +219,22 @@ def stretch_names(places: Places) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
 
 def _least(keys: np.ndarray, second: np.ndarray, documents: np.ndarray):
     """Different (key, second) in order with their least document, and where each given one is."""
-    order = np.lexsort((documents, second, keys))
+    order = np.argsort(keys)
+    ordered, other = keys[order], second[order]
     new = np.ones(len(keys), bool)
-    new[1:] = (keys[order][1:] != keys[order][:-1]) | (second[order][1:] != second[order][:-1])
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    changed = other[1:] != other[:-1]
+    if (changed > new[1:]).any():
+        # Different strings with one key: rare, as keys are long.
+        order = np.lexsort((second, keys))
+        ordered, other = keys[order], second[order]
+        new[1:] = (ordered[1:] != ordered[:-1]) | (other[1:] != other[:-1])
     rank = np.empty(len(keys), np.int64)
     rank[order] = np.cumsum(new) - 1
-    first = order[new]
-    return keys[first], second[first], documents[first], rank
+    starts = np.flatnonzero(new)
+    first = order[starts]
+    least = np.minimum.reduceat(documents[order], starts) if len(starts) else documents
+    return keys[first], second[first], least, rank
 
 
 # --- rounds --------------------------------------------------------------------------
@@ -185,9 +272,14 @@ def _chunk(row: dict, length: int, name_bits: int = 64) -> tuple[Places, np.ndar
 
 
 def _questions(number: int, kind: int, buckets: int, keys, second, documents) -> list[tuple]:
+    """Second names have no order that could be compressed. Triples have none, and a bit for a document."""
     ends = bucket_ends(keys, buckets).tolist()
+    bits = kind == _TRIPLE
     return [
-        (kind, b, number, packed_keys(keys[i:j]), packed_longs(second[i:j].view(np.int64)), packed_longs(documents[i:j]))
+        (
+            kind, b, number, packed_keys(keys[i:j]), b"" if bits else second[i:j].astype(_SECOND[kind]).tobytes(),
+            np.packbits(documents[i:j]).tobytes() if bits else packed_longs(documents[i:j]),
+        )
         for b, (i, j) in enumerate(zip(ends, ends[1:], strict=False))
         if i < j
     ]
@@ -221,7 +313,8 @@ class _Earliest:
     starts: np.ndarray
     ends: np.ndarray
     sampled: np.ndarray
-    rank: np.ndarray
+    order: np.ndarray
+    first: np.ndarray
     names: np.ndarray
     several: np.ndarray
     removed: np.ndarray
@@ -238,16 +331,14 @@ def _earliest(row: dict, answers: list[dict], length: int, name_bits: int) -> _E
     removed = np.column_stack([starts[earlier], ends[earlier] + length - 1])
     starts, ends = starts[~earlier], ends[~earlier]
     # Triples that a prefix from one of these stretches can hold.
-    sampled, names = places.triples()
-    at = np.searchsorted(starts, sampled, side="right") - 1
-    reach = np.append(ends + length - 1, 0)[at]
-    inside = (at >= 0) & (sampled + 3 * BLOCK <= reach)
-    sampled, names, at = sampled[inside], names[inside], at[inside]
-    found, rank = np.unique(names, return_inverse=True)
-    low, high = np.full(len(found), len(starts)), np.full(len(found), -1)
-    np.minimum.at(low, rank, at)
-    np.maximum.at(high, rank, at)
-    return _Earliest(places, starts, ends, sampled, rank, found, low < high, removed)
+    reach = ends + length - 3 * BLOCK
+    reach[:-1] = np.minimum(reach[:-1], starts[1:])
+    sampled, names, at = places.triples_within(starts, reach)
+    ordered, order, first = _ordered(names, int(places.dropped))
+    # Places and so stretches of equal names are in order.
+    last = np.append(first[1:], len(order))[: len(first)] - 1
+    several = at[order[first]] < at[order[last]]
+    return _Earliest(places, starts, ends, sampled, order, first, ordered[first], several, removed)
 
 
 def _chunk_row(chunk: pa.Table) -> dict:
@@ -260,34 +351,42 @@ def _triple_asker(buckets: int, length: int, name_bits: int):
     def ask(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         row = _chunk_row(chunk)
         own = _earliest(row, answers.to_pylist(), length, name_bits)
-        nothing = np.zeros(len(own.names), np.uint64)
-        asked = _questions(
-            row["chunk"], _TRIPLE, buckets, own.names, nothing, own.several.astype(np.int64)
-        )
+        asked = _questions(row["chunk"], _TRIPLE, buckets, own.names, None, own.several)
         return pa.Table.from_batches([_batch(asked, schema)])
 
     return ask
 
 
-def _asked(rows: pd.DataFrame):
-    keys = [unpacked_keys(k) for k in rows["keys"]]
-    second = np.concatenate([unpacked_longs(s) for s in rows["second"]]).view(np.uint64)
-    documents = np.concatenate([unpacked_longs(d) for d in rows["documents"]])
-    ends = np.cumsum([len(k) for k in keys])
-    return np.concatenate(keys), second, documents, ends
+def _shared(keys: list[np.ndarray], several: np.ndarray) -> np.ndarray:
+    """Whether a name is there twice, or one of several stretches."""
+    joined = np.concatenate(keys)
+    low = int(np.bitwise_or.reduce(joined))
+    _, order, first = _ordered(joined, (low & -low).bit_length() - 1 if low else 0)
+    counts = np.diff(first, append=len(joined))
+    found = (counts > 1) | np.logical_or.reduceat(several[order], first)
+    shared = np.empty(len(joined), bool)
+    shared[order] = np.repeat(found, counts)
+    return shared
 
 
 def _answered(rows: pd.DataFrame) -> pd.DataFrame:
     """Triples: whether two documents have it. Others: the least document that has it."""
-    keys, second, documents, ends = _asked(rows)
-    starts = [0, *ends[:-1]]
-    if rows["kind"].iloc[0] == _TRIPLE:
-        found, rank, counts = np.unique(keys, return_inverse=True, return_counts=True)
-        shared = (counts > 1) | (np.bincount(rank, documents, len(found)) > 0)
-        answers = [np.packbits(shared[rank[i:j]]).tobytes() for i, j in zip(starts, ends, strict=True)]
+    kind = rows["kind"].iloc[0]
+    keys = [unpacked_keys(k) for k in rows["keys"]]
+    ends = np.cumsum([len(k) for k in keys])
+    bounds = list(zip([0, *ends[:-1]], ends, strict=True))
+    if kind == _TRIPLE:
+        several = [
+            np.unpackbits(np.frombuffer(d, np.uint8), count=len(k))
+            for d, k in zip(rows["documents"], keys, strict=True)
+        ]
+        shared = _shared(keys, np.concatenate(several).astype(bool))
+        answers = [np.packbits(shared[i:j]).tobytes() for i, j in bounds]
     else:
-        _, _, least, rank = _least(keys, second, documents)
-        answers = [packed_longs(least[rank[i:j]]) for i, j in zip(starts, ends, strict=True)]
+        second = np.frombuffer(b"".join(rows["second"]), _SECOND[kind]).astype(np.uint64)
+        documents = np.concatenate([unpacked_longs(d) for d in rows["documents"]])
+        _, _, least, rank = _least(np.concatenate(keys), second, documents)
+        answers = [packed_longs(least[rank[i:j]]) for i, j in bounds]
     return rows[["kind", "bucket", "chunk"]].assign(answer=answers)
 
 
@@ -308,7 +407,9 @@ def _waiter(buckets: int, length: int, name_bits: int):
             np.unpackbits(np.frombuffer(a, np.uint8), count=n)
             for a, n in zip(_answer_list(replies, _TRIPLE), sizes[sizes > 0].tolist(), strict=True)
         ]
-        shared = np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)[own.rank]
+        found = np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool)
+        shared = np.empty(len(own.order), bool)
+        shared[own.order] = np.repeat(found, np.diff(own.first, append=len(own.order)))
         waiting = _prefixes(own.sampled[shared], own.starts, own.ends, length)
         told = [
             (_REMOVED, 0, row["chunk"], packed(own.removed.ravel())),
@@ -333,19 +434,18 @@ def _prefixes(sampled: np.ndarray, starts: np.ndarray, ends: np.ndarray, length:
     begin, stop = np.searchsorted(ends, low, side="right"), np.searchsorted(starts, high, side="left")
     counts = np.maximum(stop - begin, 0)
     which = np.repeat(np.arange(len(low)), counts)
-    stretch = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(begin, counts)
+    stretch = _ranges(begin, counts)
     left, right = np.maximum(low[which], starts[stretch]), np.minimum(high[which], ends[stretch])
     sizes = np.maximum(right - left, 0)
-    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(left, sizes)
+    return _ranges(left, sizes)
 
 
 def _merged_keys(row: dict, answers: list[dict], length: int, key_bits: int):
     places, ids = _chunk(row, length)
     dropped = np.uint64(64 - key_bits)
     waiting = np.cumsum(unpacked(_answer_list(answers, _WAITING)[0]))
-    one = places.fingerprints(waiting, length) >> dropped << dropped
-    two = _mixed(places.words[waiting] * _M1 + places.fingerprints(waiting + 1, length - 1))
-    two &= np.uint64(0xFFFFFFFF)
+    one, two = places.fingerprints(waiting, length)
+    one = one >> dropped << dropped
     own = ids[places.documents(waiting)]
     return places, waiting, own, _least(one, two, own)
 
@@ -372,23 +472,26 @@ def _remover(schema: StructType, length: int, key_bits: int):
         least = np.concatenate([np.zeros(0, np.int64), *told])
         hit = waiting[least[rank] < own]
         removed = unpacked(_answer_list(replies, _REMOVED)[0]).reshape(-1, 2)
-        # How many removed prefixes cover each byte.
-        cover = np.bincount(hit, minlength=places.size + 1)[: places.size + 1]
-        cover = cover + np.bincount(removed[:, 0], minlength=places.size + 1)
-        cover -= np.bincount(hit + length, minlength=places.size + 1)
-        cover -= np.bincount(removed[:, 1], minlength=places.size + 1)
-        gone = np.cumsum(cover[:-1]) > 0
+        # Removed strings in order, joined where they touch in one document.
+        begin = np.concatenate([hit, removed[:, 0]])
+        order = np.argsort(begin, kind="stable")
+        begin = begin[order]
+        end = np.maximum.accumulate(np.concatenate([hit + length, removed[:, 1]])[order])
+        of = places.documents(begin)
+        new = np.ones(len(begin), bool)
+        new[1:] = (begin[1:] > end[:-1]) | (of[1:] != of[:-1])
+        first = np.flatnonzero(new)
+        span_starts, of = begin[first], of[first]
+        span_ends = end[np.append(first[1:], len(end))[: len(first)] - 1]
+        steps = np.zeros(places.size + 1, np.int8)
+        steps[span_starts] += 1
+        steps[span_ends] -= 1
+        gone = np.cumsum(steps[:-1], dtype=np.int8).view(bool)
         sizes = places.ends - places.starts
-        total = np.concatenate([[0], np.cumsum(gone)])
-        first = gone.copy()
-        first[1:] &= ~gone[:-1]
-        first[places.starts[sizes > 0]] = gone[places.starts[sizes > 0]]
-        last = gone.copy()
-        last[:-1] &= ~gone[1:]
-        last[places.ends[sizes > 0] - 1] = gone[places.ends[sizes > 0] - 1]
-        span_starts, span_ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-        of = places.documents(span_starts)
         counts = np.bincount(of, minlength=len(sizes))
+        total = np.concatenate([[0], np.cumsum(span_ends - span_starts)])
+        spans_before = np.cumsum(counts)
+        removed_of = total[spans_before] - total[spans_before - counts]
         span_type = arrow.field("spans").type
         spans = pa.ListArray.from_arrays(
             pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()),
@@ -398,7 +501,6 @@ def _remover(schema: StructType, length: int, key_bits: int):
             ),
         )
         kept = np.frombuffer(places.raw, np.uint8)[~gone].tobytes()
-        removed_of = total[places.ends] - total[places.starts]
         ends = np.cumsum(sizes - removed_of)
         bounds = zip(np.concatenate([[0], ends[:-1]]).tolist(), ends.tolist(), strict=True)
         values = [

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -107,6 +108,41 @@ def test_prefixes_around_triples(sampled, gaps):
     assert got.tolist() == [p for p in inside if any(p <= s <= p + 20 for s in sampled)]
 
 
+@pytest.mark.parametrize("count", [0, 1, 60, 5000])
+def test_order_of_names_with_and_without_spare_bits(count):
+    names = np.random.default_rng(count).integers(0, 700, count).astype(np.uint64) << np.uint64(12)
+    for one, two in zip(suffixes._ordered(names, 12), suffixes._ordered(names, 0)):
+        assert one.tolist() == two.tolist()
+
+
+def test_questions_about_triples_are_names_and_bits():
+    names = np.sort(np.random.default_rng(1).integers(0, 2**63, 1000).astype(np.uint64))
+    several = np.arange(1000) % 3 == 0
+    rows = suffixes._questions(7, suffixes._TRIPLE, 4, names, None, several)
+    sizes = np.diff(suffixes.bucket_ends(names, 4)).tolist()
+    assert [len(r[4]) for r in rows] == [0, 0]
+    assert [len(r[5]) for r in rows] == [-(-n // 8) for n in sizes if n]
+    columns = [f.split()[0] for f in suffixes._ASK.split(", ")]
+    own = pd.DataFrame([r for r in rows if r[1] == 0], columns=columns)
+    answer = suffixes._answered(pd.concat([own, own.assign(chunk=8)]))["answer"]
+    assert all(np.unpackbits(np.frombuffer(a, np.uint8), count=sizes[0]).all() for a in answer)
+    alone = suffixes._answered(own)["answer"].iloc[0]
+    assert np.unpackbits(np.frombuffer(alone, np.uint8), count=sizes[0]).tolist() == several[: sizes[0]].tolist()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(-4, 4)), max_size=30))
+def test_least_where_keys_are_equal(rows):
+    columns = np.array(rows, np.int64).reshape(-1, 3).T
+    keys, second, documents = columns[0].astype(np.uint64), columns[1].astype(np.uint64), columns[2]
+    one, two, least, rank = suffixes._least(keys, second, documents)
+    found = {}
+    for k, s, d in rows:
+        found[k, s] = min(found.get((k, s), d), d)
+    assert list(zip(one.tolist(), two.tolist(), least.tolist())) == [(*k, d) for k, d in sorted(found.items())]
+    assert [(int(one[r]), int(two[r])) for r in rank] == [r[:2] for r in rows]
+
+
 def test_columns_and_empty_tables(spark):
     schema = "Chunk string, DOC_ID int, text string, KEPT int, own_0 int, id string, words int, spans string"
     rows = [("c", 1, "x" * 60, 5, 6, "i", 7, "s"), (None,) * 8, ("d", 2, "x" * 60, 5, 6, "i", 7, "s")]
