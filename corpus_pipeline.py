@@ -12,6 +12,10 @@ from postpulse.llm import decontaminate, language, lines, packing, simhash
 from postpulse.llm.queries import table, tokenizer_file
 from postpulse.scratch import shared_folder
 
+#: Parts of texts that a Python worker remembers. The stages share their executors, so it is
+#: less than what an operator takes that runs alone.
+CACHED_WORDS = 200_000
+
 
 def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in docs.columns])
@@ -20,7 +24,7 @@ def _columns(df: DataFrame, docs: DataFrame) -> DataFrame:
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that a language of the labelled documents explains; others, and null texts, go."""
     model = language.train(docs, id_col="doc_id")
-    found = language.identify(docs, model)
+    found = language.identify(docs, model, cached_words=CACHED_WORDS)
     return _columns(found.filter(~F.col("rejected")), docs)
 
 
@@ -44,7 +48,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their token ids and their place in a sequence."""
-    pieces = packing.token_pieces(docs.select("doc_id", "text"), tokenizer_file())
+    pieces = packing.token_pieces(
+        docs.select("doc_id", "text"), tokenizer_file(), cached_words=CACHED_WORDS
+    )
     return packing.pack(pieces).withColumn("ids_crc32", F.crc32("ids"))
 
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, without
+from .rows import append_columns, release, without
 
 WINDOW = 13
 BLOCK = 2
@@ -86,6 +86,7 @@ def _search(items: list[tuple[str, str | None]], text_col: str, size: int):
     """A worker: words of each document, and what this slice adds to the hits so far."""
 
     def make():
+        release()
         tables = searchers(items, size)
 
         def work(batch: pa.RecordBatch) -> list:

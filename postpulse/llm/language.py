@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, draw_of, held, training_sample
+from .rows import append_columns, draw_of, held, runs_of, training_sample
 
 ORDER = 4
 #: Bounds of the training sample, for each language.
@@ -206,16 +206,39 @@ def train(
 
 
 class _Scorer:
-    """Sums for a text from its parts between white space; parts are remembered, up to a bound."""
+    """Sums for a text from its parts between white space.
 
-    def __init__(self, model: Model):
-        self.model = model
+    Parts are remembered, up to a bound, those not used for long forgotten first: ``known`` are
+    those used of late, ``older`` those last used before them; each has half the bound.
+    """
+
+    def __init__(self, model: Model, cached_words: int = CACHED_WORDS):
+        self.model, self.most = model, cached_words
+        self.known: dict[str, int] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        """What is known becomes what was used before; what was that is gone."""
+        self.older = self.known
+        self.older_sums = self.sums[: len(self.known)].copy() if self.known else None
+        self.known = {}
         self.sums = np.zeros((1024, len(self.model.languages) + 1))
 
+    def added(self, parts: list[str]) -> np.ndarray:
+        """A row of zeros for each part, known from now on."""
+        base = len(self.known)
+        while base + len(parts) > len(self.sums):
+            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+        self.known.update(zip(parts, range(base, base + len(parts)), strict=True))
+        new = self.sums[base : base + len(parts)]
+        new[:] = 0
+        return new
+
+    def recall(self, parts: list[str]) -> None:
+        """Sums of parts that were used before."""
+        rows = np.fromiter(map(self.older.__getitem__, parts), np.int64, len(parts))
+        self.added(parts)[:] = self.older_sums[rows]
+
     def learn(self, parts: list[str]) -> None:
         """Sums of new parts; a word that several parts hold is scored once."""
         words, row, owner = {}, [], []
@@ -223,11 +246,7 @@ class _Scorer:
             for word in _WORDS.findall(part.lower()):
                 row.append(words.setdefault(word, len(words)))
                 owner.append(i)
-        base = len(self.known)
-        while base + len(parts) > len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        new = self.sums[base : base + len(parts)]
-        new[:] = 0
+        new = self.added(parts)
         if words:
             new_words = list(words)
             scored = [
@@ -237,41 +256,52 @@ class _Scorer:
             both = np.concatenate(scored)[row]
             for column in range(both.shape[1]):
                 new[:, column] = np.bincount(owner, both[:, column], len(parts))
-        self.known.update(zip(parts, range(base, base + len(parts)), strict=True))
 
     def totals(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text log2 probability under each language, then the predicted characters."""
-        split = [t.split() if t else [] for t in texts]
-        needed = set().union(*split)
-        if len(self.known) + len(needed) > CACHED_WORDS:
-            self.forget()
-        new = list(needed.difference(self.known))
-        if new:
-            self.learn(new)
-        out, known = [], self.known.__getitem__
-        for text, parts in zip(texts, split, strict=True):
-            found = self.sums[np.fromiter(map(known, parts), np.int64, len(parts))].sum(axis=0)
-            if not found[-1] and text and (words := _LETTERS.findall(text.lower())):
-                logs, n = log2_words(self.model, words)
-                found = np.append(logs.sum(axis=0), n.sum())
-            out.append(found)
+        out = []
+        for run in runs_of(texts):
+            split = [t.split() if t else [] for t in run]
+            new = set().union(*split).difference(self.known)
+            if len(self.known) + len(new) > self.most // 2:
+                self.forget()
+                new = set().union(*split)
+            if before := list(new.intersection(self.older)):
+                self.recall(before)
+            if new := list(new.difference(self.older)):
+                self.learn(new)
+            known = self.known.__getitem__
+            for text, parts in zip(run, split, strict=True):
+                found = self.sums[np.fromiter(map(known, parts), np.int64, len(parts))].sum(axis=0)
+                if not found[-1] and text and (words := _LETTERS.findall(text.lower())):
+                    logs, n = log2_words(self.model, words)
+                    found = np.append(logs.sum(axis=0), n.sum())
+                out.append(found)
         return out
 
 
 def identify(
-    docs: DataFrame, model: Model, *, text_col: str = "text", keep_text: bool = True
+    docs: DataFrame,
+    model: Model,
+    *,
+    text_col: str = "text",
+    keep_text: bool = True,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """``docs`` with lang_pred, score, cross_entropy (bits a character) and rejected.
 
     ``und`` with score 0, rejected: a null text or one without a letter. Else the language of
     lowest cross-entropy, ties to the first name, and its posterior with equal priors as score.
-    Rows are judged one by one; columns of ``docs`` with the added names are replaced.
+    Rows are judged one by one; columns of ``docs`` with the added names are replaced. A Python
+    worker remembers about ``cached_words`` parts of texts: fewer take less memory and more time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
         model = shared.value
-        scorer = held(("language", model.name), lambda: _Scorer(model))
+        scorer = held(
+            ("language", model.name, cached_words), lambda: _Scorer(model, cached_words)
+        )
 
         def one(totals: np.ndarray) -> tuple:
             n = totals[-1]

@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, held, reach_workers, stored, without
+from .rows import append_columns, held, reach_workers, runs_of, stored, without
 
 CAPACITY = 4096
 END_ID = 1
@@ -40,15 +40,17 @@ class _Encoder:
     """Token ids of whole texts as little-endian 32-bit words.
 
     A text is cut at the tokenizer's added tokens first, and the ids of the text between them are
-    those of its parts in turn. Parts are remembered, up to a bound; new ones are encoded many at
-    a time, with a mark between them that is a token of its own.
+    those of its parts in turn. Parts are remembered, up to a bound, those not used for long
+    forgotten first; new ones are encoded many at a time, with a mark between them that is a
+    token of its own.
     """
 
     MARK = "\x00"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int | None = None):
         from tokenizers import Tokenizer
 
+        self.most = CACHED_WORDS if cached_words is None else cached_words
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder()
         for token in added.values():
@@ -59,10 +61,14 @@ class _Encoder:
         literal = "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))
         self.cut = re.compile(f"({literal})") if literal else None
         (self.mark,) = self.encode(self.MARK)
+        # Parts used of late, and those last used before them; each has half the bound.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        # Without the tokens' places in the text, which nobody asks for.
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
 
     @staticmethod
     def parts(text: str | None) -> list[str]:
@@ -101,19 +107,23 @@ class _Encoder:
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of texts in which no added token stands; ``whole_ids`` cuts these out first."""
-        split = [self.parts(t) for t in texts]
-        needed = set().union(*split)
-        if len(self.known) + len(needed) > CACHED_WORDS:
-            self.known.clear()
-        self.learn(needed.difference(self.known))
-        known = self.known.__getitem__
-        for parts in split:
-            yield b"".join(map(known, parts))
-
-
-def encoder(path: str) -> _Encoder:
+        for run in runs_of(texts):
+            split = [self.parts(t) for t in run]
+            new = set().union(*split).difference(self.known)
+            if len(self.known) + len(new) > self.most // 2:
+                self.older, self.known = self.known, {}
+                new = set().union(*split)
+            for part in new.intersection(self.older):
+                self.known[part] = self.older[part]
+            self.learn(new.difference(self.older))
+            known = self.known.__getitem__
+            for parts in split:
+                yield b"".join(map(known, parts))
+
+
+def encoder(path: str, cached_words: int | None = None) -> _Encoder:
     """One encoder for each Python worker."""
-    return held(("encoder", path), lambda: _Encoder(path))
+    return held(("encoder", path, cached_words), lambda: _Encoder(path, cached_words))
 
 
 def token_pieces(
@@ -123,11 +133,13 @@ def token_pieces(
     text_col: str = "text",
     capacity: int = CAPACITY,
     end_id: int = END_ID,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """``docs`` without the text, one row for each piece: piece, start, length, ids, ids_crc32.
 
     A document is its ids and ``end_id``; longer ones are cut every ``capacity`` ids. A null
     or empty text is the end id alone. Added tokens in a text are tokens. ``ids`` are little-endian 32-bit words.
+    A Python worker remembers about ``cached_words`` parts of texts: fewer take less memory and more time.
     """
     end = np.array([end_id], "<u4").tobytes()
 
@@ -135,7 +147,7 @@ def token_pieces(
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokens = encoder(tokenizer_path)
+        tokens = encoder(tokenizer_path, cached_words)
 
         def work(batch: pa.RecordBatch) -> list:
             pieces = []

@@ -20,6 +20,9 @@ from ..scratch import shared_folder
 # So many rows are Python objects at a time.
 ROWS_AT_ONCE = 512
 
+# Texts with so many characters together are split into words at a time, in operators that do.
+CHARACTERS_AT_ONCE = 1 << 18
+
 # A classifier is trained for so many labels at most.
 MOST_LABELS = 1000
 
@@ -40,6 +43,25 @@ def held(key: tuple, make: Callable):
     return _held[key]
 
 
+def release() -> None:
+    """Let go of what an earlier operator has kept in this Python worker."""
+    _held.clear()
+
+
+def runs_of(texts: list[str | None], characters: int = CHARACTERS_AT_ONCE) -> Iterator[list]:
+    """``texts`` in order, in runs of at most so many characters; a longer text is a run alone."""
+    run, size = [], 0
+    for text in texts:
+        own = len(text) if text else 0
+        if run and size + own > characters:
+            yield run
+            run, size = [], 0
+        run.append(text)
+        size += own
+    if run:
+        yield run
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Let Python workers import this library from where the driver has it.
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .rows import append_columns, reach_workers, shuffle_partitions, stored, without
+from .rows import append_columns, reach_workers, release, shuffle_partitions, stored, without
 
 SHINGLE = 4
 SEED = 42
@@ -60,6 +60,8 @@ def fingerprints(
     """``docs`` with ``fingerprint``, a bigint that holds the 64 bits; no words: zero."""
 
     def make():
+        release()
+
         def work(batch: pa.RecordBatch) -> list:
             found = [fingerprint(t, shingle) for t in batch.column(text_col).to_pylist()]
             return [np.array(found, np.uint64).view(np.int64)]

@@ -99,3 +99,17 @@ def test_sample_passes_over_texts_beyond_the_bound(spark):
         docs, labels, id_col="doc_id", text_col="text", documents=1000, characters=200_000
     ).groupBy("label").agg(F.count("*").alias("n"), F.max("n").alias("last"))
     assert {r.label: r.n for r in found.collect()} == {"en": 200, "long": 1}
+
+
+def test_scorer_remembers_a_bounded_number_of_parts(trained):
+    """Old and recent parts together keep the bound, in long batches too; totals stay the same."""
+    own, plain = language._Scorer(trained, cached_words=600), language._Scorer(trained)
+    learned = []
+    learn, own.learn = own.learn, lambda parts: (learned.extend(parts), learn(parts))
+    texts = ["kalo " + " ".join(f"mi{'tu' * (i % 15)}lo{'ka' * (i // 15)}{'sch' * j}" for i in range(150))
+             + " " * 150_000 for j in range(12)]
+    for at in range(0, 12, 6):
+        some = [*texts[at : at + 6], None, "", "12"]
+        np.testing.assert_allclose(own.totals(some), plain.totals(some), rtol=1e-12)
+        assert len(own.known) + len(own.older) <= 600
+    assert learned.count("kalo") == 1 and len(learned) > 1200

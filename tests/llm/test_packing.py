@@ -71,6 +71,19 @@ def test_remembering_is_bounded(monkeypatch):
     assert len(own.known) <= 50 + 3 * 30
 
 
+def test_parts_used_of_late_are_remembered():
+    """Old and recent parts together keep the bound, in long batches too; frequent ones stay."""
+    own = packing._Encoder(PATH, cached_words=2000)
+    learned = []
+    learn, own.learn = own.learn, lambda parts: (learned.extend(parts := list(parts)), learn(parts))
+    texts = ["often " + " ".join(f"w{chr(97 + i % 26)}x{chr(97 + i // 26)}{'yz' * (j % 9)}q{'k' * (j // 9)}"
+                                 for i in range(400)) + " " * 100_000 for j in range(30)]
+    for at in range(0, 30, 10):
+        assert list(own.ids(texts[at : at + 10])) == [plain_ids(t) for t in texts[at : at + 10]]
+        assert len(own.known) + len(own.older) <= 2000
+    assert learned.count("often") == 1 and len(learned) > 4000
+
+
 def least_bins(lengths, capacity):
     """Fewest bins by trying all ways to fill them."""
     best = len(lengths)

@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from postpulse.llm import decontaminate, language
+from postpulse.llm import decontaminate, language, rows, simhash
 from tests.llm.test_decontaminate import plain_hits
 from tests.llm.test_lines import key
 from tests.llm.test_packing import plain_ids
@@ -107,3 +107,15 @@ def test_run(spark, kept):
     ours = {(r.doc_id, r.piece, r.ids_crc32) for r in pieces.collect()}
     # The added documents may move the representative of a group, no more.
     assert len(first ^ ours) <= 4
+
+
+def test_a_stage_lets_go_of_what_an_earlier_one_kept(monkeypatch):
+    made = []
+    for module in (simhash, decontaminate):
+        monkeypatch.setattr(module, "append_columns", lambda docs, added, make, drop=(): made.append(make))
+    simhash.fingerprints(None)
+    made.append(decontaminate._search([], "text", 13))
+    for make in made:
+        rows.held(("kept", 1), dict)
+        make()
+        assert not rows._held
