@@ -260,7 +260,7 @@ class _Scorer:
     def totals(self, texts: list[str | None]) -> list[np.ndarray]:
         """For each text log2 probability under each language, then the predicted characters."""
         out = []
-        for run in runs_of(texts):
+        for run in runs_of(texts, 2 * self.most):
             split = [t.split() if t else [] for t in run]
             new = set().union(*split).difference(self.known)
             if len(self.known) + len(new) > self.most // 2:

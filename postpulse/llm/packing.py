@@ -107,7 +107,7 @@ class _Encoder:
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """Ids of texts in which no added token stands; ``whole_ids`` cuts these out first."""
-        for run in runs_of(texts):
+        for run in runs_of(texts, 2 * self.most):
             split = [self.parts(t) for t in run]
             new = set().union(*split).difference(self.known)
             if len(self.known) + len(new) > self.most // 2:

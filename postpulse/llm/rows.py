@@ -20,9 +20,6 @@ from ..scratch import shared_folder
 # So many rows are Python objects at a time.
 ROWS_AT_ONCE = 512
 
-# Texts with so many characters together are split into words at a time, in operators that do.
-CHARACTERS_AT_ONCE = 1 << 18
-
 # A classifier is trained for so many labels at most.
 MOST_LABELS = 1000
 
@@ -48,7 +45,7 @@ def release() -> None:
     _held.clear()
 
 
-def runs_of(texts: list[str | None], characters: int = CHARACTERS_AT_ONCE) -> Iterator[list]:
+def runs_of(texts: list[str | None], characters: int) -> Iterator[list]:
     """``texts`` in order, in runs of at most so many characters; a longer text is a run alone."""
     run, size = [], 0
     for text in texts:
